@@ -237,3 +237,24 @@ def sgd_pass(rows: DataFrame, id_col: str, features: Sequence[str] | str, label:
     prepared = prepare_shards(rows, id_col, features, label, cfg.shards)
     new, n_rows, loss_sum, _ = run_epoch(prepared, model, epoch, cfg)
     return new, n_rows, loss_sum
+
+
+def models_table(spark: SparkSession, models: Sequence[LinearModel], start: int = 0) -> DataFrame:
+    """Stack models as ``epoch, class_idx, feature_idx, weight`` (epoch = start, start+1, ...)."""
+    out = None
+    for e, m in enumerate(models, start):
+        t = m.to_table(spark, epoch=e)
+        out = t if out is None else out.unionByName(t)
+    return out
+
+
+def model_delta_norm(models: DataFrame) -> DataFrame:
+    """Per epoch e >= 1: sqrt(sum over cells of (w_e - w_{e-1})^2), as a Spark
+    aggregate over a model-history table (each side is one model per epoch)."""
+    prev = models.select((F.col("epoch") + F.lit(1)).alias("epoch"), "class_idx", "feature_idx",
+                         F.col("weight").alias("w_prev"))
+    d = models.join(prev, ["epoch", "class_idx", "feature_idx"])
+    return (d.groupBy("epoch")
+             .agg(F.sqrt(F.sum((F.col("weight") - F.col("w_prev")) * (F.col("weight") - F.col("w_prev"))))
+                  .alias("param_delta"))
+             .select(F.col("epoch").cast("int"), "param_delta"))

@@ -139,3 +139,215 @@ def gd_model_sql(cte: str, d: int, digits: int = 6) -> str:
 def gd_history_sql(cte: str, digits: int = 6) -> str:
     return (f"{cte}\nSELECT CAST(epoch AS INTEGER) AS epoch, n_rows, {rnd('loss', digits)} AS loss, "
             f"{rnd('delta', digits)} AS param_delta, stopped FROM gd WHERE epoch >= 1")
+
+
+# ---- parameter-averaged SGD ----------------------------------------------
+#
+# Per epoch e:  ord_e   rows numbered 1..n_s inside each shard in epoch order
+#               fold_e  recursive: every shard advances one row per level
+#               end_e   last state of each shard (the start row for an empty shard)
+#               model_e unweighted mean over exactly S shards, + delta and stop flag
+# All epochs are generated; the answer is the first epoch that stopped, else the last.
+
+ORDER_ROW_MULT, ORDER_EPOCH_MULT, ORDER_MOD = 7919, 104729, 1000003
+
+
+def pmod_sql(expr: str, m: int) -> str:
+    return f"((({expr}) % {m} + {m}) % {m})"
+
+
+def order_sql(epoch: int, order: str) -> str:
+    if order == "id":
+        return "id"
+    return f"{pmod_sql(f'id * {ORDER_ROW_MULT} + {epoch * ORDER_EPOCH_MULT}', ORDER_MOD)}, id"
+
+
+class _Hinge:
+    """Binary hinge state: scalar columns w1..wd, b."""
+
+    def __init__(self, d: int, alpha: float, l2: float, fit_intercept: bool) -> None:
+        self.d, self.a, self.l, self.fi = d, num(alpha), num(l2), fit_intercept
+        self.ws = [f"w{j}" for j in range(1, d + 1)]
+        self.xs = [f"x{j}" for j in range(1, d + 1)]
+        self.state = self.ws + ["b"]
+
+    def row_cols(self) -> list[str]:
+        return self.xs + ["y"]
+
+    def pre(self) -> str:
+        return f"{dot_then_bias_sql([f'f.{w}' for w in self.ws], [f'r.{x}' for x in self.xs], 'f.b')} AS z"
+
+    def updates(self) -> list[str]:
+        a, l = self.a, self.l
+        out = [f"CASE WHEN y * z < 1.0::DOUBLE THEN {w} - {a} * ({w} * {l} - y * {x}) "
+               f"ELSE {w} - {a} * ({w} * {l}) END" for w, x in zip(self.ws, self.xs)]
+        out.append(f"CASE WHEN y * z < 1.0::DOUBLE THEN b - {a} * (-y) ELSE b END" if self.fi else "b")
+        return out
+
+    def loss(self) -> str:
+        return "CASE WHEN y * z < 1.0::DOUBLE THEN 1.0::DOUBLE - y * z ELSE 0.0::DOUBLE END"
+
+    def average(self, src: str) -> str:
+        return ", ".join(f"avg({c}) AS {c}" for c in self.state) + f" FROM {src}"
+
+    def delta(self, new: str, old: str) -> str:
+        return "sqrt(" + " + ".join(f"({new}.{c} - {old}.{c}) * ({new}.{c} - {old}.{c})"
+                                    for c in self.state) + ")"
+
+    def model_rows(self, src: str, digits: int) -> str:
+        return model_rows_sql(src, ["b"] + self.ws, digits)
+
+
+class _Multi:
+    """K-class state: W DOUBLE[] (K*d, row-major), b DOUBLE[] (K)."""
+
+    def __init__(self, kind: str, K: int, d: int, alpha: float, l2: float, fit_intercept: bool) -> None:
+        self.kind, self.K, self.d = kind, K, d
+        self.a, self.l, self.fi = num(alpha), num(l2), fit_intercept
+        self.state = ["W", "b"]
+
+    def row_cols(self) -> list[str]:
+        return ["features", "label"]
+
+    def pre(self) -> str:
+        K, d = self.K, self.d
+        return (f"list_transform(range(0, {K}), lambda k: list_dot_product("
+                f"list_slice(f.W, k * {d} + 1, k * {d} + {d}), r.features) + f.b[k + 1]) AS s")
+
+    def pre2(self) -> str:
+        if self.kind == "multiclass_hinge":
+            return ("list_transform(s, lambda v, k: CASE WHEN k = label + 1 THEN 0.0::DOUBLE "
+                    "ELSE v - s[label + 1] + 1.0::DOUBLE END) AS m")
+        return "list_max(s) AS mx"
+
+    def pre3(self) -> str:
+        if self.kind == "multiclass_hinge":
+            return ("list_transform(m, lambda v, k: CASE WHEN k = label + 1 THEN "
+                    "-CAST(len(list_filter(m, lambda u: u > 0.0::DOUBLE)) AS DOUBLE) "
+                    "ELSE CAST(v > 0.0::DOUBLE AS DOUBLE) END) AS c")
+        return "list_transform(s, lambda v: exp(v - mx)) AS e"
+
+    def pre4(self) -> str:
+        if self.kind == "multiclass_hinge":
+            return "NULL AS unused"
+        return ("list_transform(list_transform(e, lambda v: v / list_sum(e)), lambda p, k: "
+                "CASE WHEN k = label + 1 THEN 1.0::DOUBLE - p ELSE -p END) AS g")
+
+    def updates(self) -> list[str]:
+        a, l, d = self.a, self.l, self.d
+        if self.kind == "multiclass_hinge":
+            W = (f"list_transform(W, lambda w, i: w - {a} * (c[(i - 1) // {d} + 1] * "
+                 f"features[(i - 1) % {d} + 1] + {l} * w))")
+            b = f"list_transform(b, lambda v, k: v - {a} * c[k])" if self.fi else "b"
+        else:
+            W = (f"list_transform(W, lambda w, i: w + {a} * (g[(i - 1) // {d} + 1] * "
+                 f"features[(i - 1) % {d} + 1] - {l} * w))")
+            b = f"list_transform(b, lambda v, k: v + {a} * g[k])" if self.fi else "b"
+        return [W, b]
+
+    def loss(self) -> str:
+        if self.kind == "multiclass_hinge":
+            return "coalesce(list_sum(list_filter(m, lambda v: v > 0.0::DOUBLE)), 0.0::DOUBLE)"
+        return "(-(s[label + 1] - mx) + ln(list_sum(e)))"
+
+    def average(self, src: str) -> str:
+        K, d = self.K, self.d
+        return (f"(SELECT list(v ORDER BY i) FROM (SELECT i, avg(v) AS v FROM "
+                f"(SELECT unnest(W) AS v, unnest(range(1, {K * d + 1})) AS i FROM {src}) u GROUP BY i) t) AS W, "
+                f"(SELECT list(v ORDER BY i) FROM (SELECT i, avg(v) AS v FROM "
+                f"(SELECT unnest(b) AS v, unnest(range(1, {K + 1})) AS i FROM {src}) u GROUP BY i) t) AS b "
+                f"FROM (SELECT 1) one")
+
+    def delta(self, new: str, old: str) -> str:
+        return (f"sqrt(list_sum(list_transform(list_zip({new}.W, {old}.W), lambda p: (p[1] - p[2]) * (p[1] - p[2])))"
+                f" + list_sum(list_transform(list_zip({new}.b, {old}.b), lambda p: (p[1] - p[2]) * (p[1] - p[2]))))")
+
+    def model_rows(self, src: str, digits: int) -> str:
+        d = self.d
+        return (f"SELECT CAST((i - 1) // {d} AS INTEGER) AS class_idx, CAST((i - 1) % {d} + 1 AS INTEGER) "
+                f"AS feature_idx, {rnd('v', digits)} AS weight FROM "
+                f"(SELECT unnest(W) AS v, unnest(range(1, {self.K * d + 1})) AS i FROM {src}) u "
+                f"UNION ALL SELECT CAST(i - 1 AS INTEGER) AS class_idx, 0::INTEGER AS feature_idx, "
+                f"{rnd('v', digits)} AS weight FROM "
+                f"(SELECT unnest(b) AS v, unnest(range(1, {self.K + 1})) AS i FROM {src}) u")
+
+
+def sgd_state(kind: str, K: int, d: int, alpha: float, l2: float, fit_intercept: bool = True):
+    if kind == "hinge":
+        return _Hinge(d, alpha, l2, fit_intercept)
+    return _Multi(kind, K, d, alpha, l2, fit_intercept)
+
+
+def hinge_init(coef: Sequence[float], intercept: float) -> str:
+    cols = [f"{num(w)} AS w{j}" for j, w in enumerate(coef, 1)] + [f"{num(intercept)} AS b"]
+    return "SELECT " + ", ".join(cols)
+
+
+def multi_init(coef_flat: Sequence[float] | None, intercept: Sequence[float] | None, K: int, d: int) -> str:
+    if coef_flat is None:
+        W = f"list_transform(range(0, {K * d}), lambda i: 0.0::DOUBLE)"
+    else:
+        W = "[" + ", ".join(num(v) for v in coef_flat) + "]"
+    if intercept is None:
+        b = f"list_transform(range(0, {K}), lambda i: 0.0::DOUBLE)"
+    else:
+        b = "[" + ", ".join(num(v) for v in intercept) + "]"
+    return f"SELECT {W} AS W, {b} AS b"
+
+
+def sgd_chain_sql(rows_sql: str, st, shards: int, epochs: int, tol: float, order: str,
+                  init_sql: str) -> str:
+    """CTE text ending in ``models(epoch, <state>, n_rows, loss_sum, delta, stopped)``
+    plus ``final`` (the adopted model) -- without a trailing SELECT."""
+    state = ", ".join(st.state)
+    rc = st.row_cols()
+    parts = [f"rows AS (SELECT {', '.join(rc)}, CAST({pmod_sql('id', shards)} AS INTEGER) AS shard, id "
+             f"FROM ({rows_sql}) src)",
+             f"model_0 AS (SELECT 0 AS epoch, {state}, 0::BIGINT AS n_rows, 0.0::DOUBLE AS loss_sum, "
+             f"NULL::DOUBLE AS delta, false AS stopped FROM ({init_sql}) i)"]
+    for e in range(1, epochs + 1):
+        parts.append(
+            f"ord_{e} AS (SELECT shard, row_number() OVER (PARTITION BY shard ORDER BY {order_sql(e, order)}) AS rn, "
+            f"{', '.join(rc)} FROM rows)")
+        if isinstance(st, _Hinge):
+            inner = (f"SELECT f.shard, r.rn, {', '.join('f.' + c for c in st.state)}, f.n, f.loss, "
+                     f"{', '.join('r.' + c for c in rc)}, {st.pre()} "
+                     f"FROM fold_{e} f JOIN ord_{e} r ON r.shard = f.shard AND r.rn = f.rn + 1")
+        else:
+            inner = (f"SELECT *, {st.pre4()} FROM (SELECT *, {st.pre3()} FROM (SELECT *, {st.pre2()} FROM ("
+                     f"SELECT f.shard, r.rn, f.W, f.b, f.n, f.loss, r.features, r.label, {st.pre()} "
+                     f"FROM fold_{e} f JOIN ord_{e} r ON r.shard = f.shard AND r.rn = f.rn + 1) q1) q2) q3")
+        upd = ", ".join(st.updates())
+        parts.append(
+            f"fold_{e}(shard, rn, {state}, n, loss) AS ("
+            f"SELECT CAST(sh.range AS INTEGER), 0::BIGINT, {', '.join('m.' + c for c in st.state)}, 0::BIGINT, "
+            f"0.0::DOUBLE FROM range({shards}) sh, model_{e - 1} m "
+            f"UNION ALL SELECT shard, rn, {upd}, n + 1, loss + {st.loss()} FROM ({inner}) q)")
+        parts.append(
+            f"end_{e} AS (SELECT f.* FROM fold_{e} f JOIN (SELECT shard, max(rn) AS mrn FROM fold_{e} "
+            f"GROUP BY shard) mx ON f.shard = mx.shard AND f.rn = mx.mrn)")
+        parts.append(
+            f"avg_{e} AS (SELECT {st.average(f'end_{e}')})")
+        parts.append(
+            f"model_{e} AS (SELECT {e} AS epoch, {', '.join('a.' + c for c in st.state)}, "
+            f"(SELECT sum(n) FROM end_{e})::BIGINT AS n_rows, (SELECT sum(loss) FROM end_{e}) AS loss_sum, "
+            f"{st.delta('a', 'p')} AS delta, {st.delta('a', 'p')} < {num(tol)} AS stopped "
+            f"FROM avg_{e} a, model_{e - 1} p)")
+    union = " UNION ALL ".join(f"SELECT * FROM model_{e}" for e in range(1, epochs + 1))
+    parts.append(f"models AS ({union})")
+    parts.append("last_epoch AS (SELECT coalesce(min(epoch) FILTER (WHERE stopped), max(epoch)) AS e FROM models)")
+    parts.append("final AS (SELECT m.* FROM models m, last_epoch l WHERE m.epoch = l.e)")
+    return "WITH RECURSIVE " + ",\n".join(parts)
+
+
+def sgd_model_sql(rows_sql: str, st, shards: int, epochs: int, tol: float, order: str,
+                  init_sql: str, digits: int = 6) -> str:
+    return sgd_chain_sql(rows_sql, st, shards, epochs, tol, order, init_sql) + "\n" + st.model_rows("final", digits)
+
+
+def sgd_history_sql(rows_sql: str, st, shards: int, epochs: int, tol: float, order: str,
+                    init_sql: str, digits: int = 6) -> str:
+    return (sgd_chain_sql(rows_sql, st, shards, epochs, tol, order, init_sql)
+            + f"\nSELECT CAST(epoch AS INTEGER) AS epoch, n_rows, "
+              f"{rnd('CASE WHEN n_rows > 0 THEN loss_sum / n_rows END', digits)} AS loss, "
+              f"{rnd('delta', digits)} AS param_delta, stopped FROM models, last_epoch l WHERE epoch <= l.e")
