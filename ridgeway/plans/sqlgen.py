@@ -296,19 +296,23 @@ def multi_init(coef_flat: Sequence[float] | None, intercept: Sequence[float] | N
 
 
 def sgd_chain_sql(rows_sql: str, st, shards: int, epochs: int, tol: float, order: str,
-                  init_sql: str) -> str:
+                  init_sql: str, chunk_expr: str | None = None) -> str:
     """CTE text ending in ``models(epoch, <state>, n_rows, loss_sum, delta, stopped)``
-    plus ``final`` (the adopted model) -- without a trailing SELECT."""
+    plus ``final`` (the adopted model) -- without a trailing SELECT.
+
+    ``chunk_expr`` (an expression over ``id``) restricts epoch e to the rows of
+    chunk e-1: the micro-batches of a stream instead of full passes."""
     state = ", ".join(st.state)
     rc = st.row_cols()
-    parts = [f"rows AS (SELECT {', '.join(rc)}, CAST({pmod_sql('id', shards)} AS INTEGER) AS shard, id "
+    chunk = f", {chunk_expr} AS chunk" if chunk_expr else ""
+    parts = [f"rows AS (SELECT {', '.join(rc)}, CAST({pmod_sql('id', shards)} AS INTEGER) AS shard, id{chunk} "
              f"FROM ({rows_sql}) src)",
              f"model_0 AS (SELECT 0 AS epoch, {state}, 0::BIGINT AS n_rows, 0.0::DOUBLE AS loss_sum, "
              f"NULL::DOUBLE AS delta, false AS stopped FROM ({init_sql}) i)"]
     for e in range(1, epochs + 1):
         parts.append(
             f"ord_{e} AS (SELECT shard, row_number() OVER (PARTITION BY shard ORDER BY {order_sql(e, order)}) AS rn, "
-            f"{', '.join(rc)} FROM rows)")
+            f"{', '.join(rc)} FROM rows{f' WHERE chunk = {e - 1}' if chunk_expr else ''})")
         if isinstance(st, _Hinge):
             inner = (f"SELECT f.shard, r.rn, {', '.join('f.' + c for c in st.state)}, f.n, f.loss, "
                      f"{', '.join('r.' + c for c in rc)}, {st.pre()} "
