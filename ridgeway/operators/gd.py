@@ -17,7 +17,7 @@ so lineage never grows with the epoch count.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -99,8 +99,20 @@ def penalty(w: np.ndarray, cfg: GDConfig) -> float:
     return cfg.l2 * s
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin a narrow input over the cluster's cores when it arrives in
+    fewer partitions than that (small files).  Large inputs already have
+    thousands of splits and are left alone -- no shuffle of big data."""
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < slots:
+        return df.repartition(slots)
+    return df
+
+
 def train_gd(rows: DataFrame, features: Sequence[str], label: str, cfg: GDConfig,
-             init: LinearModel | Sequence[float] | None = None) -> GDResult:
+             init: LinearModel | Sequence[float] | None = None,
+             on_epoch: Callable[[tuple], None] | None = None) -> GDResult:
+    """Train until the stop test or ``cfg.max_epochs``; ``on_epoch`` gets each history row."""
     d = len(features)
     if init is None:
         w = np.zeros(d + 1)
@@ -123,7 +135,7 @@ def train_gd(rows: DataFrame, features: Sequence[str], label: str, cfg: GDConfig
             return n, float(wv @ Gw - 2.0 * (wv @ h) + q), Gw - h
     else:
         if cfg.persist:
-            cached = narrow.persist(StorageLevel.MEMORY_AND_DISK)
+            cached = spread(narrow).persist(StorageLevel.MEMORY_AND_DISK)
         src = cached if cached is not None else narrow
 
         def evaluate(wv: np.ndarray) -> tuple[int, float, np.ndarray]:
@@ -144,9 +156,13 @@ def train_gd(rows: DataFrame, features: Sequence[str], label: str, cfg: GDConfig
                 result.history.append((epoch, n, float(loss), delta, False))
                 w, prev = w_new, loss
                 result.models.append(LinearModel.from_vector(w))
+                if on_epoch:
+                    on_epoch(result.history[-1])
             else:
                 result.history.append((epoch, n, float(loss), 0.0, True))
                 result.models.append(LinearModel.from_vector(w))
+                if on_epoch:
+                    on_epoch(result.history[-1])
                 break
     finally:
         if cached is not None:

@@ -20,7 +20,7 @@ shards are assigned by the unique row id, not by any data value.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -198,7 +198,9 @@ def infer_shape(rows: DataFrame, features: Sequence[str] | str, label: str,
 
 def train_sgd(rows: DataFrame, id_col: str, features: Sequence[str] | str, label: str,
               cfg: SGDConfig, init: LinearModel | None = None,
-              n_classes: int | None = None) -> SGDResult:
+              n_classes: int | None = None,
+              on_epoch: Callable[[tuple], None] | None = None) -> SGDResult:
+    """Averaged passes until ||new - old|| < tol or ``max_iter``; ``on_epoch`` gets each history row."""
     if init is None:
         K, d = infer_shape(rows, features, label, cfg.kind)
         if n_classes is not None:
@@ -221,6 +223,8 @@ def train_sgd(rows: DataFrame, id_col: str, features: Sequence[str] | str, label
             mean_loss = loss_sum / n_rows if n_rows else None
             result.history.append((epoch, n_rows, mean_loss, delta, stopped))
             result.models.append(new)
+            if on_epoch:
+                on_epoch(result.history[-1])
             model = new
             if stopped:
                 break

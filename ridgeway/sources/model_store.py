@@ -25,6 +25,8 @@ class ModelStore:
             return None
 
     def epochs(self) -> list[int]:
+        """Stored epochs.  Only the partition column is read, so Parquet
+        contributes footers, not data."""
         df = self._read()
         if df is None:
             return []
@@ -34,11 +36,13 @@ class ModelStore:
         e = self.epochs()
         return e[-1] if e else None
 
-    def write(self, model: DataFrame, epoch: int) -> bool:
-        """Append ``model`` as ``epoch``; False when that epoch already exists."""
-        last = self.last_epoch()
-        if last is not None and epoch <= last:
-            return False
+    def write(self, model: DataFrame, epoch: int, check: bool = True) -> bool:
+        """Append ``model`` as ``epoch``; False when that epoch already exists.
+        ``check=False`` skips the listing when the caller knows the newest epoch."""
+        if check:
+            last = self.last_epoch()
+            if last is not None and epoch <= last:
+                return False
         (model.select("class_idx", "feature_idx", "weight")
               .withColumn("epoch", F.lit(int(epoch)))
               .coalesce(1)

@@ -32,14 +32,22 @@ class OnlineUpdate:
     label: str
     cfg: SGDConfig
 
+    # (epoch, model) last written by this process: saves re-reading the store
+    # on every micro-batch; after a restart the store is read once.
+    _current: tuple[int, LinearModel] | None = None
+
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         epoch = int(batch_id) + 1
-        last = self.store.last_epoch()
-        if last is not None and last >= epoch:
-            return  # replay of a batch that is already folded in
-        model = LinearModel.from_table(self.store.latest())
+        if self._current is not None and self._current[0] == epoch - 1:
+            model = self._current[1]
+        else:
+            last = self.store.last_epoch()
+            if last is not None and last >= epoch:
+                return  # replay of a batch that is already folded in
+            model = LinearModel.from_table(self.store.latest())
         new, _, _ = sgd_pass(batch, self.id_col, self.features, self.label, self.cfg, model, epoch)
-        self.store.write(new.to_table(batch.sparkSession), epoch)
+        self.store.write(new.to_table(batch.sparkSession), epoch, check=False)
+        self._current = (epoch, new)
 
 
 def run_online_update(spark: SparkSession, source: str, schema: T.StructType, store: ModelStore,
