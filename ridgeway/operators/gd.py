@@ -21,12 +21,12 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from ridgeway.model import LinearModel
 from ridgeway.operators.gradient import LOSSES, gradient_stats, gram_stats
+from ridgeway.operators.materialize import MODES, materialize, release
 
 HISTORY_SCHEMA = T.StructType([
     T.StructField("epoch", T.IntegerType(), False),
@@ -45,7 +45,7 @@ class GDConfig:
     tol: float = 1e-4
     max_epochs: int = 1000
     method: str = "auto"          # auto | gram | direct
-    persist: bool = True          # keep the projected rows between epochs
+    materialize: str = "persist"  # persist | checkpoint | none (see operators.materialize)
 
     def __post_init__(self) -> None:
         if self.loss not in LOSSES:
@@ -56,6 +56,8 @@ class GDConfig:
             raise ValueError("method must be auto, gram or direct")
         if self.method == "gram" and self.loss != "squared":
             raise ValueError("the Gram path is for squared loss only")
+        if self.materialize not in MODES:
+            raise ValueError(f"materialize must be one of {MODES}")
 
 
 # Trainer defaults of the reference programs.
@@ -134,9 +136,9 @@ def train_gd(rows: DataFrame, features: Sequence[str], label: str, cfg: GDConfig
             Gw = G @ wv
             return n, float(wv @ Gw - 2.0 * (wv @ h) + q), Gw - h
     else:
-        if cfg.persist:
-            cached = spread(narrow).persist(StorageLevel.MEMORY_AND_DISK)
-        src = cached if cached is not None else narrow
+        src = narrow
+        if cfg.materialize != "none":
+            src, cached = materialize(spread(narrow), cfg.materialize)
 
         def evaluate(wv: np.ndarray) -> tuple[int, float, np.ndarray]:
             r = gradient_stats(src, features, label, list(wv), cfg.loss).first()
@@ -165,7 +167,6 @@ def train_gd(rows: DataFrame, features: Sequence[str], label: str, cfg: GDConfig
                     on_epoch(result.history[-1])
                 break
     finally:
-        if cached is not None:
-            cached.unpersist()
+        release(cached)
     result.model = LinearModel.from_vector(w)
     return result

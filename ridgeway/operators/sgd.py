@@ -25,12 +25,12 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ridgeway.model import MAX_MODEL_CELLS, LinearModel
 from ridgeway.operators.folds import FOLDS, KINDS, ShardState
+from ridgeway.operators.materialize import MODES, materialize, release
 from ridgeway.operators.gd import HISTORY_SCHEMA
 
 # Integer rule for the per-epoch row order inside a shard,
@@ -59,7 +59,7 @@ class SGDConfig:
     max_iter: int = 20
     tol: float = 1e-3
     order: str = "hash"          # hash: (id*7919 + epoch*104729) % 1000003, then id; id: by id
-    persist: bool = True
+    materialize: str = "persist"  # persist | checkpoint | none (see operators.materialize)
 
     def __post_init__(self) -> None:
         if self.kind not in KINDS:
@@ -68,6 +68,8 @@ class SGDConfig:
             raise ValueError("shards must be >= 1")
         if self.order not in ("hash", "id"):
             raise ValueError("order must be hash or id")
+        if self.materialize not in MODES:
+            raise ValueError(f"materialize must be one of {MODES}")
 
 
 @dataclass
@@ -208,9 +210,8 @@ def train_sgd(rows: DataFrame, id_col: str, features: Sequence[str] | str, label
         init = LinearModel.zeros(K, d)
     if init.n_classes * (init.n_features + 1) > MAX_MODEL_CELLS:
         raise ValueError("model too large for the averaged-SGD driver loop")
-    prepared = prepare_shards(rows, id_col, features, label, cfg.shards)
-    if cfg.persist:
-        prepared = prepared.persist(StorageLevel.MEMORY_AND_DISK)
+    prepared, held = materialize(prepare_shards(rows, id_col, features, label, cfg.shards),
+                                 cfg.materialize)
     model = init.copy()
     if not cfg.fit_intercept:
         model.intercept[:] = 0.0
@@ -229,8 +230,7 @@ def train_sgd(rows: DataFrame, id_col: str, features: Sequence[str] | str, label
             if stopped:
                 break
     finally:
-        if cfg.persist:
-            prepared.unpersist()
+        release(held)
     result.model = model
     return result
 

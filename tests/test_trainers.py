@@ -87,3 +87,17 @@ def test_zero_step_sgd_stops_after_first_pass(spark):
     res = train_sgd(hinge_rows(spark, SF_SMALL), "id", HINGE_FEATURES, "y", cfg, init=init)
     assert len(res.history) == 1 and res.history[0][4] is True
     np.testing.assert_array_equal(res.model.flat(), init.flat())
+
+
+@pytest.mark.parametrize("mode", ["checkpoint", "none"])
+def test_materialize_modes_agree(spark, mode):
+    rows = hinge_rows(spark, SF_SMALL)
+    base = SGDConfig(kind="hinge", alpha=0.01, l2=1.0, shards=3, max_iter=2, tol=0.0)
+    other = SGDConfig(kind="hinge", alpha=0.01, l2=1.0, shards=3, max_iter=2, tol=0.0, materialize=mode)
+    a = train_sgd(rows, "id", HINGE_FEATURES, "y", base)
+    b = train_sgd(rows, "id", HINGE_FEATURES, "y", other)
+    np.testing.assert_allclose(a.model.flat(), b.model.flat(), rtol=1e-12, atol=1e-15)
+    g1 = train_gd(log_rows(spark, SF_SMALL), LIN_FEATURES, "y", GDConfig(loss="logistic", lr=0.5, max_epochs=4))
+    g2 = train_gd(log_rows(spark, SF_SMALL), LIN_FEATURES, "y",
+                  GDConfig(loss="logistic", lr=0.5, max_epochs=4, materialize=mode))
+    np.testing.assert_allclose(g1.model.vector(), g2.model.vector(), rtol=1e-10, atol=1e-13)
