@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from ridgeway.model import LinearModel
 from ridgeway.operators.gd import train_gd
-from ridgeway.operators.sgd import SGDConfig
+from ridgeway.operators.sgd import SGDConfig, models_table
 from ridgeway.plans import sqlgen as S
 from ridgeway.plans.full_batch import GD_LINEAR_L2, _gd_sql, _step_model, _step_sql
 from ridgeway.plans.registry import query, rnd, round_model
@@ -95,8 +95,7 @@ def q_model_store_latest(spark: SparkSession, sf: str) -> DataFrame:
     the newest partition is read back (older ones are kept, never deleted)."""
     res = train_gd(lin_rows(spark, sf), LIN_FEATURES, "y", GD_LINEAR_L2)
     store = ModelStore(spark, scratch_path(spark, "model-store"))
-    for e, m in enumerate(res.models, 1):
-        store.write(m.to_table(spark), e)
+    store.append_epochs(models_table(spark, res.models, start=1))
     latest = store.latest()
     return latest.select(F.col("class_idx").cast("int"), F.col("feature_idx").cast("int"),
                          rnd("weight").alias("weight"), "epoch")

@@ -49,6 +49,17 @@ class ModelStore:
               .write.mode("append").partitionBy("epoch").parquet(self.path))
         return True
 
+    def append_epochs(self, models: DataFrame) -> int:
+        """Append a stack of models (``epoch, class_idx, feature_idx, weight``) in ONE
+        write job; epochs already stored are skipped.  Returns the epochs written."""
+        last = self.last_epoch()
+        new = models if last is None else models.filter(F.col("epoch") > F.lit(int(last)))
+        new = new.select("class_idx", "feature_idx", "weight", F.col("epoch").cast("int"))
+        n = new.select("epoch").distinct().count()
+        if n:
+            new.repartition("epoch").write.mode("append").partitionBy("epoch").parquet(self.path)
+        return n
+
     def latest(self) -> DataFrame:
         last = self.last_epoch()
         if last is None:

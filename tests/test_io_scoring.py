@@ -101,3 +101,13 @@ def test_stream_update_matches_batch_chain_and_replay_is_idempotent(spark):
     fresh(keyed.filter(F.col("chunk") == 2).drop("chunk"), 2)   # replayed batch id
     assert store.epochs() == [0, 1, 2, 3]
     np.testing.assert_allclose(LinearModel.from_table(store.latest()).flat(), expect.flat(), rtol=1e-12)
+
+
+def test_model_store_append_epochs_in_one_job(spark):
+    from ridgeway.operators.sgd import models_table
+    store = ModelStore(spark, scratch_path(spark, "store-many"))
+    ms = [LinearModel.from_vector([float(e), 1.0]) for e in range(1, 4)]
+    assert store.append_epochs(models_table(spark, ms, start=1)) == 3
+    assert store.append_epochs(models_table(spark, ms, start=1)) == 0
+    assert store.epochs() == [1, 2, 3]
+    assert store.latest().filter("feature_idx = 0").first()["weight"] == 3.0
