@@ -8,7 +8,9 @@ shard models with an ordinary aggregate.  Models and histories are small
 tables; only model-sized results ever reach the driver.
 """
 
+from ridgeway.estimators import MLR, SVM, LinearRegressionGD, LogisticRegressionGD, MultiSVM
 from ridgeway.model import LinearModel
 from ridgeway.session import get_session, scratch_path
 
-__all__ = ["LinearModel", "get_session", "scratch_path"]
+__all__ = ["LinearModel", "LinearRegressionGD", "LogisticRegressionGD", "MLR", "MultiSVM", "SVM",
+           "get_session", "scratch_path"]
