@@ -8,9 +8,18 @@ shard models with an ordinary aggregate.  Models and histories are small
 tables; only model-sized results ever reach the driver.
 """
 
-from ridgeway.estimators import MLR, SVM, LinearRegressionGD, LogisticRegressionGD, MultiSVM
-from ridgeway.model import LinearModel
-from ridgeway.session import get_session, scratch_path
+from ridgeway._lazy import lazy_exports
 
-__all__ = ["LinearModel", "LinearRegressionGD", "LogisticRegressionGD", "MLR", "MultiSVM", "SVM",
-           "get_session", "scratch_path"]
+_EXPORTS = {
+    "LinearModel": "ridgeway.model",
+    "LinearRegressionGD": "ridgeway.estimators",
+    "LogisticRegressionGD": "ridgeway.estimators",
+    "MLR": "ridgeway.estimators",
+    "MultiSVM": "ridgeway.estimators",
+    "SVM": "ridgeway.estimators",
+    "get_session": "ridgeway.session",
+    "scratch_path": "ridgeway.session",
+}
+
+__getattr__, __dir__ = lazy_exports(__name__, _EXPORTS)
+__all__ = sorted(_EXPORTS)

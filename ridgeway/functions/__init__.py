@@ -1,13 +1,24 @@
-from ridgeway.functions.linear import (boundary_coordinate, dot_array, dot_then_bias,
-                                      hinge_violation, linear_predictor, logistic_nll,
-                                      sigmoid, squared_error)
-from ridgeway.functions.multiclass import (argmax, class_scores, hinge_coefficients,
-                                          multiclass_margins, one_hot, softmax,
-                                          violation_count)
+"""Column expressions for linear and K-class models."""
 
-__all__ = [
-    "argmax", "boundary_coordinate", "class_scores", "dot_array", "dot_then_bias",
-    "hinge_coefficients", "hinge_violation", "linear_predictor", "logistic_nll",
-    "multiclass_margins", "one_hot", "sigmoid", "softmax", "squared_error",
-    "violation_count",
-]
+from ridgeway._lazy import lazy_exports
+
+_EXPORTS = {
+    "argmax": "ridgeway.functions.multiclass",
+    "boundary_coordinate": "ridgeway.functions.linear",
+    "class_scores": "ridgeway.functions.multiclass",
+    "dot_array": "ridgeway.functions.linear",
+    "dot_then_bias": "ridgeway.functions.linear",
+    "hinge_coefficients": "ridgeway.functions.multiclass",
+    "hinge_violation": "ridgeway.functions.linear",
+    "linear_predictor": "ridgeway.functions.linear",
+    "logistic_nll": "ridgeway.functions.linear",
+    "multiclass_margins": "ridgeway.functions.multiclass",
+    "one_hot": "ridgeway.functions.multiclass",
+    "sigmoid": "ridgeway.functions.linear",
+    "softmax": "ridgeway.functions.multiclass",
+    "squared_error": "ridgeway.functions.linear",
+    "violation_count": "ridgeway.functions.multiclass",
+}
+
+__getattr__, __dir__ = lazy_exports(__name__, _EXPORTS)
+__all__ = sorted(_EXPORTS)

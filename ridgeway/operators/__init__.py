@@ -1,15 +1,31 @@
-from ridgeway.operators.gd import GDConfig, GDResult, train_gd
-from ridgeway.operators.gradient import (gradient_long_form, gradient_stats, gradient_step_join,
-                                         gradient_table, gram_stats, l2_penalty, loss_summary)
-from ridgeway.operators.scoring import (accuracy, boundary_lines, decision_score, ranked_classes,
-                                        score_with_model_table, with_class_scores,
-                                        with_prediction, with_probabilities)
-from ridgeway.operators.sgd import SGDConfig, SGDResult, sgd_pass, train_sgd
+"""Spark operators: gradients, steps, GD and averaged-SGD trainers, scoring."""
 
-__all__ = [
-    "GDConfig", "GDResult", "SGDConfig", "SGDResult", "accuracy", "boundary_lines",
-    "decision_score", "gradient_long_form", "gradient_stats", "gradient_step_join",
-    "gradient_table", "gram_stats", "l2_penalty", "loss_summary", "ranked_classes",
-    "score_with_model_table", "sgd_pass", "train_gd", "train_sgd", "with_class_scores",
-    "with_prediction", "with_probabilities",
-]
+from ridgeway._lazy import lazy_exports
+
+_EXPORTS = {
+    "GDConfig": "ridgeway.operators.gd",
+    "GDResult": "ridgeway.operators.gd",
+    "SGDConfig": "ridgeway.operators.sgd",
+    "SGDResult": "ridgeway.operators.sgd",
+    "accuracy": "ridgeway.operators.scoring",
+    "boundary_lines": "ridgeway.operators.scoring",
+    "decision_score": "ridgeway.operators.scoring",
+    "gradient_long_form": "ridgeway.operators.gradient",
+    "gradient_stats": "ridgeway.operators.gradient",
+    "gradient_step_join": "ridgeway.operators.gradient",
+    "gradient_table": "ridgeway.operators.gradient",
+    "gram_stats": "ridgeway.operators.gradient",
+    "l2_penalty": "ridgeway.operators.gradient",
+    "loss_summary": "ridgeway.operators.gradient",
+    "ranked_classes": "ridgeway.operators.scoring",
+    "score_with_model_table": "ridgeway.operators.scoring",
+    "sgd_pass": "ridgeway.operators.sgd",
+    "train_gd": "ridgeway.operators.gd",
+    "train_sgd": "ridgeway.operators.sgd",
+    "with_class_scores": "ridgeway.operators.scoring",
+    "with_prediction": "ridgeway.operators.scoring",
+    "with_probabilities": "ridgeway.operators.scoring",
+}
+
+__getattr__, __dir__ = lazy_exports(__name__, _EXPORTS)
+__all__ = sorted(_EXPORTS)

@@ -1,16 +1,32 @@
-from ridgeway.sources.blobs import THREE_BLOBS, TWO_BLOBS, blob_table, union_class_tables
-from ridgeway.sources.model_store import ModelStore
-from ridgeway.sources.tables import (HINGE_FEATURES, LIN_FEATURES, class_rows, hinge_rows,
-                                     lin_rows, log_rows, read_table, stream_rows)
-from ridgeway.sources.text import (parse_weight_record, read_csv_rows, read_labelled_text,
-                                   read_tsv_rows, read_weight_lines, read_weight_record,
-                                   weight_record_line, write_labelled_text, write_weight_lines,
-                                   write_weight_record)
+"""Fixtures, text formats, model store and blob tables."""
 
-__all__ = [
-    "HINGE_FEATURES", "LIN_FEATURES", "ModelStore", "THREE_BLOBS", "TWO_BLOBS", "blob_table",
-    "class_rows", "hinge_rows", "lin_rows", "log_rows", "parse_weight_record",
-    "read_csv_rows", "read_labelled_text", "read_table", "read_tsv_rows", "read_weight_lines",
-    "read_weight_record", "stream_rows", "union_class_tables", "weight_record_line",
-    "write_labelled_text", "write_weight_lines", "write_weight_record",
-]
+from ridgeway._lazy import lazy_exports
+
+_EXPORTS = {
+    "HINGE_FEATURES": "ridgeway.sources.tables",
+    "LIN_FEATURES": "ridgeway.sources.tables",
+    "ModelStore": "ridgeway.sources.model_store",
+    "THREE_BLOBS": "ridgeway.sources.blobs",
+    "TWO_BLOBS": "ridgeway.sources.blobs",
+    "blob_table": "ridgeway.sources.blobs",
+    "class_rows": "ridgeway.sources.tables",
+    "hinge_rows": "ridgeway.sources.tables",
+    "lin_rows": "ridgeway.sources.tables",
+    "log_rows": "ridgeway.sources.tables",
+    "parse_weight_record": "ridgeway.sources.text",
+    "read_csv_rows": "ridgeway.sources.text",
+    "read_labelled_text": "ridgeway.sources.text",
+    "read_table": "ridgeway.sources.tables",
+    "read_tsv_rows": "ridgeway.sources.text",
+    "read_weight_lines": "ridgeway.sources.text",
+    "read_weight_record": "ridgeway.sources.text",
+    "stream_rows": "ridgeway.sources.tables",
+    "union_class_tables": "ridgeway.sources.blobs",
+    "weight_record_line": "ridgeway.sources.text",
+    "write_labelled_text": "ridgeway.sources.text",
+    "write_weight_lines": "ridgeway.sources.text",
+    "write_weight_record": "ridgeway.sources.text",
+}
+
+__getattr__, __dir__ = lazy_exports(__name__, _EXPORTS)
+__all__ = sorted(_EXPORTS)

@@ -1,4 +1,13 @@
-from ridgeway.streaming.online import (OnlineUpdate, chunk_column, run_online_update,
-                                      write_stream_chunks)
+"""Structured Streaming online model update."""
 
-__all__ = ["OnlineUpdate", "chunk_column", "run_online_update", "write_stream_chunks"]
+from ridgeway._lazy import lazy_exports
+
+_EXPORTS = {
+    "OnlineUpdate": "ridgeway.streaming.online",
+    "chunk_column": "ridgeway.streaming.online",
+    "run_online_update": "ridgeway.streaming.online",
+    "write_stream_chunks": "ridgeway.streaming.online",
+}
+
+__getattr__, __dir__ = lazy_exports(__name__, _EXPORTS)
+__all__ = sorted(_EXPORTS)
