@@ -60,6 +60,10 @@ class GDConfig:
             raise ValueError(f"materialize must be one of {MODES}")
 
 
+# The automatic Gram path needs (d+1)(d+2)/2 sums in one aggregate row; above
+# this width the per-epoch aggregate (d+3 sums) is the better plan.
+GRAM_MAX_FEATURES = 64
+
 # Trainer defaults of the reference programs.
 LINEAR_L2_DEFAULTS = dict(loss="squared", lr=0.001, l2=0.001, tol=1e-4)
 LINEAR_DEFAULTS = dict(loss="squared", lr=1e-5, l2=0.0, tol=1e-5)
@@ -125,7 +129,8 @@ def train_gd(rows: DataFrame, features: Sequence[str], label: str, cfg: GDConfig
     if len(w) != d + 1:
         raise ValueError(f"initial weights have {len(w)} cells, expected {d + 1}")
 
-    use_gram = cfg.loss == "squared" and cfg.method in ("auto", "gram")
+    use_gram = cfg.loss == "squared" and (
+        cfg.method == "gram" or (cfg.method == "auto" and d <= GRAM_MAX_FEATURES))
     narrow = rows.select(*features, label)
     cached = None
     if use_gram:
