@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from ridgeway.model import LinearModel
-from ridgeway.operators.gradient import LOSSES, gradient_stats, gram_stats
+from ridgeway.operators.gradient import LOSSES, gradient_stats, gradient_stats_arrow, gram_stats
 from ridgeway.operators.materialize import MODES, materialize, release
 
 HISTORY_SCHEMA = T.StructType([
@@ -44,7 +44,7 @@ class GDConfig:
     l2: float = 0.0
     tol: float = 1e-4
     max_epochs: int = 1000
-    method: str = "auto"          # auto | gram | direct
+    method: str = "auto"          # auto | gram | direct | arrow
     materialize: str = "persist"  # persist | checkpoint | none (see operators.materialize)
 
     def __post_init__(self) -> None:
@@ -52,8 +52,8 @@ class GDConfig:
             raise ValueError(f"loss must be one of {LOSSES}")
         if self.loss == "logistic" and self.l2:
             raise ValueError("logistic GD has no L2 term")
-        if self.method not in ("auto", "gram", "direct"):
-            raise ValueError("method must be auto, gram or direct")
+        if self.method not in ("auto", "gram", "direct", "arrow"):
+            raise ValueError("method must be auto, gram, direct or arrow")
         if self.method == "gram" and self.loss != "squared":
             raise ValueError("the Gram path is for squared loss only")
         if self.materialize not in MODES:
@@ -61,8 +61,10 @@ class GDConfig:
 
 
 # The automatic Gram path needs (d+1)(d+2)/2 sums in one aggregate row; above
-# this width the per-epoch aggregate (d+3 sums) is the better plan.
+# this width the per-epoch aggregate (d+3 sums) is the better plan, and above
+# LITERAL_MAX_FEATURES the Arrow partial-vector path replaces d+3 literal sums.
 GRAM_MAX_FEATURES = 64
+LITERAL_MAX_FEATURES = 32
 
 # Trainer defaults of the reference programs.
 LINEAR_L2_DEFAULTS = dict(loss="squared", lr=0.001, l2=0.001, tol=1e-4)
@@ -115,11 +117,23 @@ def spread(df: DataFrame) -> DataFrame:
     return df
 
 
-def train_gd(rows: DataFrame, features: Sequence[str], label: str, cfg: GDConfig,
+def train_gd(rows: DataFrame, features: Sequence[str] | str, label: str, cfg: GDConfig,
              init: LinearModel | Sequence[float] | None = None,
-             on_epoch: Callable[[tuple], None] | None = None) -> GDResult:
-    """Train until the stop test or ``cfg.max_epochs``; ``on_epoch`` gets each history row."""
-    d = len(features)
+             on_epoch: Callable[[tuple], None] | None = None,
+             n_features: int | None = None) -> GDResult:
+    """Train until the stop test or ``cfg.max_epochs``; ``on_epoch`` gets each history row.
+
+    ``features`` is a list of double columns, or one ``array<double>`` column
+    (then ``n_features`` or ``init`` gives d, and the Arrow path is used).
+    """
+    wide_col = isinstance(features, str)
+    if wide_col:
+        if init is None and n_features is None:
+            raise ValueError("an array feature column needs n_features or init")
+        d = n_features if n_features is not None else (
+            init.n_features if isinstance(init, LinearModel) else len(init) - 1)
+    else:
+        d = len(features)
     if init is None:
         w = np.zeros(d + 1)
     elif isinstance(init, LinearModel):
@@ -129,11 +143,17 @@ def train_gd(rows: DataFrame, features: Sequence[str], label: str, cfg: GDConfig
     if len(w) != d + 1:
         raise ValueError(f"initial weights have {len(w)} cells, expected {d + 1}")
 
-    use_gram = cfg.loss == "squared" and (
-        cfg.method == "gram" or (cfg.method == "auto" and d <= GRAM_MAX_FEATURES))
-    narrow = rows.select(*features, label)
+    method = cfg.method
+    if method == "auto":
+        if wide_col or d > GRAM_MAX_FEATURES or (cfg.loss == "logistic" and d > LITERAL_MAX_FEATURES):
+            method = "arrow"
+        else:
+            method = "gram" if cfg.loss == "squared" else "direct"
+    if wide_col and method not in ("arrow",):
+        raise ValueError("an array feature column is trained with the arrow path")
+    narrow = rows.select(features, label) if wide_col else rows.select(*features, label)
     cached = None
-    if use_gram:
+    if method == "gram":
         stats = gram_stats(narrow, features, label)
 
         def evaluate(wv: np.ndarray) -> tuple[int, float, np.ndarray]:
@@ -145,11 +165,15 @@ def train_gd(rows: DataFrame, features: Sequence[str], label: str, cfg: GDConfig
         if cfg.materialize != "none":
             src, cached = materialize(spread(narrow), cfg.materialize)
 
-        def evaluate(wv: np.ndarray) -> tuple[int, float, np.ndarray]:
-            r = gradient_stats(src, features, label, list(wv), cfg.loss).first()
-            g = np.array([0.0 if r[f"g{i}"] is None else r[f"g{i}"] for i in range(d + 1)])
-            loss_sum = float("nan") if r["loss_sum"] is None else float(r["loss_sum"])
-            return int(r["n_rows"]), loss_sum, g
+        if method == "arrow":
+            def evaluate(wv: np.ndarray) -> tuple[int, float, np.ndarray]:
+                return gradient_stats_arrow(src, features, label, wv, cfg.loss)
+        else:
+            def evaluate(wv: np.ndarray) -> tuple[int, float, np.ndarray]:
+                r = gradient_stats(src, features, label, list(wv), cfg.loss).first()
+                g = np.array([0.0 if r[f"g{i}"] is None else r[f"g{i}"] for i in range(d + 1)])
+                loss_sum = float("nan") if r["loss_sum"] is None else float(r["loss_sum"])
+                return int(r["n_rows"]), loss_sum, g
 
     result = GDResult(LinearModel.from_vector(w))
     prev = math.inf

@@ -149,3 +149,65 @@ def gram_stats(rows: DataFrame, features: Sequence[str], label: str) -> dict:
     h = np.array([0.0 if r[f"h{i}"] is None else r[f"h{i}"] for i in range(d + 1)])
     q = 0.0 if r["q"] is None else float(r["q"])
     return {"n": n, "q": q, "h": h, "G": G}
+
+
+# ---- wide models: Arrow partial vectors (R3) -----------------------------
+
+def _feature_array(features: Sequence[str] | str) -> Column:
+    if isinstance(features, str):
+        return F.col(features).cast("array<double>")
+    return F.array(*[F.col(c) for c in features]).cast("array<double>")
+
+
+def _partial_gradient_fn(w: np.ndarray, loss: str):
+    d = len(w) - 1
+    b, coef = float(w[0]), np.asarray(w[1:], dtype=np.float64)
+
+    def run(batches):
+        import pyarrow as pa
+        g = np.zeros(d + 1)
+        n, ls = 0, 0.0
+        for rb in batches:
+            m = rb.num_rows
+            if m == 0:
+                continue
+            flat = rb.column("f").flatten().to_numpy(zero_copy_only=False)
+            if flat.shape[0] != m * d:
+                raise ValueError(f"feature rows must all have length {d}")
+            X = flat.astype(np.float64, copy=False).reshape(m, d)
+            y = rb.column("y").to_numpy(zero_copy_only=False).astype(np.float64, copy=False)
+            z = X @ coef + b
+            if loss == "squared":
+                diff = z - y
+                ls += float(diff @ diff)
+            else:
+                diff = 1.0 / (1.0 + np.exp(-z)) - y
+                ls += float(np.sum(np.maximum(z, 0.0) + np.log1p(np.exp(-np.abs(z))) - y * z))
+            g[0] += diff.sum()
+            g[1:] += diff @ X
+            n += m
+        if n:
+            pos = np.arange(-2, d + 1, dtype=np.int32)
+            val = np.concatenate([[float(n), ls], g])
+            yield pa.RecordBatch.from_arrays([pa.array(pos), pa.array(val)], names=["pos", "value"])
+
+    return run
+
+
+def gradient_stats_arrow(rows: DataFrame, features: Sequence[str] | str, label: str,
+                         w: Sequence[float], loss: str) -> tuple[int, float, np.ndarray]:
+    """(n_rows, loss_sum, g) for wide models: each task folds its Arrow batches into
+    one (d+3)-vector with numpy, then ``groupBy(pos).sum`` adds the task vectors.
+    The weights ride in the task closure (size-checked by the caller)."""
+    if loss not in LOSSES:
+        raise ValueError(f"loss must be one of {LOSSES}")
+    w = np.asarray(w, dtype=np.float64)
+    if len(w) > MAX_MODEL_CELLS:
+        raise ValueError("model too large to ship with the gradient tasks")
+    parts = (rows.select(_feature_array(features).alias("f"), F.col(label).cast("double").alias("y"))
+                 .mapInArrow(_partial_gradient_fn(w, loss), "pos int, value double")
+                 .groupBy("pos").agg(F.sum("value").alias("total")).collect())
+    got = {int(r["pos"]): float(r["total"]) for r in parts}
+    n = int(round(got.get(-2, 0.0)))
+    g = np.array([got.get(i, 0.0) for i in range(len(w))])
+    return n, (got.get(-1, float("nan")) if n else float("nan")), g

@@ -101,3 +101,15 @@ def test_materialize_modes_agree(spark, mode):
     g2 = train_gd(log_rows(spark, SF_SMALL), LIN_FEATURES, "y",
                   GDConfig(loss="logistic", lr=0.5, max_epochs=4, materialize=mode))
     np.testing.assert_allclose(g1.model.vector(), g2.model.vector(), rtol=1e-10, atol=1e-13)
+
+
+@pytest.mark.parametrize("loss,rows_fn", [("logistic", log_rows), ("squared", lin_rows)])
+def test_arrow_gradient_path_equals_literal_path(spark, loss, rows_fn):
+    rows = rows_fn(spark, SF_SMALL)
+    kw = dict(loss=loss, lr=0.2, tol=1e-4, max_epochs=12)
+    a = train_gd(rows, LIN_FEATURES, "y", GDConfig(method="direct", **kw))
+    b = train_gd(rows, LIN_FEATURES, "y", GDConfig(method="arrow", **kw))
+    assert [h[4] for h in a.history] == [h[4] for h in b.history]
+    np.testing.assert_allclose(a.model.vector(), b.model.vector(), rtol=1e-10, atol=1e-12)
+    c = train_gd(rows.select(F.array(*LIN_FEATURES).alias("f"), "y"), "f", "y", GDConfig(**kw), n_features=3)
+    np.testing.assert_allclose(a.model.vector(), c.model.vector(), rtol=1e-10, atol=1e-12)
