@@ -20,8 +20,9 @@ shards are assigned by the unique row id, not by any data value.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pyarrow as pa
@@ -45,6 +46,10 @@ HINGE_ETA_DEFAULTS = dict(kind="hinge", alpha=0.1, l2=1.0, max_iter=300, tol=1e-
 MULTICLASS_HINGE_DEFAULTS = dict(kind="multiclass_hinge", alpha=0.01, l2=1e-4, max_iter=250, tol=1e-4)
 SOFTMAX_DEFAULTS = dict(kind="softmax", alpha=0.05, l2=0.0, max_iter=450, tol=1e-4)
 
+# A shard is folded by one task; no shard may hold more rows than this, so on
+# large inputs the shard count grows with the data (deterministically).
+ROWS_PER_SHARD = 1_000_000
+
 FOLD_SCHEMA = "pos int, value double"
 POS_N_ROWS, POS_LOSS, POS_SHARDS = -1, -2, -3
 
@@ -60,6 +65,7 @@ class SGDConfig:
     tol: float = 1e-3
     order: str = "hash"          # hash: (id*7919 + epoch*104729) % 1000003, then id; id: by id
     materialize: str = "persist"  # persist | checkpoint | none (see operators.materialize)
+    rows_per_shard: int | None = ROWS_PER_SHARD  # None: exactly `shards`, whatever the size
 
     def __post_init__(self) -> None:
         if self.kind not in KINDS:
@@ -77,6 +83,7 @@ class SGDResult:
     model: LinearModel
     history: list[tuple] = field(default_factory=list)
     models: list[LinearModel] = field(default_factory=list)
+    shards: int = 0
 
     def model_table(self, spark: SparkSession) -> DataFrame:
         return self.model.to_table(spark)
@@ -178,23 +185,44 @@ def run_epoch(prepared: DataFrame, model: LinearModel, epoch: int,
     return new, n_rows, loss_sum, nonempty
 
 
-def infer_shape(rows: DataFrame, features: Sequence[str] | str, label: str,
-                kind: str) -> tuple[int, int]:
-    """(K, d) from the data: K = number of distinct labels (1 for binary hinge)."""
+def resolve_shards(n_rows: int, cfg: SGDConfig) -> int:
+    """``max(shards, ceil(n_rows / rows_per_shard))``: the configured count on
+    small inputs (the answer the reference gives), more shards -- never bigger
+    ones -- as the input grows."""
+    if cfg.rows_per_shard is None:
+        return cfg.shards
+    return max(cfg.shards, math.ceil(n_rows / cfg.rows_per_shard))
+
+
+def _scan_stats(rows: DataFrame, features: Sequence[str] | str, label: str,
+                kind: str, need_shape: bool) -> tuple[int, int | None, int | None]:
+    """(rows, K, d) in one aggregate; K = distinct labels (1 for binary hinge)."""
+    aggs = [F.count(F.lit(1)).alias("n")]
+    if need_shape:
+        aggs += [F.countDistinct(label).alias("k"), F.max(label).alias("ymax")]
+        if isinstance(features, str):
+            aggs += [F.min(F.size(features)).alias("dmin"), F.max(F.size(features)).alias("dmax")]
+    r = rows.agg(*aggs).first()
+    if not need_shape:
+        return int(r["n"]), None, None
     if isinstance(features, str):
-        r = rows.agg(F.min(F.size(features)).alias("dmin"), F.max(F.size(features)).alias("dmax"),
-                     F.countDistinct(label).alias("k"), F.max(label).alias("ymax")).first()
         if r["dmin"] != r["dmax"]:
             raise ValueError("feature arrays have different lengths")
-        d = int(r["dmax"])
+        d = int(r["dmax"]) if r["dmax"] is not None else 0
     else:
-        r = rows.agg(F.countDistinct(label).alias("k"), F.max(label).alias("ymax")).first()
         d = len(features)
     if kind == "hinge":
-        return 1, d
+        return int(r["n"]), 1, d
     k = int(r["k"])
     if r["ymax"] is not None and int(r["ymax"]) >= k:
         raise ValueError("class labels must be 0..K-1")
+    return int(r["n"]), k, d
+
+
+def infer_shape(rows: DataFrame, features: Sequence[str] | str, label: str,
+                kind: str) -> tuple[int, int]:
+    """(K, d) from the data: K = number of distinct labels (1 for binary hinge)."""
+    _, k, d = _scan_stats(rows, features, label, kind, True)
     return k, d
 
 
@@ -203,24 +231,23 @@ def train_sgd(rows: DataFrame, id_col: str, features: Sequence[str] | str, label
               n_classes: int | None = None,
               on_epoch: Callable[[tuple], None] | None = None) -> SGDResult:
     """Averaged passes until ||new - old|| < tol or ``max_iter``; ``on_epoch`` gets each history row."""
+    n, K, d = _scan_stats(rows, features, label, cfg.kind, init is None)
     if init is None:
-        K, d = infer_shape(rows, features, label, cfg.kind)
-        if n_classes is not None:
-            K = n_classes
-        init = LinearModel.zeros(K, d)
+        init = LinearModel.zeros(n_classes or K, d)
     if init.n_classes * (init.n_features + 1) > MAX_MODEL_CELLS:
         raise ValueError("model too large for the averaged-SGD driver loop")
-    prepared, held = materialize(prepare_shards(rows, id_col, features, label, cfg.shards),
-                                 cfg.materialize)
+    run = replace(cfg, shards=resolve_shards(n, cfg))
+    prepared, held = materialize(prepare_shards(rows, id_col, features, label, run.shards),
+                                 run.materialize)
     model = init.copy()
     if not cfg.fit_intercept:
         model.intercept[:] = 0.0
-    result = SGDResult(model)
+    result = SGDResult(model, shards=run.shards)
     try:
-        for epoch in range(1, cfg.max_iter + 1):
-            new, n_rows, loss_sum, _ = run_epoch(prepared, model, epoch, cfg)
+        for epoch in range(1, run.max_iter + 1):
+            new, n_rows, loss_sum, _ = run_epoch(prepared, model, epoch, run)
             delta = new.delta_norm(model)
-            stopped = bool(delta < cfg.tol)
+            stopped = bool(delta < run.tol)
             mean_loss = loss_sum / n_rows if n_rows else None
             result.history.append((epoch, n_rows, mean_loss, delta, stopped))
             result.models.append(new)
@@ -238,8 +265,12 @@ def train_sgd(rows: DataFrame, id_col: str, features: Sequence[str] | str, label
 def sgd_pass(rows: DataFrame, id_col: str, features: Sequence[str] | str, label: str,
              cfg: SGDConfig, model: LinearModel, epoch: int = 1) -> tuple[LinearModel, int, float]:
     """One averaged pass from ``model`` (the online / partial-fit update)."""
-    prepared = prepare_shards(rows, id_col, features, label, cfg.shards)
-    new, n_rows, loss_sum, _ = run_epoch(prepared, model, epoch, cfg)
+    S = cfg.shards
+    if cfg.rows_per_shard is not None:
+        S = resolve_shards(rows.count(), cfg)
+    run = replace(cfg, shards=S)
+    prepared = prepare_shards(rows, id_col, features, label, S)
+    new, n_rows, loss_sum, _ = run_epoch(prepared, model, epoch, run)
     return new, n_rows, loss_sum
 
 

@@ -123,8 +123,8 @@ def q_stream_online_hinge(spark: SparkSession, sf: str) -> DataFrame:
     """Events arrive as files in id order; each micro-batch folds into the stored
     hinge model (4 shards, averaged), starting from zero."""
     src = scratch_path(spark, "stream-src")
-    write_stream_chunks(stream_rows(spark, sf), src, "id", STREAM_CHUNKS)
+    _, _, per_chunk = write_stream_chunks(stream_rows(spark, sf), src, "id", STREAM_CHUNKS)
     store = ModelStore(spark, scratch_path(spark, "stream-models"))
     run_online_update(spark, src, STREAM_SCHEMA, store, "id", HINGE_FEATURES, "y", STREAM_CFG,
-                      LinearModel.zeros(1, 2))
+                      LinearModel.zeros(1, 2), max_files_per_trigger=per_chunk)
     return round_model(store.latest())

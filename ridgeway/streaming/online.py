@@ -10,6 +10,7 @@ checkpoint lives in the shared checkpoint folder.
 
 from __future__ import annotations
 
+import math
 import time
 from collections.abc import Sequence
 from dataclasses import dataclass
@@ -77,19 +78,26 @@ def chunk_column(id_col: str, lo: int, hi: int, n_chunks: int):
     return F.expr(f"CAST((({id_col} - {lo}) * {n_chunks}) div {span} AS INT)")
 
 
-def write_stream_chunks(rows: DataFrame, path: str, id_col: str, n_chunks: int) -> tuple[int, int]:
-    """Append ``rows`` to ``path`` as ``n_chunks`` files in increasing id order.
+def write_stream_chunks(rows: DataFrame, path: str, id_col: str, n_chunks: int,
+                        rows_per_file: int = 1_000_000) -> tuple[int, int, int]:
+    """Append ``rows`` to ``path`` as ``n_chunks`` id-range chunks, oldest first.
 
-    Each chunk is its own write job, so files arrive (and are picked up by a
-    file source) oldest-first in id order -- a stand-in for a message queue.
-    Returns the id range used for chunking.
+    Every chunk is its own write job of exactly ``k`` files (round-robin, at most
+    ``rows_per_file`` rows each), so a file source with ``maxFilesPerTrigger=k``
+    sees one chunk per micro-batch -- a stand-in for a message queue.  No file
+    and no task ever holds more than ``rows_per_file`` rows.
+    Returns ``(lo, hi, k)``: the id range used for chunking and the files per chunk.
     """
     r = rows.agg(F.min(id_col).alias("lo"), F.max(id_col).alias("hi")).first()
     lo, hi = int(r["lo"]), int(r["hi"])
     keyed = rows.withColumn("_chunk", chunk_column(id_col, lo, hi, n_chunks))
+    sizes = {int(c["_chunk"]): int(c["count"]) for c in keyed.groupBy("_chunk").count().collect()}
+    k = max(1, math.ceil(max(sizes.values()) / rows_per_file))
+    if any(sizes.get(c, 0) < k for c in range(n_chunks)):
+        raise ValueError("a chunk has fewer rows than files per chunk; use fewer chunks")
     for c in range(n_chunks):
-        (keyed.filter(F.col("_chunk") == F.lit(c)).drop("_chunk")
-              .coalesce(1).sortWithinPartitions(id_col)
-              .write.mode("append").parquet(path))
-        time.sleep(0.02)  # distinct modification times between chunk files
-    return lo, hi
+        part = keyed.filter(F.col("_chunk") == F.lit(c)).drop("_chunk")
+        part = part.coalesce(1) if k == 1 else part.repartition(k)
+        part.sortWithinPartitions(id_col).write.mode("append").parquet(path)
+        time.sleep(0.02)  # distinct modification times between chunks
+    return lo, hi, k

@@ -111,3 +111,23 @@ def test_model_store_append_epochs_in_one_job(spark):
     assert store.append_epochs(models_table(spark, ms, start=1)) == 0
     assert store.epochs() == [1, 2, 3]
     assert store.latest().filter("feature_idx = 0").first()["weight"] == 3.0
+
+
+def test_stream_with_several_files_per_chunk_equals_batch_chain(spark):
+    from ridgeway.streaming.online import run_online_update, write_stream_chunks
+    from ridgeway.plans.text_io import STREAM_SCHEMA
+    rows = stream_rows(spark, SF_SMALL)  # 1000 events
+    src = scratch_path(spark, "stream-src-test")
+    lo, hi, k = write_stream_chunks(rows, src, "id", 2, rows_per_file=200)
+    assert k == 3
+    cfg = SGDConfig(kind="hinge", alpha=0.01, l2=1.0, shards=2, max_iter=1, tol=0.0, order="id")
+    store = ModelStore(spark, scratch_path(spark, "stream-store-test"))
+    run_online_update(spark, src, STREAM_SCHEMA, store, "id", HINGE_FEATURES, "y", cfg,
+                      LinearModel.zeros(1, 2), max_files_per_trigger=k)
+    keyed = rows.withColumn("chunk", chunk_column("id", lo, hi, 2))
+    expect = LinearModel.zeros(1, 2)
+    for c in range(2):
+        batch = keyed.filter(F.col("chunk") == c).drop("chunk")
+        expect, *_ = run_epoch(prepare_shards(batch, "id", HINGE_FEATURES, "y", 2), expect, c + 1, cfg)
+    assert store.epochs() == [0, 1, 2]
+    np.testing.assert_allclose(LinearModel.from_table(store.latest()).flat(), expect.flat(), rtol=1e-12)

@@ -113,3 +113,13 @@ def test_arrow_gradient_path_equals_literal_path(spark, loss, rows_fn):
     np.testing.assert_allclose(a.model.vector(), b.model.vector(), rtol=1e-10, atol=1e-12)
     c = train_gd(rows.select(F.array(*LIN_FEATURES).alias("f"), "y"), "f", "y", GDConfig(**kw), n_features=3)
     np.testing.assert_allclose(a.model.vector(), c.model.vector(), rtol=1e-10, atol=1e-12)
+
+
+def test_shard_count_grows_with_rows_and_matches_explicit_count(spark):
+    rows = hinge_rows(spark, SF_SMALL)  # 150 rows
+    capped = SGDConfig(kind="hinge", shards=4, max_iter=2, tol=0.0, rows_per_shard=20)
+    explicit = SGDConfig(kind="hinge", shards=8, max_iter=2, tol=0.0, rows_per_shard=None)
+    a = train_sgd(rows, "id", HINGE_FEATURES, "y", capped)
+    b = train_sgd(rows, "id", HINGE_FEATURES, "y", explicit)
+    assert a.shards == 8 and b.shards == 8
+    np.testing.assert_array_equal(a.model.flat(), b.model.flat())
