@@ -58,18 +58,20 @@ class LinearModel:
 
     @classmethod
     def from_table(cls, df: DataFrame) -> "LinearModel":
-        """Collect a long model table (size-checked) into a model."""
-        dims = df.agg(F.count(F.lit(1)).alias("n"),
-                      F.max("class_idx").alias("k"),
-                      F.max("feature_idx").alias("d")).first()
-        n, k, d = int(dims["n"]), int(dims["k"]) + 1, int(dims["d"])
-        if n > MAX_MODEL_CELLS:
-            raise ValueError(f"model table has {n} cells, over the driver limit")
-        if n != k * (d + 1):
-            raise ValueError(f"model table is not dense: {n} cells for K={k}, d={d}")
+        """Collect a long model table into a model, in one job.  The limit is a
+        guard, not a cap: a table over :data:`MAX_MODEL_CELLS` raises."""
+        rows = df.select("class_idx", "feature_idx", "weight").limit(MAX_MODEL_CELLS + 1).collect()
+        if len(rows) > MAX_MODEL_CELLS:
+            raise ValueError("model table is over the driver limit")
+        if not rows:
+            raise ValueError("empty model table")
+        k = max(r[0] for r in rows) + 1
+        d = max(r[1] for r in rows)
+        if len(rows) != k * (d + 1) or len({(r[0], r[1]) for r in rows}) != len(rows):
+            raise ValueError(f"model table is not dense: {len(rows)} cells for K={k}, d={d}")
         flat = np.zeros((k, d + 1))
-        for r in df.select("class_idx", "feature_idx", "weight").collect():
-            flat[r[0], r[1]] = r[2]
+        for c, j, w in rows:
+            flat[c, j] = w
         return cls(flat[:, 1:], flat[:, 0])
 
     # ---- views --------------------------------------------------------

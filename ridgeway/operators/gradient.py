@@ -139,7 +139,7 @@ def gram_stats(rows: DataFrame, features: Sequence[str], label: str) -> dict:
     aggs = [F.count(F.lit(1)).alias("n"), F.sum(y * y).alias("q")]
     aggs += [F.sum(xs[i] * y).alias(f"h{i}") for i in range(d + 1)]
     aggs += [F.sum(xs[i] * xs[j]).alias(f"G{i}_{j}") for i in range(d + 1) for j in range(i, d + 1)]
-    r = rows.select(*features, label).agg(*aggs).first()
+    r = rows.select(*features, label).agg(*aggs).collect()[0]
     n = int(r["n"])
     G = np.zeros((d + 1, d + 1))
     for i in range(d + 1):

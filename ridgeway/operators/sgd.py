@@ -202,7 +202,7 @@ def _scan_stats(rows: DataFrame, features: Sequence[str] | str, label: str,
         aggs += [F.countDistinct(label).alias("k"), F.max(label).alias("ymax")]
         if isinstance(features, str):
             aggs += [F.min(F.size(features)).alias("dmin"), F.max(F.size(features)).alias("dmax")]
-    r = rows.agg(*aggs).first()
+    r = rows.agg(*aggs).collect()[0]
     if not need_shape:
         return int(r["n"]), None, None
     if isinstance(features, str):

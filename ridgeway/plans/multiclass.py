@@ -101,7 +101,7 @@ def q_class_count(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _n_classes(rows: DataFrame) -> int:
-    return int(rows.agg(F.countDistinct("label")).first()[0])
+    return int(rows.agg(F.countDistinct("label")).collect()[0][0])
 
 
 @query("one_hot_labels",

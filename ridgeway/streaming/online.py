@@ -88,7 +88,7 @@ def write_stream_chunks(rows: DataFrame, path: str, id_col: str, n_chunks: int,
     and no task ever holds more than ``rows_per_file`` rows.
     Returns ``(lo, hi, k)``: the id range used for chunking and the files per chunk.
     """
-    r = rows.agg(F.min(id_col).alias("lo"), F.max(id_col).alias("hi")).first()
+    r = rows.agg(F.min(id_col).alias("lo"), F.max(id_col).alias("hi")).collect()[0]
     lo, hi = int(r["lo"]), int(r["hi"])
     keyed = rows.withColumn("_chunk", chunk_column(id_col, lo, hi, n_chunks))
     sizes = {int(c["_chunk"]): int(c["count"]) for c in keyed.groupBy("_chunk").count().collect()}
