@@ -171,6 +171,8 @@ def train_gd(rows: DataFrame, features: Sequence[str] | str, label: str, cfg: GD
         else:
             def evaluate(wv: np.ndarray) -> tuple[int, float, np.ndarray]:
                 r = gradient_stats(src, features, label, list(wv), cfg.loss).collect()[0]
+                if r["n_valid"] != r["n_rows"]:
+                    raise ValueError("NULL in features or label")
                 g = np.array([0.0 if r[f"g{i}"] is None else r[f"g{i}"] for i in range(d + 1)])
                 loss_sum = float("nan") if r["loss_sum"] is None else float(r["loss_sum"])
                 return int(r["n_rows"]), loss_sum, g

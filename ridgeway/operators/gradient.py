@@ -44,8 +44,8 @@ def gradient_stats(rows: DataFrame, features: Sequence[str], label: str,
                    w: Sequence[float], loss: str) -> DataFrame:
     """One row: ``n_rows, loss_sum, g0..gd`` with g0 = sum(diff), gi = sum(diff*xi)."""
     t = _terms(rows, features, label, w, loss)
-    aggs = [F.count(F.lit(1)).alias("n_rows"), F.sum("loss_term").alias("loss_sum"),
-            F.sum("diff").alias("g0")]
+    aggs = [F.count(F.lit(1)).alias("n_rows"), F.count("diff").alias("n_valid"),
+            F.sum("loss_term").alias("loss_sum"), F.sum("diff").alias("g0")]
     aggs += [F.sum(F.col("diff") * F.col(x)).alias(f"g{i}") for i, x in enumerate(features, 1)]
     return t.agg(*aggs)
 
@@ -136,11 +136,17 @@ def gram_stats(rows: DataFrame, features: Sequence[str], label: str) -> dict:
     d = len(features)
     xs = [F.lit(1.0)] + [F.col(c) for c in features]
     y = F.col(label)
-    aggs = [F.count(F.lit(1)).alias("n"), F.sum(y * y).alias("q")]
+    valid = y.isNotNull()
+    for c in features:
+        valid = valid & F.col(c).isNotNull()
+    aggs = [F.count(F.lit(1)).alias("n"), F.count(F.when(valid, F.lit(1))).alias("n_valid"),
+            F.sum(y * y).alias("q")]
     aggs += [F.sum(xs[i] * y).alias(f"h{i}") for i in range(d + 1)]
     aggs += [F.sum(xs[i] * xs[j]).alias(f"G{i}_{j}") for i in range(d + 1) for j in range(i, d + 1)]
     r = rows.select(*features, label).agg(*aggs).collect()[0]
     n = int(r["n"])
+    if int(r["n_valid"]) != n:
+        raise ValueError("NULL in features or label")
     G = np.zeros((d + 1, d + 1))
     for i in range(d + 1):
         for j in range(i, d + 1):
@@ -176,6 +182,8 @@ def _partial_gradient_fn(w: np.ndarray, loss: str):
                 raise ValueError(f"feature rows must all have length {d}")
             X = flat.astype(np.float64, copy=False).reshape(m, d)
             y = rb.column("y").to_numpy(zero_copy_only=False).astype(np.float64, copy=False)
+            if np.isnan(X).any() or np.isnan(y).any():
+                raise ValueError("NULL or NaN in features or label")
             z = X @ coef + b
             if loss == "squared":
                 diff = z - y

@@ -127,6 +127,8 @@ def _fold_fn(kind: str, alpha: float, l2: float, fit_intercept: bool,
                 raise ValueError(f"feature rows must all have length {d}")
             X = flat.astype(np.float64, copy=False).reshape(n, d)
             y = rb.column("label").to_numpy(zero_copy_only=False)
+            if np.isnan(X).any() or np.isnan(y).any():
+                raise ValueError("NULL or NaN in features or label")
             cuts = np.flatnonzero(np.diff(shard)) + 1
             for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), n]):
                 s = int(shard[a])

@@ -123,3 +123,18 @@ def test_shard_count_grows_with_rows_and_matches_explicit_count(spark):
     b = train_sgd(rows, "id", HINGE_FEATURES, "y", explicit)
     assert a.shards == 8 and b.shards == 8
     np.testing.assert_array_equal(a.model.flat(), b.model.flat())
+
+
+@pytest.mark.parametrize("method", ["gram", "direct", "arrow"])
+def test_null_features_raise_in_gd(spark, method):
+    rows = lin_rows(spark, SF_SMALL).withColumn(
+        "x2", F.when(F.col("l_linenumber") == 3, F.lit(None).cast("double")).otherwise(F.col("x2")))
+    with pytest.raises(Exception, match="NULL"):
+        train_gd(rows, LIN_FEATURES, "y", GDConfig(lr=0.1, tol=1e-3, method=method))
+
+
+def test_null_features_raise_in_sgd(spark):
+    rows = hinge_rows(spark, SF_SMALL).withColumn(
+        "x1", F.when(F.col("id") == 7, F.lit(None).cast("double")).otherwise(F.col("x1")))
+    with pytest.raises(Exception, match="NULL"):
+        train_sgd(rows, "id", HINGE_FEATURES, "y", SGDConfig(kind="hinge", max_iter=1))
