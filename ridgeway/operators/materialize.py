@@ -1,6 +1,8 @@
 """Keeping an input between the epochs of an iterative job.
 
-``persist``    MEMORY_AND_DISK blocks; a lost block is recomputed from its lineage.
+``persist``    MEMORY_AND_DISK_DESER blocks (the DataFrame default: cached column
+               batches are scanned without deserialising); a lost block is
+               recomputed from its lineage.
 ``checkpoint`` a reliable checkpoint in the shared ``spark.checkpoint.dir``: lineage is
                cut, so executor loss never re-runs the scan or the shuffle before it.
                Partitioning (e.g. one shard per partition) is preserved.
@@ -22,7 +24,7 @@ def materialize(df: DataFrame, mode: str) -> tuple[DataFrame, DataFrame | None]:
     if mode not in MODES:
         raise ValueError(f"materialize must be one of {MODES}")
     if mode == "persist":
-        p = df.persist(StorageLevel.MEMORY_AND_DISK)
+        p = df.persist(StorageLevel.MEMORY_AND_DISK_DESER)
         return p, p
     if mode == "checkpoint":
         checkpoint_dir(df.sparkSession)  # make sure the session names a folder
