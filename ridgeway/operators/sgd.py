@@ -66,6 +66,7 @@ class SGDConfig:
     order: str = "hash"          # hash: (id*7919 + epoch*104729) % 1000003, then id; id: by id
     materialize: str = "persist"  # persist | checkpoint | none (see operators.materialize)
     rows_per_shard: int | None = ROWS_PER_SHARD  # None: exactly `shards`, whatever the size
+    max_partitions: int | None = None  # None: one shard per partition; else shards share tasks
 
     def __post_init__(self) -> None:
         if self.kind not in KINDS:
@@ -98,25 +99,40 @@ def order_key(id_col: Column, epoch: int) -> Column:
 
 
 def prepare_shards(rows: DataFrame, id_col: str, features: Sequence[str] | str, label: str,
-                   shards: int) -> DataFrame:
-    """``shard, id, features array<double>, label double`` placed one shard per partition."""
+                   shards: int, max_partitions: int | None = None) -> DataFrame:
+    """``shard, id, features array<double>, label double`` placed by shard: one shard
+    per partition, or ``pmod(shard, P)`` with ``P = min(shards, max_partitions)``."""
     feats = (F.col(features) if isinstance(features, str)
              else F.array(*[F.col(c) for c in features])).cast("array<double>")
-    return (rows.select(F.pmod(F.col(id_col), F.lit(shards)).cast("int").alias("shard"),
-                        F.col(id_col).cast("long").alias("id"),
-                        feats.alias("features"),
-                        F.col(label).cast("double").alias("label"))
-                .repartitionById(shards, "shard"))
+    P = shards if max_partitions is None else max(1, min(shards, max_partitions))
+    out = rows.select(F.pmod(F.col(id_col), F.lit(shards)).cast("int").alias("shard"),
+                      F.col(id_col).cast("long").alias("id"),
+                      feats.alias("features"),
+                      F.col(label).cast("double").alias("label"))
+    return out.repartitionById(P, F.pmod(F.col("shard"), F.lit(P)))
 
 
 def _fold_fn(kind: str, alpha: float, l2: float, fit_intercept: bool,
              start: LinearModel):
+    """Per task: fold each shard's rows (contiguous, in epoch order) from ``start``,
+    keeping one live shard state, and emit the SUM of the task's shard models plus
+    (rows, loss, shards) -- one (K*(d+1)+3)-vector per task, whatever its shard count."""
     fold = FOLDS[kind]
     K, d = start.n_classes, start.n_features
     coef0, icpt0 = start.coef.copy(), start.intercept.copy()
 
     def run(batches):
-        states: dict[int, ShardState] = {}
+        total = np.zeros(K * (d + 1))
+        n_rows, loss, n_shards = 0, 0.0, 0
+        cur, st, done = None, None, set()
+
+        def close(state: ShardState) -> None:
+            nonlocal total, n_rows, loss, n_shards
+            total += np.hstack([state.intercept.reshape(-1, 1), state.coef]).reshape(-1)
+            n_rows += state.n_rows
+            loss += state.loss_sum
+            n_shards += 1
+
         for rb in batches:
             n = rb.num_rows
             if n == 0:
@@ -132,28 +148,28 @@ def _fold_fn(kind: str, alpha: float, l2: float, fit_intercept: bool,
             cuts = np.flatnonzero(np.diff(shard)) + 1
             for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), n]):
                 s = int(shard[a])
-                st = states.get(s)
-                if st is None:
-                    st = states[s] = ShardState(coef0, icpt0)
+                if s != cur:
+                    if st is not None:
+                        close(st)
+                        done.add(cur)
+                    if s in done:
+                        raise ValueError("rows of a shard must be contiguous in their partition")
+                    cur, st = s, ShardState(coef0, icpt0)
                 fold(st, X[a:b], y[a:b], alpha, l2, fit_intercept)
-        if not states:
+        if st is None:
             return
-        pos, val = [], []
-        cells = np.arange(K * (d + 1), dtype=np.int32)
-        for st in states.values():
-            pos.append(cells)
-            val.append(np.hstack([st.intercept.reshape(-1, 1), st.coef]).reshape(-1))
-            pos.append(np.array([POS_N_ROWS, POS_LOSS, POS_SHARDS], dtype=np.int32))
-            val.append(np.array([float(st.n_rows), st.loss_sum, 1.0]))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.concatenate(pos), pa.int32()), pa.array(np.concatenate(val), pa.float64())],
-            names=["pos", "value"])
+        close(st)
+        pos = np.concatenate([np.arange(K * (d + 1), dtype=np.int32),
+                              np.array([POS_N_ROWS, POS_LOSS, POS_SHARDS], dtype=np.int32)])
+        val = np.concatenate([total, [float(n_rows), loss, float(n_shards)]])
+        yield pa.RecordBatch.from_arrays([pa.array(pos, pa.int32()), pa.array(val, pa.float64())],
+                                         names=["pos", "value"])
 
     return run
 
 
 def shard_models(prepared: DataFrame, model: LinearModel, epoch: int, cfg: SGDConfig) -> DataFrame:
-    """The per-shard fold output (``pos, value``) of one epoch, unaggregated."""
+    """One epoch's fold output (``pos, value``): per task, the sum of its shard models."""
     ordered = (prepared.withColumn("ord", order_key(F.col("id"), epoch))
                        .sortWithinPartitions("shard", "ord", "id") if cfg.order == "hash"
                else prepared.sortWithinPartitions("shard", "id"))
@@ -239,8 +255,8 @@ def train_sgd(rows: DataFrame, id_col: str, features: Sequence[str] | str, label
     if init.n_classes * (init.n_features + 1) > MAX_MODEL_CELLS:
         raise ValueError("model too large for the averaged-SGD driver loop")
     run = replace(cfg, shards=resolve_shards(n, cfg))
-    prepared, held = materialize(prepare_shards(rows, id_col, features, label, run.shards),
-                                 run.materialize)
+    prepared, held = materialize(prepare_shards(rows, id_col, features, label, run.shards,
+                                                run.max_partitions), run.materialize)
     model = init.copy()
     if not cfg.fit_intercept:
         model.intercept[:] = 0.0
@@ -271,7 +287,7 @@ def sgd_pass(rows: DataFrame, id_col: str, features: Sequence[str] | str, label:
     if cfg.rows_per_shard is not None:
         S = resolve_shards(rows.count(), cfg)
     run = replace(cfg, shards=S)
-    prepared = prepare_shards(rows, id_col, features, label, S)
+    prepared = prepare_shards(rows, id_col, features, label, S, cfg.max_partitions)
     new, n_rows, loss_sum, _ = run_epoch(prepared, model, epoch, run)
     return new, n_rows, loss_sum
 

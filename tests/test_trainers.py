@@ -138,3 +138,13 @@ def test_null_features_raise_in_sgd(spark):
         "x1", F.when(F.col("id") == 7, F.lit(None).cast("double")).otherwise(F.col("x1")))
     with pytest.raises(Exception, match="NULL"):
         train_sgd(rows, "id", HINGE_FEATURES, "y", SGDConfig(kind="hinge", max_iter=1))
+
+
+def test_shards_sharing_partitions_give_the_same_model(spark):
+    rows = hinge_rows(spark, SF_SMALL)
+    one = SGDConfig(kind="hinge", shards=12, max_iter=2, tol=0.0)
+    shared = SGDConfig(kind="hinge", shards=12, max_iter=2, tol=0.0, max_partitions=5)
+    a = train_sgd(rows, "id", HINGE_FEATURES, "y", one)
+    b = train_sgd(rows, "id", HINGE_FEATURES, "y", shared)
+    np.testing.assert_allclose(a.model.flat(), b.model.flat(), rtol=1e-12, atol=1e-15)
+    assert [h[1] for h in a.history] == [h[1] for h in b.history]
