@@ -148,3 +148,19 @@ def test_shards_sharing_partitions_give_the_same_model(spark):
     b = train_sgd(rows, "id", HINGE_FEATURES, "y", shared)
     np.testing.assert_allclose(a.model.flat(), b.model.flat(), rtol=1e-12, atol=1e-15)
     assert [h[1] for h in a.history] == [h[1] for h in b.history]
+
+
+def test_logistic_optimum_of_pyspark_ml_is_stationary_for_our_gradient(spark):
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.feature import VectorAssembler
+    from ridgeway.operators.gradient import gradient_stats
+    rows = log_rows(spark, SF_SMALL)
+    va = VectorAssembler(inputCols=LIN_FEATURES, outputCol="f")
+    ml = LogisticRegression(featuresCol="f", labelCol="y", regParam=0.0, standardization=False,
+                            maxIter=200, tol=1e-12).fit(va.transform(rows))
+    w = [ml.intercept, *ml.coefficients.toArray()]
+    r = gradient_stats(rows, LIN_FEATURES, "y", w, "logistic").collect()[0]
+    n = r["n_rows"]
+    assert max(abs(r[f"g{i}"]) / n for i in range(4)) < 1e-6
+    gd = train_gd(rows, LIN_FEATURES, "y", GDConfig(loss="logistic", lr=0.15, tol=1e-4))
+    assert r["loss_sum"] / n <= gd.history[-1][2] + 1e-12
