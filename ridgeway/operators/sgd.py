@@ -2,20 +2,22 @@
 
 Plan of one epoch::
 
-    prepared (shard = pmod(id, S), placed by repartitionById: one shard per
-              partition; shuffled ONCE and persisted for all epochs)
+    prepared (shard = pmod(id, S); placed by repartitionById on pmod(shard, P),
+              P = S unless max_partitions packs several shards per task;
+              shuffled ONCE and persisted for all epochs)
       -> sortWithinPartitions(shard, order(id, epoch), id)   [local sort, no shuffle]
-      -> mapInArrow(sequential fold per shard)               [one model per shard]
-      -> groupBy(pos).sum(value)                             [partial agg; K*(d+1)+3 rows out]
+      -> mapInArrow(sequential fold per shard)               [one live shard model per task;
+                                                               the task emits their SUM]
+      -> groupBy(pos).sum(value)                             [P x (K*(d+1)+3) values in]
 
 The driver then averages: (sum over non-empty shards + empty shards x
 incoming model) / S -- an unweighted mean over exactly S shards, so the
-answer depends on ``shards`` and never on the cluster's partitioning.  The
-stop test (||new - old|| < tol) is applied after adopting the new model.
+answer depends on the shard count and never on the cluster's partitioning.
+The stop test (||new - old|| < tol) is applied after adopting the new model.
 
-The shard count is the parallelism of the algorithm; on a large cluster set
-it to the number of task slots or more.  Rows of a hot key cannot pile up:
-shards are assigned by the unique row id, not by any data value.
+S = max(shards, ceil(rows / rows_per_shard)): the configured count on small
+inputs, and bounded shards (never bigger ones) as the input grows.  Rows of a
+hot key cannot pile up: shards are assigned by the unique row id.
 """
 
 from __future__ import annotations
@@ -293,12 +295,17 @@ def sgd_pass(rows: DataFrame, id_col: str, features: Sequence[str] | str, label:
 
 
 def models_table(spark: SparkSession, models: Sequence[LinearModel], start: int = 0) -> DataFrame:
-    """Stack models as ``epoch, class_idx, feature_idx, weight`` (epoch = start, start+1, ...)."""
-    out = None
+    """Stack models as ``epoch, class_idx, feature_idx, weight`` (epoch = start, start+1, ...),
+    built as one small local table (size-checked: epochs x cells)."""
+    cells = sum(m.n_classes * (m.n_features + 1) for m in models)
+    if cells > MAX_MODEL_CELLS:
+        raise ValueError("model history too large to build on the driver")
+    rows = []
     for e, m in enumerate(models, start):
-        t = m.to_table(spark, epoch=e)
-        out = t if out is None else out.unionByName(t)
-    return out
+        flat = m.flat().reshape(m.n_classes, m.n_features + 1)
+        rows += [(int(e), int(c), int(j), float(flat[c, j]))
+                 for c in range(m.n_classes) for j in range(m.n_features + 1)]
+    return spark.createDataFrame(rows, "epoch int, class_idx int, feature_idx int, weight double")
 
 
 def model_delta_norm(models: DataFrame) -> DataFrame:
