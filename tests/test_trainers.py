@@ -164,3 +164,23 @@ def test_logistic_optimum_of_pyspark_ml_is_stationary_for_our_gradient(spark):
     assert max(abs(r[f"g{i}"]) / n for i in range(4)) < 1e-6
     gd = train_gd(rows, LIN_FEATURES, "y", GDConfig(loss="logistic", lr=0.15, tol=1e-4))
     assert r["loss_sum"] / n <= gd.history[-1][2] + 1e-12
+
+
+def test_hash_order_epochs_match_numpy_replay(spark):
+    X, y, ids = _local_rows(spark)
+    S, alpha, l2, epochs = 3, 0.01, 1.0, 2
+    cfg = SGDConfig(kind="hinge", alpha=alpha, l2=l2, shards=S, max_iter=epochs, tol=0.0, order="hash")
+    res = train_sgd(hinge_rows(spark, SF_SMALL), "id", HINGE_FEATURES, "y", cfg)
+    model = LinearModel.zeros(1, 2)
+    for e in range(1, epochs + 1):
+        key = (ids * 7919 + e * 104729) % 1000003
+        total_w, total_b = np.zeros(2), 0.0
+        for s in range(S):
+            sel = np.flatnonzero(ids % S == s)
+            sel = sel[np.lexsort((ids[sel], key[sel]))]
+            st = ShardState(model.coef, model.intercept)
+            fold_hinge(st, X[sel], y[sel], alpha, l2, True)
+            total_w += st.coef[0]
+            total_b += st.intercept[0]
+        model = LinearModel([total_w / S], [total_b / S])
+        np.testing.assert_allclose(res.models[e - 1].flat(), model.flat(), rtol=1e-11, atol=1e-14)
