@@ -65,20 +65,29 @@ def fold_multiclass_hinge(st: ShardState, X: np.ndarray, y: np.ndarray, alpha: f
                           l2: float, fit_intercept: bool) -> None:
     """Weston-Watkins multiclass hinge: margins m_k = s_k - s_y + 1 (own class 0),
     c_k = 1[m_k > 0] (k != y), c_y = -sum c;  W <- W - alpha*(c x^T + l2*W), b <- b - alpha*c.
+    The update runs in preallocated buffers with the same rounding steps as the formula.
     """
     W, b = st.coef, st.intercept
+    upd = np.empty_like(W)
+    dec = np.empty_like(W)
     loss = st.loss_sum
     for i in range(len(y)):
         x = X[i]
         yi = int(y[i])
-        s = W @ x + b
-        m = s - s[yi] + 1.0
+        s = W @ x
+        s += b
+        m = s - s[yi]
+        m += 1.0
         m[yi] = 0.0
         pos = m > 0.0
         c = pos.astype(np.float64)
         c[yi] = -c.sum()
         loss += float(m[pos].sum())
-        W -= alpha * (np.outer(c, x) + l2 * W)
+        np.multiply.outer(c, x, out=upd)     # c x^T
+        np.multiply(W, l2, out=dec)          # l2 W
+        upd += dec
+        upd *= alpha
+        W -= upd
         if fit_intercept:
             b -= alpha * c
     st.n_rows += len(y)
@@ -92,19 +101,27 @@ def fold_softmax(st: ShardState, X: np.ndarray, y: np.ndarray, alpha: float, l2:
     The decay is a shrinkage; at l2 = 0 (how the reference runs it) it is inert.
     """
     W, b = st.coef, st.intercept
+    upd = np.empty_like(W)
+    dec = np.empty_like(W)
     loss = st.loss_sum
     for i in range(len(y)):
         x = X[i]
         yi = int(y[i])
-        s = W @ x + b
+        s = W @ x
+        s += b
         mx = s.max()
         e = np.exp(s - mx)
         tot = e.sum()
-        p = e / tot
+        g = e / tot
         loss += -(s[yi] - mx) + math.log(tot)
-        g = -p
+        np.negative(g, out=g)                # onehot - p
         g[yi] += 1.0
-        W += alpha * (np.outer(g, x) - l2 * W)
+        np.multiply.outer(g, x, out=upd)     # (onehot - p) x^T
+        if l2:
+            np.multiply(W, l2, out=dec)
+            upd -= dec
+        upd *= alpha
+        W += upd
         if fit_intercept:
             b += alpha * g
     st.n_rows += len(y)
