@@ -15,6 +15,7 @@ import time
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -46,7 +47,12 @@ class OnlineUpdate:
             if last is not None and last >= epoch:
                 return  # replay of a batch that is already folded in
             model = LinearModel.from_table(self.store.latest())
-        new, _, _ = sgd_pass(batch, self.id_col, self.features, self.label, self.cfg, model, epoch)
+        # the micro-batch is read twice (row count for the shard bound, then the fold)
+        held = batch.persist(StorageLevel.MEMORY_AND_DISK_DESER)
+        try:
+            new, _, _ = sgd_pass(held, self.id_col, self.features, self.label, self.cfg, model, epoch)
+        finally:
+            held.unpersist()
         self.store.write(new.to_table(batch.sparkSession), epoch, check=False)
         self._current = (epoch, new)
 
