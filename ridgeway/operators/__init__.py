@@ -10,6 +10,7 @@ _EXPORTS = {
     "accuracy": "ridgeway.operators.scoring",
     "boundary_lines": "ridgeway.operators.scoring",
     "decision_score": "ridgeway.operators.scoring",
+    "first_n_by": "ridgeway.operators.sample",
     "gradient_long_form": "ridgeway.operators.gradient",
     "gradient_stats": "ridgeway.operators.gradient",
     "gradient_step_join": "ridgeway.operators.gradient",

@@ -10,6 +10,7 @@ from ridgeway.functions.multiclass import (hinge_coefficients, multiclass_margin
 from ridgeway.model import LinearModel
 from ridgeway.operators.scoring import (accuracy, ranked_classes, with_class_scores,
                                         with_prediction, with_probabilities)
+from ridgeway.operators.sample import first_n_by
 from ridgeway.operators.sgd import SGDConfig, train_sgd
 from ridgeway.plans import sqlgen as S
 from ridgeway.plans.registry import query, rnd, round_history, round_model
@@ -67,7 +68,7 @@ def q_scan_feature_table(spark: SparkSession, sf: str) -> DataFrame:
 @query("train_sample_limit", f"SELECT id, label FROM ({S.CLASS_ROWS}) r ORDER BY id LIMIT 10000")
 def q_train_sample_limit(spark: SparkSession, sf: str) -> DataFrame:
     """The first 10,000 labelled rows by id (the reference's training sample size)."""
-    return class_rows(spark, sf).select("id", "label").orderBy("id").limit(10000)
+    return first_n_by(class_rows(spark, sf).select("id", "label"), "id", 10000)
 
 
 @query("append_label",

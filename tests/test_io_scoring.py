@@ -131,3 +131,13 @@ def test_stream_with_several_files_per_chunk_equals_batch_chain(spark):
         expect, *_ = run_epoch(prepare_shards(batch, "id", HINGE_FEATURES, "y", 2), expect, c + 1, cfg)
     assert store.epochs() == [0, 1, 2]
     np.testing.assert_allclose(LinearModel.from_table(store.latest()).flat(), expect.flat(), rtol=1e-12)
+
+
+@pytest.mark.parametrize("n", [1, 7, 50, 149, 150, 400])
+def test_first_n_by_is_exact(spark, n):
+    from ridgeway.operators.sample import first_n_by
+    from ridgeway.sources.tables import hinge_rows
+    rows = hinge_rows(spark, SF_SMALL).repartition(5)
+    got = sorted(r["id"] for r in first_n_by(rows, "id", n, accuracy=100, slack=1.5).collect())
+    want = sorted(r["id"] for r in rows.orderBy("id").limit(n).collect())
+    assert got == want
