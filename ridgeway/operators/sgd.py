@@ -3,8 +3,8 @@
 Plan of one epoch::
 
     prepared (shard = pmod(id, S); placed by repartitionById on pmod(shard, P),
-              P = S unless max_partitions packs several shards per task;
-              shuffled ONCE and persisted for all epochs)
+              P = min(S, max(cores, ceil(rows / 1M))) tasks unless max_partitions
+              is given; shuffled ONCE and persisted for all epochs)
       -> sortWithinPartitions(shard, order(id, epoch), id)   [local sort, no shuffle]
       -> mapInArrow(sequential fold per shard)               [one live shard model per task;
                                                                the task emits their SUM]
@@ -68,7 +68,7 @@ class SGDConfig:
     order: str = "hash"          # hash: (id*7919 + epoch*104729) % 1000003, then id; id: by id
     materialize: str = "persist"  # persist | checkpoint | none (see operators.materialize)
     rows_per_shard: int | None = ROWS_PER_SHARD  # None: exactly `shards`, whatever the size
-    max_partitions: int | None = None  # None: one shard per partition; else shards share tasks
+    max_partitions: int | None = None  # tasks for the shards; None: auto (see resolve_partitions)
 
     def __post_init__(self) -> None:
         if self.kind not in KINDS:
@@ -214,6 +214,16 @@ def resolve_shards(n_rows: int, cfg: SGDConfig) -> int:
     return max(cfg.shards, math.ceil(n_rows / cfg.rows_per_shard))
 
 
+def resolve_partitions(n_rows: int, shards: int, cfg: SGDConfig, slots: int) -> int:
+    """Tasks that fold the shards: ``min(shards, max_partitions)`` when given, else
+    ``min(shards, max(slots, ceil(rows / ROWS_PER_SHARD)))`` -- tasks sized by rows,
+    at least one per core, never more than shards (tiny shards share a task and
+    its Python worker; the task sums their models before the shuffle)."""
+    if cfg.max_partitions is not None:
+        return max(1, min(shards, cfg.max_partitions))
+    return max(1, min(shards, max(slots, math.ceil(n_rows / ROWS_PER_SHARD))))
+
+
 def _scan_stats(rows: DataFrame, features: Sequence[str] | str, label: str,
                 kind: str, need_shape: bool) -> tuple[int, int | None, int | None]:
     """(rows, K, d) in one aggregate; K = distinct labels (1 for binary hinge)."""
@@ -256,9 +266,10 @@ def train_sgd(rows: DataFrame, id_col: str, features: Sequence[str] | str, label
         init = LinearModel.zeros(n_classes or K, d)
     if init.n_classes * (init.n_features + 1) > MAX_MODEL_CELLS:
         raise ValueError("model too large for the averaged-SGD driver loop")
-    run = replace(cfg, shards=resolve_shards(n, cfg))
-    prepared, held = materialize(prepare_shards(rows, id_col, features, label, run.shards,
-                                                run.max_partitions), run.materialize)
+    S = resolve_shards(n, cfg)
+    P = resolve_partitions(n, S, cfg, rows.sparkSession.sparkContext.defaultParallelism)
+    run = replace(cfg, shards=S, max_partitions=P)
+    prepared, held = materialize(prepare_shards(rows, id_col, features, label, S, P), run.materialize)
     model = init.copy()
     if not cfg.fit_intercept:
         model.intercept[:] = 0.0
@@ -285,11 +296,11 @@ def train_sgd(rows: DataFrame, id_col: str, features: Sequence[str] | str, label
 def sgd_pass(rows: DataFrame, id_col: str, features: Sequence[str] | str, label: str,
              cfg: SGDConfig, model: LinearModel, epoch: int = 1) -> tuple[LinearModel, int, float]:
     """One averaged pass from ``model`` (the online / partial-fit update)."""
-    S = cfg.shards
-    if cfg.rows_per_shard is not None:
-        S = resolve_shards(rows.count(), cfg)
-    run = replace(cfg, shards=S)
-    prepared = prepare_shards(rows, id_col, features, label, S, cfg.max_partitions)
+    n = rows.count()
+    S = resolve_shards(n, cfg)
+    P = resolve_partitions(n, S, cfg, rows.sparkSession.sparkContext.defaultParallelism)
+    run = replace(cfg, shards=S, max_partitions=P)
+    prepared = prepare_shards(rows, id_col, features, label, S, P)
     new, n_rows, loss_sum, _ = run_epoch(prepared, model, epoch, run)
     return new, n_rows, loss_sum
 
