@@ -11,7 +11,8 @@ from ridgeway.operators.scoring import boundary_lines, decision_score
 from ridgeway.operators.sgd import SGDConfig, model_delta_norm, models_table, train_sgd
 from ridgeway.plans import sqlgen as S
 from ridgeway.plans.registry import query, rnd, round_model
-from ridgeway.sources.blobs import TWO_BLOBS, blob_table, union_class_tables
+from ridgeway.sources.blobs import (TWO_BLOBS, UNIFORM_MULTIPLIERS, UNIFORM_PRIME, blob_table,
+                                   union_class_tables)
 from ridgeway.sources.tables import HINGE_FEATURES, hinge_rows
 
 # Probe model for the scoring / boundary queries.
@@ -123,9 +124,9 @@ def q_union_class_tables(spark: SparkSession, sf: str) -> DataFrame:
 
 def _blob_sql() -> str:
     def u(dim: int) -> str:
-        from ridgeway.sources.blobs import _MULTIPLIERS, _PRIME
-        a = _MULTIPLIERS[dim % len(_MULTIPLIERS)]
-        return f"(CAST({S.pmod_sql(f'c_custkey * {a} + {dim * 31 + 17}', _PRIME)} AS DOUBLE) / {S.num(_PRIME)})"
+        a = UNIFORM_MULTIPLIERS[dim % len(UNIFORM_MULTIPLIERS)]
+        return (f"(CAST({S.pmod_sql(f'c_custkey * {a} + {dim * 31 + 17}', UNIFORM_PRIME)} AS DOUBLE) "
+                f"/ {S.num(UNIFORM_PRIME)})")
 
     def per_class(vals) -> str:
         return ("CASE " + " ".join(f"WHEN {S.pmod_sql('c_custkey', len(vals))} = {c} THEN {S.num(v)}"

@@ -19,14 +19,15 @@ from pyspark.sql import functions as F
 TWO_BLOBS = [(5.0, -3.0, -1.0), (6.0, 7.0, 1.0)]
 THREE_BLOBS = [(5.0, -3.0, 0.0), (6.0, 7.0, 1.0), (25.0, 20.0, 2.0)]
 
-_PRIME = 1000003
-_MULTIPLIERS = [7919, 104729, 1299709, 15485863]
+# Integer rule for the pseudo-uniform coordinates (recomputable in SQL).
+UNIFORM_PRIME = 1000003
+UNIFORM_MULTIPLIERS = [7919, 104729, 1299709, 15485863]
 
 
 def unit_uniform(key: Column, dim: int) -> Column:
     """A [0, 1) value from integer arithmetic on ``key`` (same in any engine)."""
-    a = _MULTIPLIERS[dim % len(_MULTIPLIERS)]
-    return F.pmod(key * F.lit(a) + F.lit(dim * 31 + 17), F.lit(_PRIME)).cast("double") / F.lit(float(_PRIME))
+    a = UNIFORM_MULTIPLIERS[dim % len(UNIFORM_MULTIPLIERS)]
+    return F.pmod(key * F.lit(a) + F.lit(dim * 31 + 17), F.lit(UNIFORM_PRIME)).cast("double") / F.lit(float(UNIFORM_PRIME))
 
 
 def blob_table(keys: DataFrame, id_col: str = "id",
