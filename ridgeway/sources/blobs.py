@@ -27,7 +27,8 @@ UNIFORM_MULTIPLIERS = [7919, 104729, 1299709, 15485863]
 def unit_uniform(key: Column, dim: int) -> Column:
     """A [0, 1) value from integer arithmetic on ``key`` (same in any engine)."""
     a = UNIFORM_MULTIPLIERS[dim % len(UNIFORM_MULTIPLIERS)]
-    return F.pmod(key * F.lit(a) + F.lit(dim * 31 + 17), F.lit(UNIFORM_PRIME)).cast("double") / F.lit(float(UNIFORM_PRIME))
+    r = F.pmod(key * F.lit(a) + F.lit(dim * 31 + 17), F.lit(UNIFORM_PRIME))
+    return r.cast("double") / F.lit(float(UNIFORM_PRIME))
 
 
 def blob_table(keys: DataFrame, id_col: str = "id",
