@@ -8,8 +8,19 @@ shard models with an ordinary aggregate.  Models and histories are small
 tables; only model-sized results ever reach the driver.
 """
 
+import sys as _sys
+
 from ridgeway._lazy import lazy_exports
 
+# Functions that run inside Python workers (SGD folds, Arrow gradient and scoring
+# batches) are shipped by value, so executors need numpy/pyarrow but not this
+# package on their path.
+try:
+    from pyspark import cloudpickle as _cloudpickle
+    _cloudpickle.register_pickle_by_value(_sys.modules[__name__])
+except (ImportError, AttributeError, ValueError):  # pragma: no cover - older cloudpickle
+    pass
+
 _EXPORTS = {
     "LinearModel": "ridgeway.model",
     "LinearRegressionGD": "ridgeway.estimators",
