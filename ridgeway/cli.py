@@ -48,6 +48,13 @@ def _write_model(df, path: str, fmt: str) -> None:
         df.coalesce(1).write.mode("errorifexists").parquet(path)  # model-sized
 
 
+def _log(spark: SparkSession, args):
+    if not args.log:
+        return None
+    from ridgeway.sources.training_log import TrainingLog
+    return TrainingLog(spark, args.log)
+
+
 def cmd_gd(args) -> None:
     from ridgeway.model import LinearModel
     from ridgeway.operators.gd import GDConfig, train_gd
@@ -60,7 +67,7 @@ def cmd_gd(args) -> None:
     cfg = GDConfig(loss=args.loss, lr=args.lr, l2=args.l2, tol=args.tol, max_epochs=args.max_epochs,
                    materialize=args.materialize)
     features = [f"x{i}" for i in range(1, args.n_features + 1)]
-    res = train_gd(rows, features, "y", cfg, init=init,
+    res = train_gd(rows, features, "y", cfg, init=init, log=_log(spark, args),
                    on_epoch=lambda h: print(f"epoch {h[0]} loss {h[2]:.10g} stopped {h[4]}", file=sys.stderr))
     _write_model(res.model_table(spark), args.output, args.format)
     if args.history:
@@ -78,7 +85,7 @@ def cmd_sgd(args) -> None:
     cfg = SGDConfig(kind=args.kind, alpha=args.alpha, l2=args.l, shards=args.shards,
                     max_iter=args.max_iter, tol=args.tol, materialize=args.materialize,
                     fit_intercept=not args.no_intercept)
-    res = train_sgd(rows, args.id_col, features, args.label, cfg, init=init,
+    res = train_sgd(rows, args.id_col, features, args.label, cfg, init=init, log=_log(spark, args),
                     on_epoch=lambda h: print(f"epoch {h[0]} delta {h[3]:.10g}", file=sys.stderr))
     _write_model(res.model_table(spark), args.output, args.format)
     if args.history:
@@ -126,6 +133,7 @@ def main(argv: list[str] | None = None) -> None:
     g.add_argument("--output", required=True)
     g.add_argument("--format", choices=["lines", "record", "parquet"], default="lines")
     g.add_argument("--history")
+    g.add_argument("--log", help="training log folder: record every epoch, resume after a restart")
     g.set_defaults(fn=cmd_gd)
 
     s = sub.add_parser("sgd", help="parameter-averaged SGD over shards")
@@ -146,6 +154,7 @@ def main(argv: list[str] | None = None) -> None:
     s.add_argument("--output", required=True)
     s.add_argument("--format", choices=["lines", "record", "parquet"], default="parquet")
     s.add_argument("--history")
+    s.add_argument("--log", help="training log folder: record every epoch, resume after a restart")
     s.set_defaults(fn=cmd_sgd)
 
     c = sub.add_parser("score", help="score rows with a stored model")

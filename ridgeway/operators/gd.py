@@ -120,12 +120,20 @@ def spread(df: DataFrame) -> DataFrame:
 def train_gd(rows: DataFrame, features: Sequence[str] | str, label: str, cfg: GDConfig,
              init: LinearModel | Sequence[float] | None = None,
              on_epoch: Callable[[tuple], None] | None = None,
-             n_features: int | None = None) -> GDResult:
+             n_features: int | None = None, log=None) -> GDResult:
     """Train until the stop test or ``cfg.max_epochs``; ``on_epoch`` gets each history row.
 
     ``features`` is a list of double columns, or one ``array<double>`` column
     (then ``n_features`` or ``init`` gives d, and the Arrow path is used).
+    ``log`` (a :class:`~ridgeway.sources.training_log.TrainingLog`) records every
+    epoch and, when it already holds epochs, the run continues after them.
     """
+    done = log.resume() if log is not None else None
+    if done is not None:
+        hist, last_model = done
+        if hist[-1][4] or len(hist) >= cfg.max_epochs:   # finished before the restart
+            return GDResult(last_model, list(hist), [])
+        init = last_model
     wide_col = isinstance(features, str)
     if wide_col:
         if init is None and n_features is None:
@@ -178,9 +186,19 @@ def train_gd(rows: DataFrame, features: Sequence[str] | str, label: str, cfg: GD
                 return int(r["n_rows"]), loss_sum, g
 
     result = GDResult(LinearModel.from_vector(w))
-    prev = math.inf
+    prev, first = math.inf, 1
+    if done is not None:
+        result.history = list(hist)
+        prev, first = hist[-1][2], len(hist) + 1   # the last logged epoch stepped from this loss
+
+    def logged(row: tuple) -> None:
+        if log is not None:
+            log.record(row, LinearModel.from_vector(w))
+        if on_epoch:
+            on_epoch(row)
+
     try:
-        for epoch in range(1, cfg.max_epochs + 1):
+        for epoch in range(first, cfg.max_epochs + 1):
             n, loss_sum, g = evaluate(w)
             loss = (loss_sum / n if n else float("nan")) + penalty(w, cfg)
             if prev - loss > cfg.tol:
@@ -189,13 +207,11 @@ def train_gd(rows: DataFrame, features: Sequence[str] | str, label: str, cfg: GD
                 result.history.append((epoch, n, float(loss), delta, False))
                 w, prev = w_new, loss
                 result.models.append(LinearModel.from_vector(w))
-                if on_epoch:
-                    on_epoch(result.history[-1])
+                logged(result.history[-1])
             else:
                 result.history.append((epoch, n, float(loss), 0.0, True))
                 result.models.append(LinearModel.from_vector(w))
-                if on_epoch:
-                    on_epoch(result.history[-1])
+                logged(result.history[-1])
                 break
     finally:
         release(cached)

@@ -259,8 +259,18 @@ def infer_shape(rows: DataFrame, features: Sequence[str] | str, label: str,
 def train_sgd(rows: DataFrame, id_col: str, features: Sequence[str] | str, label: str,
               cfg: SGDConfig, init: LinearModel | None = None,
               n_classes: int | None = None,
-              on_epoch: Callable[[tuple], None] | None = None) -> SGDResult:
-    """Averaged passes until ||new - old|| < tol or ``max_iter``; ``on_epoch`` gets each history row."""
+              on_epoch: Callable[[tuple], None] | None = None, log=None) -> SGDResult:
+    """Averaged passes until ||new - old|| < tol or ``max_iter``; ``on_epoch`` gets each history row.
+
+    ``log`` (a :class:`~ridgeway.sources.training_log.TrainingLog`) records every
+    epoch and, when it already holds epochs, the run continues after them.
+    """
+    done = log.resume() if log is not None else None
+    if done is not None:
+        hist, last_model = done
+        if hist[-1][4] or len(hist) >= cfg.max_iter:   # finished before the restart
+            return SGDResult(last_model, list(hist), [], 0)
+        init = last_model
     n, K, d = _scan_stats(rows, features, label, cfg.kind, init is None)
     if init is None:
         init = LinearModel.zeros(n_classes or K, d)
@@ -274,14 +284,19 @@ def train_sgd(rows: DataFrame, id_col: str, features: Sequence[str] | str, label
     if not cfg.fit_intercept:
         model.intercept[:] = 0.0
     result = SGDResult(model, shards=run.shards)
+    first = 1
+    if done is not None:
+        result.history, first = list(hist), len(hist) + 1
     try:
-        for epoch in range(1, run.max_iter + 1):
+        for epoch in range(first, run.max_iter + 1):
             new, n_rows, loss_sum, _ = run_epoch(prepared, model, epoch, run)
             delta = new.delta_norm(model)
             stopped = bool(delta < run.tol)
             mean_loss = loss_sum / n_rows if n_rows else None
             result.history.append((epoch, n_rows, mean_loss, delta, stopped))
             result.models.append(new)
+            if log is not None:
+                log.record(result.history[-1], new)
             if on_epoch:
                 on_epoch(result.history[-1])
             model = new

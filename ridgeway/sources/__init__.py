@@ -7,6 +7,7 @@ _EXPORTS = {
     "LIN_FEATURES": "ridgeway.sources.tables",
     "ModelStore": "ridgeway.sources.model_store",
     "THREE_BLOBS": "ridgeway.sources.blobs",
+    "TrainingLog": "ridgeway.sources.training_log",
     "TWO_BLOBS": "ridgeway.sources.blobs",
     "blob_table": "ridgeway.sources.blobs",
     "class_rows": "ridgeway.sources.tables",

@@ -184,3 +184,25 @@ def test_hash_order_epochs_match_numpy_replay(spark):
             total_b += st.intercept[0]
         model = LinearModel([total_w / S], [total_b / S])
         np.testing.assert_allclose(res.models[e - 1].flat(), model.flat(), rtol=1e-11, atol=1e-14)
+
+
+def test_gd_and_sgd_resume_from_a_training_log(spark):
+    from ridgeway.session import scratch_path
+    from ridgeway.sources.training_log import TrainingLog
+    rows = log_rows(spark, SF_SMALL)
+    full = train_gd(rows, LIN_FEATURES, "y", GDConfig(loss="logistic", lr=0.5, tol=1e-4, max_epochs=9))
+    log = TrainingLog(spark, scratch_path(spark, "gd-log"))
+    train_gd(rows, LIN_FEATURES, "y", GDConfig(loss="logistic", lr=0.5, tol=1e-4, max_epochs=4), log=log)
+    resumed = train_gd(rows, LIN_FEATURES, "y", GDConfig(loss="logistic", lr=0.5, tol=1e-4, max_epochs=9), log=log)
+    np.testing.assert_allclose(resumed.model.vector(), full.model.vector(), rtol=1e-12, atol=1e-15)
+    assert [h[0] for h in resumed.history] == [h[0] for h in full.history]
+    again = train_gd(rows, LIN_FEATURES, "y", GDConfig(loss="logistic", lr=0.5, tol=1e-4, max_epochs=9), log=log)
+    np.testing.assert_array_equal(again.model.vector(), resumed.model.vector())
+
+    hr = hinge_rows(spark, SF_SMALL)
+    sfull = train_sgd(hr, "id", HINGE_FEATURES, "y", SGDConfig(kind="hinge", max_iter=4, tol=0.0))
+    slog = TrainingLog(spark, scratch_path(spark, "sgd-log"))
+    train_sgd(hr, "id", HINGE_FEATURES, "y", SGDConfig(kind="hinge", max_iter=2, tol=0.0), log=slog)
+    sres = train_sgd(hr, "id", HINGE_FEATURES, "y", SGDConfig(kind="hinge", max_iter=4, tol=0.0), log=slog)
+    np.testing.assert_allclose(sres.model.flat(), sfull.model.flat(), rtol=1e-12, atol=1e-15)
+    assert len(sres.history) == 4
