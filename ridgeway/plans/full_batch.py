@@ -77,13 +77,14 @@ def q_linear_predictor(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("residuals",
-       f"SELECT {ID}, {S.rnd('z - y', 9)} AS residual, {S.rnd('(z - y) * (z - y)', 9)} AS sq_error "
+       f"SELECT {ID}, {S.rnd('z - y', 9)} AS residual, {S.rnd('(z - y) * (z - y)', 12)} AS sq_error "
        f"FROM (SELECT *, {S.linear_sql(W_LIN, XS)} AS z FROM ({S.LIN_ROWS}) r) q")
 def q_residuals(spark: SparkSession, sf: str) -> DataFrame:
     z = linear_predictor(LIN_FEATURES, LIN_PROBE[1:], LIN_PROBE[0])
     r = lin_rows(spark, sf).select("l_orderkey", "l_linenumber", (z - F.col("y")).alias("r"))
+    # residuals have 7 exact decimals, their squares 14: 9 / 12 decimals never sit on a tie
     return r.select("l_orderkey", "l_linenumber", rnd("r", 9).alias("residual"),
-                    rnd(F.col("r") * F.col("r"), 9).alias("sq_error"))
+                    rnd(F.col("r") * F.col("r"), 12).alias("sq_error"))
 
 
 @query("sigmoid_scores",
