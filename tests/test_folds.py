@@ -92,3 +92,13 @@ def test_no_intercept_keeps_it_zero():
     st = ShardState(np.zeros((1, 2)), np.zeros(1))
     fold_hinge(st, rng.normal(size=(20, 2)), np.ones(20), 0.1, 0.0, False)
     assert st.intercept[0] == 0.0
+
+
+def test_one_class_shard_matches_rule():
+    X = rng.normal(size=(60, 4))
+    y = np.full(60, 2)
+    st = ShardState(np.zeros((3, 4)), np.zeros(3))
+    fold_multiclass_hinge(st, X, y.astype(float), 0.01, 1e-4, True)
+    W, b = ref_multi(X, y, 0.01, 1e-4, np.zeros((3, 4)), np.zeros(3))
+    np.testing.assert_allclose(st.coef, W, rtol=1e-10, atol=1e-12)
+    np.testing.assert_allclose(st.intercept, b, rtol=1e-10, atol=1e-12)

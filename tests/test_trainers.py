@@ -206,3 +206,19 @@ def test_gd_and_sgd_resume_from_a_training_log(spark):
     sres = train_sgd(hr, "id", HINGE_FEATURES, "y", SGDConfig(kind="hinge", max_iter=4, tol=0.0), log=slog)
     np.testing.assert_allclose(sres.model.flat(), sfull.model.flat(), rtol=1e-12, atol=1e-15)
     assert len(sres.history) == 4
+
+
+@pytest.mark.parametrize("method", ["gram", "direct"])
+def test_gd_on_empty_input_stops_at_the_start(spark, method):
+    rows = lin_rows(spark, SF_SMALL).filter(F.col("y") < F.lit(-1.0))
+    res = train_gd(rows, LIN_FEATURES, "y", GDConfig(lr=0.1, method=method), init=[0.1, 0.2, 0.3, 0.4])
+    assert len(res.history) == 1 and res.history[0][4] is True and res.history[0][1] == 0
+    np.testing.assert_array_equal(res.model.vector(), [0.1, 0.2, 0.3, 0.4])
+
+
+def test_sgd_on_empty_input_keeps_the_model(spark):
+    rows = hinge_rows(spark, SF_SMALL).filter(F.col("id") < F.lit(0))
+    init = LinearModel([[0.5, -0.5]], [0.25])
+    res = train_sgd(rows, "id", HINGE_FEATURES, "y", SGDConfig(kind="hinge", max_iter=3), init=init)
+    assert res.history[0][1] == 0 and res.history[0][4] is True
+    np.testing.assert_array_equal(res.model.flat(), init.flat())
