@@ -25,7 +25,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from ridgeway.model import LinearModel
-from ridgeway.operators.gradient import LOSSES, gradient_stats, gradient_stats_arrow, gram_stats
+from ridgeway.operators.gradient import (LOSSES, compress_rows, gradient_stats, gradient_stats_arrow,
+                                         gram_stats)
 from ridgeway.operators.materialize import MODES, materialize, release
 
 HISTORY_SCHEMA = T.StructType([
@@ -46,6 +47,8 @@ class GDConfig:
     max_epochs: int = 1000
     method: str = "auto"          # auto | gram | direct | arrow
     materialize: str = "persist"  # persist | checkpoint | none (see operators.materialize)
+    compress: str = "auto"        # auto | always | never: group identical rows (direct path)
+    compress_ratio: float = 0.25  # auto: compress when distinct rows <= this share of rows
 
     def __post_init__(self) -> None:
         if self.loss not in LOSSES:
@@ -58,6 +61,8 @@ class GDConfig:
             raise ValueError("the Gram path is for squared loss only")
         if self.materialize not in MODES:
             raise ValueError(f"materialize must be one of {MODES}")
+        if self.compress not in ("auto", "always", "never"):
+            raise ValueError("compress must be auto, always or never")
 
 
 # The automatic Gram path needs (d+1)(d+2)/2 sums in one aggregate row; above
@@ -169,21 +174,26 @@ def train_gd(rows: DataFrame, features: Sequence[str] | str, label: str, cfg: GD
             Gw = G @ wv
             return n, float(wv @ Gw - 2.0 * (wv @ h) + q), Gw - h
     else:
+        weight = None
         src = narrow
+        if method == "direct" and cfg.compress != "never":
+            comp = compress_rows(narrow, features, label, cfg.compress_ratio, cfg.compress == "always")
+            if comp is not None:
+                src, weight = comp, "_mult"
         if cfg.materialize != "none":
-            src, cached = materialize(spread(narrow), cfg.materialize)
+            src, cached = materialize(src if weight else spread(src), cfg.materialize)
 
         if method == "arrow":
             def evaluate(wv: np.ndarray) -> tuple[int, float, np.ndarray]:
                 return gradient_stats_arrow(src, features, label, wv, cfg.loss)
         else:
             def evaluate(wv: np.ndarray) -> tuple[int, float, np.ndarray]:
-                r = gradient_stats(src, features, label, list(wv), cfg.loss).collect()[0]
-                if r["n_valid"] != r["n_rows"]:
+                r = gradient_stats(src, features, label, list(wv), cfg.loss, weight).collect()[0]
+                if r["n_valid"] != r["n_groups"]:
                     raise ValueError("NULL in features or label")
                 g = np.array([0.0 if r[f"g{i}"] is None else r[f"g{i}"] for i in range(d + 1)])
                 loss_sum = float("nan") if r["loss_sum"] is None else float(r["loss_sum"])
-                return int(r["n_rows"]), loss_sum, g
+                return int(r["n_rows"] or 0), loss_sum, g
 
     result = GDResult(LinearModel.from_vector(w))
     prev, first = math.inf, 1

@@ -23,33 +23,61 @@ LOSSES = ("squared", "logistic")
 
 
 def _terms(rows: DataFrame, features: Sequence[str], label: str, w: Sequence[float],
-           loss: str) -> DataFrame:
-    """Per-row ``diff`` (the gradient factor) and ``loss_term`` next to the features."""
+           loss: str, weight: str | None = None) -> DataFrame:
+    """Per-row ``diff`` (the gradient factor) and ``loss_term`` next to the features;
+    with ``weight`` (a row multiplicity) both are multiplied by it."""
     if loss not in LOSSES:
         raise ValueError(f"loss must be one of {LOSSES}")
     z = linear_predictor(features, w[1:], w[0])
     y = F.col(label)
+    keep = [*features] + ([weight] if weight else [])
     if loss == "squared":
-        diff = z - y
         # (z - y)^2 written on the same z so codegen evaluates it once per row
-        return rows.select(*features, diff.alias("diff")).withColumn(
-            "loss_term", F.col("diff") * F.col("diff"))
-    return rows.select(*features, y.alias("_y"), z.alias("_z")).select(
-        *features,
-        (sigmoid("_z") - F.col("_y")).alias("diff"),
-        logistic_nll("_z", "_y").alias("loss_term"))
+        t = rows.select(*keep, (z - y).alias("diff")).withColumn("loss_term", F.col("diff") * F.col("diff"))
+    else:
+        t = rows.select(*keep, y.alias("_y"), z.alias("_z")).select(
+            *keep, (sigmoid("_z") - F.col("_y")).alias("diff"),
+            logistic_nll("_z", "_y").alias("loss_term"))
+    if weight:
+        c = F.col(weight).cast("double")
+        t = t.select(*features, weight, (F.col("diff") * c).alias("diff"),
+                     (F.col("loss_term") * c).alias("loss_term"))
+    return t
 
 
 def gradient_stats(rows: DataFrame, features: Sequence[str], label: str,
-                   w: Sequence[float], loss: str) -> DataFrame:
-    """One row: ``n_rows, loss_sum, g0..gd`` with g0 = sum(diff), gi = sum(diff*xi)."""
-    t = _terms(rows, features, label, w, loss)
-    aggs = [F.count(F.lit(1)).alias("n_rows"), F.count("diff").alias("n_valid"),
+                   w: Sequence[float], loss: str, weight: str | None = None) -> DataFrame:
+    """One row: ``n_rows, loss_sum, g0..gd`` with g0 = sum(diff), gi = sum(diff*xi).
+
+    ``weight`` names a multiplicity column (rows grouped by identical features and
+    label): the sums are the same as over the ungrouped rows.  ``n_valid`` counts
+    the (grouped) rows whose terms are not NULL; ``n_groups`` counts (grouped) rows.
+    """
+    t = _terms(rows, features, label, w, loss, weight)
+    n = F.sum(weight).cast("long") if weight else F.count(F.lit(1))
+    aggs = [n.alias("n_rows"), F.count(F.lit(1)).alias("n_groups"), F.count("diff").alias("n_valid"),
             F.sum("loss_term").alias("loss_sum"), F.sum("diff").alias("g0")]
     aggs += [F.sum(F.col("diff") * F.col(x)).alias(f"g{i}") for i, x in enumerate(features, 1)]
     return t.agg(*aggs)
 
 
+def compress_rows(rows: DataFrame, features: Sequence[str], label: str,
+                  max_ratio: float, force: bool = False, weight: str = "_mult") -> DataFrame | None:
+    """Identical (features, label) rows collapsed to one row with a multiplicity.
+
+    One pass estimates the distinct combinations (HyperLogLog, no data shuffle);
+    only when they are at most ``max_ratio`` of the rows (or ``force``) is the
+    ``groupBy`` run -- map-side combined, so each task ships at most its distinct
+    rows.  Returns None when compression would not pay.
+    """
+    if not force:
+        key = F.struct(*[F.col(c) for c in [*features, label]])
+        r = rows.agg(F.count(F.lit(1)).alias("n"), F.approx_count_distinct(key, 0.05).alias("k")).collect()[0]
+        if r["n"] == 0 or r["k"] > max_ratio * r["n"]:
+            return None
+    return rows.groupBy(*features, label).agg(F.count(F.lit(1)).alias(weight))
+
+
 def gradient_table(stats: DataFrame, n_features: int) -> DataFrame:
     """Unpivot a :func:`gradient_stats` row to ``class_idx, feature_idx, grad, n_rows``."""
     cells = [F.struct(F.lit(0).alias("class_idx"), F.lit(i).alias("feature_idx"),

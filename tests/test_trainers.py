@@ -222,3 +222,13 @@ def test_sgd_on_empty_input_keeps_the_model(spark):
     res = train_sgd(rows, "id", HINGE_FEATURES, "y", SGDConfig(kind="hinge", max_iter=3), init=init)
     assert res.history[0][1] == 0 and res.history[0][4] is True
     np.testing.assert_array_equal(res.model.flat(), init.flat())
+
+
+def test_grouped_identical_rows_give_the_same_gd(spark):
+    rows = log_rows(spark, SF_SMALL)
+    kw = dict(loss="logistic", lr=0.3, tol=1e-5, max_epochs=25, method="direct")
+    a = train_gd(rows, LIN_FEATURES, "y", GDConfig(compress="never", **kw))
+    b = train_gd(rows, LIN_FEATURES, "y", GDConfig(compress="always", **kw))
+    assert [h[1] for h in a.history] == [h[1] for h in b.history]
+    assert [h[4] for h in a.history] == [h[4] for h in b.history]
+    np.testing.assert_allclose(a.model.vector(), b.model.vector(), rtol=1e-10, atol=1e-13)
