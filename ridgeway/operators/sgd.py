@@ -309,9 +309,11 @@ def train_sgd(rows: DataFrame, id_col: str, features: Sequence[str] | str, label
 
 
 def sgd_pass(rows: DataFrame, id_col: str, features: Sequence[str] | str, label: str,
-             cfg: SGDConfig, model: LinearModel, epoch: int = 1) -> tuple[LinearModel, int, float]:
-    """One averaged pass from ``model`` (the online / partial-fit update)."""
-    n = rows.count()
+             cfg: SGDConfig, model: LinearModel, epoch: int = 1,
+             n_rows: int | None = None) -> tuple[LinearModel, int, float]:
+    """One averaged pass from ``model`` (the online / partial-fit update);
+    ``n_rows`` saves a count when the caller already knows it."""
+    n = rows.count() if n_rows is None else n_rows
     S = resolve_shards(n, cfg)
     P = resolve_partitions(n, S, cfg, rows.sparkSession.sparkContext.defaultParallelism)
     run = replace(cfg, shards=S, max_partitions=P)

@@ -50,7 +50,9 @@ class OnlineUpdate:
         # the micro-batch is read twice (row count for the shard bound, then the fold)
         held = batch.persist(StorageLevel.MEMORY_AND_DISK_DESER)
         try:
-            new, _, _ = sgd_pass(held, self.id_col, self.features, self.label, self.cfg, model, epoch)
+            n = held.count()
+            new, _, _ = sgd_pass(held, self.id_col, self.features, self.label, self.cfg, model, epoch,
+                                 n_rows=n)
         finally:
             held.unpersist()
         self.store.write(new.to_table(batch.sparkSession), epoch, check=False)
