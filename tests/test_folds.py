@@ -102,3 +102,41 @@ def test_one_class_shard_matches_rule():
     W, b = ref_multi(X, y, 0.01, 1e-4, np.zeros((3, 4)), np.zeros(3))
     np.testing.assert_allclose(st.coef, W, rtol=1e-10, atol=1e-12)
     np.testing.assert_allclose(st.intercept, b, rtol=1e-10, atol=1e-12)
+
+
+from hypothesis import given, settings, strategies as st_  # noqa: E402
+
+
+@settings(max_examples=60, deadline=None)
+@given(n=st_.integers(1, 40), d=st_.integers(1, 5), seed=st_.integers(0, 10_000),
+       alpha=st_.floats(1e-4, 0.5), l2=st_.floats(0.0, 2.0))
+def test_hinge_fold_property(n, d, seed, alpha, l2):
+    r = np.random.default_rng(seed)
+    X = r.normal(size=(n, d))
+    y = np.where(r.random(n) > 0.5, 1.0, -1.0)
+    w0, b0 = r.normal(size=d), float(r.normal())
+    state = ShardState(w0.reshape(1, -1), np.array([b0]))
+    fold_hinge(state, X, y, alpha, l2, True)
+    w, b = ref_hinge(X, y, alpha, l2, w0, b0)
+    np.testing.assert_allclose(state.coef[0], w, rtol=1e-9, atol=1e-12)
+    assert state.intercept[0] == np.float64(b) or abs(state.intercept[0] - b) < 1e-12
+
+
+@settings(max_examples=40, deadline=None)
+@given(n=st_.integers(1, 30), d=st_.integers(1, 6), k=st_.integers(2, 6), seed=st_.integers(0, 10_000),
+       alpha=st_.floats(1e-4, 0.2), l2=st_.floats(0.0, 0.1))
+def test_multiclass_folds_property(n, d, k, seed, alpha, l2):
+    r = np.random.default_rng(seed)
+    X = r.normal(size=(n, d))
+    y = r.integers(0, k, size=n)
+    W0, b0 = r.normal(size=(k, d)) * 0.1, r.normal(size=k) * 0.1
+    a = ShardState(W0, b0)
+    fold_multiclass_hinge(a, X, y.astype(float), alpha, l2, True)
+    W, b = ref_multi(X, y, alpha, l2, W0, b0)
+    np.testing.assert_allclose(a.coef, W, rtol=1e-9, atol=1e-12)
+    np.testing.assert_allclose(a.intercept, b, rtol=1e-9, atol=1e-12)
+    s = ShardState(W0, b0)
+    fold_softmax(s, X, y.astype(float), alpha, 0.0, True)
+    W, b = ref_softmax(X, y, alpha, W0, b0)
+    np.testing.assert_allclose(s.coef, W, rtol=1e-9, atol=1e-12)
+    np.testing.assert_allclose(s.intercept, b, rtol=1e-9, atol=1e-12)
