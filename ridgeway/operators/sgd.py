@@ -52,6 +52,10 @@ SOFTMAX_DEFAULTS = dict(kind="softmax", alpha=0.05, l2=0.0, max_iter=450, tol=1e
 # large inputs the shard count grows with the data (deterministically).
 ROWS_PER_SHARD = 1_000_000
 
+# Below this many (task x cell) values the task vectors are added on the driver
+# (one stage); above it Spark aggregates them (partial sums, then a small collect).
+DIRECT_SUM_VALUES = 200_000
+
 FOLD_SCHEMA = "pos int, value double"
 POS_N_ROWS, POS_LOSS, POS_SHARDS = -1, -2, -3
 
@@ -183,20 +187,24 @@ def run_epoch(prepared: DataFrame, model: LinearModel, epoch: int,
               cfg: SGDConfig) -> tuple[LinearModel, int, float, int]:
     """One averaged pass -> (new model, rows seen, online loss sum, non-empty shards)."""
     K, d = model.n_classes, model.n_features
-    sums = (shard_models(prepared, model, epoch, cfg)
-            .groupBy("pos").agg(F.sum("value").alias("total")).collect())
+    tasks = cfg.max_partitions or cfg.shards
+    out = shard_models(prepared, model, epoch, cfg)
+    if tasks * (K * (d + 1) + 3) <= DIRECT_SUM_VALUES:
+        rows = out.collect()                       # checked: at most DIRECT_SUM_VALUES values
+    else:
+        rows = out.groupBy("pos").agg(F.sum("value").alias("value")).collect()
     total = np.zeros(K * (d + 1))
     n_rows, loss_sum, nonempty = 0, 0.0, 0
-    for r in sums:
-        p = int(r["pos"])
+    for r in rows:
+        p, v = int(r["pos"]), float(r["value"])
         if p >= 0:
-            total[p] = r["total"]
+            total[p] += v
         elif p == POS_N_ROWS:
-            n_rows = int(round(r["total"]))
+            n_rows += int(round(v))
         elif p == POS_LOSS:
-            loss_sum = float(r["total"])
+            loss_sum += v
         elif p == POS_SHARDS:
-            nonempty = int(round(r["total"]))
+            nonempty += int(round(v))
     S = cfg.shards
     avg = (total + (S - nonempty) * model.flat()) / S
     new = LinearModel.from_flat(avg, K, d)

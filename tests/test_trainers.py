@@ -232,3 +232,14 @@ def test_grouped_identical_rows_give_the_same_gd(spark):
     assert [h[1] for h in a.history] == [h[1] for h in b.history]
     assert [h[4] for h in a.history] == [h[4] for h in b.history]
     np.testing.assert_allclose(a.model.vector(), b.model.vector(), rtol=1e-10, atol=1e-13)
+
+
+def test_aggregated_and_direct_epoch_sums_agree(spark, monkeypatch):
+    from ridgeway.operators import sgd as sgd_mod
+    rows = hinge_rows(spark, SF_SMALL)
+    cfg = SGDConfig(kind="hinge", shards=6, max_iter=2, tol=0.0)
+    direct = train_sgd(rows, "id", HINGE_FEATURES, "y", cfg)
+    monkeypatch.setattr(sgd_mod, "DIRECT_SUM_VALUES", 0)
+    aggregated = train_sgd(rows, "id", HINGE_FEATURES, "y", cfg)
+    np.testing.assert_allclose(direct.model.flat(), aggregated.model.flat(), rtol=1e-12, atol=1e-15)
+    assert [h[1] for h in direct.history] == [h[1] for h in aggregated.history]
