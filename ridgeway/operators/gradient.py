@@ -61,6 +61,11 @@ def gradient_stats(rows: DataFrame, features: Sequence[str], label: str,
     return t.agg(*aggs)
 
 
+# A grouped table estimated at most this large is kept in ONE partition, so each
+# epoch's aggregate needs no exchange (one stage).
+SINGLE_TASK_ROWS = 100_000
+
+
 def compress_rows(rows: DataFrame, features: Sequence[str], label: str,
                   max_ratio: float, force: bool = False, weight: str = "_mult") -> DataFrame | None:
     """Identical (features, label) rows collapsed to one row with a multiplicity.
@@ -68,14 +73,20 @@ def compress_rows(rows: DataFrame, features: Sequence[str], label: str,
     One pass estimates the distinct combinations (HyperLogLog, no data shuffle);
     only when they are at most ``max_ratio`` of the rows (or ``force``) is the
     ``groupBy`` run -- map-side combined, so each task ships at most its distinct
-    rows.  Returns None when compression would not pay.
+    rows.  Returns None when compression would not pay.  A grouped table
+    estimated at <= ``SINGLE_TASK_ROWS`` rows is coalesced to one partition.
     """
+    k = None
     if not force:
         key = F.struct(*[F.col(c) for c in [*features, label]])
         r = rows.agg(F.count(F.lit(1)).alias("n"), F.approx_count_distinct(key, 0.05).alias("k")).collect()[0]
         if r["n"] == 0 or r["k"] > max_ratio * r["n"]:
             return None
-    return rows.groupBy(*features, label).agg(F.count(F.lit(1)).alias(weight))
+        k = int(r["k"])
+    grouped = rows.groupBy(*features, label).agg(F.count(F.lit(1)).alias(weight))
+    if k is not None and k <= SINGLE_TASK_ROWS:
+        grouped = grouped.coalesce(1)
+    return grouped
 
 
 def gradient_table(stats: DataFrame, n_features: int) -> DataFrame:
