@@ -28,9 +28,11 @@ class TrainingLog:
         self.history_path = f"{self.path}/history"
 
     def record(self, row: tuple, model: LinearModel) -> None:
-        """Model first, then its history row: a row is only ever present with its model."""
+        """Model first, then its history row: a row is only ever present with its model.
+        A model left by a run that died before writing the row is kept (the rerun
+        recomputes the same epoch deterministically), never duplicated."""
         epoch = int(row[0])
-        self.models.write(model.to_table(self.spark), epoch, check=False)
+        self.models.write(model.to_table(self.spark), epoch, check=True)
         (self.spark.createDataFrame([row], _HISTORY_DDL).coalesce(1)
              .write.mode("append").parquet(self.history_path))
 

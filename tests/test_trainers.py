@@ -243,3 +243,17 @@ def test_aggregated_and_direct_epoch_sums_agree(spark, monkeypatch):
     aggregated = train_sgd(rows, "id", HINGE_FEATURES, "y", cfg)
     np.testing.assert_allclose(direct.model.flat(), aggregated.model.flat(), rtol=1e-12, atol=1e-15)
     assert [h[1] for h in direct.history] == [h[1] for h in aggregated.history]
+
+
+def test_resume_after_a_crash_between_model_and_history(spark):
+    from ridgeway.session import scratch_path
+    from ridgeway.sources.training_log import TrainingLog
+    rows = log_rows(spark, SF_SMALL)
+    cfg = GDConfig(loss="logistic", lr=0.5, tol=1e-4, max_epochs=5)
+    full = train_gd(rows, LIN_FEATURES, "y", cfg)
+    log = TrainingLog(spark, scratch_path(spark, "crash-log"))
+    train_gd(rows, LIN_FEATURES, "y", GDConfig(loss="logistic", lr=0.5, tol=1e-4, max_epochs=2), log=log)
+    log.models.write(full.models[2].to_table(spark), 3)        # epoch 3's model, no history row
+    res = train_gd(rows, LIN_FEATURES, "y", cfg, log=log)
+    np.testing.assert_allclose(res.model.vector(), full.model.vector(), rtol=1e-12, atol=1e-15)
+    assert log.models.read_epoch(3).count() == 4
