@@ -20,7 +20,7 @@ from ridgeway.sources.tables import HINGE_FEATURES, LIN_FEATURES, hinge_rows, li
 from ridgeway.sources.text import (RECORD_TAG, read_csv_rows, read_tsv_rows, read_weight_lines,
                                    read_weight_record, write_labelled_text, write_weight_lines,
                                    write_weight_record)
-from ridgeway.streaming.online import run_online_update, write_stream_chunks
+from ridgeway.streaming.online import ROWS_PER_FILE, run_online_update, write_stream_chunks
 
 STEP_MODEL_SQL = S.model_rows_sql(f"({_step_sql()})", ["s0", "s1", "s2", "s3"])
 
@@ -126,5 +126,6 @@ def q_stream_online_hinge(spark: SparkSession, sf: str) -> DataFrame:
     _, _, per_chunk = write_stream_chunks(stream_rows(spark, sf), src, "id", STREAM_CHUNKS)
     store = ModelStore(spark, scratch_path(spark, "stream-models"))
     run_online_update(spark, src, STREAM_SCHEMA, store, "id", HINGE_FEATURES, "y", STREAM_CFG,
-                      LinearModel.zeros(1, 2), max_files_per_trigger=per_chunk)
+                      LinearModel.zeros(1, 2), max_files_per_trigger=per_chunk,
+                      max_batch_rows=per_chunk * ROWS_PER_FILE)
     return round_model(store.latest())

@@ -33,6 +33,9 @@ class OnlineUpdate:
     features: Sequence[str] | str
     label: str
     cfg: SGDConfig
+    # known upper bound on a micro-batch's rows (e.g. files per trigger x rows per
+    # file): shards are sized from it and the batch is read once, without a count
+    max_batch_rows: int | None = None
 
     # (epoch, model) last written by this process: saves re-reading the store
     # on every micro-batch; after a restart the store is read once.
@@ -47,14 +50,18 @@ class OnlineUpdate:
             if last is not None and last >= epoch:
                 return  # replay of a batch that is already folded in
             model = LinearModel.from_table(self.store.latest())
-        # the micro-batch is read twice (row count for the shard bound, then the fold)
-        held = batch.persist(StorageLevel.MEMORY_AND_DISK_DESER)
-        try:
-            n = held.count()
-            new, _, _ = sgd_pass(held, self.id_col, self.features, self.label, self.cfg, model, epoch,
-                                 n_rows=n)
-        finally:
-            held.unpersist()
+        if self.max_batch_rows is not None:
+            new, _, _ = sgd_pass(batch, self.id_col, self.features, self.label, self.cfg, model, epoch,
+                                 n_rows=self.max_batch_rows)
+        else:
+            # the micro-batch is read twice (row count for the shard bound, then the fold)
+            held = batch.persist(StorageLevel.MEMORY_AND_DISK_DESER)
+            try:
+                n = held.count()
+                new, _, _ = sgd_pass(held, self.id_col, self.features, self.label, self.cfg, model,
+                                     epoch, n_rows=n)
+            finally:
+                held.unpersist()
         self.store.write(new.to_table(batch.sparkSession), epoch, check=False)
         self._current = (epoch, new)
 
@@ -62,8 +69,9 @@ class OnlineUpdate:
 def run_online_update(spark: SparkSession, source: str, schema: T.StructType, store: ModelStore,
                       id_col: str, features: Sequence[str] | str, label: str, cfg: SGDConfig,
                       init: LinearModel, checkpoint: str | None = None,
-                      max_files_per_trigger: int = 1) -> ModelStore:
-    """Fold every file available under ``source`` into the stored model, then stop."""
+                      max_files_per_trigger: int = 1, max_batch_rows: int | None = None) -> ModelStore:
+    """Fold every file available under ``source`` into the stored model, then stop.
+    ``max_batch_rows``: a known bound on rows per micro-batch (skips a count per batch)."""
     if store.last_epoch() is None:
         store.write(init.to_table(spark), 0)
     stream = (spark.readStream.schema(schema)
@@ -72,7 +80,7 @@ def run_online_update(spark: SparkSession, source: str, schema: T.StructType, st
     q = (stream.writeStream
          .trigger(availableNow=True)
          .option("checkpointLocation", checkpoint or scratch_path(spark, "stream-ckpt"))
-         .foreachBatch(OnlineUpdate(store, id_col, features, label, cfg))
+         .foreachBatch(OnlineUpdate(store, id_col, features, label, cfg, max_batch_rows))
          .start())
     q.awaitTermination()
     if q.exception() is not None:
@@ -86,8 +94,11 @@ def chunk_column(id_col: str, lo: int, hi: int, n_chunks: int):
     return F.expr(f"CAST((({id_col} - {lo}) * {n_chunks}) div {span} AS INT)")
 
 
+ROWS_PER_FILE = 1_000_000
+
+
 def write_stream_chunks(rows: DataFrame, path: str, id_col: str, n_chunks: int,
-                        rows_per_file: int = 1_000_000) -> tuple[int, int, int]:
+                        rows_per_file: int = ROWS_PER_FILE) -> tuple[int, int, int]:
     """Append ``rows`` to ``path`` as ``n_chunks`` id-range chunks, oldest first.
 
     Every chunk is its own write job of exactly ``k`` files (round-robin, at most
