@@ -16,9 +16,9 @@ ORACLES = E.oracle_sql()
 def _canon(cols, rows):
     order = sorted(range(len(cols)), key=lambda i: cols[i])
 
-    def norm(v):
-        if isinstance(v, float):
-            return "nan" if math.isnan(v) else round(v, 9)
+    def norm(v):  # exact: both sides round identically; only NaN needs care
+        if isinstance(v, float) and math.isnan(v):
+            return "nan"
         return v
 
     out = sorted((tuple(norm(r[i]) for i in order) for r in rows),
