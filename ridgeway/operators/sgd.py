@@ -2,7 +2,7 @@
 
 Plan of one epoch::
 
-    prepared (shard = pmod(id, S); placed by repartitionById on pmod(shard, P),
+    prepared (shard = scrambled id mod S; placed by repartitionById on pmod(shard, P),
               P = min(S, max(cores, ceil(rows / 1M))) tasks unless max_partitions
               is given; shuffled ONCE and persisted for all epochs)
       -> sortWithinPartitions(shard, order(id, epoch), id)   [local sort, no shuffle]
@@ -16,8 +16,9 @@ answer depends on the shard count and never on the cluster's partitioning.
 The stop test (||new - old|| < tol) is applied after adopting the new model.
 
 S = max(shards, ceil(rows / rows_per_shard)): the configured count on small
-inputs, and bounded shards (never bigger ones) as the input grows.  Rows of a
-hot key cannot pile up: shards are assigned by the unique row id.
+inputs, and bounded shards (never bigger ones) as the input grows.  Rows cannot
+pile up in a shard: shards come from the unique row id, scrambled by an integer
+rule before the modulo, so even strided ids spread evenly.
 """
 
 from __future__ import annotations
@@ -42,6 +43,13 @@ ORDER_ROW_MULT = 7919
 ORDER_EPOCH_MULT = 104729
 ORDER_MOD = 1000003
 
+# Integer rule assigning a row id to a shard, scrambled before the
+# modulo so that structured ids (strides, multiples of S) still spread evenly;
+# pmod(id, SHARD_MOD) first keeps every product inside int64 for any long id.
+SHARD_MULT = 1327217885
+SHARD_ADD = 3
+SHARD_MOD = 2147483647
+
 # Trainer defaults of the reference programs.
 HINGE_DEFAULTS = dict(kind="hinge", alpha=0.01, l2=1.0, max_iter=20, tol=1e-3)
 HINGE_ETA_DEFAULTS = dict(kind="hinge", alpha=0.1, l2=1.0, max_iter=300, tol=1e-3)
@@ -99,6 +107,14 @@ class SGDResult:
         return spark.createDataFrame(self.history, HISTORY_SCHEMA)
 
 
+def shard_key(id_col: Column, shards: int) -> Column:
+    """Shard of a row: pmod(pmod(pmod(id, M) * 1327217885 + 3, M), S), M = 2^31 - 1
+    (products stay below 2.9e18, inside int64)."""
+    scrambled = F.pmod(F.pmod(id_col, F.lit(SHARD_MOD)) * F.lit(SHARD_MULT) + F.lit(SHARD_ADD),
+                       F.lit(SHARD_MOD))
+    return F.pmod(scrambled, F.lit(shards)).cast("int")
+
+
 def order_key(id_col: Column, epoch: int) -> Column:
     return F.pmod(id_col * F.lit(ORDER_ROW_MULT) + F.lit(int(epoch) * ORDER_EPOCH_MULT),
                   F.lit(ORDER_MOD))
@@ -111,7 +127,7 @@ def prepare_shards(rows: DataFrame, id_col: str, features: Sequence[str] | str,
     feats = (F.col(features) if isinstance(features, str)
              else F.array(*[F.col(c) for c in features])).cast("array<double>")
     P = shards if max_partitions is None else max(1, min(shards, max_partitions))
-    out = rows.select(F.pmod(F.col(id_col), F.lit(shards)).cast("int").alias("shard"),
+    out = rows.select(shard_key(F.col(id_col).cast("long"), shards).alias("shard"),
                       F.col(id_col).cast("long").alias("id"),
                       feats.alias("features"),
                       F.col(label).cast("double").alias("label"))

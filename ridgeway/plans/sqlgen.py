@@ -156,6 +156,14 @@ def pmod_sql(expr: str, m: int) -> str:
     return f"((({expr}) % {m} + {m}) % {m})"
 
 
+SHARD_MULT, SHARD_ADD, SHARD_MOD = 1327217885, 3, 2147483647
+
+
+def shard_sql(id_expr: str, shards: int) -> str:
+    inner = pmod_sql(f"{pmod_sql(id_expr, SHARD_MOD)} * {SHARD_MULT} + {SHARD_ADD}", SHARD_MOD)
+    return pmod_sql(inner, shards)
+
+
 def order_sql(epoch: int, order: str) -> str:
     if order == "id":
         return "id"
@@ -305,7 +313,7 @@ def sgd_chain_sql(rows_sql: str, st, shards: int, epochs: int, tol: float, order
     state = ", ".join(st.state)
     rc = st.row_cols()
     chunk = f", {chunk_expr} AS chunk" if chunk_expr else ""
-    parts = [f"rows AS (SELECT {', '.join(rc)}, CAST({pmod_sql('id', shards)} AS INTEGER) AS shard, id{chunk} "
+    parts = [f"rows AS (SELECT {', '.join(rc)}, CAST({shard_sql('id', shards)} AS INTEGER) AS shard, id{chunk} "
              f"FROM ({rows_sql}) src)",
              f"model_0 AS (SELECT 0 AS epoch, {state}, 0::BIGINT AS n_rows, 0.0::DOUBLE AS loss_sum, "
              f"NULL::DOUBLE AS delta, false AS stopped FROM ({init_sql}) i)"]

@@ -49,6 +49,12 @@ def test_linear_gd_reaches_least_squares(spark):
     assert res.model.intercept[0] == pytest.approx(lr.intercept, abs=2e-3)
 
 
+def shard_of(ids, S):
+    """The shard rule, recomputed in numpy."""
+    M = 2147483647
+    return (((ids % M) * 1327217885 + 3) % M) % S
+
+
 def _local_rows(spark):
     pdf = hinge_rows(spark, SF_SMALL).orderBy("id").toPandas()
     return pdf[HINGE_FEATURES].to_numpy(), pdf["y"].to_numpy(), pdf["id"].to_numpy()
@@ -72,7 +78,7 @@ def test_shards_average_unweighted_with_empty_shards(spark):
     res = train_sgd(hinge_rows(spark, SF_SMALL), "id", HINGE_FEATURES, "y", cfg, init=init)
     total_w, total_b = np.zeros(2), 0.0
     for s in range(S):
-        sel = (ids % S) == s
+        sel = shard_of(ids, S) == s
         st = ShardState(init.coef, init.intercept)
         fold_hinge(st, X[sel], y[sel], 0.01, 1.0, True)
         total_w += st.coef[0]
@@ -176,7 +182,7 @@ def test_hash_order_epochs_match_numpy_replay(spark):
         key = (ids * 7919 + e * 104729) % 1000003
         total_w, total_b = np.zeros(2), 0.0
         for s in range(S):
-            sel = np.flatnonzero(ids % S == s)
+            sel = np.flatnonzero(shard_of(ids, S) == s)
             sel = sel[np.lexsort((ids[sel], key[sel]))]
             st = ShardState(model.coef, model.intercept)
             fold_hinge(st, X[sel], y[sel], alpha, l2, True)
@@ -257,3 +263,11 @@ def test_resume_after_a_crash_between_model_and_history(spark):
     res = train_gd(rows, LIN_FEATURES, "y", cfg, log=log)
     np.testing.assert_allclose(res.model.vector(), full.model.vector(), rtol=1e-12, atol=1e-15)
     assert log.models.read_epoch(3).count() == 4
+
+
+def test_strided_ids_still_fill_every_shard(spark):
+    from ridgeway.operators.sgd import prepare_shards
+    rows = hinge_rows(spark, SF_SMALL).withColumn("id", F.col("id") * F.lit(8))  # all ids = 0 mod 8
+    counts = {r["shard"]: r["count"] for r in
+              prepare_shards(rows, "id", HINGE_FEATURES, "y", 8).groupBy("shard").count().collect()}
+    assert len(counts) == 8 and max(counts.values()) < 3 * 150 / 8
