@@ -141,3 +141,14 @@ def test_first_n_by_is_exact(spark, n):
     got = sorted(r["id"] for r in first_n_by(rows, "id", n, accuracy=100, slack=1.5).collect())
     want = sorted(r["id"] for r in rows.orderBy("id").limit(n).collect())
     assert got == want
+
+
+def test_blob_points_fall_in_their_class_boxes(spark):
+    from ridgeway.sources.blobs import THREE_BLOBS, blob_table
+    from ridgeway.sources.tables import hinge_rows
+    pts = blob_table(hinge_rows(spark, SF_SMALL).select("id"), "id", THREE_BLOBS).toPandas()
+    assert set(pts["y"]) == {0.0, 1.0, 2.0}
+    for scale, offset, label in THREE_BLOBS:
+        sel = pts[pts["y"] == label]
+        for c in ("x1", "x2"):
+            assert (sel[c] >= offset).all() and (sel[c] < offset + scale).all()
