@@ -46,3 +46,18 @@ def test_sgd_and_score_jobs(spark):
     hs = scratch_path(spark, "cli-hscored")
     main(["score", "--model", hm, "--input", cust, "--features", *HINGE_FEATURES, "--output", hs])
     assert "score" in spark.read.parquet(hs).columns
+
+
+def test_gd_job_resumes_from_its_log(spark):
+    rows_path = scratch_path(spark, "cli-log-rows")
+    write_labelled_text(log_rows(spark, SF_SMALL), rows_path, "y", ["x1", "x2", "x3"], ",")
+    log = scratch_path(spark, "cli-log")
+    base = ["gd", "--loss", "logistic", "--input", rows_path, "--n-features", "3", "--sep", ",",
+            "--lr", "0.5", "--tol", "1e-4", "--log", log, "--format", "record"]
+    main(base + ["--max-epochs", "3", "--output", scratch_path(spark, "cli-log-out1")])
+    out = scratch_path(spark, "cli-log-out2")
+    main(base + ["--max-epochs", "7", "--output", out])
+    got = LinearModel.from_table(read_weight_record(spark, out)).vector()
+    want = train_gd(log_rows(spark, SF_SMALL), ["x1", "x2", "x3"], "y",
+                    GDConfig(loss="logistic", lr=0.5, tol=1e-4, max_epochs=7)).model.vector()
+    np.testing.assert_allclose(got, want, rtol=1e-10, atol=1e-13)
