@@ -152,3 +152,17 @@ def test_blob_points_fall_in_their_class_boxes(spark):
         sel = pts[pts["y"] == label]
         for c in ("x1", "x2"):
             assert (sel[c] >= offset).all() and (sel[c] < offset + scale).all()
+
+
+def test_model_size_guards_raise_instead_of_truncating(spark, monkeypatch):
+    import ridgeway.model as model_mod
+    table = LinearModel.zeros(2, 3).to_table(spark)          # 8 cells
+    monkeypatch.setattr(model_mod, "MAX_MODEL_CELLS", 5)
+    with pytest.raises(ValueError, match="limit"):
+        LinearModel.from_table(table)
+    with pytest.raises(ValueError, match="too large"):
+        LinearModel.zeros(2, 3).to_table(spark)
+    sparse = table.filter("feature_idx <> 2")
+    monkeypatch.setattr(model_mod, "MAX_MODEL_CELLS", 100)
+    with pytest.raises(ValueError, match="not dense"):
+        LinearModel.from_table(sparse)
