@@ -70,11 +70,12 @@ def fold_multiclass_hinge(st: ShardState, X: np.ndarray, y: np.ndarray, alpha: f
     W, b = st.coef, st.intercept
     upd = np.empty_like(W)
     dec = np.empty_like(W)
+    s = np.empty(W.shape[0])
     loss = st.loss_sum
     for i in range(len(y)):
         x = X[i]
         yi = int(y[i])
-        s = W @ x
+        np.dot(W, x, out=s)
         s += b
         m = s - s[yi]
         m += 1.0
@@ -103,11 +104,12 @@ def fold_softmax(st: ShardState, X: np.ndarray, y: np.ndarray, alpha: float, l2:
     W, b = st.coef, st.intercept
     upd = np.empty_like(W)
     dec = np.empty_like(W)
+    s = np.empty(W.shape[0])
     loss = st.loss_sum
     for i in range(len(y)):
         x = X[i]
         yi = int(y[i])
-        s = W @ x
+        np.dot(W, x, out=s)
         s += b
         mx = s.max()
         e = np.exp(s - mx)
