@@ -30,22 +30,13 @@ def _session(args) -> SparkSession:
 
 
 def _read_model(spark: SparkSession, path: str, fmt: str):
-    from ridgeway.sources.text import read_weight_lines, read_weight_record
-    if fmt == "lines":
-        return read_weight_lines(spark, path)
-    if fmt == "record":
-        return read_weight_record(spark, path)
-    return spark.read.parquet(path).select("class_idx", "feature_idx", "weight")
+    from ridgeway.sources.model_io import read_model
+    return read_model(spark, path, fmt)
 
 
 def _write_model(df, path: str, fmt: str) -> None:
-    from ridgeway.sources.text import write_weight_lines, write_weight_record
-    if fmt == "lines":
-        write_weight_lines(df, path)
-    elif fmt == "record":
-        write_weight_record(df, path)
-    else:
-        df.coalesce(1).write.mode("errorifexists").parquet(path)  # model-sized
+    from ridgeway.sources.model_io import write_model
+    write_model(df, path, fmt)
 
 
 def _log(spark: SparkSession, args):

@@ -16,6 +16,7 @@ _EXPORTS = {
     "log_rows": "ridgeway.sources.tables",
     "parse_weight_record": "ridgeway.sources.text",
     "read_csv_rows": "ridgeway.sources.text",
+    "read_model": "ridgeway.sources.model_io",
     "read_labelled_text": "ridgeway.sources.text",
     "read_table": "ridgeway.sources.tables",
     "read_tsv_rows": "ridgeway.sources.text",
@@ -25,6 +26,7 @@ _EXPORTS = {
     "union_class_tables": "ridgeway.sources.blobs",
     "weight_record_line": "ridgeway.sources.text",
     "write_labelled_text": "ridgeway.sources.text",
+    "write_model": "ridgeway.sources.model_io",
     "write_weight_lines": "ridgeway.sources.text",
     "write_weight_record": "ridgeway.sources.text",
 }

@@ -166,3 +166,12 @@ def test_model_size_guards_raise_instead_of_truncating(spark, monkeypatch):
     monkeypatch.setattr(model_mod, "MAX_MODEL_CELLS", 100)
     with pytest.raises(ValueError, match="not dense"):
         LinearModel.from_table(sparse)
+
+
+@pytest.mark.parametrize("fmt", ["lines", "record", "parquet"])
+def test_model_round_trips_in_every_format(spark, fmt):
+    from ridgeway.sources import read_model, write_model
+    m = LinearModel.from_vector([0.5, -1.25, 3e-9, 7.0])
+    path = scratch_path(spark, f"model-{fmt}")
+    write_model(m.to_table(spark), path, fmt)
+    np.testing.assert_array_equal(LinearModel.from_table(read_model(spark, path, fmt)).vector(), m.vector())
