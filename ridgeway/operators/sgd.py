@@ -253,7 +253,8 @@ def _scan_stats(rows: DataFrame, features: Sequence[str] | str, label: str,
     """(rows, K, d) in one aggregate; K = distinct labels (1 for binary hinge)."""
     aggs = [F.count(F.lit(1)).alias("n")]
     if need_shape:
-        aggs += [F.countDistinct(label).alias("k"), F.max(label).alias("ymax")]
+        if kind != "hinge":  # binary models have K = 1; no distinct count needed
+            aggs += [F.countDistinct(label).alias("k"), F.max(label).alias("ymax")]
         if isinstance(features, str):
             aggs += [F.min(F.size(features)).alias("dmin"), F.max(F.size(features)).alias("dmax")]
     r = rows.agg(*aggs).collect()[0]
