@@ -42,9 +42,11 @@ class _SGDEstimator:
         return SGDConfig(kind=self.kind, alpha=self.alpha, l2=self.l, fit_intercept=self.fit_intercept,
                          shards=self.shards, max_iter=max_iter, tol=tol, order=order)
 
-    def fit(self, df: DataFrame) -> "_SGDEstimator":
+    def fit(self, df: DataFrame, log=None) -> "_SGDEstimator":
+        """``log``: an optional TrainingLog; a restarted fit continues after its last epoch."""
         tol = self.tol if self.shards > 1 else -1.0  # the single-machine loop has no stop test
-        res = train_sgd(df, self.id_col, self.features, self.label, self._cfg(self.max_iter, tol, self.order))
+        res = train_sgd(df, self.id_col, self.features, self.label, self._cfg(self.max_iter, tol, self.order),
+                        log=log)
         self.model, self.history = res.model, res.history
         self._passes = len(res.history)
         return self
@@ -125,8 +127,10 @@ class _GDEstimator:
         self.model: LinearModel | None = None
         self.history: list[tuple] = []
 
-    def fit(self, df: DataFrame, init: LinearModel | Sequence[float] | None = None) -> "_GDEstimator":
-        res = train_gd(df, self.features, self.label, self.cfg, init=init)
+    def fit(self, df: DataFrame, init: LinearModel | Sequence[float] | None = None,
+            log=None) -> "_GDEstimator":
+        """``log``: an optional TrainingLog; a restarted fit continues after its last epoch."""
+        res = train_gd(df, self.features, self.label, self.cfg, init=init, log=log)
         self.model, self.history = res.model, res.history
         return self
 
