@@ -49,3 +49,14 @@ def test_gd_estimators(spark):
     log = LogisticRegressionGD(LIN_FEATURES, lr=0.2, tol=1e-4).fit(log_rows(spark, SF_SMALL))
     p = log.predict_proba(log_rows(spark, SF_SMALL)).agg(F.min("prob"), F.max("prob")).first()
     assert 0.0 < p[0] <= p[1] < 1.0
+
+
+def test_estimator_fit_resumes_from_a_log(spark):
+    from ridgeway.session import scratch_path
+    from ridgeway.sources.training_log import TrainingLog
+    rows = hinge_rows(spark, SF_SMALL)
+    full = SVM(alpha=0.01, n_epochs=4, shards=3).fit(rows)
+    log = TrainingLog(spark, scratch_path(spark, "svm-log"))
+    SVM(alpha=0.01, n_epochs=2, shards=3).fit(rows, log=log)
+    resumed = SVM(alpha=0.01, n_epochs=4, shards=3).fit(rows, log=log)
+    np.testing.assert_allclose(resumed.model.flat(), full.model.flat(), rtol=1e-12, atol=1e-15)
