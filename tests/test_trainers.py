@@ -271,3 +271,11 @@ def test_strided_ids_still_fill_every_shard(spark):
     counts = {r["shard"]: r["count"] for r in
               prepare_shards(rows, "id", HINGE_FEATURES, "y", 8).groupBy("shard").count().collect()}
     assert len(counts) == 8 and max(counts.values()) < 3 * 150 / 8
+
+
+def test_grouped_rows_with_checkpoint_materialisation(spark):
+    rows = log_rows(spark, SF_SMALL)
+    kw = dict(loss="logistic", lr=0.3, tol=1e-5, max_epochs=10, method="direct")
+    a = train_gd(rows, LIN_FEATURES, "y", GDConfig(compress="never", **kw))
+    b = train_gd(rows, LIN_FEATURES, "y", GDConfig(compress="always", materialize="checkpoint", **kw))
+    np.testing.assert_allclose(a.model.vector(), b.model.vector(), rtol=1e-10, atol=1e-13)
