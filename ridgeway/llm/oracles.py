@@ -44,3 +44,17 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, c
   sha256(coalesce(ids, '')) AS items_sha256, (coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w)) AS contaminated
 FROM d LEFT JOIN marked USING (rid) LEFT JOIN items USING (rid)
 """
+
+WARC = r"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS payload FROM pages),
+h AS (SELECT page_id, octet_length(encode(payload)) AS bytes, sha1(payload) AS hex FROM p),
+coded AS (
+  SELECT page_id, bytes, hex,
+    array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((('0x' || substr(hex, 1 + 5 * (i // 4), 5))::BIGINT >> (15 - 5 * (i % 4))) & 31)::INT, 1)
+      FOR i IN range(32)], '') AS digest FROM h),
+firsts AS (SELECT *, min(page_id) OVER (PARTITION BY hex) AS first FROM coded)
+SELECT page_id, bytes::BIGINT AS payload_bytes, digest AS payload_digest,
+  CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> first THEN first END AS refers_to
+FROM firsts
+"""

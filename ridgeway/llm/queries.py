@@ -3,10 +3,14 @@ parameters to whole tables and derives the digest columns from the operator's ou
 
 from __future__ import annotations
 
+import hashlib
+
+import public_tokenizers
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ridgeway.llm import chat_format, decontaminate, divergence, oracles, secrets
+from ridgeway.llm import bpe_stream, chat_format, decontaminate, divergence, oracles, secrets, token_arrow, warc
 
 QUERIES = {}
 ORACLES = {}
@@ -44,6 +48,14 @@ def op2_chat_format(spark, sf_dir):
                        F.char_length("formatted").cast("long").alias("formatted_chars"))
 
 
+@query("op3_warc_normaliser", oracles.WARC)
+def op3_warc_normaliser(spark, sf_dir):
+    manifest, folder = warc.write(table(spark, sf_dir, "pages"))
+    back = warc.read(warc.normalise(manifest, folder), folder)
+    return back.select(F.col("page_id").cast("long").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+                       F.col("refers_to").cast("long").alias("refers_to"))
+
+
 @query("op5_distribution_divergence")
 def op5_distribution_divergence(spark, sf_dir):
     return divergence.score(table(spark, sf_dir, "documents"))
@@ -65,3 +77,26 @@ def op8_benchmark_decontamination(spark, sf_dir):
     return found.select("doc_id", "n_words", F.size("hit_words").cast("long").alias("n_hit"),
                         F.size("item_ids").cast("long").alias("n_items"),
                         hex_sha256(F.array_join("item_ids", ",")).alias("items_sha256"), "contaminated")
+
+
+def bpe_digests(batch):
+    """Digest columns of a batch of encoded documents (id, ids, decoded)."""
+    ids, decoded = batch.column("ids"), batch.column("decoded")
+    sha = lambda b: hashlib.sha256(b).hexdigest()
+    return pa.RecordBatch.from_arrays(
+        [batch.column("id"), ids.value_lengths().cast(pa.int64()),
+         pa.array([sha(" ".join(map(str, x.values.to_pylist())).encode()) for x in ids], pa.string()),
+         pa.array([sha(x.as_py().encode()) for x in decoded], pa.string())],
+        names=["id", "n_tokens", "ids_sha256", "decoded_sha256"])
+
+
+@query("op9_streaming_bpe")
+def op9_streaming_bpe(spark, sf_dir):
+    return bpe_stream.encode(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"),
+                             digest=bpe_digests, digest_schema="n_tokens long, ids_sha256 string, decoded_sha256 string")
+
+
+@query("op10_token_arrow")
+def op10_token_arrow(spark, sf_dir):
+    index, folder = token_arrow.write(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
+    return token_arrow.read(index, folder, digest=token_arrow.crc32, digest_schema="ids_crc32")
