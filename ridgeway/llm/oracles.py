@@ -58,3 +58,20 @@ SELECT page_id, bytes::BIGINT AS payload_bytes, digest AS payload_digest,
   CASE WHEN page_id <> first THEN first END AS refers_to
 FROM firsts
 """
+
+NEAR_DEDUP = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w FROM documents),
+sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct([array_to_string(list_slice(w, i, i + 3), ' ') FOR i IN range(1, len(w) - 2)]) END AS s FROM d),
+grams AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM sets),
+links AS (
+  SELECT a.doc_id AS x, b.doc_id AS y FROM grams a JOIN grams b ON a.g = b.g AND a.doc_id <> b.doc_id
+    AND 5 * least(a.n, b.n) >= 4 * greatest(a.n, b.n)
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+reach AS (SELECT doc_id AS x, doc_id AS y FROM documents UNION SELECT reach.x, links.y FROM reach JOIN links ON reach.y = links.x)
+SELECT doc_id, len(s)::BIGINT AS n_shingles, low AS component_id, doc_id = low AS kept
+FROM sets JOIN (SELECT x, min(y) AS low FROM reach GROUP BY x) ON x = doc_id
+"""

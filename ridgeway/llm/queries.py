@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ridgeway.llm import bpe_stream, chat_format, decontaminate, divergence, oracles, secrets, token_arrow, warc
+from ridgeway.llm import bpe_stream, chat_format, decontaminate, divergence, near_dedup, oracles, secrets, token_arrow, warc
 
 QUERIES = {}
 ORACLES = {}
@@ -56,6 +56,11 @@ def op3_warc_normaliser(spark, sf_dir):
                        F.col("refers_to").cast("long").alias("refers_to"))
 
 
+@query("op4_chosen_path_dedup", oracles.NEAR_DEDUP)
+def op4_chosen_path_dedup(spark, sf_dir):
+    return near_dedup.deduplicate(table(spark, sf_dir, "documents"))
+
+
 @query("op5_distribution_divergence")
 def op5_distribution_divergence(spark, sf_dir):
     return divergence.score(table(spark, sf_dir, "documents"))
