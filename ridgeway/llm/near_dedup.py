@@ -87,7 +87,7 @@ def shingles(text: bytes, words: int = 4) -> np.ndarray:
     n = min(words, len(w))
     if not n:
         return w
-    total = np.full(len(w) - n + 1, _U(n) * _BASE, dtype=_U)
+    total = np.full(len(w) - n + 1, n, dtype=_U) * _BASE
     for k in range(n):
         total += w[k:len(w) - n + 1 + k] * _PLACES[k % 64]
     return np.unique(mix64(total))

@@ -4,13 +4,14 @@ parameters to whole tables and derives the digest columns from the operator's ou
 from __future__ import annotations
 
 import hashlib
+from functools import lru_cache
 
 import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ridgeway.llm import bpe_stream, chat_format, decontaminate, divergence, near_dedup, oracles, secrets, token_arrow, warc
+from ridgeway.llm import bpe_stream, chat_format, decontaminate, divergence, html_crf, html_samples, near_dedup, oracles, quality_rff, secrets, token_arrow, warc
 
 QUERIES = {}
 ORACLES = {}
@@ -33,6 +34,12 @@ def hex_sha256(text) -> F.Column:
     return F.sha2(text.cast("binary"), 256)
 
 
+@query("op1_rff_quality")
+def op1_rff_quality(spark, sf_dir):
+    features = quality_rff.featurise(table(spark, sf_dir, "documents"))
+    return quality_rff.score(features, quality_rff.fit(features, table(spark, sf_dir, "labels")))
+
+
 @query("op2_chat_format", oracles.CHAT_FORMAT)
 def op2_chat_format(spark, sf_dir):
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -76,6 +83,17 @@ def op6_markov_secrets(spark, sf_dir):
                         secrets.spans_text(F.col("spans")).alias("spans"))
 
 
+@lru_cache(maxsize=1)
+def block_model():
+    """Trained once per driver; the training pages are made by rule."""
+    return html_crf.train(html_samples.labelled_pages())
+
+
+@query("op7_html_crf")
+def op7_html_crf(spark, sf_dir):
+    return html_crf.extract(table(spark, sf_dir, "pages"), block_model())
+
+
 @query("op8_benchmark_decontamination", oracles.DECONTAMINATION)
 def op8_benchmark_decontamination(spark, sf_dir):
     found = decontaminate.scan(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
