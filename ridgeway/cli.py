@@ -48,15 +48,16 @@ def _log(spark: SparkSession, args):
 
 def cmd_gd(args) -> None:
     from ridgeway.model import LinearModel
-    from ridgeway.operators.gd import GDConfig, train_gd
+    from ridgeway.operators.gd import LINEAR_DEFAULTS, LINEAR_L2_DEFAULTS, LOGISTIC_DEFAULTS, GDConfig, train_gd
     from ridgeway.sources.text import read_labelled_text
     spark = _session(args)
     rows = read_labelled_text(spark, args.input, args.n_features, args.sep)
     init = None
     if args.init_weights:
         init = LinearModel.from_table(_read_model(spark, args.init_weights, args.init_format))
-    cfg = GDConfig(loss=args.loss, lr=args.lr, l2=args.l2, tol=args.tol, max_epochs=args.max_epochs,
-                   materialize=args.materialize)
+    given = {k: v for k, v in (("lr", args.lr), ("l2", args.l2), ("tol", args.tol)) if v is not None}
+    base = LOGISTIC_DEFAULTS if args.loss == "logistic" else LINEAR_L2_DEFAULTS if args.l2 else LINEAR_DEFAULTS
+    cfg = GDConfig(**{**base, **given}, max_epochs=args.max_epochs, materialize=args.materialize)
     features = [f"x{i}" for i in range(1, args.n_features + 1)]
     res = train_gd(rows, features, "y", cfg, init=init, log=_log(spark, args),
                    on_epoch=lambda h: print(f"epoch {h[0]} loss {h[2]:.10g} stopped {h[4]}", file=sys.stderr))
@@ -67,15 +68,16 @@ def cmd_gd(args) -> None:
 
 def cmd_sgd(args) -> None:
     from ridgeway.model import LinearModel
-    from ridgeway.operators.sgd import SGDConfig, train_sgd
+    from ridgeway.operators.sgd import HINGE_DEFAULTS, MULTICLASS_HINGE_DEFAULTS, SOFTMAX_DEFAULTS, SGDConfig, train_sgd
     spark = _session(args)
     rows = spark.read.parquet(args.input)
     features = args.features if len(args.features) > 1 else args.features[0]
     init = LinearModel.from_table(_read_model(spark, args.init_weights, args.init_format)) \
         if args.init_weights else None
-    cfg = SGDConfig(kind=args.kind, alpha=args.alpha, l2=args.l, shards=args.shards,
-                    max_iter=args.max_iter, tol=args.tol, materialize=args.materialize,
-                    fit_intercept=not args.no_intercept)
+    base = {"hinge": HINGE_DEFAULTS, "multiclass_hinge": MULTICLASS_HINGE_DEFAULTS, "softmax": SOFTMAX_DEFAULTS}[args.kind]
+    given = {k: v for k, v in (("alpha", args.alpha), ("l2", args.l), ("max_iter", args.max_iter), ("tol", args.tol)) if v is not None}
+    cfg = SGDConfig(**{**base, **given}, shards=args.shards, rows_per_shard=args.rows_per_shard,
+                    materialize=args.materialize, fit_intercept=not args.no_intercept)
     res = train_sgd(rows, args.id_col, features, args.label, cfg, init=init, log=_log(spark, args),
                     on_epoch=lambda h: print(f"epoch {h[0]} delta {h[3]:.10g}", file=sys.stderr))
     _write_model(res.model_table(spark), args.output, args.format)
@@ -116,9 +118,9 @@ def main(argv: list[str] | None = None) -> None:
     g.add_argument("--sep", default="\t")
     g.add_argument("--init-weights")
     g.add_argument("--init-format", choices=["lines", "record", "parquet"], default="lines")
-    g.add_argument("--lr", type=float, default=0.001)
-    g.add_argument("--l2", type=float, default=0.0)
-    g.add_argument("--tol", type=float, default=1e-4)
+    g.add_argument("--lr", type=float, help="default: the reference program's, by loss")
+    g.add_argument("--l2", type=float)
+    g.add_argument("--tol", type=float)
     g.add_argument("--max-epochs", type=int, default=100000)
     g.add_argument("--materialize", choices=["persist", "checkpoint", "none"], default="persist")
     g.add_argument("--output", required=True)
@@ -135,11 +137,12 @@ def main(argv: list[str] | None = None) -> None:
     s.add_argument("--label", default="label")
     s.add_argument("--init-weights")
     s.add_argument("--init-format", choices=["lines", "record", "parquet"], default="parquet")
-    s.add_argument("--alpha", type=float, default=0.01)
-    s.add_argument("--l", type=float, default=1.0)
-    s.add_argument("--shards", type=int, default=4)
-    s.add_argument("--max-iter", type=int, default=20)
-    s.add_argument("--tol", type=float, default=1e-3)
+    s.add_argument("--alpha", type=float, help="this, l, max-iter and tol default to the reference program's, by kind")
+    s.add_argument("--l", type=float)
+    s.add_argument("--shards", type=int, help="exactly this many shards (default 4)")
+    s.add_argument("--rows-per-shard", type=int, help="or shards of this many rows")
+    s.add_argument("--max-iter", type=int)
+    s.add_argument("--tol", type=float)
     s.add_argument("--no-intercept", action="store_true")
     s.add_argument("--materialize", choices=["persist", "checkpoint", "none"], default="persist")
     s.add_argument("--output", required=True)

@@ -21,6 +21,7 @@ exactly the same sums, over ~10^4 rows instead of the whole input.  Wide models
 from __future__ import annotations
 
 import math
+import warnings
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
@@ -86,7 +87,12 @@ LOGISTIC_LR02_DEFAULTS = dict(loss="logistic", lr=0.2, tol=1e-4)
 class GDResult:
     model: LinearModel
     history: list[tuple] = field(default_factory=list)
-    models: list[LinearModel] = field(default_factory=list)   # weights after each epoch
+    models: list[LinearModel] = field(default_factory=list)   # weights after each epoch, if kept
+
+    @property
+    def converged(self) -> bool:
+        """Whether the stop test ended the run (else the epoch limit did)."""
+        return bool(self.history) and bool(self.history[-1][4])
 
     def model_table(self, spark: SparkSession) -> DataFrame:
         return self.model.to_table(spark)
@@ -96,24 +102,17 @@ class GDResult:
 
 
 def step(w: np.ndarray, g: np.ndarray, n: int, cfg: GDConfig) -> np.ndarray:
-    out = np.empty_like(w)
     if cfg.loss == "squared":
+        out = w - (2.0 * cfg.lr * g / n + 2.0 * cfg.l2 * w)
         out[0] = w[0] - 2.0 * cfg.lr * g[0] / n
-        for i in range(1, len(w)):
-            out[i] = w[i] - (2.0 * cfg.lr * g[i] / n + 2.0 * cfg.l2 * w[i])
-    else:
-        for i in range(len(w)):
-            out[i] = w[i] - cfg.lr * g[i] / n
-    return out
+        return out
+    return w - cfg.lr * g / n
 
 
 def penalty(w: np.ndarray, cfg: GDConfig) -> float:
     if cfg.loss != "squared" or not cfg.l2:
         return 0.0
-    s = 0.0
-    for i in range(1, len(w)):
-        s += w[i] * w[i]
-    return cfg.l2 * s
+    return cfg.l2 * float(np.sum(w[1:] * w[1:]))
 
 
 def spread(df: DataFrame) -> DataFrame:
@@ -129,8 +128,10 @@ def spread(df: DataFrame) -> DataFrame:
 def train_gd(rows: DataFrame, features: Sequence[str] | str, label: str, cfg: GDConfig,
              init: LinearModel | Sequence[float] | None = None,
              on_epoch: Callable[[tuple], None] | None = None,
-             n_features: int | None = None, log=None) -> GDResult:
-    """Train until the stop test or ``cfg.max_epochs``; ``on_epoch`` gets each history row.
+             n_features: int | None = None, log=None, keep_models: bool = False) -> GDResult:
+    """Train until the stop test or ``cfg.max_epochs`` (with a warning: see
+    ``GDResult.converged``); ``on_epoch`` gets each history row, and ``keep_models`` keeps
+    the model of every epoch.
 
     ``features`` is a list of double columns, or one ``array<double>`` column
     (then ``n_features`` or ``init`` gives d, and the Arrow path is used).
@@ -194,7 +195,7 @@ def train_gd(rows: DataFrame, features: Sequence[str] | str, label: str, cfg: GD
             def evaluate(wv: np.ndarray) -> tuple[int, float, np.ndarray]:
                 r = gradient_stats(src, features, label, list(wv), cfg.loss, weight).collect()[0]
                 if r["n_valid"] != r["n_groups"]:
-                    raise ValueError("NULL in features or label")
+                    raise ValueError("NULL or NaN in features or label")
                 g = np.array([0.0 if r[f"g{i}"] is None else r[f"g{i}"] for i in range(d + 1)])
                 loss_sum = float("nan") if r["loss_sum"] is None else float(r["loss_sum"])
                 return int(r["n_rows"] or 0), loss_sum, g
@@ -220,14 +221,18 @@ def train_gd(rows: DataFrame, features: Sequence[str] | str, label: str, cfg: GD
                 delta = float(np.sqrt(np.sum((w_new - w) ** 2)))
                 result.history.append((epoch, n, float(loss), delta, False))
                 w, prev = w_new, loss
-                result.models.append(LinearModel.from_vector(w))
+                if keep_models:
+                    result.models.append(LinearModel.from_vector(w))
                 logged(result.history[-1])
             else:
                 result.history.append((epoch, n, float(loss), 0.0, True))
-                result.models.append(LinearModel.from_vector(w))
+                if keep_models:
+                    result.models.append(LinearModel.from_vector(w))
                 logged(result.history[-1])
                 break
     finally:
         release(cached)
     result.model = LinearModel.from_vector(w)
+    if not result.converged and cfg.tol >= 0:
+        warnings.warn(f"gradient descent ended at max_epochs={cfg.max_epochs} before its stop test", stacklevel=2)
     return result

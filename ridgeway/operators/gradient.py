@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from ridgeway.functions.linear import linear_predictor, logistic_nll, sigmoid
 from ridgeway.model import MAX_MODEL_CELLS
+from ridgeway.operators.arrow_rows import feature_matrix, labels
 
 LOSSES = ("squared", "logistic")
 
@@ -51,18 +52,19 @@ def gradient_stats(rows: DataFrame, features: Sequence[str], label: str,
 
     ``weight`` names a multiplicity column (rows grouped by identical features and
     label): the sums are the same as over the ungrouped rows.  ``n_valid`` counts
-    the (grouped) rows whose terms are not NULL; ``n_groups`` counts (grouped) rows.
+    the (grouped) rows whose terms are neither NULL nor NaN; ``n_groups`` counts (grouped) rows.
     """
     t = _terms(rows, features, label, w, loss, weight)
     n = F.sum(weight).cast("long") if weight else F.count(F.lit(1))
-    aggs = [n.alias("n_rows"), F.count(F.lit(1)).alias("n_groups"), F.count("diff").alias("n_valid"),
+    aggs = [n.alias("n_rows"), F.count(F.lit(1)).alias("n_groups"), F.count(F.when(F.col("diff").isNotNull() & ~F.isnan("diff"), F.lit(1))).alias("n_valid"),
             F.sum("loss_term").alias("loss_sum"), F.sum("diff").alias("g0")]
     aggs += [F.sum(F.col("diff") * F.col(x)).alias(f"g{i}") for i, x in enumerate(features, 1)]
     return t.agg(*aggs)
 
 
 # A grouped table estimated at most this large is kept in ONE partition, so each
-# epoch's aggregate needs no exchange (one stage).
+# epoch's aggregate needs no exchange (one stage).  The grouping itself runs in as many
+# tasks as any aggregate; only its result moves.
 SINGLE_TASK_ROWS = 100_000
 
 
@@ -74,7 +76,7 @@ def compress_rows(rows: DataFrame, features: Sequence[str], label: str,
     only when they are at most ``max_ratio`` of the rows (or ``force``) is the
     ``groupBy`` run -- map-side combined, so each task ships at most its distinct
     rows.  Returns None when compression would not pay.  A grouped table
-    estimated at <= ``SINGLE_TASK_ROWS`` rows is coalesced to one partition.
+    estimated at <= ``SINGLE_TASK_ROWS`` rows is then moved to one partition.
     """
     k = None
     if not force:
@@ -85,7 +87,7 @@ def compress_rows(rows: DataFrame, features: Sequence[str], label: str,
         k = int(r["k"])
     grouped = rows.groupBy(*features, label).agg(F.count(F.lit(1)).alias(weight))
     if k is not None and k <= SINGLE_TASK_ROWS:
-        grouped = grouped.coalesce(1)
+        grouped = grouped.repartition(1)
     return grouped
 
 
@@ -175,9 +177,9 @@ def gram_stats(rows: DataFrame, features: Sequence[str], label: str) -> dict:
     d = len(features)
     xs = [F.lit(1.0)] + [F.col(c) for c in features]
     y = F.col(label)
-    valid = y.isNotNull()
+    valid = y.isNotNull() & ~F.isnan(y)
     for c in features:
-        valid = valid & F.col(c).isNotNull()
+        valid = valid & F.col(c).isNotNull() & ~F.isnan(c)
     aggs = [F.count(F.lit(1)).alias("n"), F.count(F.when(valid, F.lit(1))).alias("n_valid"),
             F.sum(y * y).alias("q")]
     aggs += [F.sum(xs[i] * y).alias(f"h{i}") for i in range(d + 1)]
@@ -185,7 +187,7 @@ def gram_stats(rows: DataFrame, features: Sequence[str], label: str) -> dict:
     r = rows.select(*features, label).agg(*aggs).collect()[0]
     n = int(r["n"])
     if int(r["n_valid"]) != n:
-        raise ValueError("NULL in features or label")
+        raise ValueError("NULL or NaN in features or label")
     G = np.zeros((d + 1, d + 1))
     for i in range(d + 1):
         for j in range(i, d + 1):
@@ -216,13 +218,7 @@ def _partial_gradient_fn(w: np.ndarray, loss: str):
             m = rb.num_rows
             if m == 0:
                 continue
-            flat = rb.column("f").flatten().to_numpy(zero_copy_only=False)
-            if flat.shape[0] != m * d:
-                raise ValueError(f"feature rows must all have length {d}")
-            X = flat.astype(np.float64, copy=False).reshape(m, d)
-            y = rb.column("y").to_numpy(zero_copy_only=False).astype(np.float64, copy=False)
-            if np.isnan(X).any() or np.isnan(y).any():
-                raise ValueError("NULL or NaN in features or label")
+            X, y = feature_matrix(rb.column("f"), d), labels(rb.column("y"))
             z = X @ coef + b
             if loss == "squared":
                 diff = z - y

@@ -11,7 +11,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -20,6 +19,7 @@ from pyspark.sql import types as T
 from ridgeway.functions.linear import boundary_coordinate, dot_then_bias, linear_predictor
 from ridgeway.functions.multiclass import argmax, class_scores, softmax
 from ridgeway.model import MAX_MODEL_CELLS, LinearModel
+from ridgeway.operators.arrow_rows import feature_matrix
 
 ARROW_CELLS = 256
 
@@ -49,11 +49,7 @@ def _arrow_scores(df: DataFrame, features: str, model: LinearModel, out: str) ->
 
     def run(batches):
         for rb in batches:
-            n = rb.num_rows
-            flat = rb.column(features).flatten().to_numpy(zero_copy_only=False)
-            if flat.shape[0] != n * d:
-                raise ValueError(f"feature rows must all have length {d}")
-            S = flat.astype(np.float64, copy=False).reshape(n, d) @ W.T + b
+            S = feature_matrix(rb.column(features), d) @ W.T + b
             scores = pa.FixedSizeListArray.from_arrays(pa.array(S.reshape(-1)), S.shape[1])
             scores = scores.cast(pa.list_(pa.field("element", pa.float64(), nullable=False)))
             yield pa.RecordBatch.from_arrays(list(rb.columns) + [scores],
@@ -69,7 +65,11 @@ def with_class_scores(df: DataFrame, features: str, model: LinearModel, out: str
         raise ValueError("model too large to ship with the scoring tasks")
     if method == "arrow" or (method == "auto" and cells > ARROW_CELLS):
         return _arrow_scores(df, features, model, out)
-    return df.withColumn(out, class_scores(features, model))
+    # the same checks as the Arrow path makes
+    x = F.col(features)
+    good = x.isNotNull() & (F.size(x) == model.n_features) & F.forall(x, lambda v: v.isNotNull() & ~F.isnan(v))
+    why = F.raise_error(F.lit(f"feature rows must all have length {model.n_features} without NULL or NaN"))
+    return df.withColumn(out, F.when(F.coalesce(good, F.lit(False)), class_scores(features, model)).otherwise(why.cast("array<double>")))
 
 
 def with_probabilities(df: DataFrame, scores: str = "scores", out: str = "probs") -> DataFrame:

@@ -15,15 +15,16 @@ incoming model) / S -- an unweighted mean over exactly S shards, so the
 answer depends on the shard count and never on the cluster's partitioning.
 The stop test (||new - old|| < tol) is applied after adopting the new model.
 
-S = max(shards, ceil(rows / rows_per_shard)): the configured count on small
-inputs, and bounded shards (never bigger ones) as the input grows.  Rows cannot
-pile up in a shard: shards come from the unique row id, scrambled by an integer
+S is either given (``shards``, exact at every size) or follows from the rows
+(``rows_per_shard``: S = ceil(rows / rows_per_shard), at every size); there is no
+third rule.  Rows cannot pile up in a shard: shards come from the unique row id, scrambled by an integer
 rule before the modulo, so even strided ids spread evenly.
 """
 
 from __future__ import annotations
 
 import math
+import warnings
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field, replace
 
@@ -33,15 +34,17 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ridgeway.model import MAX_MODEL_CELLS, LinearModel
+from ridgeway.operators.arrow_rows import feature_matrix, labels
 from ridgeway.operators.folds import FOLDS, KINDS, ShardState
 from ridgeway.operators.materialize import MODES, materialize, release
 from ridgeway.operators.gd import HISTORY_SCHEMA
 
-# Integer rule for the per-epoch row order inside a shard,
-# chosen so that any engine can recompute it exactly.
-ORDER_ROW_MULT = 7919
-ORDER_EPOCH_MULT = 104729
-ORDER_MOD = 1000003
+# Integer rule for the per-epoch row order inside a shard, chosen so
+# that any engine can recompute it exactly: pmod(id, M) * (A^epoch mod M) mod M with
+# M = 2^31 - 1 and a primitive root A.  Another multiplier each epoch makes another order,
+# not a rotation of the last one; products stay inside int64 for any long id.
+ORDER_ROOT = 48271
+ORDER_MOD = 2147483647
 
 # Integer rule assigning a row id to a shard, scrambled before the
 # modulo so that structured ids (strides, multiples of S) still spread evenly;
@@ -56,9 +59,8 @@ HINGE_ETA_DEFAULTS = dict(kind="hinge", alpha=0.1, l2=1.0, max_iter=300, tol=1e-
 MULTICLASS_HINGE_DEFAULTS = dict(kind="multiclass_hinge", alpha=0.01, l2=1e-4, max_iter=250, tol=1e-4)
 SOFTMAX_DEFAULTS = dict(kind="softmax", alpha=0.05, l2=0.0, max_iter=450, tol=1e-4)
 
-# A shard is folded by one task; no shard may hold more rows than this, so on
-# large inputs the shard count grows with the data (deterministically).
-ROWS_PER_SHARD = 1_000_000
+# Rows that one task folds by default (several small shards share a task); plans only.
+ROWS_PER_TASK = 1_000_000
 
 # Below this many (task x cell) values the task vectors are added on the driver
 # (one stage); above it Spark aggregates them (partial sums, then a small collect).
@@ -74,19 +76,23 @@ class SGDConfig:
     alpha: float = 0.01
     l2: float = 1.0
     fit_intercept: bool = True
-    shards: int = 4
+    shards: int | None = None    # exactly this many shards (4 if neither is given) ...
     max_iter: int = 20
     tol: float = 1e-3
-    order: str = "hash"          # hash: (id*7919 + epoch*104729) % 1000003, then id; id: by id
+    order: str = "hash"          # hash: see ORDER_ROOT, then id; id: by id
     materialize: str = "persist"  # persist | checkpoint | none (see operators.materialize)
-    rows_per_shard: int | None = ROWS_PER_SHARD  # None: exactly `shards`, whatever the size
+    rows_per_shard: int | None = None  # ... or ceil(rows / rows_per_shard) shards
     max_partitions: int | None = None  # tasks for the shards; None: auto (see resolve_partitions)
 
     def __post_init__(self) -> None:
         if self.kind not in KINDS:
             raise ValueError(f"kind must be one of {KINDS}")
-        if self.shards < 1:
-            raise ValueError("shards must be >= 1")
+        if self.shards is not None and self.rows_per_shard is not None:
+            raise ValueError("give shards or rows_per_shard, not both")
+        if self.shards is None and self.rows_per_shard is None:
+            self.shards = 4
+        if (self.shards or self.rows_per_shard) < 1:
+            raise ValueError("shards and rows_per_shard must be >= 1")
         if self.order not in ("hash", "id"):
             raise ValueError("order must be hash or id")
         if self.materialize not in MODES:
@@ -97,9 +103,14 @@ class SGDConfig:
 class SGDResult:
     model: LinearModel
     history: list[tuple] = field(default_factory=list)
-    models: list[LinearModel] = field(default_factory=list)
+    models: list[LinearModel] = field(default_factory=list)   # after each epoch, if kept
     shards: int = 0
 
+    @property
+    def converged(self) -> bool:
+        """Whether the stop test ended the run (else the pass limit did)."""
+        return bool(self.history) and bool(self.history[-1][4])
+
     def model_table(self, spark: SparkSession) -> DataFrame:
         return self.model.to_table(spark)
 
@@ -116,8 +127,8 @@ def shard_key(id_col: Column, shards: int) -> Column:
 
 
 def order_key(id_col: Column, epoch: int) -> Column:
-    return F.pmod(id_col * F.lit(ORDER_ROW_MULT) + F.lit(int(epoch) * ORDER_EPOCH_MULT),
-                  F.lit(ORDER_MOD))
+    factor = F.lit(pow(ORDER_ROOT, int(epoch), ORDER_MOD)).cast("long")
+    return F.pmod(F.pmod(id_col, F.lit(ORDER_MOD)) * factor, F.lit(ORDER_MOD))
 
 
 def prepare_shards(rows: DataFrame, id_col: str, features: Sequence[str] | str, label: str,
@@ -160,13 +171,7 @@ def _fold_fn(kind: str, alpha: float, l2: float, fit_intercept: bool,
             if n == 0:
                 continue
             shard = rb.column("shard").to_numpy(zero_copy_only=False)
-            flat = rb.column("features").flatten().to_numpy(zero_copy_only=False)
-            if flat.shape[0] != n * d:
-                raise ValueError(f"feature rows must all have length {d}")
-            X = flat.astype(np.float64, copy=False).reshape(n, d)
-            y = rb.column("label").to_numpy(zero_copy_only=False)
-            if np.isnan(X).any() or np.isnan(y).any():
-                raise ValueError("NULL or NaN in features or label")
+            X, y = feature_matrix(rb.column("features"), d), labels(rb.column("label"))
             cuts = np.flatnonzero(np.diff(shard)) + 1
             for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), n]):
                 s = int(shard[a])
@@ -230,34 +235,43 @@ def run_epoch(prepared: DataFrame, model: LinearModel, epoch: int,
 
 
 def resolve_shards(n_rows: int, cfg: SGDConfig) -> int:
-    """``max(shards, ceil(n_rows / rows_per_shard))``: the configured count on
-    small inputs (the answer the reference gives), more shards -- never bigger
-    ones -- as the input grows."""
+    """``shards`` as given, or ``ceil(n_rows / rows_per_shard)`` (1 for no rows)."""
     if cfg.rows_per_shard is None:
         return cfg.shards
-    return max(cfg.shards, math.ceil(n_rows / cfg.rows_per_shard))
+    return max(1, math.ceil(n_rows / cfg.rows_per_shard))
 
 
 def resolve_partitions(n_rows: int, shards: int, cfg: SGDConfig, slots: int) -> int:
     """Tasks that fold the shards: ``min(shards, max_partitions)`` when given, else
-    ``min(shards, max(slots, ceil(rows / ROWS_PER_SHARD)))`` -- tasks sized by rows,
+    ``min(shards, max(slots, ceil(rows / ROWS_PER_TASK)))`` -- tasks sized by rows,
     at least one per core, never more than shards (tiny shards share a task and
     its Python worker; the task sums their models before the shuffle)."""
     if cfg.max_partitions is not None:
         return max(1, min(shards, cfg.max_partitions))
-    return max(1, min(shards, max(slots, math.ceil(n_rows / ROWS_PER_SHARD))))
+    return max(1, min(shards, max(slots, math.ceil(n_rows / ROWS_PER_TASK))))
 
 
 def _scan_stats(rows: DataFrame, features: Sequence[str] | str, label: str,
-                kind: str, need_shape: bool) -> tuple[int, int | None, int | None]:
-    """(rows, K, d) in one aggregate; K = distinct labels (1 for binary hinge)."""
-    aggs = [F.count(F.lit(1)).alias("n")]
+                kind: str, need_shape: bool, n_classes: int | None = None) -> tuple[int, int | None, int | None]:
+    """(rows, K, d) in one aggregate, which also checks every label; K = distinct labels
+    (1 for binary hinge)."""
+    y = F.col(label).cast("double")
+    aggs = [F.count(F.lit(1)).alias("n"), F.count(y).alias("n_y"), F.min(y).alias("ymin"), F.max(y).alias("ymax"),
+            F.count(F.when(F.abs(y) != 1.0, F.lit(1)) if kind == "hinge" else F.when(y != F.floor(y), F.lit(1))).alias("n_bad")]
     if need_shape:
         if kind != "hinge":  # binary models have K = 1; no distinct count needed
-            aggs += [F.countDistinct(label).alias("k"), F.max(label).alias("ymax")]
+            aggs += [F.countDistinct(label).alias("k")]
         if isinstance(features, str):
             aggs += [F.min(F.size(features)).alias("dmin"), F.max(F.size(features)).alias("dmax")]
     r = rows.agg(*aggs).collect()[0]
+    if r["n_y"] != r["n"]:
+        raise ValueError("NULL or NaN in features or label")
+    if r["n_bad"]:
+        raise ValueError("hinge labels must be -1 or 1" if kind == "hinge" else "class labels must be whole numbers")
+    if kind != "hinge" and r["n"] and r["ymin"] < 0:
+        raise ValueError("class labels must be 0..K-1")
+    if kind != "hinge" and n_classes is not None and r["n"] and r["ymax"] >= n_classes:
+        raise ValueError("class labels must be 0..K-1")
     if not need_shape:
         return int(r["n"]), None, None
     if isinstance(features, str):
@@ -269,7 +283,7 @@ def _scan_stats(rows: DataFrame, features: Sequence[str] | str, label: str,
     if kind == "hinge":
         return int(r["n"]), 1, d
     k = int(r["k"])
-    if r["ymax"] is not None and int(r["ymax"]) >= k:
+    if n_classes is None and r["ymax"] is not None and int(r["ymax"]) >= k:
         raise ValueError("class labels must be 0..K-1")
     return int(r["n"]), k, d
 
@@ -284,8 +298,10 @@ def infer_shape(rows: DataFrame, features: Sequence[str] | str, label: str,
 def train_sgd(rows: DataFrame, id_col: str, features: Sequence[str] | str, label: str,
               cfg: SGDConfig, init: LinearModel | None = None,
               n_classes: int | None = None,
-              on_epoch: Callable[[tuple], None] | None = None, log=None) -> SGDResult:
-    """Averaged passes until ||new - old|| < tol or ``max_iter``; ``on_epoch`` gets each history row.
+              on_epoch: Callable[[tuple], None] | None = None, log=None, keep_models: bool = False) -> SGDResult:
+    """Averaged passes until ||new - old|| < tol or ``max_iter`` (with a warning: see
+    ``SGDResult.converged``); ``on_epoch`` gets each history row, ``keep_models`` keeps the
+    model of every epoch.
 
     ``log`` (a :class:`~ridgeway.sources.training_log.TrainingLog`) records every
     epoch and, when it already holds epochs, the run continues after them.
@@ -296,14 +312,14 @@ def train_sgd(rows: DataFrame, id_col: str, features: Sequence[str] | str, label
         if hist[-1][4] or len(hist) >= cfg.max_iter:   # finished before the restart
             return SGDResult(last_model, list(hist), [], 0)
         init = last_model
-    n, K, d = _scan_stats(rows, features, label, cfg.kind, init is None)
+    n, K, d = _scan_stats(rows, features, label, cfg.kind, init is None, n_classes if init is None else init.n_classes)
     if init is None:
         init = LinearModel.zeros(n_classes or K, d)
     if init.n_classes * (init.n_features + 1) > MAX_MODEL_CELLS:
         raise ValueError("model too large for the averaged-SGD driver loop")
     S = resolve_shards(n, cfg)
     P = resolve_partitions(n, S, cfg, rows.sparkSession.sparkContext.defaultParallelism)
-    run = replace(cfg, shards=S, max_partitions=P)
+    run = replace(cfg, shards=S, rows_per_shard=None, max_partitions=P)
     prepared, held = materialize(prepare_shards(rows, id_col, features, label, S, P), run.materialize)
     model = init.copy()
     if not cfg.fit_intercept:
@@ -319,7 +335,8 @@ def train_sgd(rows: DataFrame, id_col: str, features: Sequence[str] | str, label
             stopped = bool(delta < run.tol)
             mean_loss = loss_sum / n_rows if n_rows else None
             result.history.append((epoch, n_rows, mean_loss, delta, stopped))
-            result.models.append(new)
+            if keep_models:
+                result.models.append(new)
             if log is not None:
                 log.record(result.history[-1], new)
             if on_epoch:
@@ -330,6 +347,8 @@ def train_sgd(rows: DataFrame, id_col: str, features: Sequence[str] | str, label
     finally:
         release(held)
     result.model = model
+    if not result.converged and run.tol > 0 and run.max_iter > 1:
+        warnings.warn(f"averaged SGD ended at max_iter={run.max_iter} before its stop test", stacklevel=2)
     return result
 
 
@@ -338,10 +357,13 @@ def sgd_pass(rows: DataFrame, id_col: str, features: Sequence[str] | str, label:
              n_rows: int | None = None) -> tuple[LinearModel, int, float]:
     """One averaged pass from ``model`` (the online / partial-fit update);
     ``n_rows`` saves a count when the caller already knows it."""
-    n = rows.count() if n_rows is None else n_rows
+    if n_rows is not None:
+        n = n_rows
+    else:
+        n = rows.count() if cfg.rows_per_shard is not None else 0  # exact shards need no count
     S = resolve_shards(n, cfg)
     P = resolve_partitions(n, S, cfg, rows.sparkSession.sparkContext.defaultParallelism)
-    run = replace(cfg, shards=S, max_partitions=P)
+    run = replace(cfg, shards=S, rows_per_shard=None, max_partitions=P)
     prepared = prepare_shards(rows, id_col, features, label, S, P)
     new, n_rows, loss_sum, _ = run_epoch(prepared, model, epoch, run)
     return new, n_rows, loss_sum

@@ -18,14 +18,18 @@ from ridgeway.sources.tables import HINGE_FEATURES, hinge_rows
 # Probe model for the scoring / boundary queries.
 HINGE_PROBE = LinearModel([[0.8, -0.6]], [0.1])
 
+# Rows of a shard in the registered trainers: small and fixed, so the number of shards
+# follows the table at every size.
+SHARD_ROWS = 400
+
 # Registered trainer settings: the reference's binary-SVM constants
 # (alpha .01, l 1, 20 passes, tol .001) and the re-aimed external estimator
 # (step .1, penalty 1, tol .001) with its pass cap lowered to 20.
-SGD_HINGE = SGDConfig(kind="hinge", alpha=0.01, l2=1.0, shards=4, max_iter=20, tol=1e-3)
-SGD_HINGE_ETA = SGDConfig(kind="hinge", alpha=0.1, l2=1.0, shards=4, max_iter=20, tol=1e-3)
-ONE_PASS = SGDConfig(kind="hinge", alpha=0.01, l2=1.0, shards=1, max_iter=1, tol=0.0, order="id")
-AVG_PASS = SGDConfig(kind="hinge", alpha=0.01, l2=1.0, shards=4, max_iter=1, tol=0.0)
-DELTA_RUN = SGDConfig(kind="hinge", alpha=0.01, l2=1.0, shards=4, max_iter=3, tol=0.0)
+SGD_HINGE = SGDConfig(kind="hinge", alpha=0.01, l2=1.0, rows_per_shard=SHARD_ROWS, max_iter=20, tol=1e-3)
+SGD_HINGE_ETA = SGDConfig(kind="hinge", alpha=0.1, l2=1.0, rows_per_shard=SHARD_ROWS, max_iter=20, tol=1e-3)
+ONE_PASS = SGDConfig(kind="hinge", alpha=0.01, l2=1.0, rows_per_shard=SHARD_ROWS, max_iter=1, tol=0.0, order="id")
+AVG_PASS = SGDConfig(kind="hinge", alpha=0.01, l2=1.0, rows_per_shard=SHARD_ROWS, max_iter=1, tol=0.0)
+DELTA_RUN = SGDConfig(kind="hinge", alpha=0.01, l2=1.0, rows_per_shard=SHARD_ROWS, max_iter=3, tol=0.0)
 
 W_SQL = [S.num(v) for v in HINGE_PROBE.coef[0]]
 B_SQL = S.num(HINGE_PROBE.intercept[0])
@@ -38,11 +42,11 @@ def _st(cfg: SGDConfig):
 
 
 def _sgd_sql(cfg: SGDConfig, init: str = ZERO) -> str:
-    return S.sgd_model_sql(S.HINGE_ROWS, _st(cfg), cfg.shards, cfg.max_iter, cfg.tol, cfg.order, init)
+    return S.sgd_model_sql(S.HINGE_ROWS, _st(cfg), S.shards_sql(cfg, S.HINGE_ROWS), cfg.max_iter, cfg.tol, cfg.order, init)
 
 
-def _train(spark: SparkSession, sf: str, cfg: SGDConfig, init: LinearModel | None = None):
-    return train_sgd(hinge_rows(spark, sf), "id", HINGE_FEATURES, "y", cfg, init=init)
+def _train(spark: SparkSession, sf: str, cfg: SGDConfig, init: LinearModel | None = None, **options):
+    return train_sgd(hinge_rows(spark, sf), "id", HINGE_FEATURES, "y", cfg, init=init, **options)
 
 
 @query("hinge_violations",
@@ -93,23 +97,23 @@ def q_sgd_hinge_eta(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("sgd_one_pass", _sgd_sql(ONE_PASS, S.hinge_init(HINGE_PROBE.coef[0], HINGE_PROBE.intercept[0])))
 def q_sgd_one_pass(spark: SparkSession, sf: str) -> DataFrame:
-    """One sequential partial-fit pass (a single shard, rows by id) from a given model."""
+    """One partial-fit pass (rows by id inside each shard) from a given model."""
     return round_model(_train(spark, sf, ONE_PASS, init=HINGE_PROBE).model_table(spark))
 
 
 @query("average_shard_models", _sgd_sql(AVG_PASS))
 def q_average_shard_models(spark: SparkSession, sf: str) -> DataFrame:
-    """One pass over 4 shards from zero, shard models averaged."""
+    """One pass over the shards from zero, shard models averaged."""
     return round_model(_train(spark, sf, AVG_PASS).model_table(spark))
 
 
 @query("model_delta_norm",
-       S.sgd_chain_sql(S.HINGE_ROWS, _st(DELTA_RUN), DELTA_RUN.shards, DELTA_RUN.max_iter, DELTA_RUN.tol,
+       S.sgd_chain_sql(S.HINGE_ROWS, _st(DELTA_RUN), S.shards_sql(DELTA_RUN, S.HINGE_ROWS), DELTA_RUN.max_iter, DELTA_RUN.tol,
                        DELTA_RUN.order, ZERO)
        + f"\nSELECT CAST(epoch AS INTEGER) AS epoch, {S.rnd('delta')} AS param_delta FROM models")
 def q_model_delta_norm(spark: SparkSession, sf: str) -> DataFrame:
     """||model_e - model_{e-1}|| per epoch, from the stored model history (epoch 0 = start)."""
-    res = _train(spark, sf, DELTA_RUN)
+    res = _train(spark, sf, DELTA_RUN, keep_models=True)
     hist = models_table(spark, [LinearModel.zeros(1, 2), *res.models])
     return model_delta_norm(hist).select("epoch", rnd("param_delta").alias("param_delta"))
 

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from ridgeway.functions.linear import linear_predictor, logistic_nll, sigmoid
 from ridgeway.model import LinearModel
-from ridgeway.operators.gd import GDConfig, train_gd
+from ridgeway.operators.gd import (LINEAR_DEFAULTS, LINEAR_L2_DEFAULTS, LOGISTIC_DEFAULTS,
+                                   LOGISTIC_LR02_DEFAULTS, GDConfig, train_gd)
 from ridgeway.operators.gradient import (gradient_long_form, gradient_stats, gradient_step_join,
                                          gradient_table, l2_penalty, loss_summary)
 from ridgeway.operators.scoring import score_with_model_table
@@ -22,13 +23,11 @@ LIN_PROBE = [0.05, 0.4, -0.3, 0.2]
 LOG_PROBE = [-0.5, 1.2, -0.8, 0.6]
 STEP_LR, STEP_L2 = 0.1, 0.001
 
-# Trainer settings of the registered GD queries: the reference's own
-# constants for logistic GD; a larger step for linear GD so it converges in
-# a modest number of epochs on the scaled features.
-GD_LINEAR_L2 = GDConfig(loss="squared", lr=0.1, l2=0.001, tol=1e-3, max_epochs=1000)
-GD_LINEAR = GDConfig(loss="squared", lr=0.1, l2=0.0, tol=1e-5, max_epochs=1000)
-GD_LOGISTIC = GDConfig(loss="logistic", lr=0.15, tol=1e-4, max_epochs=1000)
-GD_LOGISTIC_LR02 = GDConfig(loss="logistic", lr=0.2, tol=1e-4, max_epochs=1000)
+# Trainer settings of the registered GD queries: the reference's own constants.
+GD_LINEAR_L2 = GDConfig(**LINEAR_L2_DEFAULTS, max_epochs=1000)
+GD_LINEAR = GDConfig(**LINEAR_DEFAULTS, max_epochs=1000)
+GD_LOGISTIC = GDConfig(**LOGISTIC_DEFAULTS, max_epochs=1000)
+GD_LOGISTIC_LR02 = GDConfig(**LOGISTIC_LR02_DEFAULTS, max_epochs=1000)
 
 ID = "l_orderkey, l_linenumber"
 W_LIN = [S.num(v) for v in LIN_PROBE]

@@ -149,17 +149,17 @@ def gd_history_sql(cte: str, digits: int = 6) -> str:
 #               model_e unweighted mean over exactly S shards, + delta and stop flag
 # All epochs are generated; the answer is the first epoch that stopped, else the last.
 
-ORDER_ROW_MULT, ORDER_EPOCH_MULT, ORDER_MOD = 7919, 104729, 1000003
+ORDER_ROOT, ORDER_MOD = 48271, 2147483647
 
 
-def pmod_sql(expr: str, m: int) -> str:
+def pmod_sql(expr: str, m: int | str) -> str:
     return f"((({expr}) % {m} + {m}) % {m})"
 
 
 SHARD_MULT, SHARD_ADD, SHARD_MOD = 1327217885, 3, 2147483647
 
 
-def shard_sql(id_expr: str, shards: int) -> str:
+def shard_sql(id_expr: str, shards: int | str) -> str:
     inner = pmod_sql(f"{pmod_sql(id_expr, SHARD_MOD)} * {SHARD_MULT} + {SHARD_ADD}", SHARD_MOD)
     return pmod_sql(inner, shards)
 
@@ -167,7 +167,7 @@ def shard_sql(id_expr: str, shards: int) -> str:
 def order_sql(epoch: int, order: str) -> str:
     if order == "id":
         return "id"
-    return f"{pmod_sql(f'id * {ORDER_ROW_MULT} + {epoch * ORDER_EPOCH_MULT}', ORDER_MOD)}, id"
+    return f"{pmod_sql(f'{pmod_sql("id", ORDER_MOD)} * {pow(ORDER_ROOT, epoch, ORDER_MOD)}', ORDER_MOD)}, id"
 
 
 class _Hinge:
@@ -303,7 +303,14 @@ def multi_init(coef_flat: Sequence[float] | None, intercept: Sequence[float] | N
     return f"SELECT {W} AS W, {b} AS b"
 
 
-def sgd_chain_sql(rows_sql: str, st, shards: int, epochs: int, tol: float, order: str,
+def shards_sql(cfg, rows_sql: str) -> int | str:
+    """The shard count as configured: a number, or computed from ``count(*)``."""
+    if cfg.rows_per_shard is None:
+        return cfg.shards
+    return f"(SELECT greatest(1, CAST(ceil(count(*) / {cfg.rows_per_shard}.0) AS BIGINT)) FROM ({rows_sql}) counted)"
+
+
+def sgd_chain_sql(rows_sql: str, st, shards: int | str, epochs: int, tol: float, order: str,
                   init_sql: str, chunk_expr: str | None = None) -> str:
     """CTE text ending in ``models(epoch, <state>, n_rows, loss_sum, delta, stopped)``
     plus ``final`` (the adopted model) -- without a trailing SELECT.
@@ -352,12 +359,12 @@ def sgd_chain_sql(rows_sql: str, st, shards: int, epochs: int, tol: float, order
     return "WITH RECURSIVE " + ",\n".join(parts)
 
 
-def sgd_model_sql(rows_sql: str, st, shards: int, epochs: int, tol: float, order: str,
+def sgd_model_sql(rows_sql: str, st, shards: int | str, epochs: int, tol: float, order: str,
                   init_sql: str, digits: int = 6) -> str:
     return sgd_chain_sql(rows_sql, st, shards, epochs, tol, order, init_sql) + "\n" + st.model_rows("final", digits)
 
 
-def sgd_history_sql(rows_sql: str, st, shards: int, epochs: int, tol: float, order: str,
+def sgd_history_sql(rows_sql: str, st, shards: int | str, epochs: int, tol: float, order: str,
                     init_sql: str, digits: int = 6) -> str:
     return (sgd_chain_sql(rows_sql, st, shards, epochs, tol, order, init_sql)
             + f"\nSELECT CAST(epoch AS INTEGER) AS epoch, n_rows, "

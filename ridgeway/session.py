@@ -24,11 +24,12 @@ DEFAULT_CONF = {
 
 
 def get_session(master: str = "local[*]", app: str = "ridgeway",
-                shuffle_partitions: int = 8, **extra: str) -> SparkSession:
+                shuffle_partitions: int | None = None, **extra: str) -> SparkSession:
     """Build (or reuse) a session with the settings the library expects."""
     b = SparkSession.builder.master(master).appName(app)
     conf = dict(DEFAULT_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if shuffle_partitions is not None:  # else Spark's own setting stands
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update({k: str(v) for k, v in extra.items()})
     for k, v in conf.items():
         b = b.config(k, v)
@@ -41,14 +42,17 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the session.
 
     Read from the running context first, then from ``spark.checkpoint.dir``;
-    only when both are unset (local runs) is a fresh local folder created and
-    registered, so later ``checkpoint()`` calls and our scratch writes agree.
+    only when both are unset and the master is local is a fresh local folder created
+    and registered, so later ``checkpoint()`` calls and our scratch writes agree; on a
+    cluster that is an error.
     """
     sc = spark.sparkContext
     d = sc.getCheckpointDir()
     if not d:
         d = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
         if not d:
+            if not (sc.master or "").startswith("local") or sc.master.startswith("local-cluster"):
+                raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
             d = tempfile.mkdtemp(prefix="ridgeway-ckpt-")
         sc.setCheckpointDir(d)
         d = sc.getCheckpointDir() or d

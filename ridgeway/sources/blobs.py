@@ -27,7 +27,7 @@ UNIFORM_MULTIPLIERS = [7919, 104729, 1299709, 15485863]
 def unit_uniform(key: Column, dim: int) -> Column:
     """A [0, 1) value from integer arithmetic on ``key`` (same in any engine)."""
     a = UNIFORM_MULTIPLIERS[dim % len(UNIFORM_MULTIPLIERS)]
-    r = F.pmod(key * F.lit(a) + F.lit(dim * 31 + 17), F.lit(UNIFORM_PRIME))
+    r = F.pmod(F.pmod(key, F.lit(UNIFORM_PRIME)) * F.lit(a) + F.lit(dim * 31 + 17), F.lit(UNIFORM_PRIME))  # inside int64 for any key
     return r.cast("double") / F.lit(float(UNIFORM_PRIME))
 
 

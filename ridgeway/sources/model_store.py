@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
+_NO_TABLE = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+
 
 class ModelStore:
     def __init__(self, spark: SparkSession, path: str) -> None:
@@ -20,8 +22,10 @@ class ModelStore:
 
     def _read(self) -> DataFrame | None:
         try:
-            return self.spark.read.parquet(self.path)
-        except AnalysisException:
+            return self.spark.read.option("mergeSchema", "true").parquet(self.path)
+        except AnalysisException as e:
+            if e.getCondition() not in _NO_TABLE:
+                raise
             return None
 
     def epochs(self) -> list[int]:
@@ -36,15 +40,26 @@ class ModelStore:
         e = self.epochs()
         return e[-1] if e else None
 
-    def write(self, model: DataFrame, epoch: int, check: bool = True) -> bool:
+    def last_batch(self, stream: str) -> int | None:
+        """The newest batch of a stream that is folded into a stored model."""
+        df = self._read()
+        if df is None or "stream" not in df.columns:
+            return None
+        return df.filter(F.col("stream") == F.lit(stream)).agg(F.max("batch")).first()[0]
+
+    def write(self, model: DataFrame, epoch: int, check: bool = True,
+              stream: str | None = None, batch: int | None = None) -> bool:
         """Append ``model`` as ``epoch``; False when that epoch already exists.
-        ``check=False`` skips the listing when the caller knows the newest epoch."""
+        ``check=False`` skips the listing when the caller knows the newest epoch;
+        ``stream`` and ``batch`` record which micro-batch made it."""
         if check:
             last = self.last_epoch()
             if last is not None and epoch <= last:
                 return False
-        (model.select("class_idx", "feature_idx", "weight")
-              .withColumn("epoch", F.lit(int(epoch)))
+        rows = model.select("class_idx", "feature_idx", "weight")
+        if stream is not None:
+            rows = rows.withColumn("stream", F.lit(stream)).withColumn("batch", F.lit(int(batch)).cast("long"))
+        (rows.withColumn("epoch", F.lit(int(epoch)))
               .coalesce(1)
               .write.mode("append").partitionBy("epoch").parquet(self.path))
         return True

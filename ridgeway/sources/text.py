@@ -4,8 +4,9 @@
 * weight lines: ``idx,weight`` per line (idx 0 = intercept)
 * weight record: one line ``weights,w0,w1,...,wd`` (the first token is a tag)
 
-Scans use explicit schemas and FAILFAST, so ragged or non-numeric lines
-raise instead of being padded with NULLs.
+Labelled lines are split and cast by the reader here, and every field of every line is
+checked, whichever columns are selected later: ragged lines, empty fields, blank lines
+and non-numeric fields raise.  Weight files use explicit schemas and FAILFAST.
 """
 
 from __future__ import annotations
@@ -27,9 +28,15 @@ def labelled_schema(n_features: int, label: str = "y", prefix: str = "x") -> T.S
 
 def read_labelled_text(spark: SparkSession, path: str, n_features: int, sep: str = "\t",
                        label: str = "y", prefix: str = "x") -> DataFrame:
-    return (spark.read.schema(labelled_schema(n_features, label, prefix))
-            .option("sep", sep).option("header", "false").option("mode", "FAILFAST")
-            .option("enforceSchema", "true").csv(path))
+    names = labelled_schema(n_features, label, prefix).fieldNames()
+    tokens = F.split(F.col("value"), f"\\Q{sep}\\E", -1)
+    fields = [tokens[i].try_cast("double") for i in range(len(names))]
+    good = F.size(tokens) == len(names)
+    for f in fields:
+        good = good & f.isNotNull()
+    line = F.when(good, F.lit(True)).otherwise(
+        F.raise_error(F.concat(F.lit("malformed labelled line: "), F.col("value"))).cast("boolean"))
+    return spark.read.text(path).where(line).select(*[f.alias(n) for f, n in zip(fields, names)])
 
 
 def read_tsv_rows(spark: SparkSession, path: str, n_features: int) -> DataFrame:
@@ -54,9 +61,16 @@ WEIGHT_LINE_SCHEMA = T.StructType([
 ])
 
 
+def _single_output(model: DataFrame) -> DataFrame:
+    """The text formats have no class: a model of several classes raises, none is dropped."""
+    if not model.filter(F.col("class_idx") != F.lit(0)).isEmpty():
+        raise ValueError("text weight formats hold a single-output model; store a K-class model as parquet")
+    return model
+
+
 def write_weight_lines(model: DataFrame, path: str) -> None:
-    """``idx,weight`` lines of a single-output model table (class 0)."""
-    (model.filter(F.col("class_idx") == F.lit(0))
+    """``idx,weight`` lines of a single-output model table."""
+    (_single_output(model)
           .select("feature_idx", "weight")
           .coalesce(1)  # d+1 lines; one file keeps the format a single list
           .write.mode("errorifexists").option("header", "false").csv(path))
@@ -75,7 +89,7 @@ def weight_record_line(model: DataFrame) -> DataFrame:
 
     The group is the model itself (d+1 cells), never data rows.
     """
-    ordered = (model.filter(F.col("class_idx") == F.lit(0))
+    ordered = (_single_output(model)
                     .agg(F.array_sort(F.collect_list(F.struct("feature_idx", "weight"))).alias("ws")))
     tokens = F.transform(F.col("ws"), lambda s: s["weight"].cast("string"))
     return ordered.select(F.concat_ws(",", F.array(F.lit(RECORD_TAG)), tokens).alias("value"))

@@ -1,17 +1,15 @@
 """Online model update on a stream of labelled rows (Structured Streaming).
 
-Each micro-batch runs one averaged SGD pass (``sgd_pass``) that starts from
-the newest model in a :class:`~ridgeway.sources.model_store.ModelStore` and
-stores its result under ``epoch = batch_id + 1`` (epoch 0 is the initial
-model).  A replayed batch finds its epoch already stored and does nothing,
-so restarts after executor or driver loss are idempotent; the stream's own
-checkpoint lives in the shared checkpoint folder.
+Each micro-batch runs one averaged SGD pass (``sgd_pass``) that starts from the newest
+model in a :class:`~ridgeway.sources.model_store.ModelStore` and appends its result as the
+next epoch (epoch 0 is the initial model), together with the stream's name and the
+batch id.  A replayed batch finds its own (stream, batch) in the store and does nothing, so
+restarts after executor or driver loss are idempotent, and any number of streams can feed
+one store, one after another.  The stream's checkpoint is required: it names the stream.
 """
 
 from __future__ import annotations
 
-import math
-import time
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -22,7 +20,6 @@ from pyspark.sql import types as T
 
 from ridgeway.model import LinearModel
 from ridgeway.operators.sgd import SGDConfig, sgd_pass
-from ridgeway.session import scratch_path
 from ridgeway.sources.model_store import ModelStore
 
 
@@ -33,54 +30,51 @@ class OnlineUpdate:
     features: Sequence[str] | str
     label: str
     cfg: SGDConfig
-    # known upper bound on a micro-batch's rows (e.g. files per trigger x rows per
-    # file): shards are sized from it and the batch is read once, without a count
-    max_batch_rows: int | None = None
+    stream: str = "stream"
 
-    # (epoch, model) last written by this process: saves re-reading the store
+    # (batch, epoch, model) last written by this process: saves re-reading the store
     # on every micro-batch; after a restart the store is read once.
-    _current: tuple[int, LinearModel] | None = None
+    _current: tuple[int, int, LinearModel] | None = None
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        epoch = int(batch_id) + 1
-        if self._current is not None and self._current[0] == epoch - 1:
-            model = self._current[1]
+        batch_id = int(batch_id)
+        if self._current is None:
+            done, epoch = self.store.last_batch(self.stream), self.store.last_epoch()
+            self._current = (-1 if done is None else done, epoch, LinearModel.from_table(self.store.latest()))
+        done, epoch, model = self._current
+        if batch_id <= done:
+            return  # replay of a batch that is already folded in
+        if self.cfg.rows_per_shard is None:  # exact shards: the batch is read once
+            new, _, _ = sgd_pass(batch, self.id_col, self.features, self.label, self.cfg, model, epoch + 1)
         else:
-            last = self.store.last_epoch()
-            if last is not None and last >= epoch:
-                return  # replay of a batch that is already folded in
-            model = LinearModel.from_table(self.store.latest())
-        if self.max_batch_rows is not None:
-            new, _, _ = sgd_pass(batch, self.id_col, self.features, self.label, self.cfg, model, epoch,
-                                 n_rows=self.max_batch_rows)
-        else:
-            # the micro-batch is read twice (row count for the shard bound, then the fold)
+            # the micro-batch is read twice (row count for the shards, then the fold)
             held = batch.persist(StorageLevel.MEMORY_AND_DISK_DESER)
             try:
-                n = held.count()
-                new, _, _ = sgd_pass(held, self.id_col, self.features, self.label, self.cfg, model,
-                                     epoch, n_rows=n)
+                new, _, _ = sgd_pass(held, self.id_col, self.features, self.label, self.cfg, model, epoch + 1)
             finally:
                 held.unpersist()
-        self.store.write(new.to_table(batch.sparkSession), epoch, check=False)
-        self._current = (epoch, new)
+        self.store.write(new.to_table(batch.sparkSession), epoch + 1, check=False, stream=self.stream, batch=batch_id)
+        self._current = (batch_id, epoch + 1, new)
 
 
 def run_online_update(spark: SparkSession, source: str, schema: T.StructType, store: ModelStore,
                       id_col: str, features: Sequence[str] | str, label: str, cfg: SGDConfig,
-                      init: LinearModel, checkpoint: str | None = None,
-                      max_files_per_trigger: int = 1, max_batch_rows: int | None = None) -> ModelStore:
+                      init: LinearModel, checkpoint: str, max_files_per_trigger: int | None = 1,
+                      stream: str | None = None) -> ModelStore:
     """Fold every file available under ``source`` into the stored model, then stop.
-    ``max_batch_rows``: a known bound on rows per micro-batch (skips a count per batch)."""
+    ``checkpoint`` is the stream's own folder and, unless ``stream`` is given, its name;
+    ``max_files_per_trigger=None`` takes all files as one micro-batch."""
+    if not checkpoint:
+        raise ValueError("a stream needs its own checkpoint folder")
     if store.last_epoch() is None:
         store.write(init.to_table(spark), 0)
-    stream = (spark.readStream.schema(schema)
-              .option("maxFilesPerTrigger", max_files_per_trigger)
-              .parquet(source))
-    q = (stream.writeStream
+    reader = spark.readStream.schema(schema)
+    if max_files_per_trigger is not None:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    q = (reader.parquet(source).writeStream
          .trigger(availableNow=True)
-         .option("checkpointLocation", checkpoint or scratch_path(spark, "stream-ckpt"))
-         .foreachBatch(OnlineUpdate(store, id_col, features, label, cfg, max_batch_rows))
+         .option("checkpointLocation", checkpoint)
+         .foreachBatch(OnlineUpdate(store, id_col, features, label, cfg, stream or checkpoint.rstrip("/")))
          .start())
     q.awaitTermination()
     if q.exception() is not None:
@@ -94,29 +88,14 @@ def chunk_column(id_col: str, lo: int, hi: int, n_chunks: int):
     return F.expr(f"CAST((({id_col} - {lo}) * {n_chunks}) div {span} AS INT)")
 
 
-ROWS_PER_FILE = 1_000_000
-
-
-def write_stream_chunks(rows: DataFrame, path: str, id_col: str, n_chunks: int,
-                        rows_per_file: int = ROWS_PER_FILE) -> tuple[int, int, int]:
-    """Append ``rows`` to ``path`` as ``n_chunks`` id-range chunks, oldest first.
-
-    Every chunk is its own write job of exactly ``k`` files (round-robin, at most
-    ``rows_per_file`` rows each), so a file source with ``maxFilesPerTrigger=k``
-    sees one chunk per micro-batch -- a stand-in for a message queue.  No file
-    and no task ever holds more than ``rows_per_file`` rows.
-    Returns ``(lo, hi, k)``: the id range used for chunking and the files per chunk.
-    """
+def write_stream_chunks(rows: DataFrame, path: str, id_col: str, n_chunks: int) -> list[str]:
+    """``rows`` as ``n_chunks`` id-range chunks, each a folder of its own, oldest first -- a
+    stand-in for arrivals.  One write job; which rows a chunk holds is in the data, not in
+    the order or time of writes.  Returns the folders of the chunks, in order."""
     r = rows.agg(F.min(id_col).alias("lo"), F.max(id_col).alias("hi")).collect()[0]
-    lo, hi = int(r["lo"]), int(r["hi"])
-    keyed = rows.withColumn("_chunk", chunk_column(id_col, lo, hi, n_chunks))
-    sizes = {int(c["_chunk"]): int(c["count"]) for c in keyed.groupBy("_chunk").count().collect()}
-    k = max(1, math.ceil(max(sizes.values()) / rows_per_file))
-    if any(sizes.get(c, 0) < k for c in range(n_chunks)):
-        raise ValueError("a chunk has fewer rows than files per chunk; use fewer chunks")
-    for c in range(n_chunks):
-        part = keyed.filter(F.col("_chunk") == F.lit(c)).drop("_chunk")
-        part = part.coalesce(1) if k == 1 else part.repartition(k)
-        part.sortWithinPartitions(id_col).write.mode("append").parquet(path)
-        time.sleep(0.02)  # distinct modification times between chunks
-    return lo, hi, k
+    if r["lo"] is None:
+        return []
+    keyed = rows.withColumn("chunk", chunk_column(id_col, int(r["lo"]), int(r["hi"]), n_chunks))
+    keyed.write.partitionBy("chunk").parquet(path)
+    found = [c["chunk"] for c in keyed.select("chunk").distinct().collect()]  # at most n_chunks
+    return [f"{path}/chunk={c}" for c in sorted(found)]

@@ -123,8 +123,8 @@ def test_arrow_gradient_path_equals_literal_path(spark, loss, rows_fn):
 
 def test_shard_count_grows_with_rows_and_matches_explicit_count(spark):
     rows = hinge_rows(spark, SF_SMALL)  # 150 rows
-    capped = SGDConfig(kind="hinge", shards=4, max_iter=2, tol=0.0, rows_per_shard=20)
-    explicit = SGDConfig(kind="hinge", shards=8, max_iter=2, tol=0.0, rows_per_shard=None)
+    capped = SGDConfig(kind="hinge", max_iter=2, tol=0.0, rows_per_shard=20)
+    explicit = SGDConfig(kind="hinge", shards=8, max_iter=2, tol=0.0)
     a = train_sgd(rows, "id", HINGE_FEATURES, "y", capped)
     b = train_sgd(rows, "id", HINGE_FEATURES, "y", explicit)
     assert a.shards == 8 and b.shards == 8
