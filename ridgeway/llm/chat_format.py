@@ -81,6 +81,10 @@ def _name(path: str) -> Column:
     return F.col(".".join(f"`{p}`" for p in path.split(".")))
 
 
+def _any_has(array: str, field: str) -> Column:
+    return F.coalesce(F.exists(F.col(f"`{array}`"), lambda m: m[field].isNotNull()), F.lit(False))
+
+
 def field_paths(schema: T.StructType, known: set[str]) -> list[tuple[str, Column]]:
     """(path, whether it holds a value) of the fields of the schema that a mapping names."""
     out = []
@@ -90,7 +94,7 @@ def field_paths(schema: T.StructType, known: set[str]) -> list[tuple[str, Column
         if isinstance(f.dataType, T.ArrayType) and isinstance(f.dataType.elementType, T.StructType):
             for g in f.dataType.elementType.fieldNames():
                 if (path := f"{f.name}[].{g}") in known:
-                    out.append((path, F.coalesce(F.exists(F.col(f"`{f.name}`"), lambda m, g=g: m[g].isNotNull()), F.lit(False))))
+                    out.append((path, _any_has(f.name, g)))
     return sorted(out, key=lambda x: x[0])
 
 
