@@ -175,7 +175,7 @@ def clean(docs: DataFrame, benchmark: DataFrame, *, text_col: str = "text", item
     @F.pandas_udf("string")
     def cut(text, hits):
         import pandas as pd
-        return pd.Series([cut_spans(t, h) for t, h in zip(text, hits)], dtype=object)
+        return pd.Series([cut_spans(t or "", h) for t, h in zip(text, hits)], dtype=object)
 
     return rows.select(*[(F.when(F.size("state.hits") > 0, cut(F.col(f"row.`{c}`"), F.col("state.hits")))
                           .otherwise(F.col(f"row.`{c}`")) if c == text_col else F.col(f"row.`{c}`")).alias(c) for c in docs.columns])

@@ -23,8 +23,7 @@ size, and no pair is left out.
 Defined cases: null or empty text and text without words: empty set, linked with nothing, kept;
 fewer than ``words`` words: the whole sequence is the one shingle; repeated rows are one class;
 null ids come last, so a component takes one only if it has no other; ``keep`` keeps exactly one
-row of each component, all columns as they were; an empty table gives no rows.  The rows must
-come in the same order when read again (files do).
+row of each component, all columns as they were; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -227,8 +226,10 @@ class Join:
                  depth: int = DEPTH, leaf: int = LEAF, block: int = BLOCK):
         self.words, self.percent, self.trees, self.depth, self.leaf, self.block = words, percent, trees, depth, leaf, block
         self.least = least_matches(percent / 100)
-        self.source = docs.select(F.monotonically_increasing_id().alias("row"), F.col(f"`{id_col}`").alias("id"),
-                                  F.col(f"`{text_col}`").alias("text"))
+        # rows are numbered once and kept: a source that is not a table need not come in the same order again
+        self.rows = store(docs.select(F.monotonically_increasing_id().alias("row"),
+                                      F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")), "rows")
+        self.source = self.rows.select("row", F.col(f"doc.`{id_col}`").alias("id"), F.col(f"doc.`{text_col}`").alias("text"))
         kind = self.source.schema["id"].dataType.simpleString()
         self.docs = store(self.source.mapInArrow(_sketches(words), f"row long, id {kind}, n long, key binary, mins binary, sig binary"), "sketches")
         first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "row"))
@@ -315,7 +316,7 @@ class Join:
 
 def deduplicate(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", words: int = 4, percent: int = 80, **options) -> DataFrame:
     """Per row: id, n_shingles, component_id (smallest id reachable), kept (it is its component's)."""
-    j = Join(docs, id_col, text_col, words=words, percent=percent, **options)
+    j = Join(docs.select(id_col, text_col), id_col, text_col, words=words, percent=percent, **options)
     out = join_hot(j.docs.select("id", "n", "key"), j.run(), "key", "left")
     component = F.when(F.col("n") > 0, F.col("first.id")).otherwise(F.col("id"))
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"),
@@ -326,5 +327,4 @@ def keep(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", wor
     """One row of each component (the smallest id), and all rows with an empty set; all columns as they were."""
     j = Join(docs, id_col, text_col, words=words, percent=percent, **options)
     stay = j.run().select(F.col("first.row").alias("row")).distinct().unionByName(j.docs.where("n = 0").select("row"))
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), F.monotonically_increasing_id().alias("row"))
-    return rows.join(stay, "row", "left_semi").select(*[F.col(f"doc.`{c}`").alias(c) for c in docs.columns])
+    return j.rows.join(stay, "row", "left_semi").select(*[F.col(f"doc.`{c}`").alias(c) for c in docs.columns])

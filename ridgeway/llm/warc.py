@@ -16,10 +16,9 @@ Files are named by attempt, and found through manifests that Spark commits (see
 ``AttemptFile``), so lost or repeated tasks leave nothing that is read.
 
 Defined cases: a null payload is empty; a null id is last in the order and empty in the record id;
-rows equal in id and payload: the smaller target, then the earlier row, is the response; null target:
+all rows that share the smallest id of their payload (repeated rows) are responses; null target:
 no header; line ends in targets and ids are percent-encoded; an empty table: no files, no
-rows; other columns are not read.  The rows must come in the same order when read
-again (files do).
+rows; other columns are not read.
 """
 
 from __future__ import annotations
@@ -72,13 +71,13 @@ def record(page_id, url, payload: bytes, refers_to=None, refers_url=None, *, rev
 def mark_revisits(pages: DataFrame, *, id_col: str, url_col: str, payload_col: str, min_bytes: int = 0) -> DataFrame:
     """(id, url, payload, revisit, refers_to, refers_url) of each row."""
     rows = (pages.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{url_col}`").cast("string").alias("url"),
-                         F.coalesce(F.col(f"`{payload_col}`"), F.lit("")).alias("payload"), F.monotonically_increasing_id().alias("row"))
+                         F.coalesce(F.col(f"`{payload_col}`"), F.lit("")).alias("payload"))
             .withColumn("digest", F.sha1(F.col("payload").cast("binary"))).withColumn("size", F.octet_length("payload")))
-    order = F.struct(F.col("id").isNull().alias("none"), "id", "url", "row")
+    order = F.struct(F.col("id").isNull().alias("none"), "id", "url")
     firsts = (rows.groupBy("digest").agg(F.min(order).alias("first"), F.max("size").alias("size"))
               .select(F.col("digest").alias("d"), F.col("size").alias("s"), "first"))
     joined = rows.join(firsts, (F.col("digest") == F.col("d")) & (F.col("size") == F.col("s")))
-    revisit = (F.col("row") != F.col("first.row")) & (F.col("size") >= min_bytes)
+    revisit = ~F.col("id").eqNullSafe(F.col("first.id")) & (F.col("size") >= min_bytes)
     return joined.select("id", "url", "payload", revisit.alias("revisit"), F.when(revisit, F.col("first.id")).alias("refers_to"),
                          F.when(revisit, F.col("first.url")).alias("refers_url"))
 
