@@ -10,7 +10,7 @@ from ridgeway.model import LinearModel
 from ridgeway.operators.scoring import boundary_lines, decision_score
 from ridgeway.operators.sgd import SGDConfig, model_delta_norm, models_table, train_sgd
 from ridgeway.plans import sqlgen as S
-from ridgeway.plans.registry import query, rnd, round_model
+from ridgeway.plans.registry import query, rnd, round_history, round_model
 from ridgeway.sources.blobs import (TWO_BLOBS, UNIFORM_MULTIPLIERS, UNIFORM_PRIME, blob_table,
                                    union_class_tables)
 from ridgeway.sources.tables import HINGE_FEATURES, hinge_rows
@@ -27,6 +27,8 @@ SHARD_ROWS = 400
 # (step .1, penalty 1, tol .001) with its pass cap lowered to 20.
 SGD_HINGE = SGDConfig(kind="hinge", alpha=0.01, l2=1.0, rows_per_shard=SHARD_ROWS, max_iter=20, tol=1e-3)
 SGD_HINGE_ETA = SGDConfig(kind="hinge", alpha=0.1, l2=1.0, rows_per_shard=SHARD_ROWS, max_iter=20, tol=1e-3)
+# A looser tolerance, so that the stop test ends the run (adopt, then stop).
+SGD_HINGE_STOPS = SGDConfig(kind="hinge", alpha=0.01, l2=1.0, rows_per_shard=SHARD_ROWS, max_iter=20, tol=0.05)
 ONE_PASS = SGDConfig(kind="hinge", alpha=0.01, l2=1.0, rows_per_shard=SHARD_ROWS, max_iter=1, tol=0.0, order="id")
 AVG_PASS = SGDConfig(kind="hinge", alpha=0.01, l2=1.0, rows_per_shard=SHARD_ROWS, max_iter=1, tol=0.0)
 DELTA_RUN = SGDConfig(kind="hinge", alpha=0.01, l2=1.0, rows_per_shard=SHARD_ROWS, max_iter=3, tol=0.0)
@@ -90,6 +92,14 @@ def q_sgd_hinge(spark: SparkSession, sf: str) -> DataFrame:
     return round_model(_train(spark, sf, SGD_HINGE).model_table(spark))
 
 
+@query("sgd_hinge_stops",
+       S.sgd_history_sql(S.HINGE_ROWS, _st(SGD_HINGE_STOPS), S.shards_sql(SGD_HINGE_STOPS, S.HINGE_ROWS),
+                         SGD_HINGE_STOPS.max_iter, SGD_HINGE_STOPS.tol, SGD_HINGE_STOPS.order, ZERO))
+def q_sgd_hinge_stops(spark: SparkSession, sf: str) -> DataFrame:
+    """Every pass of a run that its stop test ends."""
+    return round_history(_train(spark, sf, SGD_HINGE_STOPS).history_table(spark))
+
+
 @query("sgd_hinge_eta", _sgd_sql(SGD_HINGE_ETA))
 def q_sgd_hinge_eta(spark: SparkSession, sf: str) -> DataFrame:
     return round_model(_train(spark, sf, SGD_HINGE_ETA).model_table(spark))

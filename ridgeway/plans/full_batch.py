@@ -15,7 +15,7 @@ from ridgeway.operators.scoring import score_with_model_table
 from ridgeway.plans import sqlgen as S
 from ridgeway.plans.registry import query, rnd, round_history, round_model
 from ridgeway.session import scratch_path
-from ridgeway.sources.tables import LIN_FEATURES, lin_rows, log_rows
+from ridgeway.sources.tables import LIN_FEATURES, class_rows, lin_rows, log_rows
 from ridgeway.sources.text import read_weight_lines, write_weight_lines
 
 # Probe weights [w0 (intercept), w1, w2, w3] for the expression queries.
@@ -26,6 +26,11 @@ STEP_LR, STEP_L2 = 0.1, 0.001
 # Trainer settings of the registered GD queries: the reference's own constants.
 GD_LINEAR_L2 = GDConfig(**LINEAR_L2_DEFAULTS, max_epochs=1000)
 GD_LINEAR = GDConfig(**LINEAR_DEFAULTS, max_epochs=1000)
+# One scan per epoch instead of the one-pass statistics; a larger step keeps the epochs few.
+GD_LINEAR_EPOCHS = GDConfig(loss="squared", lr=0.1, l2=0.001, tol=1e-3, max_epochs=200, method="direct")
+# 64 features in one array column: Arrow partial vectors.
+GD_WIDE = GDConfig(loss="squared", lr=0.05, l2=0.001, tol=1e-4, max_epochs=40)
+WIDE = 64
 GD_LOGISTIC = GDConfig(**LOGISTIC_DEFAULTS, max_epochs=1000)
 GD_LOGISTIC_LR02 = GDConfig(**LOGISTIC_LR02_DEFAULTS, max_epochs=1000)
 
@@ -198,6 +203,25 @@ def q_gd_linear(spark: SparkSession, sf: str) -> DataFrame:
     return round_model(res.model_table(spark))
 
 
+@query("gd_linear_epochs", S.gd_history_sql(_gd_sql(S.LIN_ROWS, GD_LINEAR_EPOCHS)))
+def q_gd_linear_epochs(spark: SparkSession, sf: str) -> DataFrame:
+    """Squared loss by one gradient aggregate per epoch, epoch by epoch."""
+    res = train_gd(lin_rows(spark, sf), LIN_FEATURES, "y", GD_LINEAR_EPOCHS)
+    return round_history(res.history_table(spark))
+
+
+_WIDE_ROWS = (f"SELECT label / 10.0::DOUBLE AS y, {', '.join(f'features[{i}] AS x{i}' for i in range(1, WIDE + 1))} "
+              f"FROM ({S.CLASS_ROWS}) wide")
+
+
+@query("gd_wide_array", S.gd_model_sql(
+    S.gd_cte(_WIDE_ROWS, WIDE, GD_WIDE.loss, GD_WIDE.lr, GD_WIDE.l2, GD_WIDE.tol, GD_WIDE.max_epochs, ["0.0::DOUBLE"] * (WIDE + 1)), WIDE))
+def q_gd_wide_array(spark: SparkSession, sf: str) -> DataFrame:
+    """Squared loss over the embeddings' array column (a tenth of the label as the target)."""
+    rows = class_rows(spark, sf).select("features", (F.col("label") / F.lit(10.0)).alias("y"))
+    return round_model(train_gd(rows, "features", "y", GD_WIDE, n_features=WIDE).model_table(spark))
+
+
 @query("gd_logistic", S.gd_model_sql(_gd_sql(S.LOG_ROWS, GD_LOGISTIC), 3))
 def q_gd_logistic(spark: SparkSession, sf: str) -> DataFrame:
     res = train_gd(log_rows(spark, sf), LIN_FEATURES, "y", GD_LOGISTIC)
