@@ -19,6 +19,8 @@ by one; an empty table gives no rows; other columns are not read.
 
 from __future__ import annotations
 
+from collections import Counter
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -43,9 +45,9 @@ def statistics(text: bytes) -> np.ndarray:
     counts = class_counts(text)
     total, chars, _, dup, repeat = base_counts(text)
     lines = text.count(b"\n") + 1
-    distinct = len(set(words))
-    shout = sum(w.isupper() and len(w) > 1 for w in words[:2000]) / min(n, 2000)
-    top = max(words.count(w) for w in set(words[:3])) / n
+    times = Counter(words)
+    distinct, top = len(times), max(times.values()) / n
+    shout = sum(k for w, k in times.items() if w.isupper() and len(w) > 1) / n
     return np.array([*(counts / counts.sum()), np.log1p(n), min(chars / n, 20.0), distinct / n ** 0.85, repeat / n, dup / lines,
                      np.log1p(n / lines), top, shout])
 
