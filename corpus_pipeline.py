@@ -35,9 +35,11 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def bpe_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, n_tokens, ids and the text they decode to."""
+    """doc_id, n_tokens, digests of the ids (decimal, one space between) and of the decoded text, and both themselves."""
     coded = bpe_stream.encode(docs, public_tokenizers.path("word_bpe_49k.json"))
-    return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", "decoded")
+    ids = F.array_join(F.col("ids").cast("array<string>"), " ")
+    return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(ids.cast("binary"), 256).alias("ids_sha256"),
+                        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"), "ids", "decoded")
 
 
 STAGES = [

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import hashlib
+
 import pandas as pd
 import pytest
 
@@ -59,7 +61,9 @@ def test_secrets_are_replaced_and_nothing_else(kept):
 
 def test_tokens_decode_to_the_texts(kept):
     last = kept[5].merge(kept[4], on="doc_id")
-    assert all(len(r.ids) == r.n_tokens for r in last.itertuples())
+    for r in last.itertuples():
+        assert len(r.ids) == r.n_tokens and r.decoded_sha256 == hashlib.sha256(r.decoded.encode()).hexdigest()
+        assert r.ids_sha256 == hashlib.sha256(" ".join(map(str, r.ids)).encode()).hexdigest()
     plain = lambda t: "".join(t.lower().split())
     ascii_rows = [r for r in last.itertuples() if r.text.isascii()]
     assert ascii_rows and all(r.decoded.replace(" ", "").replace("</w>", "") == plain(r.text) for r in ascii_rows)
