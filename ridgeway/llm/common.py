@@ -120,3 +120,29 @@ class Shared:
         import pickle
 
         return pickle.loads(self._broadcast.value)
+
+
+def byte_symbols() -> list[str]:
+    """The printable character that byte-level vocabularies use for each byte: the byte
+    itself where it is printable Latin-1, else the next character from U+0100 on."""
+    plain = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
+    rest = iter(range(256, 512))
+    return [chr(b) if b in plain else chr(next(rest)) for b in range(256)]
+
+
+class Cache(dict):
+    """Two generations of at most ``size`` entries: what is in use survives, memory is bounded."""
+
+    def __init__(self, make, size: int, longest: int = 64):
+        self.make, self.size, self.longest, self.old = make, size, longest, {}
+
+    def __missing__(self, key: str) -> bytes:
+        value = self.old.get(key)
+        if value is None:
+            value = self.make(key)
+        if len(self) >= self.size:
+            self.old = dict(self)
+            self.clear()
+        if len(key) <= self.longest:
+            self[key] = value
+        return value

@@ -10,10 +10,10 @@ memory-mapped file gives any sequence, and any document, without copying or pars
 The index (document, file, first id in the file, number of ids) is written by the same
 tasks as a Parquet table; only files that a committed row of it names are ever read.
 
-Encoding: the tokenizers library, called once for each distinct piece a worker meets.  A
-byte-level file without a normaliser splits a text at every single space between two
-characters that are no white space; pieces with other white space at their ends send the
-whole text through the library.
+Encoding: the tokenizers library.  With a byte-level file without a normaliser, a Western text
+falls apart into the pre-tokenizer's runs, and the library's model is called once for each
+distinct run a worker keeps; other scripts, special tokens and other files send the whole text
+through the library.
 
 Defined cases: null text: empty, the end id alone; equal ids: ordered by a hash of the text;
 null ids first; special tokens in a text are their ids, as the library does by default;
@@ -23,6 +23,7 @@ an empty table: no files and no rows; other columns are not read.
 from __future__ import annotations
 
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -31,17 +32,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ridgeway.llm.common import AttemptFile, Shared, open_input, slices, worker_state
+from ridgeway.llm.common import AttemptFile, Cache, Shared, byte_symbols, open_input, slices, worker_state
 from ridgeway.session import scratch_path
 
-#: Ids in a sequence, sequences in a record batch, pieces a worker keeps encoded.
-LENGTH, BATCH, CACHE_PIECES = 2048, 256, 250_000
+#: Ids in a sequence, sequences in a record batch, runs of one generation of a worker's cache.
+LENGTH, BATCH, CACHE_RUNS = 2048, 256, 400_000
 
 
-class PieceEncoder(dict):
-    """Text behind a space, up to the next -> ids of " " + text as little-endian uint32 bytes."""
+class RunEncoder:
+    """Texts -> ids as little-endian uint32 bytes; keeps the ids of the pre-tokenizer's runs."""
 
-    def __init__(self, source: str, cache: int = CACHE_PIECES):
+    def __init__(self, source: str, cache: int = CACHE_RUNS):
         import json
 
         import regex
@@ -50,53 +51,28 @@ class PieceEncoder(dict):
         self.library = Tokenizer.from_str(source)
         self.library.no_truncation()
         self.library.no_padding()
+        self.model = self.library.model
         spec = json.loads(source)
         pre = spec.get("pre_tokenizer") or {}
         self.splits = (spec.get("normalizer") is None and pre.get("type") == "ByteLevel" and pre.get("use_regex", True)
                        and not pre.get("add_prefix_space"))
         self.special = [t["content"] for t in spec.get("added_tokens", [])]
-        self.cache, self.parts = cache, {}
-        # the same runs that the byte-level pre-tokenizer makes; only used on Latin text
-        self.runs = regex.compile(r"'(?:s|t|re|ve|m|ll|d)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+").findall
+        self.runs, self.symbol = Cache(self._run, cache), byte_symbols()
+        # the runs of the byte-level pre-tokenizer, and the characters whose classes no two versions dispute
+        self.split = regex.compile(r"'(?:s|t|re|ve|m|ll|d)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+").findall
+        self.other = regex.compile(r"[^\x00-\u024f\u2010-\u2027\u2030-\u205e\u20ac]").search
 
     def whole(self, text: str) -> bytes:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
-    def _part(self, part: str) -> bytes:
-        out = self.parts.get(part)
-        if out is None:
-            out = self.whole(part)
-            if len(self.parts) >= self.cache:
-                self.parts.clear()
-            if len(part) <= 64:
-                self.parts[part] = out
-        return out
-
-    def _pieces(self, text: str) -> bytes:
-        if max(text, default="") < "ɐ" and not any(s in text for s in self.special):
-            return b"".join(map(self._part, self.runs(text)))
-        return self.whole(text)
-
-    def __missing__(self, piece: str) -> bytes:
-        if not piece or piece[0].isspace() or piece[-1].isspace():
-            raise KeyError(piece)
-        out = self._pieces(" " + piece)
-        if len(self) >= self.cache:
-            self.clear()
-        if len(piece) <= 32 and "\n" not in piece:
-            self[piece] = out
-        return out
+    def _run(self, run: str) -> bytes:
+        symbols = "".join([self.symbol[b] for b in run.encode()])
+        return array("I", [t.id for t in self.model.tokenize(symbols)]).tobytes()
 
     def encode(self, text: str) -> bytes:
-        if not self.splits:
-            return self.whole(text)
-        first, *rest = text.split(" ")
-        if not rest or not first or first[-1].isspace():
-            return self.whole(text)
-        try:
-            return self._pieces(first) + b"".join(map(self.__getitem__, rest))
-        except KeyError:  # white space beside a space
+        if not self.splits or not text.isascii() and self.other(text) or any(s in text for s in self.special):
             return self.whole(text)
+        return b"".join(map(self.runs.__getitem__, self.split(text)))
 
 
 class SequenceFile:
@@ -178,9 +154,9 @@ def write(docs: DataFrame, tokenizer_path: str, folder: str | None = None, *, en
 
     def run(batches):
         state = worker_state()
-        if state.get("piece_key") != key:
-            state["piece_key"], state["piece"] = key, PieceEncoder(shared.value)
-        coder = state["piece"]
+        if state.get("run_key") != key:
+            state["run_key"], state["run"] = key, RunEncoder(shared.value)
+        coder = state["run"]
         kind = np.dtype("<u2" if max(coder.library.get_vocab_size(), end_id + 1) <= 1 << 16 else "<u4")
         close, part, out = np.array([end_id], dtype=kind), TaskContext.get().partitionId(), None
         for rows in slices(batches):
