@@ -18,8 +18,8 @@ holds an unfinished UTF-8 character (byte-level decoders) or whether a separator
 (files without a decoder: tokens joined by one space).
 
 The pre-tokenizer is that of ``word`` files: NFC, lower case, white space dropped, then
-``PATTERN``; texts are read white-space piece by piece, so nothing is held across pieces.
-Encoded pieces are kept in a bounded cache of the worker.
+``PATTERN`` makes the words.  A word's tokens do not depend on its neighbours; they are kept in a
+bounded cache of the worker.
 
 Defined cases: null text: empty, no tokens; special tokens in a text are their ids, as the
 library does by default; repeated rows are encoded one by one; empty table: no rows;
@@ -38,22 +38,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ridgeway.llm.common import Shared, slices, worker_state
+from ridgeway.llm.common import Cache, Shared, byte_symbols, slices, worker_state
 
-#: Pieces a worker keeps encoded before it starts afresh.
-CACHE_PIECES = 250_000
+#: Words of one generation of a worker's cache.
+CACHE_WORDS = 400_000
 #: Fixed value: the split pattern of the word tokenizer.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 
-def byte_symbols() -> list[str]:
-    """The printable character that byte-level vocabularies use for each byte: the byte
-    itself where it is printable Latin-1, else the next character from U+0100 on."""
-    plain = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
-    rest = iter(range(256, 512))
-    return [chr(b) if b in plain else chr(next(rest)) for b in range(256)]
-
-
 class MergeList:
     """Vocabulary and merges of a tokenizer file, in the form the transducer needs."""
 
@@ -125,36 +117,48 @@ class Transducer:
     """Encodes one word; symbols come in, tokens go out as soon as they are stable."""
 
     def __init__(self, merges: MergeList):
+        import ahocorasick
+
         self.m = merges
         self.most_held = 0
+        # all tokens that end at a position, longest first, in one pass over a word
+        self.matches = ahocorasick.Automaton()
+        for token, order in merges.order.items():
+            ends = bool(merges.suffix) and token.endswith(merges.suffix) and token != merges.suffix
+            text = token.removesuffix(merges.suffix) + "\0" if ends else token
+            self.matches.add_word(text, (order, len(text)))
+        self.matches.make_automaton()
 
     def encode(self, symbols: str) -> list[int]:
         """Token ids of a whole word of byte symbols (the last one ends the word).  A word no longer
         than the lookahead is one buffer: nothing of it can be stable before its end."""
-        n = len(symbols)
-        if n > self.m.lookahead:
+        m, n = self.m, len(symbols)
+        if n > m.lookahead:
             out: list[int] = []
             for part in self.stream(symbols, n):
                 out += part
             return out
-        m = self.m
-        get, known, beside, longest, suffix = m.order.get, m.known.get, m.beside, m.max_token, m.suffix
-        last = [-2] * (n + 1)
-        for i in range(1, n + 1):
-            for lo in range(i - longest if i > longest else 0, i):
-                token = get(symbols[lo:i] if i < n else symbols[lo:] + suffix)
-                if token is not None:
-                    if not lo:
-                        last[i] = token
-                        break
+        if m.suffix:  # the end of the word is a symbol of the automaton, no position of the text
+            symbols += "\0"
+            n += 1
+        known, beside = m.known.get, m.beside
+        last, start = [-2] * (n + 1), [0] * (n + 1)
+        for at, (token, size) in self.matches.iter(symbols):
+            if last[at + 1] == -2:
+                lo = at + 1 - size
+                if lo:
                     left = last[lo]
-                    if left >= 0:
-                        fits = known(left << 20 | token)
-                        if fits if fits is not None else beside(left, token):
-                            last[i] = token
-                            break
-        to_id = m.id_of
-        return [to_id[t] for t in self._chain(last, n)]
+                    if left < 0:
+                        continue
+                    fits = known(left << 20 | token)
+                    if not (beside(left, token) if fits is None else fits):
+                        continue
+                last[at + 1], start[at + 1] = token, lo
+        out, to_id = [], m.id_of
+        while n:
+            out.append(to_id[last[n]])
+            n = start[n]
+        return out[::-1]
 
     def stream(self, symbols, n: int):
         """Yields lists of ids.  ``held`` is the text since the last emission, ``last[i]`` the last
@@ -231,44 +235,27 @@ class IncrementalDecoder:
         return self.utf8.decode(b"", True) if self.bytewise else ""
 
 
-class WordEncoder(dict):
-    """Piece of text without white space -> its ids as little-endian int32 bytes."""
+class WordEncoder:
+    """Texts -> ids as little-endian int32; keeps the ids of words."""
 
-    def __init__(self, merges: MergeList, cache: int = CACHE_PIECES):
+    def __init__(self, merges: MergeList, cache: int = CACHE_WORDS):
         import regex
-        self.merges, self.cache = merges, cache
+        self.merges = merges
+        self.words = Cache(self._word, cache)
         self.split = regex.compile(PATTERN).findall
-        self.spaces = regex.compile(r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+").split
         special = "|".join(regex.escape(t) for t in sorted(merges.special, key=len, reverse=True))
         self.special = regex.compile(f"({special})").split if special else None
         self.transducer = Transducer(merges)
         self.symbol = byte_symbols()
-        self.strange = regex.compile(r"[\x1c-\x1f]").search
-        self.words: dict[str, bytes] = {}
 
     def _word(self, word: str) -> bytes:
-        out = self.words.get(word)
-        if out is None:
-            symbols = word if word.isascii() and word.isprintable() else "".join([self.symbol[b] for b in word.encode()])
-            out = array("i", self.transducer.encode(symbols)).tobytes()
-            if len(self.words) >= self.cache:
-                self.words.clear()
-            if len(word) <= 64:
-                self.words[word] = out
-        return out
-
-    def __missing__(self, piece: str) -> bytes:
-        text = (piece if piece.isascii() else unicodedata.normalize("NFC", piece).replace("Σ", "σ")).lower()
-        out = self._word(text) if text.isalpha() and text.isascii() else b"".join(map(self._word, self.split(text)))
-        if len(self) >= self.cache:
-            self.clear()
-        if len(piece) <= 64:
-            self[piece] = out
-        return out
+        symbols = word if word.isascii() and word.isprintable() else "".join([self.symbol[b] for b in word.encode()])
+        return array("i", self.transducer.encode(symbols)).tobytes()
 
     def _plain(self, text: str) -> bytes:
-        pieces = self.spaces(text) if self.strange(text) else text.split()
-        return b"".join(map(self.__getitem__, pieces))
+        if not text.isascii():  # lower case is by character: no final sigma
+            text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
+        return b"".join(map(self.words.__getitem__, self.split(text.lower())))
 
     def encode(self, text: str) -> np.ndarray:
         if self.special and "<|" in text:
