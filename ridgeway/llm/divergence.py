@@ -31,6 +31,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ridgeway.llm.common import Shared, slices, texts_of
+from ridgeway.llm.graph import store
 
 CLASSES = ("lower", "upper", "digit", "space", "stop", "symbol", "other", "wide")
 _STRIP = b".,;:!?\"'()[]{}#*$%&|<>-_"
@@ -148,10 +149,10 @@ def _count(batches):
 def references(docs: DataFrame, *, lang_col: str = "lang", text_col: str = "text", common: int = COMMON,
                min_reference: int = MIN_REFERENCE, max_languages: int = MAX_LANGUAGES) -> References:
     """Exact counts over all rows; languages x (64 x common + classes) numbers reach the driver at most."""
-    counts = (docs.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"))
-              .mapInArrow(_count, "lang string, key binary, n long")
-              .groupBy("lang", "key").agg(F.sum("n").alias("n"))
-              .withColumn("is_class", F.substring("key", 1, 1) == F.lit(b" ")))
+    counts = store(docs.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"))
+                   .mapInArrow(_count, "lang string, key binary, n long")
+                   .groupBy("lang", "key").agg(F.sum("n").alias("n"))
+                   .withColumn("is_class", F.substring("key", 1, 1) == F.lit(b" ")), "counts")  # read three times below
     # word totals and the largest of each of 64 hash buckets: no task ranks all words of a language
     bucket = F.when(~F.col("is_class"), F.pmod(F.xxhash64("key"), F.lit(64)))
     keyed = counts.withColumn("bucket", bucket)
