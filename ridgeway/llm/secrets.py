@@ -34,31 +34,37 @@ _FAST = (RULES[0][1], r"AKIA[A-Z0-9]{16,}", r"[0-9a-f]{24,}")
 TOKEN = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}+"
 KINDS = ("assign", "access", "hex", "random")
 ALPHABET = 94  # printable ASCII from "!"
-MIN_RATIO, MIN_MEAN = 20.0, 0.4
-#: Documents from which ``samples`` takes its labelled rows.
-SAMPLE_DOCS = 4000
+MIN_RATIO, MIN_MEAN = 20.0, 1.5
+#: Documents from which ``samples`` takes its labelled rows, as an expected number.
+SAMPLE_DOCS = 1000
 
 
 def samples(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", n_docs: int = SAMPLE_DOCS) -> DataFrame:
-    """Labelled rows (token, is_random) from the ``n_docs`` documents with the smallest hashed ids.
+    """Labelled rows (token, is_random) from a hash sample of about ``n_docs`` rows (all of a smaller table).
 
     Random strings are encoded digests of the ids; ordinary identifiers are the texts'
     words of letters, alone and joined as snake, dash, path and camel case names.
     """
-    few = (docs.select(F.col(id_col).alias("id"), F.substring(F.coalesce(F.col(text_col), F.lit("")), 1, 4000).alias("text"))
-           .withColumn("h", F.xxhash64("id")).orderBy("h", "id").limit(n_docs))
-    digest = F.sha2(F.concat(F.col("id").cast("string"), F.lit("/sample")), 256)
-    forms = [digest, F.base64(F.unhex(digest)), F.translate(F.base64(F.unhex(digest)), "+/=", "-_"),
-             F.upper(F.concat(F.conv(F.substring(digest, 1, 15), 16, 36), F.conv(F.substring(digest, 16, 15), 16, 36)))]
-    random = few.select(F.explode(F.array(*forms)).alias("token"), F.lit(True).alias("is_random"))
+    share = min(1.0, n_docs / max(1, docs.count()))
+    few = (docs.select(F.coalesce(F.col(f"`{id_col}`").cast("string"), F.lit("")).alias("id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"),
+                       F.monotonically_increasing_id().alias("row"))
+           .where(F.pmod(F.xxhash64("id", "row"), F.lit(1 << 30)) < int(share * (1 << 30))))
+    digest = F.sha2(F.concat(F.col("id"), F.lit("/sample")), 256)
+    forms = F.array(digest, F.base64(F.unhex(digest)), F.translate(F.base64(F.unhex(digest)), "+/=", "-_"),
+                    F.upper(F.concat(F.conv(F.substring(digest, 1, 15), 16, 36), F.conv(F.substring(digest, 16, 15), 16, 36))))
     words = F.regexp_extract_all(F.col("text"), F.lit(r"(?<![A-Za-z0-9+/_=.-])[A-Za-z]{2,}"), F.lit(0))
-    parts = F.transform(F.sequence(F.lit(0), F.floor(F.size("w") / 3).cast("int")), lambda i: F.slice("w", i * 3 + 1, 3))
-    names = few.select(words.alias("w")).where(F.size("w") > 0).select(F.explode(parts).alias("p")).where(F.size("p") > 0)
-    lower = F.transform("p", lambda x: F.lower(x))
-    made = F.array(F.array_join("p", ""), F.array_join(lower, "_"), F.array_join(lower, "-"), F.array_join(lower, "/"),
-                   F.array_join(F.transform("p", lambda x: F.initcap(x)), ""), F.upper(F.array_join("p", "_")),
-                   F.concat(F.array_join(lower, "_"), F.lit("_"), F.pmod(F.xxhash64("p"), F.lit(100)).cast("string")))
-    return random.unionByName(names.select(F.explode(made).alias("token"), F.lit(False).alias("is_random")))
+    triples = F.transform(F.sequence(F.lit(0), F.floor((F.size("w") + 2) / 3).cast("int")), lambda i: F.slice("w", i * 3 + 1, 3))
+
+    def names(p):
+        lower = F.transform(p, lambda x: F.lower(x))
+        return F.array(F.array_join(p, ""), F.array_join(lower, "_"), F.array_join(lower, "-"), F.array_join(lower, "/"),
+                       F.array_join(F.transform(p, lambda x: F.initcap(x)), ""), F.upper(F.array_join(p, "_")),
+                       F.concat(F.array_join(lower, "_"), F.lit("_"), F.pmod(F.xxhash64(p), F.lit(100)).cast("string")))
+
+    told = lambda tokens, flag: F.transform(tokens, lambda t: F.struct(t.alias("token"), F.lit(flag).alias("is_random")))
+    ordinary = F.flatten(F.transform(F.filter("p", lambda p: F.size(p) > 0), names))
+    rows = few.select(forms.alias("forms"), words.alias("w")).select("forms", triples.alias("p"))
+    return rows.select(F.explode(F.concat(told(F.col("forms"), True), told(ordinary, False))).alias("s")).select("s.token", "s.is_random")
 
 
 def train(labelled: DataFrame, *, smoothing: float = 0.5) -> np.ndarray:
