@@ -9,10 +9,16 @@ from ridgeway.session import scratch_path
 
 
 def store(df: DataFrame, tag: str) -> DataFrame:
-    """The rows as a table in the shared folder: cuts the lineage, survives executors."""
-    path = scratch_path(df.sparkSession, tag)
+    """The rows as a table in the shared folder: cuts the lineage, survives executors.
+
+    What the written plan shuffled is not needed any more.  Spark removes shuffle files when the
+    driver's JVM collects their owners, so a collection is asked for: the disk holds the
+    shuffles of a step, not of the whole run."""
+    spark = df.sparkSession
+    path = scratch_path(spark, tag)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark.sparkContext._jvm.System.gc()
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def join_hot(left: DataFrame, right: DataFrame, key: str, how: str = "inner") -> DataFrame:
@@ -33,7 +39,7 @@ def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     near = _smallest(both).select("u", F.least("u", "m").alias("m"))
     return (join_hot(both, near, "u").where(F.col("v") > F.col("u"))
-            .select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").distinct())
+            .select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:

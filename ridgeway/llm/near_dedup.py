@@ -16,9 +16,11 @@ similarity; what passes is confirmed on the full shingle sets.
 
 Nodes still large at the last depth are finished exactly: after the components of all links
 so far are known, only classes of different components need comparing.  The largest
-component of the node is the bulk, the others the rest; blocks of the rest meet all blocks.
-A group of near-copies is thus linked through its pivots, at a cost in proportion to its
-size, and no pair is left out.
+component of the node is the bulk, the others the rest; blocks of the rest meet all blocks, a
+pair only in the first of the nodes it shares.  A task of two blocks holds their full sets, so
+only confirmed links leave it, and of these no more than join its components.  A group of
+near-copies is thus linked through its pivots and leaves, what is left of it is compared
+with all of it, and no pair is left out.
 
 Defined cases: null or empty text and text without words: empty set, linked with nothing, kept;
 fewer than ``words`` words: the whole sequence is the one shingle; repeated rows are one class;
@@ -196,6 +198,37 @@ def _compare_groups(least: int, percent: int):
     return run
 
 
+def _compare_blocks(words: int, least: int, percent: int):
+    """Links between block i (of the rest) and block j of a node, confirmed on the full sets; a link
+    is left out only if others of the task join the same classes."""
+    def links(node: int, i: int, j: int, members: list[dict]):
+        sets = [shingles(m["text"].encode(), words) for m in members]
+        n, blocks = np.array([len(s) for s in sets]), np.array([m["block"] for m in members])
+        sig = np.frombuffer(b"".join(m["sig"] for m in members), np.uint8).reshape(len(members), COORDINATES)
+        every, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), n)
+        group = np.unique([m["label"].hex() for m in members], return_inverse=True)[1]
+        shared = [set(m["nodes"]) for m in members]
+        for a in np.flatnonzero(blocks == i).tolist():
+            may = np.flatnonzero(_passing(n[a], sig[a], n, sig, least, percent) & (blocks == j) & (group != group[a]))
+            may = [b for b in may.tolist() if min(shared[a] & shared[b]) == node]
+            if not may:
+                continue
+            at = np.searchsorted(sets[a], every)
+            at[at == n[a]] = 0
+            both = np.bincount(owner[sets[a][at] == every], minlength=len(sets))
+            for b in may:
+                if group[b] != group[a] and 100 * both[b] >= percent * (n[a] + n[b] - both[b]):
+                    group[group == group[b]] = group[a]
+                    yield members[a]["key"], members[b]["key"]
+
+    def run(batches):
+        for batch in slices(batches, 8 << 20):
+            found = [x for r in batch.to_pylist() for x in links(r["node"], r["i"], r["j"], r["members"])]
+            yield pa.RecordBatch.from_arrays([pa.array([u for u, _ in found], pa.binary()), pa.array([v for _, v in found], pa.binary())],
+                                             names=["u", "v"])
+    return run
+
+
 def _compare_pairs(least: int, percent: int):
     def run(batches):
         for batch in batches:
@@ -243,10 +276,7 @@ class Join:
         pairs, last = self._trees()
         links = self._confirmed(pairs)
         edges = components(links)
-        rest = store(self._rest(last, edges), "pairs")
-        if not rest.isEmpty():
-            more = self._confirmed(rest)
-            edges = components(edges.unionByName(more))
+        edges = components(edges.unionByName(store(self._rest(last, edges), "links")))
         top = self.classes.select("key", "first").join(edges.select(F.col("u").alias("key"), F.col("v").alias("top")), "key", "left")
         top = top.select("key", "first", F.coalesce("top", "key").alias("top"))
         firsts = top.groupBy("top").agg(F.min("first").alias("best"))
@@ -277,8 +307,8 @@ class Join:
         return groups.mapInArrow(_compare_groups(self.least, self.percent), "a binary, b binary")
 
     def _stars(self, large: DataFrame) -> DataFrame:
-        ends = F.array(F.col("low"), F.col("high"))
-        pairs = (large.select("key", F.explode(ends).alias("pivot")).where("key != pivot")
+        ends = large.select("key", F.col("low").alias("pivot")).unionByName(large.select("key", F.col("high").alias("pivot")))
+        pairs = (ends.where("key != pivot")
                  .select(F.greatest("key", "pivot").alias("a"), F.least("key", "pivot").alias("b")).distinct())
         side = lambda s: self.members.select(F.col("key").alias(s), F.col("n").alias(f"n_{s}"), F.col("sig").alias(f"sig_{s}"))
         return join_hot(join_hot(pairs, side("a"), "a"), side("b"), "b").mapInArrow(
@@ -286,15 +316,18 @@ class Join:
 
     def _confirmed(self, pairs: DataFrame) -> DataFrame:
         """The pairs whose full sets are similar, as links (u, v)."""
-        needed = pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key"))).distinct()
-        rows = needed.join(self.classes.select("key", "row"), "key")
-        texts = store(self.source.select("row", "text").join(rows, "row").select("key", "text"), "texts")
+        texts = self._texts(pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key"))))
         side = lambda s: texts.select(F.col("key").alias(s), F.col("text").alias(f"text_{s}"))
         both = join_hot(join_hot(pairs, side("a"), "a"), side("b"), "b")
         return store(both.mapInArrow(_confirm(self.words, self.percent), "u binary, v binary"), "links")
 
+    def _texts(self, keys: DataFrame) -> DataFrame:
+        """A text (key, text) of each of the classes."""
+        rows = keys.distinct().join(self.classes.select("key", "row"), "key")
+        return store(self.source.select("row", "text").join(rows, "row").select("key", "text"), "texts")
+
     def _rest(self, last: DataFrame, edges: DataFrame) -> DataFrame:
-        """Pairs of different components that share a node which the last level left large."""
+        """Links between different components that share a node which the last level left large."""
         label = edges.select(F.col("u").alias("key"), F.col("v").alias("label"))
         rows = join_hot(last, label, "key", "left").select("node", "key", F.coalesce("label", "key").alias("label"))
         split = rows.groupBy("node").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x != y").select("node")
@@ -308,10 +341,13 @@ class Join:
         i_range, every = F.sequence(F.lit(0).cast("long"), F.col("rest_blocks") - 1), F.sequence(F.lit(0).cast("long"), F.col("rest_blocks") + F.col("bulk_blocks") - 1)
         meets = F.when(F.col("is_bulk"), F.transform(i_range, lambda i: F.struct(i.alias("i"), (F.col("rest_blocks") + F.col("at")).alias("j")))).otherwise(
             F.transform(every, lambda k: F.struct(F.least(k, F.col("at")).alias("i"), F.greatest(k, F.col("at")).alias("j"))))
-        tasks = placed.select("node", "key", "label", F.explode(meets).alias("t")).select("node", "t.i", "t.j", "key", "label")
-        groups = (tasks.join(self.members, "key").groupBy("node", "i", "j")
-                  .agg(F.collect_list(F.struct("key", "n", "sig", "label")).alias("members")).select("members"))
-        return groups.mapInArrow(_compare_groups(self.least, self.percent), "a binary, b binary").distinct()
+        block = F.when(F.col("is_bulk"), F.col("rest_blocks") + F.col("at")).otherwise(F.col("at"))
+        tasks = placed.select("node", "key", "label", block.alias("block"), F.explode(meets).alias("t")).select("node", "t.i", "t.j", "key", "label", "block")
+        keys = rows.groupBy("key").agg(F.collect_set("node").alias("nodes"))  # at most 2^depth nodes a tree
+        full = keys.join(self.members.select("key", "sig"), "key").join(self._texts(rows.select("key")), "key")
+        groups = (join_hot(tasks, full, "key").groupBy("node", "i", "j")
+                  .agg(F.collect_list(F.struct("key", "label", "block", "sig", "nodes", "text")).alias("members")))
+        return groups.mapInArrow(_compare_blocks(self.words, self.least, self.percent), "u binary, v binary")
 
 
 def deduplicate(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", words: int = 4, percent: int = 80, **options) -> DataFrame:
