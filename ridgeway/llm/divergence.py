@@ -10,9 +10,10 @@ Jensen-Shannon distance (square root of the divergence in bits, 0 to 1):
   punctuation stripped) and one bin for the rest.
 
 References come from exact aggregates over all documents: class shares in bins of a
-thousandth, and word counts whose ``common`` largest per language are kept.  A document is
-only compared when it has ``min_words`` words, and each limit widens by ``slack /
-sqrt(words)`` because short texts scatter more.  A language with fewer than
+thousandth, and word counts whose ``common`` largest per language are kept.  The characters
+are judged when the document has ``min_words`` words of any kind, its words when it has
+``min_words`` of letters or digits (edge symbols stripped); each limit widens by ``slack /
+sqrt(words)``, of the same words, because short texts scatter more.  A language with fewer than
 ``min_reference`` words in all, or beyond the ``max_languages`` largest, has no reference;
 its documents pass the method.
 
@@ -107,15 +108,18 @@ class References:
             self.words[lang] = ({w: i for i, (w, _) in enumerate(top)},
                                 np.array([c for _, c in top] + [max(0.5, total - sum(c for _, c in top))], dtype=float))
 
-    def distances(self, lang, text: bytes) -> tuple[float, float, int] | None:
-        """(class distance, word distance, bare words), None without a reference or words."""
+    def distances(self, lang, text: bytes) -> tuple[float, float | None, int] | None:
+        """(class distance, word distance, bare words), None without a reference or characters; no
+        word distance without bare words."""
         if lang not in self.classes:
             return None
         counts = class_counts(text)
         index, reference = self.words[lang]
         words = bare_words(text)
-        if not counts.sum() or not words:
+        if not counts.sum():
             return None
+        if not words:
+            return js_distance(counts, self.classes[lang]), None, 0
         rest = len(reference) - 1
         seen = np.bincount([index.get(w, rest) for w in words], minlength=rest + 1)
         return js_distance(counts, self.classes[lang]), js_distance(seen, reference), len(words)
@@ -193,8 +197,8 @@ class Rules:
         if found is None:
             return base, failed, None, None, not failed
         c, w, n = found
-        wide = 1 / np.sqrt(n)
-        bad = n >= self.min_words and (c > self.char_limit + self.char_slack * wide or w > self.word_limit + self.word_slack * wide)
+        bad = (base[0] >= max(1, self.min_words) and c > self.char_limit + self.char_slack / np.sqrt(base[0])
+               or n >= max(1, self.min_words) and w > self.word_limit + self.word_slack / np.sqrt(n))
         return base, failed, c, w, not failed and not bad
 
 

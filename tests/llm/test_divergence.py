@@ -9,7 +9,7 @@ import pandas as pd
 from ridgeway.llm import divergence as D
 from ridgeway.llm import queries as Q
 
-from tests.llm.helpers import SF, rows
+from tests.llm.helpers import SF, prose, rows
 
 
 def brute(t):
@@ -74,3 +74,16 @@ def test_edges(edge_docs, empty_docs):
     assert kept.columns == edge_docs.columns
     assert rows(kept, "doc_id") == rows(got.where("kept"), "doc_id")
     assert D.score(empty_docs).count() == 0 and D.keep(empty_docs).count() == 0
+
+
+def test_symbol_tokens_count_as_words_of_the_character_test():
+    refs = D.References({"en": [793, 14, 0, 166, 23, 0, 0, 0]}, {"en": [(b"the", 500)]}, {"en": 5000})
+    judge = D.Rules(refs).judge
+    prose_words = prose(1, 40).split()
+    junk = " ".join(f"{w} {mark}" for w, mark in zip(prose_words, ["|", "###", "$ % &", "***"] * 10)).encode()
+    base, failed, c, w, kept = judge("en", junk)
+    assert base[0] >= 50 and len(D.bare_words(junk)) < 50 and not failed and c > 0.3 and w is not None and not kept
+    bare = " ".join("|&$#"[k % 4] * (1 + k // 4) for k in range(80)).encode()  # no word at all
+    base, failed, c, w, kept = judge("en", bare)
+    assert base[0] == 80 and not failed and c > 0.5 and w is None and not kept
+    assert judge("en", prose(1, 80).encode())[4] and judge("en", b"| # |")[4] is False
