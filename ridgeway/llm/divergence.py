@@ -39,7 +39,8 @@ _STRIP = b".,;:!?\"'()[]{}#*$%&|<>-_"
 #: Fixed defaults of the verdict.
 COMMON, MIN_WORDS, MIN_REFERENCE = 100, 50, 2000
 MAX_LANGUAGES, BINS = 1000, 1000
-CHAR_LIMIT, CHAR_SLACK, WORD_LIMIT, WORD_SLACK = 0.15, 0.9, 0.30, 2.0
+#: With 0.4, 98.4 % (sf0.1) and 99.3 % (check_s) of the good documents of 50 to 99 words are kept; rates by length: README.
+CHAR_LIMIT, CHAR_SLACK, WORD_LIMIT, WORD_SLACK = 0.15, 0.4, 0.30, 2.0
 
 
 def _class_table() -> np.ndarray:

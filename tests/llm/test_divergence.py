@@ -87,3 +87,10 @@ def test_symbol_tokens_count_as_words_of_the_character_test():
     base, failed, c, w, kept = judge("en", bare)
     assert base[0] == 80 and not failed and c > 0.5 and w is None and not kept
     assert judge("en", prose(1, 80).encode())[4] and judge("en", b"| # |")[4] is False
+
+
+def test_short_junk_is_caught(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    got = D.score(docs).toPandas().merge(pd.read_parquet(f"{SF}/labels.parquet"), on="doc_id")
+    short = got[~got.base_failed & (got.n_words < 200)]
+    assert not short[short.quality == 0].kept.any() and short[short.quality == 1].kept.mean() > 0.98
