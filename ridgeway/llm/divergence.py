@@ -14,8 +14,10 @@ thousandth, and word counts whose ``common`` largest per language are kept.  The
 are judged when the document has ``min_words`` words of any kind, its words when it has
 ``min_words`` of letters or digits (edge symbols stripped); each limit widens by ``slack /
 sqrt(words)``, of the same words, because short texts scatter more.  A language with fewer than
-``min_reference`` words in all, or beyond the ``max_languages`` largest, has no reference;
-its documents pass the method.
+``min_reference`` words in all, or beyond the ``max_languages`` largest, has no reference of
+its own: its characters are judged by the pooled medians of all languages together, with the
+letters beyond ASCII (class ``wide``) counted as lower-case letters, because languages differ
+in these; words of other languages are no reference, so it has no word distance.
 
 Defined cases: null text: no words, base_failed; null language: a language of its own;
 repeated rows count as often as they stand; an empty table gives no rows.
@@ -62,6 +64,11 @@ def class_counts(text: bytes) -> np.ndarray:
     return np.bincount(_CLASS[np.frombuffer(text, dtype=np.uint8)], minlength=9)[:8]
 
 
+def folded(counts: np.ndarray) -> np.ndarray:
+    """The class counts with ``wide`` among ``lower``."""
+    return np.concatenate(([counts[0] + counts[7]], counts[1:7]))
+
+
 def bare_words(text: bytes) -> list[bytes]:
     return [w for w in (x.strip(_STRIP) for x in text.lower().split()) if w]
 
@@ -97,10 +104,12 @@ def js_distance(p: np.ndarray, q: np.ndarray) -> float:
 
 
 class References:
-    """Histograms by language; built from bounded aggregates (languages x bins)."""
+    """Histograms by language; built from bounded aggregates (languages x bins).  ``pooled``: the class
+    shares (folded) that stand in for languages without any."""
 
-    def __init__(self, classes: dict, words: dict, totals: dict, min_reference: int = MIN_REFERENCE):
+    def __init__(self, classes: dict, words: dict, totals: dict, min_reference: int = MIN_REFERENCE, pooled: list | None = None):
         self.classes, self.words, self.totals = {}, {}, totals
+        self.pooled = None if pooled is None else np.array(pooled, dtype=float) + 1e-6
         for lang, total in totals.items():
             if total < min_reference:
                 continue
@@ -111,14 +120,14 @@ class References:
 
     def distances(self, lang, text: bytes) -> tuple[float, float | None, int] | None:
         """(class distance, word distance, bare words), None without a reference or characters; no
-        word distance without bare words."""
-        if lang not in self.classes:
-            return None
+        word distance without bare words or by the pooled reference."""
         counts = class_counts(text)
-        index, reference = self.words[lang]
-        words = bare_words(text)
-        if not counts.sum():
+        if not counts.sum() or lang not in self.classes and self.pooled is None:
             return None
+        words = bare_words(text)
+        if lang not in self.classes:
+            return js_distance(folded(counts), self.pooled), None, len(words)
+        index, reference = self.words[lang]
         if not words:
             return js_distance(counts, self.classes[lang]), None, 0
         rest = len(reference) - 1
@@ -144,7 +153,7 @@ def _count(batches):
         for lang, text in zip(batch.column("lang").to_pylist(), texts_of(batch.column("text"))):
             counts = class_counts(text)
             if total := int(counts.sum()):
-                tally[lang].update([b" %d %d" % (k, n * BINS // total) for k, n in enumerate(counts.tolist())])
+                tally[lang].update([b" %d %d" % (k, n * BINS // total) for k, n in enumerate([*counts.tolist(), int(folded(counts)[0])])])
             tally[lang].update(bare_words(text))
         if sum(map(len, tally.values())) > 400_000:  # bounded memory: the aggregate adds the parts up
             yield from rows()
@@ -157,7 +166,7 @@ def references(docs: DataFrame, *, lang_col: str = "lang", text_col: str = "text
     counts = store(docs.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"))
                    .mapInArrow(_count, "lang string, key binary, n long")
                    .groupBy("lang", "key").agg(F.sum("n").alias("n"))
-                   .withColumn("is_class", F.substring("key", 1, 1) == F.lit(b" ")), "counts")  # read three times below
+                   .withColumn("is_class", F.substring("key", 1, 1) == F.lit(b" ")), "counts")  # read four times below
     # word totals and the largest of each of 64 hash buckets: no task ranks all words of a language
     bucket = F.when(~F.col("is_class"), F.pmod(F.xxhash64("key"), F.lit(64)))
     keyed = counts.withColumn("bucket", bucket)
@@ -167,19 +176,24 @@ def references(docs: DataFrame, *, lang_col: str = "lang", text_col: str = "text
     tops = keyed.where(~F.col("is_class")).withColumn("r", F.row_number().over(spread)).where(F.col("r") <= common)
     text_key = F.split(F.col("key").cast("string"), " ")
     bins = counts.where("is_class").select("lang", "n", text_key[1].cast("int").alias("k"), text_key[2].cast("int").alias("b"))
-    below = W.partitionBy("lang", "k")
-    medians = (bins.withColumn("up", F.sum("n").over(below.orderBy("b"))).withColumn("all", F.sum("n").over(below))
-               .where(F.col("up") * 2 >= F.col("all")).groupBy("lang", "k").agg(F.min("b").alias("b")))
+
+    def medians(bins):
+        below = W.partitionBy("lang", "k")
+        return (bins.withColumn("up", F.sum("n").over(below.orderBy("b"))).withColumn("all", F.sum("n").over(below))
+                .where(F.col("up") * 2 >= F.col("all")).groupBy("lang", "k").agg(F.min("b").alias("b")))
+
     totals = {r.lang: r.total for r in parts.where(~F.col("is_class")).groupBy("lang").agg(F.sum("total").alias("total"))
               .where(F.col("total") >= min_reference).orderBy(F.desc("total"), "lang").limit(max_languages).collect()}
     known = F.coalesce(F.col("lang"), F.lit("")).isin([k or "" for k in totals]) if totals else F.lit(False)
-    words, classes = defaultdict(list), defaultdict(lambda: [0] * 8)
+    words, classes = defaultdict(list), defaultdict(lambda: [0] * 9)
     for r in tops.where(known).select("lang", "key", "n").collect():
         words[r.lang].append((bytes(r.key), r.n))
-    for r in medians.where(known).collect():
+    for r in medians(bins).where(known).collect():
         classes[r.lang][r.k] = r.b
+    pooled = {r.k: r.b for r in medians(bins.groupBy("k", "b").agg(F.sum("n").alias("n")).withColumn("lang", F.lit(""))).collect()}
     words = {k: sorted(v, key=lambda x: (-x[1], x[0]))[:common] for k, v in words.items()}
-    return References(dict(classes), words, totals, min_reference)
+    return References({k: v[:8] for k, v in classes.items()}, words, totals, min_reference,
+                      [pooled[k] for k in (8, *range(1, 7))] if pooled else None)
 
 
 class Rules:
@@ -199,7 +213,7 @@ class Rules:
             return base, failed, None, None, not failed
         c, w, n = found
         bad = (base[0] >= max(1, self.min_words) and c > self.char_limit + self.char_slack / np.sqrt(base[0])
-               or n >= max(1, self.min_words) and w > self.word_limit + self.word_slack / np.sqrt(n))
+               or w is not None and n >= max(1, self.min_words) and w > self.word_limit + self.word_slack / np.sqrt(n))
         return base, failed, c, w, not failed and not bad
 
 

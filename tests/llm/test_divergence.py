@@ -94,3 +94,26 @@ def test_short_junk_is_caught(spark):
     got = D.score(docs).toPandas().merge(pd.read_parquet(f"{SF}/labels.parquet"), on="doc_id")
     short = got[~got.base_failed & (got.n_words < 200)]
     assert not short[short.quality == 0].kept.any() and short[short.quality == 1].kept.mean() > 0.98
+
+
+def test_languages_without_a_reference_take_the_pooled_one(spark):
+    docs = pd.read_parquet(f"{SF}/documents.parquet").head(300)[["doc_id", "text", "lang"]]
+    junk = " | ".join(prose(9, 80).split())
+    few = pd.DataFrame([(-1, junk, "xx"), (-2, prose(9, 80), "xx"), (-3, junk, None)], columns=docs.columns)
+    every = pd.concat([docs, few])
+    df = spark.createDataFrame(every, "doc_id long, text string, lang string")
+    refs = D.references(df)
+    assert "xx" not in refs.classes and None not in refs.classes and "en" in refs.classes
+    shares = []
+    for t in every.text:
+        c = D.folded(D.class_counts(t.encode()))
+        shares.append([int(x) * D.BINS // int(c.sum()) for x in c])
+    assert [round(x) for x in refs.pooled] == [sorted(col)[(len(col) - 1) // 2] for col in zip(*shares)]
+    got = {r.doc_id: r for r in D.score(df, refs).where("doc_id < 0").collect()}
+    assert not got[-1].kept and got[-2].kept and not got[-3].kept and got[-1].char_distance > 0.2
+    # beyond the number of languages: good documents of the others stay, junk goes
+    one = D.references(df, max_languages=1)
+    assert list(one.classes) == ["en"] and (one.pooled == refs.pooled).all()
+    told = D.score(df, one).toPandas().merge(pd.read_parquet(f"{SF}/labels.parquet").merge(docs), on="doc_id")
+    told = told[~told.base_failed & (told.lang != "en")]
+    assert told[told.quality == 1].kept.mean() > 0.95 and not told[told.quality == 0].kept.any() and (told.quality == 0).any()
