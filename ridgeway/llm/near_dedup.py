@@ -2,15 +2,16 @@
 
 A document's set holds its distinct shingles of ``words`` words (A-Z lower-cased; 64-bit
 hashes).  Documents with equal sets are one class from the start.  ``coordinates``
-minwise tokens describe a set.  In each of ``trees`` independent trees, every node picks one
-coordinate, and with probability 1/4 a second one (1 / similarity on average), by its own
-hash; the classes of the node go to a child per value of the picked coordinate, so
+minwise tokens describe a set.  In each of ``trees`` trees, every node picks one coordinate,
+and with probability 1/4 a second one (1 / similarity on average), by its own hash out of those of
+its tree and level, which no other tree or level uses at the default sizes (15 for the first level,
+two for each later level of a tree); so the trees are independent.  The classes of the node go to a child per value of the picked coordinate, so
 similar sets share children.  A node of at most ``leaf`` classes is compared exhaustively; a
 larger one compares all classes with two pivots and branches again, up to ``depth``.
 
-A pair at the similarity itself is lost by one tree with probability 0.16 where the first
-level is small already, 0.27 and 0.36 at depth two and three; by all 12 trees with less than
-5e-6, and pairs of higher similarity with far less.  Pairs pass when enough of their coordinates
+A pair at similarity 0.8 is lost by one tree with probability 0.16 on average where the first
+level is small already, 0.28 and 0.38 where it has to meet at depth two and three; by all 12 trees
+with 3.3e-11, 1.4e-7 and 6.1e-6 (at depth three 1.7e-6 at similarity 0.82, 1.8e-7 at 0.85).  Pairs pass when enough of their coordinates
 agree (a bound that a similar pair misses with probability 1e-6) and their sizes allow the
 similarity; what passes is confirmed on the full shingle sets.
 
@@ -52,6 +53,7 @@ _PLACES = (_RNG.integers(0, 1 << 62, 64, dtype=np.uint64) << _U(1)) | _U(1)
 _MUL = (_RNG.integers(0, 1 << 62, COORDINATES, dtype=np.uint64) << _U(1)) | _U(1)
 _ADD = _RNG.integers(0, 1 << 62, COORDINATES, dtype=np.uint64)
 _PIECE = 1 << 20
+_TREE = _U(63)  # of a node: its tree
 
 
 def _fold_table() -> bytes:
@@ -136,32 +138,41 @@ def _sketches(words: int):
 
 
 def _roots(trees: int):
-    """First level: tree t picks coordinate t, every fourth one more."""
+    """First level: tree t picks coordinate t, every fourth one more.  The low bits of a node are its tree."""
     picks = [(t, t) for t in range(trees)] + [(t, trees + t // 4) for t in range(0, trees, 4)]
 
     def run(batches):
         for batch in batches:
             mins = _matrix(batch.column("mins"), np.uint32)
             for tree, c in picks:
-                node = _child(np.full(len(mins), tree + 1, dtype=_U), np.full(len(mins), c), mins[:, c])
+                node = _child(np.full(len(mins), tree, dtype=_U), np.full(len(mins), c), mins[:, c])
                 yield _rows(node, batch.column("key"))
     return run
 
 
-def _branch(batches):
-    for batch in batches:
-        mins = _matrix(batch.column("mins"), np.uint32)
-        node = batch.column("node").to_numpy().view(_U)
-        h = mix64(node ^ _BASE)
-        one, two = (h % _U(COORDINATES)).astype(int), ((h >> _U(40)) % _U(COORDINATES)).astype(int)
-        every = np.arange(len(node))
-        yield _rows(_child(node, one, mins[every, one]), batch.column("key"))
-        more = np.flatnonzero(((h >> _U(32)) % _U(4) == 0) & (one != two))
-        yield _rows(_child(node[more], two[more], mins[more, two[more]]), batch.column("key").take(pa.array(more)))
+def _branch(trees: int, depth: int, level: int):
+    """Later levels: a node picks among the coordinates of its tree and level, which come behind those of the first."""
+    first = trees + -(-trees // 4)
+    rest = max(1, COORDINATES - first)
+    width = max(1, min(2, rest // (trees * max(1, depth - 1))))
+
+    def run(batches):
+        for batch in batches:
+            mins = _matrix(batch.column("mins"), np.uint32)
+            node = batch.column("node").to_numpy().view(_U)
+            h = mix64(node ^ _BASE)
+            own = ((level - 1) * trees + (node & _TREE).astype(int)) * width
+            pick = (h % _U(width)).astype(int)
+            one, two = ((own + (pick + k) % width) % rest + COORDINATES - rest for k in (0, 1))
+            every = np.arange(len(node))
+            yield _rows(_child(node, one, mins[every, one]), batch.column("key"))
+            more = np.flatnonzero(((h >> _U(32)) % _U(4) == 0) & (one != two))
+            yield _rows(_child(node[more], two[more], mins[more, two[more]]), batch.column("key").take(pa.array(more)))
+    return run
 
 
 def _child(node, coordinate, value):
-    return mix64(node * _BASE + mix64((coordinate.astype(_U) << _U(32)) + value.astype(_U)))
+    return mix64(node * _BASE + mix64((coordinate.astype(_U) << _U(32)) + value.astype(_U))) & ~_TREE | node & _TREE
 
 
 def _rows(node, key):
@@ -289,7 +300,7 @@ class Join:
             if level == 0:
                 rows = self.classes.select("key", "mins").mapInArrow(_roots(self.trees), "node long, key binary")
             else:
-                rows = large.select("node", "key").join(self.classes.select("key", "mins"), "key").mapInArrow(_branch, "node long, key binary")
+                rows = large.select("node", "key").join(self.classes.select("key", "mins"), "key").mapInArrow(_branch(self.trees, self.depth, level), "node long, key binary")
             rows = store(rows, "nodes")
             sizes = rows.groupBy("node").agg(F.count("*").alias("size"), F.min("key").alias("low"), F.max("key").alias("high")).where("size > 1")
             nodes = store(join_hot(rows, sizes, "node"), "nodes")

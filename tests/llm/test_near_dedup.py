@@ -120,3 +120,33 @@ def test_components_match_union_find(spark, seed):
     got = {x.u: x.v for x in graph.components(spark.createDataFrame(edges, "u long, v long")).collect()}
     assert got == {x: find(x) for x in up if find(x) != x}
     assert graph.components(spark.createDataFrame([], "u long, v long")).count() == 0
+
+
+def test_trees_share_no_coordinate():
+    """A coordinate that differs moves the nodes of one tree only, at one level only."""
+    import pyarrow as pa
+    mins = np.random.default_rng(1).integers(0, 1 << 32, N.COORDINATES, dtype=np.uint32)
+
+    def paths(mins):
+        """Nodes of each level by tree."""
+        out, node = [], None
+        for level in range(N.DEPTH):
+            if level == 0:
+                batch = pa.RecordBatch.from_arrays([pa.array([b"k"]), pa.array([mins.tobytes()])], names=["key", "mins"])
+                got = list(N._roots(N.TREES)([batch]))
+            else:
+                batch = pa.RecordBatch.from_arrays([pa.array(node, pa.int64()), pa.array([b"k"] * len(node)), pa.array([mins.tobytes()] * len(node))],
+                                                   names=["node", "key", "mins"])
+                got = list(N._branch(N.TREES, N.DEPTH, level)([batch]))
+            node = [x for b in got for x in b.column("node").to_pylist()]
+            out.append({t: sorted(x for x in node if x & 63 == t) for t in range(N.TREES)})
+        return out
+
+    whole = paths(mins)
+    assert all(len(x) for level in whole for x in level.values())
+    for c in range(N.COORDINATES):
+        other = mins.copy()
+        other[c] ^= 1
+        moved = {t for was, now in zip(whole, paths(other)) for t in was if was[t] != now[t]}
+        assert len(moved) <= 1
+    assert sum(len(x) == 2 for x in whole[0].values()) == 3
