@@ -10,6 +10,10 @@ Labelled pages are HTML in which a block is main when an ancestor has ``data-lab
 with ``data-label="other"`` (the attribute itself is no feature).  ``html_samples`` makes the training
 pages; ``train`` takes any, up to ``MAX_PAGES`` (a documented bound: the model is small).
 
+Left out before the CRF sees a block are only comments and the content of ``script``, ``style``, ``template``, ``textarea``
+and ``title``.  Text in ``math`` and ``svg`` stays in its block; ``noscript``, ``object``, ``iframe``, ``noembed`` and ``noframes``
+are block elements, whose fallback text the CRF labels like any other.
+
 Defined cases: null or empty html: no text; broken markup is read as far as it goes (unclosed comments and
 scripts reach the end); unknown features are ignored; repeated rows are read one by one; an empty
 table gives no rows; other columns are not read.
@@ -31,17 +35,20 @@ from ridgeway.llm.common import Shared, slices
 MAX_PAGES = 2000
 #: Element kinds of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-SILENT = frozenset("script style noscript template textarea title iframe noembed noframes svg math object".split())
+#: What is no text of the page: code, styles, inert templates, the title of the window and what a form control holds.
+SILENT = frozenset("script style template textarea title".split())
+#: Elements with text for readers that cannot show what they embed.
+FALLBACK = ("noscript", "object", "iframe", "noembed", "noframes")
 BLOCK = frozenset(("address article aside blockquote body button caption center dd details dialog dir div dl dt fieldset figcaption figure "
                    "footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html label legend li main menu nav ol optgroup option p pre search "
-                   "section select summary table tbody td tfoot th thead tr ul").split())
+                   "section select summary table tbody td tfoot th thead tr ul").split()) | frozenset(FALLBACK)
 HEADINGS = ("h1", "h2", "h3", "h4", "h5", "h6")
 #: Elements that say nothing about the use of their text unless they have a class, id or role.
-PLAIN = frozenset((*HEADINGS, *"p div li ul ol dl dt dd table tbody thead tfoot tr td th blockquote pre figure figcaption center caption hgroup".split()))
+PLAIN = frozenset((*HEADINGS, *FALLBACK, *"p div li ul ol dl dt dd table tbody thead tfoot tr td th blockquote pre figure figcaption center caption hgroup".split()))
 #: What an opening tag closes if it is open (up to the nearest of the second group).
 CLOSES = {"li": ("li", ("ul", "ol", "menu", "dir")), "dt": ("dt dd", ("dl",)), "dd": ("dt dd", ("dl",)), "tr": ("tr td th", ("table",)),
           "td": ("td th", ("tr", "table")), "th": ("td th", ("tr", "table")), "option": ("option", ("select",)), "body": ("head", ())}
-_NOT_IN_P = BLOCK - {"button", "label", "select", "option", "optgroup", "legend"}
+_NOT_IN_P = BLOCK - {"button", "label", "select", "option", "optgroup", "legend", *FALLBACK}
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)(?:>|\Z)", re.S)
 _ATTR = re.compile(r"(?:^|[\s\"'/])(class|id|role|hidden|aria-hidden|data-label)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
 _WORD = re.compile(r"[a-z]+")
@@ -136,7 +143,7 @@ def blocks(html: str) -> list[Block]:
             if tag in CLOSES:
                 names, until = CLOSES[tag]
                 close(names.split(), until)
-            if tag not in VOID:
+            if tag not in VOID and not (tag in FALLBACK and m[3].rstrip().endswith("/")):
                 up = stack[-1]
                 feats, label = _features(tag, m[3])
                 near = up.near if tag in PLAIN and len(feats) == 1 else tuple(f"near {f}" for f in feats)

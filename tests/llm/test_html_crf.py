@@ -81,3 +81,15 @@ def test_edges(spark, model):
     assert rows(got.where("page_id is null"), "text") == [("x",)] * 2
     assert got.where("page_id = 4").first().n_chars == 20_000 * 16 - 1
     assert H.extract(df.limit(0), model).count() == 0
+
+
+def test_formulas_and_fallback_text_are_read(model):
+    text = lambda h: [(b.tag, b.text) for b in H.blocks(h)]
+    assert text("<p>let <math><mi>x</mi><mo>=</mo><mn>1</mn></math> be <svg><title>t</title><text>drawn</text></svg></p>") == [("p", "let x=1 be drawn")]
+    assert text("<p>a<noscript>b</noscript>c</p><object data=x><p>d</p></object><iframe src=y>e</iframe>f") == [
+        ("p", "a"), ("noscript", "b"), ("p", "c"), ("p", "d"), ("iframe", "e"), ("", "f")]
+    assert text("<object data=x /><iframe/><p>a</p>") == [("p", "a")] and H.blocks("<object/>a")[0].path == ()
+    assert text("a<template><p>b</p></template><textarea>c</textarea><script>d</script><style>e</style>f") == [("", "af")]
+    assert model.extract("<body><nav><a href=/>Home</a></nav><article><h1>Title</h1><p>Let <math><mi>y</mi></math> be one number here.</p>"
+                         "<noscript><p>The figure shows all the values.</p></noscript><p>It ends.</p></article></body>") == (
+        "Title\nLet y be one number here.\nThe figure shows all the values.\nIt ends.")
