@@ -75,3 +75,51 @@ reach AS (SELECT doc_id AS x, doc_id AS y FROM documents UNION SELECT reach.x, l
 SELECT doc_id, len(s)::BIGINT AS n_shingles, low AS component_id, doc_id = low AS kept
 FROM sets JOIN (SELECT x, min(y) AS low FROM reach GROUP BY x) ON x = doc_id
 """
+
+SOURCE_MIX = r"""
+WITH d AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
+         ('0x' || substr(md5('1:' || coalesce(doc_id::VARCHAR, 'null')), 1, 15))::BIGINT AS h FROM documents),
+sources AS (SELECT source, sum(size)::BIGINT AS n FROM d GROUP BY source),
+weighed AS (SELECT *, 2 * n AS cap, [3, 1, 2][1 + ((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3)::INT]::BIGINT AS w FROM sources),
+ranked AS (
+  SELECT *, row_number() OVER poorest AS k,
+    150 * (sum(n) OVER ())::HUGEINT - 100 * coalesce(sum(cap) OVER (poorest ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::HUGEINT AS a,
+    100 * (sum(w) OVER (poorest ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))::HUGEINT AS b
+  FROM weighed WINDOW poorest AS (ORDER BY cap::DOUBLE / w, source)),
+level AS (SELECT k, a, b FROM ranked WHERE w * a <= cap * b ORDER BY k LIMIT 1),
+aims AS (
+  SELECT source, n, CASE WHEN ranked.k < coalesce(level.k, 1e9) THEN cap::DOUBLE ELSE (w * level.a)::DOUBLE / level.b::DOUBLE END AS target,
+    CASE WHEN ranked.k < coalesce(level.k, 1e9) THEN cap ELSE (w * level.a) // level.b END::BIGINT AS aim FROM ranked LEFT JOIN level ON true),
+goals AS (SELECT source, n, target, CASE WHEN n > 0 THEN aim // n ELSE 0 END AS whole, CASE WHEN n > 0 THEN aim % n ELSE 0 END AS rest FROM aims),
+ties AS (SELECT source, h, size, count(*) AS c FROM d GROUP BY source, h, size),
+placed AS (SELECT *, coalesce(sum(size * c) OVER (PARTITION BY source ORDER BY h, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS before FROM ties)
+SELECT d.doc_id, d.size, g.n AS source_size, g.target,
+  (g.whole * d.size + greatest(0, least(d.size, (g.rest - p.before) // p.c)))::BIGINT AS taken
+FROM d JOIN goals g ON d.source IS NOT DISTINCT FROM g.source
+JOIN placed p ON d.source IS NOT DISTINCT FROM p.source AND d.h = p.h AND d.size = p.size
+"""
+
+
+def ns_kmeans(k: int = 16, rounds: int = 3, d: int = 64, factor: int = 64) -> str:
+    """All distances of every round, without bounds."""
+    near = lambda c: f"""(SELECT rid, vec_id, x, c, dist FROM (
+      SELECT rid, vec_id, v.x, c.c, list_sum(list_transform(list_zip(v.x, c.x), lambda p: (p[1] - p[2]) * (p[1] - p[2])))::BIGINT AS dist
+      FROM v, {c} c) q QUALIFY row_number() OVER (PARTITION BY rid ORDER BY dist, c) = 1)"""
+    parts = [f"""v AS (SELECT row_number() OVER () AS rid, vec_id, list_transform(embedding, lambda e: floor(e::DOUBLE * {factor})::BIGINT) AS x
+      FROM embeddings WHERE len(embedding) = {d} AND len(list_filter(embedding, lambda e: e IS NOT NULL AND isfinite(e))) = {d})""",
+             f"""c0 AS (SELECT row_number() OVER (ORDER BY h, x) - 1 AS c, x FROM
+      (SELECT sha256('1:' || coalesce(vec_id::VARCHAR, 'null')) AS h, x FROM v ORDER BY h, x LIMIT {k}) s)"""]
+    for t in range(rounds):
+        parts += [f"a{t} AS MATERIALIZED {near(f'c{t}')}",
+                  f"""m{t} AS (SELECT c, list(((s - ((s % n) + n) % n) // n)::BIGINT ORDER BY i) AS x FROM (
+      SELECT c, i, sum(e) AS s, count(*) AS n FROM (SELECT c, unnest(x) AS e, unnest(range({d})) AS i FROM a{t}) u GROUP BY c, i) g GROUP BY c)""",
+                  f"c{t + 1} AS MATERIALIZED (SELECT c{t}.c, coalesce(m{t}.x, c{t}.x) AS x FROM c{t} LEFT JOIN m{t} ON c{t}.c = m{t}.c)"]
+    parts.append(f"last AS MATERIALIZED {near(f'c{rounds}')}")
+    return ("WITH " + ",\n".join(parts) + f"""
+SELECT vec_id, last.c::INTEGER AS cluster, dist AS distance, (sum(dist) OVER (PARTITION BY last.c))::BIGINT AS cluster_inertia,
+  (sum(dist) OVER ())::BIGINT AS inertia, sha256(array_to_string(c{rounds}.x, ',')) AS centroid_sha256
+FROM last JOIN c{rounds} ON last.c = c{rounds}.c""")
+
+
+NS_KMEANS = ns_kmeans()

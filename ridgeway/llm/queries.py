@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ridgeway.llm import bpe_stream, chat_format, decontaminate, divergence, html_crf, html_samples, near_dedup, oracles, quality_rff, secrets, token_arrow, warc
+from ridgeway.llm import bpe_stream, chat_format, decontaminate, divergence, html_crf, html_samples, near_dedup, ns_kmeans, oracles, quality_rff, secrets, source_mix, token_arrow, warc, whitening
 
 QUERIES = {}
 ORACLES = {}
@@ -123,3 +123,19 @@ def op9_streaming_bpe(spark, sf_dir):
 def op10_token_arrow(spark, sf_dir):
     index, folder = token_arrow.write(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
     return token_arrow.read(index, folder, digest=token_arrow.crc32, digest_schema="ids_crc32")
+
+
+@query("op11_source_mix", oracles.SOURCE_MIX)
+def op11_source_mix(spark, sf_dir):
+    return source_mix.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query("op12_qdwh_whitening")
+def op12_qdwh_whitening(spark, sf_dir):
+    """The deviation is null where it is no long (from about 10^9 distinct vectors on); the operator's own is exact."""
+    return whitening.whiten(table(spark, sf_dir, "embeddings")).withColumn("deviation", F.expr("try_cast(deviation as bigint)"))
+
+
+@query("op13_ns_kmeans", oracles.NS_KMEANS)
+def op13_ns_kmeans(spark, sf_dir):
+    return ns_kmeans.cluster(table(spark, sf_dir, "embeddings"))

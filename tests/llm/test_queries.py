@@ -14,14 +14,14 @@ SMALL = "/root/testdata/sf0.001"
 
 def test_entry_lists_every_operator_and_the_pipeline():
     names = E.queries()
-    assert {f"op{k}" for k in range(1, 11)} <= {n.split("_")[0] for n in names}
+    assert {f"op{k}" for k in range(1, 14)} <= {n.split("_")[0] for n in names}
     assert names["pipeline"] is corpus_pipeline.run and len(corpus_pipeline.STAGES) == 5
 
 
 @pytest.mark.parametrize("name", sorted(Q.ORACLES))
 def test_query_matches_sql(spark, name):
     con = duckdb.connect()
-    for t in "documents pages benchmark labels conversations".split():
+    for t in "documents embeddings pages benchmark labels conversations".split():
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SMALL}/{t}.parquet')")
     df = Q.QUERIES[name](spark, SMALL)
     cols = sorted(df.columns)
