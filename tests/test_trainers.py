@@ -176,10 +176,10 @@ def test_hash_order_epochs_match_numpy_replay(spark):
     X, y, ids = _local_rows(spark)
     S, alpha, l2, epochs = 3, 0.01, 1.0, 2
     cfg = SGDConfig(kind="hinge", alpha=alpha, l2=l2, shards=S, max_iter=epochs, tol=0.0, order="hash")
-    res = train_sgd(hinge_rows(spark, SF_SMALL), "id", HINGE_FEATURES, "y", cfg)
+    res = train_sgd(hinge_rows(spark, SF_SMALL), "id", HINGE_FEATURES, "y", cfg, keep_models=True)
     model = LinearModel.zeros(1, 2)
     for e in range(1, epochs + 1):
-        key = (ids * 7919 + e * 104729) % 1000003
+        key = ids % 2147483647 * pow(48271, e, 2147483647) % 2147483647
         total_w, total_b = np.zeros(2), 0.0
         for s in range(S):
             sel = np.flatnonzero(shard_of(ids, S) == s)
@@ -256,7 +256,7 @@ def test_resume_after_a_crash_between_model_and_history(spark):
     from ridgeway.sources.training_log import TrainingLog
     rows = log_rows(spark, SF_SMALL)
     cfg = GDConfig(loss="logistic", lr=0.5, tol=1e-4, max_epochs=5)
-    full = train_gd(rows, LIN_FEATURES, "y", cfg)
+    full = train_gd(rows, LIN_FEATURES, "y", cfg, keep_models=True)
     log = TrainingLog(spark, scratch_path(spark, "crash-log"))
     train_gd(rows, LIN_FEATURES, "y", GDConfig(loss="logistic", lr=0.5, tol=1e-4, max_epochs=2), log=log)
     log.models.write(full.models[2].to_table(spark), 3)        # epoch 3's model, no history row
