@@ -25,8 +25,17 @@ def feature_matrix(column: pa.Array, d: int) -> np.ndarray:
     return X
 
 
-def labels(column: pa.Array) -> np.ndarray:
+def labels(column: pa.Array, kind: str | None = None, n_classes: int | None = None) -> np.ndarray:
+    """The labels of a batch; with ``kind`` they must be -1 or 1 (hinge) or whole numbers in 0..K-1."""
     y = column.to_numpy(zero_copy_only=False).astype(np.float64, copy=False)
     if column.null_count or np.isnan(y).any():
         raise ValueError("NULL or NaN in features or label")
+    if kind == "hinge":
+        if (np.abs(y) != 1.0).any():
+            raise ValueError("hinge labels must be -1 or 1")
+    elif kind is not None:
+        if (y != np.floor(y)).any():
+            raise ValueError("class labels must be whole numbers")
+        if (y < 0).any() or (n_classes is not None and (y >= n_classes).any()):
+            raise ValueError("class labels must be 0..K-1")
     return y

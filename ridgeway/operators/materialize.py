@@ -11,18 +11,25 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark import RDD, StorageLevel
+from pyspark.sql import SparkSession
 
 from ridgeway.session import checkpoint_dir
 
 MODES = ("persist", "checkpoint", "none")
 
 
-def materialize(df: DataFrame, mode: str) -> tuple[DataFrame, DataFrame | None]:
-    """-> (frame to iterate on, frame to release afterwards or None)."""
+def materialize(df, mode: str):
+    """-> (frame to iterate on, frame to release afterwards or None); also for an RDD of blocks."""
     if mode not in MODES:
         raise ValueError(f"materialize must be one of {MODES}")
+    if isinstance(df, RDD):
+        if mode != "none":
+            df = df.persist(StorageLevel.MEMORY_AND_DISK)
+        if mode == "checkpoint":
+            checkpoint_dir(SparkSession.active())
+            df.checkpoint()      # written when the first pass runs; later passes and lost blocks read it
+        return df, df if mode != "none" else None
     if mode == "persist":
         p = df.persist(StorageLevel.MEMORY_AND_DISK_DESER)
         return p, p
@@ -32,6 +39,6 @@ def materialize(df: DataFrame, mode: str) -> tuple[DataFrame, DataFrame | None]:
     return df, None
 
 
-def release(df: DataFrame | None) -> None:
+def release(df) -> None:
     if df is not None:
         df.unpersist()

@@ -3,12 +3,21 @@
 Plan of one epoch::
 
     prepared (shard = scrambled id mod S; placed by repartitionById on pmod(shard, P),
-              P = min(S, max(cores, ceil(rows / 1M))) tasks unless max_partitions
-              is given; shuffled ONCE and persisted for all epochs)
-      -> sortWithinPartitions(shard, order(id, epoch), id)   [local sort, no shuffle]
-      -> mapInArrow(sequential fold per shard)               [one live shard model per task;
-                                                               the task emits their SUM]
-      -> groupBy(pos).sum(value)                             [P x (K*(d+1)+3) values in]
+              sorted by (shard, id) inside its partition; shuffled ONCE and persisted)
+      -> blocks of whole shards (numpy, up to LOCKSTEP_BYTES), persisted for all epochs
+      -> one fold a task        each block is put in the epoch's order and its shards are folded
+                                side by side; the task emits the SUM of its shard models
+      -> sum of the task arrays (in a tree when they are many)
+
+The loop over the blocks is the one place of the library that runs on an RDD: the fold is imperative
+code over whole partitions, and a pass over persisted blocks needs no plan of its own.
+Shards larger than a block stay rows: Spark sorts them into the epoch's order
+(``sortWithinPartitions``, which spills) and they are folded one row at a time as they stream by
+(``mapInArrow``; the task arrays are added by operators.array_sum).
+
+With ``reshard`` the rows are dealt to the shards anew each epoch, as the reference does: the shard rule takes the
+epoch in, and each pass plans one exchange over the persisted rows.  Without it (the default)
+rows keep their shard and all epochs share one exchange; both are fixed by the row id alone.
 
 The driver then averages: (sum over non-empty shards + empty shards x
 incoming model) / S -- an unweighted mean over exactly S shards, so the
@@ -24,6 +33,7 @@ rule before the modulo, so even strided ids spread evenly.
 from __future__ import annotations
 
 import math
+import pickle
 import warnings
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field, replace
@@ -34,8 +44,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ridgeway.model import MAX_MODEL_CELLS, LinearModel
+from ridgeway.operators import array_sum
 from ridgeway.operators.arrow_rows import feature_matrix, labels
-from ridgeway.operators.folds import FOLDS, KINDS, ShardState
+from ridgeway.operators.folds import FOLDS, KINDS, ShardState, fold_shards
 from ridgeway.operators.materialize import MODES, materialize, release
 from ridgeway.operators.gd import HISTORY_SCHEMA
 
@@ -52,6 +63,9 @@ ORDER_MOD = 2147483647
 SHARD_MULT = 1327217885
 SHARD_ADD = 3
 SHARD_MOD = 2147483647
+# With reshard, epoch e multiplies by SHARD_MULT * SHARD_ROOT^e mod M instead (a primitive
+# root other than the one of the order, so order and shard do not go together).
+SHARD_ROOT = 69621
 
 # Trainer defaults of the reference programs.
 HINGE_DEFAULTS = dict(kind="hinge", alpha=0.01, l2=1.0, max_iter=20, tol=1e-3)
@@ -59,15 +73,13 @@ HINGE_ETA_DEFAULTS = dict(kind="hinge", alpha=0.1, l2=1.0, max_iter=300, tol=1e-
 MULTICLASS_HINGE_DEFAULTS = dict(kind="multiclass_hinge", alpha=0.01, l2=1e-4, max_iter=250, tol=1e-4)
 SOFTMAX_DEFAULTS = dict(kind="softmax", alpha=0.05, l2=0.0, max_iter=450, tol=1e-4)
 
-# Rows that one task folds by default (several small shards share a task); plans only.
+# Rows that one task folds at most by default, and model cells (rows x K x (d+1)) below which another
+# task costs more than it saves (several small shards share a task); plans only.
 ROWS_PER_TASK = 1_000_000
+MIN_TASK_CELLS = 2_000_000
 
-# Below this many (task x cell) values the task vectors are added on the driver
-# (one stage); above it Spark aggregates them (partial sums, then a small collect).
-DIRECT_SUM_VALUES = 200_000
-
-FOLD_SCHEMA = "pos int, value double"
-POS_N_ROWS, POS_LOSS, POS_SHARDS = -1, -2, -3
+# Rows of a block: shards that are folded side by side.
+LOCKSTEP_BYTES = 32 << 20
 
 
 @dataclass
@@ -83,6 +95,7 @@ class SGDConfig:
     materialize: str = "persist"  # persist | checkpoint | none (see operators.materialize)
     rows_per_shard: int | None = None  # ... or ceil(rows / rows_per_shard) shards
     max_partitions: int | None = None  # tasks for the shards; None: auto (see resolve_partitions)
+    reshard: bool = False        # deal the rows to the shards anew each epoch (one exchange a pass)
 
     def __post_init__(self) -> None:
         if self.kind not in KINDS:
@@ -118,116 +131,215 @@ class SGDResult:
         return spark.createDataFrame(self.history, HISTORY_SCHEMA)
 
 
-def shard_key(id_col: Column, shards: int) -> Column:
-    """Shard of a row: pmod(pmod(pmod(id, M) * 1327217885 + 3, M), S), M = 2^31 - 1
-    (products stay below 2.9e18, inside int64)."""
-    scrambled = F.pmod(F.pmod(id_col, F.lit(SHARD_MOD)) * F.lit(SHARD_MULT) + F.lit(SHARD_ADD),
+def shard_key(id_col: Column, shards: int, epoch: int = 0) -> Column:
+    """Shard of a row: pmod(pmod(pmod(id, M) * m + 3, M), S), M = 2^31 - 1, with m = 1327217885 * 69621^epoch mod M
+    (epoch 0: shards that stay); products stay below 2.9e18, inside int64."""
+    mult = SHARD_MULT * pow(SHARD_ROOT, int(epoch), SHARD_MOD) % SHARD_MOD
+    scrambled = F.pmod(F.pmod(id_col, F.lit(SHARD_MOD)) * F.lit(mult).cast("long") + F.lit(SHARD_ADD),
                        F.lit(SHARD_MOD))
     return F.pmod(scrambled, F.lit(shards)).cast("int")
 
 
+def order_factor(epoch: int) -> int:
+    return pow(ORDER_ROOT, int(epoch), ORDER_MOD)
+
+
 def order_key(id_col: Column, epoch: int) -> Column:
-    factor = F.lit(pow(ORDER_ROOT, int(epoch), ORDER_MOD)).cast("long")
+    factor = F.lit(order_factor(epoch)).cast("long")
     return F.pmod(F.pmod(id_col, F.lit(ORDER_MOD)) * factor, F.lit(ORDER_MOD))
 
 
-def prepare_shards(rows: DataFrame, id_col: str, features: Sequence[str] | str, label: str,
-                   shards: int, max_partitions: int | None = None) -> DataFrame:
-    """``shard, id, features array<double>, label double`` placed by shard: one shard
-    per partition, or ``pmod(shard, P)`` with ``P = min(shards, max_partitions)``."""
+def narrow_rows(rows: DataFrame, id_col: str, features: Sequence[str] | str, label: str) -> DataFrame:
+    """``id long, features array<double>, label double``."""
     feats = (F.col(features) if isinstance(features, str)
              else F.array(*[F.col(c) for c in features])).cast("array<double>")
+    return rows.select(F.col(id_col).cast("long").alias("id"), feats.alias("features"),
+                       F.col(label).cast("double").alias("label"))
+
+
+def place(narrow: DataFrame, shards: int, max_partitions: int | None = None, epoch: int = 0) -> DataFrame:
+    """``shard, id, features, label`` placed by shard: one shard per partition, or ``pmod(shard, P)`` with
+    ``P = min(shards, max_partitions)``."""
     P = shards if max_partitions is None else max(1, min(shards, max_partitions))
-    out = rows.select(shard_key(F.col(id_col).cast("long"), shards).alias("shard"),
-                      F.col(id_col).cast("long").alias("id"),
-                      feats.alias("features"),
-                      F.col(label).cast("double").alias("label"))
+    out = narrow.select(shard_key(F.col("id"), shards, epoch).alias("shard"), "id", "features", "label")
     return out.repartitionById(P, F.pmod(F.col("shard"), F.lit(P)))
 
 
-def _fold_fn(kind: str, alpha: float, l2: float, fit_intercept: bool,
-             start: LinearModel):
-    """Per task: fold each shard's rows (contiguous, in epoch order) from ``start``,
-    keeping one live shard state, and emit the SUM of the task's shard models plus
-    (rows, loss, shards) -- one (K*(d+1)+3)-vector per task, whatever its shard count."""
-    fold = FOLDS[kind]
+def prepare_shards(rows: DataFrame, id_col: str, features: Sequence[str] | str, label: str,
+                   shards: int, max_partitions: int | None = None) -> DataFrame:
+    return place(narrow_rows(rows, id_col, features, label), shards, max_partitions)
+
+
+class _TaskFold:
+    """The shards of one task whose rows arrive shard by shard in the epoch's order: whole shards are buffered and folded
+    together, a shard beyond the buffer is folded as it streams by."""
+
+    def __init__(self, cfg: SGDConfig, start: LinearModel) -> None:
+        self.kind, self.step = cfg.kind, (cfg.alpha, cfg.l2, cfg.fit_intercept)
+        self.coef, self.intercept = start.coef, start.intercept
+        self.W, self.b = np.zeros_like(start.coef), np.zeros_like(start.intercept)
+        self.loss, self.rows, self.shards = 0.0, 0, 0
+        self.cur, self.live = None, None       # live: state of a shard that is streamed
+        self.pieces, self.lengths, self.bytes = [], [], 0
+
+    def add(self, shard: int, X: np.ndarray, y: np.ndarray) -> None:
+        if shard != self.cur:
+            if self.cur is not None and shard < self.cur:
+                raise ValueError("rows of a shard must be contiguous in their partition")
+            self._end_live()
+            if self.bytes >= LOCKSTEP_BYTES:
+                self._flush()
+            self.cur = shard
+            self.lengths.append(0)
+            self.shards += 1
+        self.rows += len(y)
+        if self.live is not None:
+            FOLDS[self.kind](self.live, X, y, *self.step)
+            return
+        self.pieces.append((X, y))
+        self.lengths[-1] += len(y)
+        self.bytes += X.nbytes + y.nbytes
+        if self.lengths[-1] * (X.shape[1] + 1) * 8 > LOCKSTEP_BYTES:
+            n = self.lengths.pop()
+            X, y = (np.concatenate(part) for part in zip(*self.pieces))
+            self._fold(X[:len(y) - n], y[:len(y) - n])
+            self.live = ShardState(self.coef, self.intercept)
+            FOLDS[self.kind](self.live, X[len(y) - n:], y[len(y) - n:], *self.step)
+
+    def _end_live(self) -> None:
+        if self.live is not None:
+            self.W += self.live.coef
+            self.b += self.live.intercept
+            self.loss += self.live.loss_sum
+            self.live = None
+
+    def _fold(self, X: np.ndarray, y: np.ndarray) -> None:
+        if self.lengths:
+            W, b, loss = fold_shards(self.kind, self.coef, self.intercept, X, y, self.lengths, *self.step)
+            self.W += W
+            self.b += b
+            self.loss += loss
+        self.pieces, self.lengths, self.bytes = [], [], 0
+
+    def _flush(self) -> None:
+        if self.pieces:
+            self._fold(*(np.concatenate(part) for part in zip(*self.pieces)))
+
+    def result(self) -> np.ndarray:
+        self._end_live()
+        self._flush()
+        model = np.hstack([self.b.reshape(-1, 1), self.W]).reshape(-1)
+        return np.concatenate([model, [float(self.rows), self.loss, float(self.shards)]])
+
+
+def _row_arrays(rb: pa.RecordBatch, kind: str, n_classes: int, d: int):
+    """(shard, ids, X, y) of a batch, checked."""
+    return (rb.column("shard").to_numpy(zero_copy_only=False), rb.column("id").to_numpy(zero_copy_only=False),
+            feature_matrix(rb.column("features"), d), labels(rb.column("label"), kind, n_classes))
+
+
+def _fold_fn(cfg: SGDConfig, start: LinearModel, n_buckets: int):
+    """Per task: the SUM of its shard models plus (rows, loss, shards) as one array."""
     K, d = start.n_classes, start.n_features
-    coef0, icpt0 = start.coef.copy(), start.intercept.copy()
 
     def run(batches):
-        total = np.zeros(K * (d + 1))
-        n_rows, loss, n_shards = 0, 0.0, 0
-        cur, st, done = None, None, set()
-
-        def close(state: ShardState) -> None:
-            nonlocal total, n_rows, loss, n_shards
-            total += np.hstack([state.intercept.reshape(-1, 1), state.coef]).reshape(-1)
-            n_rows += state.n_rows
-            loss += state.loss_sum
-            n_shards += 1
-
+        fold = _TaskFold(cfg, start)
         for rb in batches:
-            n = rb.num_rows
-            if n == 0:
+            if not rb.num_rows:
                 continue
-            shard = rb.column("shard").to_numpy(zero_copy_only=False)
-            X, y = feature_matrix(rb.column("features"), d), labels(rb.column("label"))
+            shard, _, X, y = _row_arrays(rb, cfg.kind, K, d)
             cuts = np.flatnonzero(np.diff(shard)) + 1
-            for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), n]):
-                s = int(shard[a])
-                if s != cur:
-                    if st is not None:
-                        close(st)
-                        done.add(cur)
-                    if s in done:
-                        raise ValueError("rows of a shard must be contiguous in their partition")
-                    cur, st = s, ShardState(coef0, icpt0)
-                fold(st, X[a:b], y[a:b], alpha, l2, fit_intercept)
-        if st is None:
-            return
-        close(st)
-        pos = np.concatenate([np.arange(K * (d + 1), dtype=np.int32),
-                              np.array([POS_N_ROWS, POS_LOSS, POS_SHARDS], dtype=np.int32)])
-        val = np.concatenate([total, [float(n_rows), loss, float(n_shards)]])
-        yield pa.RecordBatch.from_arrays([pa.array(pos, pa.int32()), pa.array(val, pa.float64())],
-                                         names=["pos", "value"])
+            for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), rb.num_rows]):
+                fold.add(int(shard[a]), X[a:b], y[a:b])
+        if fold.shards:
+            yield array_sum.rows(fold.result(), array_sum.task_bucket(n_buckets))
 
     return run
 
 
 def shard_models(prepared: DataFrame, model: LinearModel, epoch: int, cfg: SGDConfig) -> DataFrame:
-    """One epoch's fold output (``pos, value``): per task, the sum of its shard models."""
+    """One epoch's fold output over rows: per task, the sum of its shard models as array chunks."""
     ordered = (prepared.withColumn("ord", order_key(F.col("id"), epoch))
                        .sortWithinPartitions("shard", "ord", "id") if cfg.order == "hash"
                else prepared.sortWithinPartitions("shard", "id"))
-    fn = _fold_fn(cfg.kind, cfg.alpha, cfg.l2, cfg.fit_intercept, model)
-    return ordered.select("shard", "id", "features", "label").mapInArrow(fn, FOLD_SCHEMA)
+    fn = _fold_fn(cfg, model, array_sum.buckets(cfg.max_partitions or cfg.shards))
+    return ordered.select("shard", "id", "features", "label").mapInArrow(fn, array_sum.SCHEMA)
+
+
+def _pack_fn(kind: str, n_classes: int, d: int):
+    """Rows sorted by (shard, id) -> blocks of whole shards as pickled (lengths, ids, X, y)."""
+    def run(batches):
+        lengths, pieces, size, cur = [], [], 0, None
+
+        def block() -> pa.RecordBatch:
+            X, y, ids = (np.concatenate(part) for part in zip(*pieces))
+            made = pickle.dumps((np.array(lengths), ids, X, y), protocol=5)
+            return pa.RecordBatch.from_arrays([pa.array([made], pa.binary())], names=["block"])
+
+        for rb in batches:
+            if not rb.num_rows:
+                continue
+            shard, ids, X, y = _row_arrays(rb, kind, n_classes, d)
+            cuts = np.flatnonzero(np.diff(shard)) + 1
+            for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), rb.num_rows]):
+                if shard[a] != cur:
+                    if size >= LOCKSTEP_BYTES:
+                        yield block()
+                        lengths, pieces, size = [], [], 0
+                    cur = shard[a]
+                    lengths.append(0)
+                pieces.append((X[a:b], y[a:b], ids[a:b]))
+                lengths[-1] += b - a
+                size += (b - a) * (d + 2) * 8
+        if lengths:
+            yield block()
+
+    return run
+
+
+def shard_blocks(prepared: DataFrame, kind: str, n_classes: int, d: int):
+    """The placed rows as an RDD of blocks; labels and features are checked here, once."""
+    made = prepared.sortWithinPartitions("shard", "id").select("shard", "id", "features", "label")
+    return made.mapInArrow(_pack_fn(kind, n_classes, d), "block binary").rdd.map(lambda r: pickle.loads(r[0]))
+
+
+def _fold_blocks_fn(cfg: SGDConfig, start: LinearModel, factor: int | None):
+    kind, step, coef, intercept = cfg.kind, (cfg.alpha, cfg.l2, cfg.fit_intercept), start.coef, start.intercept
 
+    def run(blocks):
+        W, b, rows, loss, shards = np.zeros_like(coef), np.zeros_like(intercept), 0, 0.0, 0
+        for lengths, ids, X, y in blocks:
+            order = None
+            if factor is not None:
+                key = ids % ORDER_MOD * factor % ORDER_MOD
+                order = np.lexsort((key, np.repeat(np.arange(len(lengths)), lengths)))   # stable: ties stay by id
+            w, c, l = fold_shards(kind, coef, intercept, X, y, lengths, *step, order)
+            W, b, loss = W + w, b + c, loss + l
+            rows, shards = rows + len(y), shards + len(lengths)
+        if shards:
+            yield np.concatenate([np.hstack([b.reshape(-1, 1), W]).reshape(-1), [float(rows), loss, float(shards)]])
 
-def run_epoch(prepared: DataFrame, model: LinearModel, epoch: int,
+    return run
+
+
+def run_epoch(prepared, model: LinearModel, epoch: int,
               cfg: SGDConfig) -> tuple[LinearModel, int, float, int]:
-    """One averaged pass -> (new model, rows seen, online loss sum, non-empty shards)."""
+    """One averaged pass over placed rows (a DataFrame) or blocks (an RDD)
+    -> (new model, rows seen, online loss sum, non-empty shards)."""
     K, d = model.n_classes, model.n_features
+    cells = K * (d + 1)
     tasks = cfg.max_partitions or cfg.shards
-    out = shard_models(prepared, model, epoch, cfg)
-    if tasks * (K * (d + 1) + 3) <= DIRECT_SUM_VALUES:
-        rows = out.collect()                       # checked: at most DIRECT_SUM_VALUES values
+    if isinstance(prepared, DataFrame):
+        total = array_sum.total(shard_models(prepared, model, epoch, cfg), cells + 3, tasks)
     else:
-        rows = out.groupBy("pos").agg(F.sum("value").alias("value")).collect()
-    total = np.zeros(K * (d + 1))
-    n_rows, loss_sum, nonempty = 0, 0.0, 0
-    for r in rows:
-        p, v = int(r["pos"]), float(r["value"])
-        if p >= 0:
-            total[p] += v
-        elif p == POS_N_ROWS:
-            n_rows += int(round(v))
-        elif p == POS_LOSS:
-            loss_sum += v
-        elif p == POS_SHARDS:
-            nonempty += int(round(v))
+        sums = prepared.mapPartitions(_fold_blocks_fn(cfg, model, order_factor(epoch) if cfg.order == "hash" else None))
+        if tasks * cells <= array_sum.DIRECT_VALUES:
+            total = sum(sums.collect(), np.zeros(cells + 3))        # checked: at most DIRECT_VALUES numbers
+        else:
+            total = sums.treeAggregate(np.zeros(cells + 3), lambda a, b: a + b, lambda a, b: a + b, depth=2)
+    n_rows, loss_sum, nonempty = int(round(total[cells])), float(total[cells + 1]), int(round(total[cells + 2]))
     S = cfg.shards
-    avg = (total + (S - nonempty) * model.flat()) / S
+    avg = (total[:cells] + (S - nonempty) * model.flat()) / S
     new = LinearModel.from_flat(avg, K, d)
     if not cfg.fit_intercept:
         new.intercept[:] = 0.0
@@ -241,16 +353,22 @@ def resolve_shards(n_rows: int, cfg: SGDConfig) -> int:
     return max(1, math.ceil(n_rows / cfg.rows_per_shard))
 
 
-def resolve_partitions(n_rows: int, shards: int, cfg: SGDConfig, slots: int) -> int:
+def resolve_partitions(n_rows: int, shards: int, cfg: SGDConfig, slots: int, cells: int | None = None) -> int:
     """Tasks that fold the shards: ``min(shards, max_partitions)`` when given, else
-    ``min(shards, max(slots, ceil(rows / ROWS_PER_TASK)))`` -- tasks sized by rows,
-    at least one per core, never more than shards (tiny shards share a task and
-    its Python worker; the task sums their models before the shuffle)."""
+    ``max(slots, ceil(rows / ROWS_PER_TASK))`` and never more than shards -- fewer than slots where
+    ``cells`` (of a row's update, K x (d+1)) say that a task would hold less than MIN_TASK_CELLS, but two."""
     if cfg.max_partitions is not None:
         return max(1, min(shards, cfg.max_partitions))
+    if cells is not None:
+        slots = max(2, min(slots, math.ceil(n_rows * cells / MIN_TASK_CELLS)))
     return max(1, min(shards, max(slots, math.ceil(n_rows / ROWS_PER_TASK))))
 
 
+def fits_in_block(n_rows: int, shards: int, d: int) -> bool:
+    """Whether a shard of twice the mean size fits a block."""
+    return 2 * math.ceil(n_rows / shards) * (d + 2) * 8 <= LOCKSTEP_BYTES
+
+
 def _scan_stats(rows: DataFrame, features: Sequence[str] | str, label: str,
                 kind: str, need_shape: bool, n_classes: int | None = None) -> tuple[int, int | None, int | None]:
     """(rows, K, d) in one aggregate, which also checks every label; K = distinct labels
@@ -318,9 +436,19 @@ def train_sgd(rows: DataFrame, id_col: str, features: Sequence[str] | str, label
     if init.n_classes * (init.n_features + 1) > MAX_MODEL_CELLS:
         raise ValueError("model too large for the averaged-SGD driver loop")
     S = resolve_shards(n, cfg)
-    P = resolve_partitions(n, S, cfg, rows.sparkSession.sparkContext.defaultParallelism)
+    P = resolve_partitions(n, S, cfg, rows.sparkSession.sparkContext.defaultParallelism, init.n_classes * (init.n_features + 1))
     run = replace(cfg, shards=S, rows_per_shard=None, max_partitions=P)
-    prepared, held = materialize(prepare_shards(rows, id_col, features, label, S, P), run.materialize)
+    as_blocks = fits_in_block(n, S, init.n_features)
+    narrow = narrow_rows(rows, id_col, features, label)
+
+    def placed(epoch: int = 0):
+        out = place(narrow, S, P, epoch)
+        return shard_blocks(out, cfg.kind, init.n_classes, init.n_features) if as_blocks else out
+
+    if cfg.reshard:
+        narrow, held = materialize(narrow, run.materialize)
+    else:
+        prepared, held = materialize(placed(), run.materialize)
     model = init.copy()
     if not cfg.fit_intercept:
         model.intercept[:] = 0.0
@@ -330,7 +458,7 @@ def train_sgd(rows: DataFrame, id_col: str, features: Sequence[str] | str, label
         result.history, first = list(hist), len(hist) + 1
     try:
         for epoch in range(first, run.max_iter + 1):
-            new, n_rows, loss_sum, _ = run_epoch(prepared, model, epoch, run)
+            new, n_rows, loss_sum, _ = run_epoch(placed(epoch) if cfg.reshard else prepared, model, epoch, run)
             delta = new.delta_norm(model)
             stopped = bool(delta < run.tol)
             mean_loss = loss_sum / n_rows if n_rows else None
@@ -364,7 +492,7 @@ def sgd_pass(rows: DataFrame, id_col: str, features: Sequence[str] | str, label:
     S = resolve_shards(n, cfg)
     P = resolve_partitions(n, S, cfg, rows.sparkSession.sparkContext.defaultParallelism)
     run = replace(cfg, shards=S, rows_per_shard=None, max_partitions=P)
-    prepared = prepare_shards(rows, id_col, features, label, S, P)
+    prepared = place(narrow_rows(rows, id_col, features, label), S, P, epoch if cfg.reshard else 0)
     new, n_rows, loss_sum, _ = run_epoch(prepared, model, epoch, run)
     return new, n_rows, loss_sum
 

@@ -11,7 +11,7 @@ from ridgeway.model import LinearModel
 from ridgeway.operators.scoring import (accuracy, ranked_classes, with_class_scores,
                                         with_prediction, with_probabilities)
 from ridgeway.operators.sample import first_n_by
-from ridgeway.operators.sgd import SGDConfig, train_sgd
+from ridgeway.operators.sgd import MULTICLASS_HINGE_DEFAULTS, SOFTMAX_DEFAULTS, SGDConfig, train_sgd
 from ridgeway.plans import sqlgen as S
 from ridgeway.plans.registry import query, rnd, round_history, round_model
 from ridgeway.sources.tables import class_rows
@@ -27,11 +27,11 @@ def _probe() -> LinearModel:
 
 MC_PROBE = _probe()
 
-# Registered trainer settings: the reference's step sizes and penalties, with
-# three passes over shards of SHARD_ROWS rows (as many as the table needs).
+# Registered trainer settings: the reference's step sizes, penalties, tolerances and pass limits (250
+# and 450), over shards of SHARD_ROWS rows (as many as the table needs).
 SHARD_ROWS = 150
-SGD_MULTI = SGDConfig(kind="multiclass_hinge", alpha=0.01, l2=1e-4, rows_per_shard=SHARD_ROWS, max_iter=3, tol=1e-4)
-SGD_SOFTMAX = SGDConfig(kind="softmax", alpha=0.05, l2=0.0, rows_per_shard=SHARD_ROWS, max_iter=3, tol=1e-4)
+SGD_MULTI = SGDConfig(**MULTICLASS_HINGE_DEFAULTS, rows_per_shard=SHARD_ROWS)
+SGD_SOFTMAX = SGDConfig(**SOFTMAX_DEFAULTS, rows_per_shard=SHARD_ROWS)
 
 W_LIST = "[" + ", ".join(S.num(v) for v in MC_PROBE.coef.reshape(-1)) + "]"
 B_LIST = "[" + ", ".join(S.num(v) for v in MC_PROBE.intercept) + "]"
@@ -185,43 +185,36 @@ def q_predict_class_ranked(spark: SparkSession, sf: str) -> DataFrame:
 
 # ---- trainers --------------------------------------------------------------
 
-def _st(cfg: SGDConfig):
-    return S.sgd_state(cfg.kind, K, D, cfg.alpha, cfg.l2, cfg.fit_intercept)
+def run_sql(cfg: SGDConfig) -> str:
+    return S.sgd_run_cte(S.CLASS_ROWS, cfg.kind, K, D, cfg.alpha, cfg.l2, S.shards_sql(cfg, S.CLASS_ROWS), cfg.max_iter, cfg.tol,
+                         cfg.order, cfg.reshard)
 
 
-ZERO = S.multi_init(None, None, K, D)
-
-
-def _chain(cfg: SGDConfig) -> str:
-    return S.sgd_chain_sql(S.CLASS_ROWS, _st(cfg), S.shards_sql(cfg, S.CLASS_ROWS), cfg.max_iter, cfg.tol, cfg.order, ZERO)
+ACCURACY_SQL = (f"SELECT {S.rnd('avg(CAST(list_position(s, list_max(s)) - 1 = label AS DOUBLE))')} AS accuracy FROM "
+                f"(SELECT r.label, list_transform(f.m, lambda c: list_dot_product(c[2:], r.features) + c[1]) AS s "
+                f"FROM ({S.CLASS_ROWS}) r, final f) q")
 
 
 def _train(spark: SparkSession, sf: str, cfg: SGDConfig):
     return train_sgd(class_rows(spark, sf), "id", "features", "label", cfg)
 
 
-@query("sgd_multiclass_hinge", _chain(SGD_MULTI) + "\n" + _st(SGD_MULTI).model_rows("final", 6))
+@query("sgd_multiclass_hinge", S.sgd_run_model_sql(run_sql(SGD_MULTI)))
 def q_sgd_multiclass_hinge(spark: SparkSession, sf: str) -> DataFrame:
     return round_model(_train(spark, sf, SGD_MULTI).model_table(spark))
 
 
-@query("sgd_softmax", _chain(SGD_SOFTMAX) + "\n" + _st(SGD_SOFTMAX).model_rows("final", 6))
+@query("sgd_softmax", S.sgd_run_model_sql(run_sql(SGD_SOFTMAX)))
 def q_sgd_softmax(spark: SparkSession, sf: str) -> DataFrame:
     return round_model(_train(spark, sf, SGD_SOFTMAX).model_table(spark))
 
 
-@query("sgd_softmax_history",
-       S.sgd_history_sql(S.CLASS_ROWS, _st(SGD_SOFTMAX), S.shards_sql(SGD_SOFTMAX, S.CLASS_ROWS), SGD_SOFTMAX.max_iter,
-                         SGD_SOFTMAX.tol, SGD_SOFTMAX.order, ZERO))
+@query("sgd_softmax_history", S.sgd_run_history_sql(run_sql(SGD_SOFTMAX)))
 def q_sgd_softmax_history(spark: SparkSession, sf: str) -> DataFrame:
     return round_history(_train(spark, sf, SGD_SOFTMAX).history_table(spark))
 
 
-@query("multiclass_accuracy",
-       _chain(SGD_SOFTMAX)
-       + f"\nSELECT {S.rnd('avg(CAST(list_position(s, list_max(s)) - 1 = label AS DOUBLE))')} AS accuracy FROM "
-         f"(SELECT r.label, list_transform(range(0, {K}), lambda k: list_dot_product(list_slice(f.W, k * {D} + 1, "
-         f"k * {D} + {D}), r.features) + f.b[k + 1]) AS s FROM ({S.CLASS_ROWS}) r, final f) q")
+@query("multiclass_accuracy", run_sql(SGD_SOFTMAX) + "\n" + ACCURACY_SQL)
 def q_multiclass_accuracy(spark: SparkSession, sf: str) -> DataFrame:
     """Training accuracy of the averaged-SGD softmax model."""
     model = _train(spark, sf, SGD_SOFTMAX).model

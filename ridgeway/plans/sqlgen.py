@@ -370,3 +370,93 @@ def sgd_history_sql(rows_sql: str, st, shards: int | str, epochs: int, tol: floa
             + f"\nSELECT CAST(epoch AS INTEGER) AS epoch, n_rows, "
               f"{rnd('CASE WHEN n_rows > 0 THEN loss_sum / n_rows END', digits)} AS loss, "
               f"{rnd('delta', digits)} AS param_delta, stopped FROM models, last_epoch l WHERE epoch <= l.e")
+
+
+# ---- averaged SGD of any length -------------------------------------------
+#
+# One recursion step is one epoch: its rows are gathered into one ordered list a shard and folded by
+# list_reduce from the epoch's model.  A model has a list [b, w1..wd] a class.  Rows are [[label], [1, x1..xd]] and
+# accumulators [[loss], class lists...]; the hinge's are flat, [y, x1..xd] and [loss, b, w1..wd].
+
+SHARD_ROOT = 69621
+
+
+def _sgd_fold(kind: str, d: int, alpha: float, l2: float) -> str:
+    """The fold of an ordered list ``rr`` from model ``m``, as [[loss], class lists...]."""
+    a, l = num(alpha), num(l2)
+    if kind == "hinge":
+        z = " + ".join(f"r[{j + 1}] * a[{j + 2}]" for j in range(1, d + 1))
+        cells = ["a[1] + greatest(1.0::DOUBLE - p, 0.0::DOUBLE)", f"a[2] - {a} * CASE WHEN p < 1.0::DOUBLE THEN -r[1] ELSE 0.0::DOUBLE END"]
+        cells += [f"a[{j + 2}] - {a} * (a[{j + 2}] * {l} - CASE WHEN p < 1.0::DOUBLE THEN r[1] * r[{j + 1}] ELSE 0.0::DOUBLE END)" for j in range(1, d + 1)]
+        step = f"list_transform([r[1] * (({z}) + a[2])], lambda p: [{', '.join(cells)}])[1]"
+        return f"list_transform([list_reduce(rr, lambda a, r: {step}, list_concat([0.0::DOUBLE], m[1]))], lambda f: [[f[1]], f[2:]])[1]"
+    y = "r[1][1]"
+    decay = f" + CASE WHEN i = 1 THEN 0.0::DOUBLE ELSE {l} * w END" if l2 else ""
+
+    def move(pull: str) -> str:
+        """Each class list minus alpha (its coefficient x + l2 w, the intercept without decay)."""
+        return (f"list_transform(list_zip(a[2:], {pull}), lambda q: "
+                f"list_transform(q[1], lambda w, i: w - {a} * (q[2] * r[2][i]{decay})))")
+
+    scores = "list_transform(a[2:], lambda w: list_dot_product(w, r[2]))"
+    if kind == "softmax":
+        pull = f"list_transform(e, lambda v, k: v / list_sum(e) - CAST(k = {y} + 1 AS INTEGER))"
+        step = (f"list_transform([list_transform({scores}, lambda v: exp(v))], lambda e: list_concat("
+                f"[[a[1][1] + ln(list_sum(e)) - ln(e[CAST({y} AS INTEGER) + 1])]], {move(pull)}))[1]")
+    else:
+        margins = f"list_transform(s, lambda v, k: CASE WHEN k = {y} + 1 THEN 0.0::DOUBLE ELSE v - s[CAST({y} AS INTEGER) + 1] + 1.0::DOUBLE END)"
+        over = "list_filter(m, lambda v: v > 0.0::DOUBLE)"
+        pull = (f"list_transform(m, lambda v, k: CASE WHEN k = {y} + 1 THEN -CAST(len({over}) AS DOUBLE) "
+                f"ELSE CAST(CAST(v > 0.0::DOUBLE AS INTEGER) AS DOUBLE) END)")
+        step = (f"list_transform([list_transform([{scores}], lambda s: {margins})[1]], lambda m: list_concat("
+                f"[[a[1][1] + coalesce(list_sum({over}), 0.0::DOUBLE)]], {move(pull)}))[1]")
+    return f"list_reduce(rr, lambda a, r: {step}, list_concat([[0.0::DOUBLE]], m))"
+
+
+def sgd_run_cte(rows_sql: str, kind: str, K: int, d: int, alpha: float, l2: float, shards: int | str,
+                epochs: int, tol: float, order: str = "hash", reshard: bool = False) -> str:
+    """``WITH RECURSIVE ... run(epoch, ..., m, n_rows, loss, delta, stopped)`` from a zero model."""
+    M = ORDER_MOD
+    row = (f"[y, {', '.join(f'x{j}' for j in range(1, d + 1))}]" if kind == "hinge"
+           else "[[CAST(label AS DOUBLE)], list_concat([1.0::DOUBLE], features)]")
+    shard = pmod_sql(f"({pmod_sql('id', SHARD_MOD)} * fs + {SHARD_ADD}) % {SHARD_MOD}", "s")
+    ordered = "id" if order == "id" else f"{pmod_sql('id', M)} * fo % {M}, id"
+    first_shard = SHARD_MULT * SHARD_ROOT % M if reshard else SHARD_MULT
+    next_shard = f"fs * {SHARD_ROOT} % {M}" if reshard else "fs"
+    return f"""WITH RECURSIVE
+rows AS MATERIALIZED (SELECT id, {row} AS r FROM ({rows_sql}) src),
+run AS (
+  SELECT 0 AS epoch, {ORDER_ROOT}::BIGINT AS fo, {first_shard}::BIGINT AS fs, CAST({shards} AS BIGINT) AS s,
+    list_transform(range(0, {K}), lambda k: list_transform(range(0, {d + 1}), lambda j: 0.0::DOUBLE)) AS m,
+    0::BIGINT AS n_rows, 0.0::DOUBLE AS loss, NULL::DOUBLE AS delta, false AS stopped
+  UNION ALL
+  SELECT epoch + 1, fo * {ORDER_ROOT} % {M}, {next_shard}, s, new, n, loss, delta, delta < {num(tol)} FROM (
+    SELECT *, sqrt(list_sum(list_transform(list_zip(flatten(new), flatten(old)), lambda p: (p[1] - p[2]) * (p[1] - p[2])))) AS delta FROM (
+      SELECT epoch, fo, fs, s, n, loss, old, list_transform(list_zip(total, old), lambda q: list_transform(list_zip(q[1], q[2]),
+               lambda p: (p[1] + (s - dealt_to) * p[2]) / s)) AS new FROM (
+        SELECT any_value(epoch) AS epoch, any_value(fo) AS fo, any_value(fs) AS fs, any_value(s) AS s, CAST(sum(n) AS BIGINT) AS n,
+          sum(f[1][1]) AS loss, any_value(m) AS old, count(*) AS dealt_to,
+          list_reduce(list(f[2:] ORDER BY shard), lambda a, b: list_transform(list_zip(a, b), lambda q: list_transform(list_zip(q[1], q[2]),
+            lambda p: p[1] + p[2]))) AS total FROM (
+          SELECT *, {_sgd_fold(kind, d, alpha, l2)} AS f FROM (
+            SELECT shard, any_value(epoch) AS epoch, any_value(fo) AS fo, any_value(fs) AS fs, any_value(s) AS s, any_value(m) AS m,
+              count(*) AS n, list(r ORDER BY {ordered.replace('fo', 'by_fo')}) AS rr
+            FROM (SELECT rows.id, rows.r, run.*, run.fo AS by_fo, {shard} AS shard FROM rows, run WHERE NOT stopped AND epoch < {int(epochs)}) dealt
+            GROUP BY shard) ordered
+        ) folded
+      ) summed WHERE epoch IS NOT NULL
+    ) averaged
+  ) moved
+),
+final AS (SELECT * FROM run WHERE epoch = (SELECT max(epoch) FROM run))"""
+
+
+def sgd_run_model_sql(cte: str, digits: int = 6) -> str:
+    return (f"{cte}\nSELECT CAST(k - 1 AS INTEGER) AS class_idx, CAST(j - 1 AS INTEGER) AS feature_idx, {rnd('v', digits)} AS weight FROM "
+            f"(SELECT k, unnest(c) AS v, unnest(range(1, len(c) + 1)) AS j FROM "
+            f"(SELECT unnest(m) AS c, unnest(range(1, len(m) + 1)) AS k FROM final) classes) cells")
+
+
+def sgd_run_history_sql(cte: str, digits: int = 6) -> str:
+    return (f"{cte}\nSELECT CAST(epoch AS INTEGER) AS epoch, n_rows, {rnd('loss / n_rows', digits)} AS loss, "
+            f"{rnd('delta', digits)} AS param_delta, stopped FROM run WHERE epoch >= 1")

@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 import pytest
 
-from ridgeway.operators.folds import ShardState, fold_hinge, fold_multiclass_hinge, fold_softmax
+from ridgeway.operators.folds import FOLDS, Lockstep, ShardState, fold_hinge, fold_multiclass_hinge, fold_softmax
 
 rng = np.random.default_rng(7)
 
@@ -140,3 +140,61 @@ def test_multiclass_folds_property(n, d, k, seed, alpha, l2):
     W, b = ref_softmax(X, y, alpha, W0, b0)
     np.testing.assert_allclose(s.coef, W, rtol=1e-9, atol=1e-12)
     np.testing.assert_allclose(s.intercept, b, rtol=1e-9, atol=1e-12)
+
+
+@pytest.mark.parametrize("kind", ["hinge", "multiclass_hinge", "softmax"])
+@pytest.mark.parametrize("l2, fit_intercept", [(0.0, True), (0.1, True), (0.01, False)])
+def test_lockstep_equals_the_row_loop(kind, l2, fit_intercept):
+    """Shards of unequal lengths, empty ones and one row included; stored order and a permuted one."""
+    K, d = (1, 3) if kind == "hinge" else (4, 3)
+    lengths = [7, 0, 40, 1, 23, 23, 5]
+    n = sum(lengths)
+    X = rng.normal(size=(n, d))
+    y = np.where(rng.random(n) > 0.5, 1.0, -1.0) if kind == "hinge" else rng.integers(0, K, size=n).astype(float)
+    coef, icpt = rng.normal(size=(K, d)), (rng.normal(size=K) if fit_intercept else np.zeros(K))
+    at = np.concatenate([[0], np.cumsum(lengths)])
+    mixed = np.concatenate([a + rng.permutation(b - a) for a, b in zip(at, at[1:])])
+    for order in (None, mixed):
+        W, b, loss = np.zeros((K, d)), np.zeros(K), 0.0
+        for lo, hi in zip(at, at[1:]):
+            rows = np.arange(lo, hi) if order is None else order[lo:hi]
+            st = ShardState(coef, icpt)
+            FOLDS[kind](st, X[rows], y[rows], 0.05, l2, fit_intercept)
+            W, b, loss = W + st.coef, b + st.intercept, loss + st.loss_sum
+        got = Lockstep(kind, coef, icpt, 0.05, l2, fit_intercept).run(X, y, lengths, order)
+        np.testing.assert_allclose(got[0], W, rtol=1e-12, atol=1e-12)
+        np.testing.assert_allclose(got[1], b, rtol=1e-12, atol=1e-12)
+        assert got[2] == pytest.approx(loss, rel=1e-12)
+
+
+def test_lockstep_softmax_survives_saturation():
+    X = np.array([[1e4], [-1e4], [1e4]])
+    W, b, loss = Lockstep("softmax", np.array([[1.0], [-1.0]]), np.zeros(2), 0.1, 0.0, True).run(X, np.array([0.0, 0.0, 1.0]), [2, 1])
+    assert np.isfinite(W).all() and np.isfinite(b).all() and np.isfinite(loss)
+
+
+def test_a_task_folds_buffered_and_streamed_shards_alike(monkeypatch):
+    """Small buffers (many flushes, shards larger than the buffer) give the sums of one buffer."""
+    from ridgeway.model import LinearModel
+    from ridgeway.operators import sgd
+    start = LinearModel(rng.normal(size=(3, 2)), rng.normal(size=3))
+    lengths = [3, 200, 1, 50, 90, 2]
+    X, y = rng.normal(size=(sum(lengths), 2)), rng.integers(0, 3, size=sum(lengths)).astype(float)
+    cuts = np.concatenate([[0], np.cumsum(lengths)])
+
+    def run(pieces):
+        fold = sgd._TaskFold(sgd.SGDConfig(kind="softmax", alpha=0.05, l2=0.01), start)
+        for s, (a, b) in enumerate(zip(cuts, cuts[1:])):
+            for part in np.array_split(np.arange(a, b), pieces):
+                if len(part):
+                    fold.add(s, X[part], y[part])
+        return fold.result()
+
+    whole = run(1)
+    for limit in (1, 1000, 4000):
+        monkeypatch.setattr(sgd, "LOCKSTEP_BYTES", limit)
+        np.testing.assert_allclose(run(3), whole, rtol=1e-11, atol=1e-12)
+    with pytest.raises(ValueError, match="contiguous"):
+        fold = sgd._TaskFold(sgd.SGDConfig(kind="softmax"), start)
+        fold.add(1, X[:2], y[:2])
+        fold.add(0, X[:2], y[:2])

@@ -241,11 +241,11 @@ def test_grouped_identical_rows_give_the_same_gd(spark):
 
 
 def test_aggregated_and_direct_epoch_sums_agree(spark, monkeypatch):
-    from ridgeway.operators import sgd as sgd_mod
+    from ridgeway.operators import array_sum
     rows = hinge_rows(spark, SF_SMALL)
     cfg = SGDConfig(kind="hinge", shards=6, max_iter=2, tol=0.0)
     direct = train_sgd(rows, "id", HINGE_FEATURES, "y", cfg)
-    monkeypatch.setattr(sgd_mod, "DIRECT_SUM_VALUES", 0)
+    monkeypatch.setattr(array_sum, "DIRECT_VALUES", 0)
     aggregated = train_sgd(rows, "id", HINGE_FEATURES, "y", cfg)
     np.testing.assert_allclose(direct.model.flat(), aggregated.model.flat(), rtol=1e-12, atol=1e-15)
     assert [h[1] for h in direct.history] == [h[1] for h in aggregated.history]
