@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from ridgeway.functions.linear import linear_predictor, logistic_nll, sigmoid
 from ridgeway.model import MAX_MODEL_CELLS
+from ridgeway.operators import array_sum
 from ridgeway.operators.arrow_rows import feature_matrix, labels
 
 LOSSES = ("squared", "logistic")
@@ -168,12 +169,19 @@ def loss_summary(rows: DataFrame, features: Sequence[str], label: str, w: Sequen
 
 # ---- one-pass sufficient statistics for squared loss (R1) ---------------
 
-def gram_stats(rows: DataFrame, features: Sequence[str], label: str) -> dict:
+# Up to this width the statistics are generated sums in one aggregate; above it (and for array
+# columns) each task multiplies its Arrow batches with numpy (plan only: the same sums).
+GENERATED_GRAM_FEATURES = 12
+
+
+def gram_stats(rows: DataFrame, features: Sequence[str] | str, label: str, n_features: int | None = None) -> dict:
     """n, q = sum y^2, h = sum x~ y, G = sum x~ x~^T with x~ = [1, x].
 
-    One scan; (d+1)(d+2)/2 + d + 3 sums cross the network.  Every squared-loss
+    One scan; (d+1)(d+2)/2 + d + 3 sums cross the network a task.  Every squared-loss
     epoch afterwards is driver arithmetic on (d+1)^2 numbers.
     """
+    if isinstance(features, str) or len(features) > GENERATED_GRAM_FEATURES:
+        return _gram_stats_arrow(rows, features, label, n_features if isinstance(features, str) else len(features))
     d = len(features)
     xs = [F.lit(1.0)] + [F.col(c) for c in features]
     y = F.col(label)
@@ -198,6 +206,38 @@ def gram_stats(rows: DataFrame, features: Sequence[str], label: str) -> dict:
     return {"n": n, "q": q, "h": h, "G": G}
 
 
+def _gram_fn(d: int, n_buckets: int):
+    """Per task: the upper triangle of Z'Z with Z = [1, x, y], as one array."""
+    def run(batches):
+        Z2, seen = np.zeros((d + 2, d + 2)), False
+        for rb in batches:
+            if not rb.num_rows:
+                continue
+            Z = np.empty((rb.num_rows, d + 2))
+            Z[:, 0], Z[:, 1:-1], Z[:, -1] = 1.0, feature_matrix(rb.column("f"), d), labels(rb.column("y"))
+            Z2 += Z.T @ Z
+            seen = True
+        if seen:
+            yield array_sum.rows(Z2[np.triu_indices(d + 2)], array_sum.task_bucket(n_buckets))
+
+    return run
+
+
+def _gram_stats_arrow(rows: DataFrame, features: Sequence[str] | str, label: str, d: int | None) -> dict:
+    if d is None:
+        raise ValueError("an array feature column needs n_features")
+    size = (d + 2) * (d + 3) // 2
+    if size > MAX_MODEL_CELLS:
+        raise ValueError("too many features for Gram statistics on the driver")
+    src = rows.select(_feature_array(features).alias("f"), F.col(label).cast("double").alias("y"))
+    tasks = src.rdd.getNumPartitions()
+    total = array_sum.total(src.mapInArrow(_gram_fn(d, array_sum.buckets(tasks)), array_sum.SCHEMA), size, tasks)
+    Z2 = np.zeros((d + 2, d + 2))
+    Z2[np.triu_indices(d + 2)] = total
+    Z2 = Z2 + np.triu(Z2, 1).T
+    return {"n": int(round(Z2[0, 0])), "q": float(Z2[-1, -1]), "h": Z2[:-1, -1].copy(), "G": Z2[:-1, :-1].copy()}
+
+
 # ---- wide models: Arrow partial vectors (R3) -----------------------------
 
 def _feature_array(features: Sequence[str] | str) -> Column:
@@ -206,12 +246,11 @@ def _feature_array(features: Sequence[str] | str) -> Column:
     return F.array(*[F.col(c) for c in features]).cast("array<double>")
 
 
-def _partial_gradient_fn(w: np.ndarray, loss: str):
+def _partial_gradient_fn(w: np.ndarray, loss: str, n_buckets: int):
     d = len(w) - 1
     b, coef = float(w[0]), np.asarray(w[1:], dtype=np.float64)
 
     def run(batches):
-        import pyarrow as pa
         g = np.zeros(d + 1)
         n, ls = 0, 0.0
         for rb in batches:
@@ -230,9 +269,7 @@ def _partial_gradient_fn(w: np.ndarray, loss: str):
             g[1:] += diff @ X
             n += m
         if n:
-            pos = np.arange(-2, d + 1, dtype=np.int32)
-            val = np.concatenate([[float(n), ls], g])
-            yield pa.RecordBatch.from_arrays([pa.array(pos), pa.array(val)], names=["pos", "value"])
+            yield array_sum.rows(np.concatenate([[float(n), ls], g]), array_sum.task_bucket(n_buckets))
 
     return run
 
@@ -240,17 +277,16 @@ def _partial_gradient_fn(w: np.ndarray, loss: str):
 def gradient_stats_arrow(rows: DataFrame, features: Sequence[str] | str, label: str,
                          w: Sequence[float], loss: str) -> tuple[int, float, np.ndarray]:
     """(n_rows, loss_sum, g) for wide models: each task folds its Arrow batches into
-    one (d+3)-vector with numpy, then ``groupBy(pos).sum`` adds the task vectors.
+    one (d+3)-vector with numpy, emitted and added as array chunks (operators.array_sum).
     The weights ride in the task closure (size-checked by the caller)."""
     if loss not in LOSSES:
         raise ValueError(f"loss must be one of {LOSSES}")
     w = np.asarray(w, dtype=np.float64)
     if len(w) > MAX_MODEL_CELLS:
         raise ValueError("model too large to ship with the gradient tasks")
-    parts = (rows.select(_feature_array(features).alias("f"), F.col(label).cast("double").alias("y"))
-                 .mapInArrow(_partial_gradient_fn(w, loss), "pos int, value double")
-                 .groupBy("pos").agg(F.sum("value").alias("total")).collect())
-    got = {int(r["pos"]): float(r["total"]) for r in parts}
-    n = int(round(got.get(-2, 0.0)))
-    g = np.array([got.get(i, 0.0) for i in range(len(w))])
-    return n, (got.get(-1, float("nan")) if n else float("nan")), g
+    src = rows.select(_feature_array(features).alias("f"), F.col(label).cast("double").alias("y"))
+    tasks = src.rdd.getNumPartitions()
+    parts = src.mapInArrow(_partial_gradient_fn(w, loss, array_sum.buckets(tasks)), array_sum.SCHEMA)
+    got = array_sum.total(parts, len(w) + 2, tasks)
+    n = int(round(got[0]))
+    return n, (float(got[1]) if n else float("nan")), got[2:]

@@ -25,12 +25,14 @@ STEP_LR, STEP_L2 = 0.1, 0.001
 
 # Trainer settings of the registered GD queries: the reference's own constants.
 GD_LINEAR_L2 = GDConfig(**LINEAR_L2_DEFAULTS, max_epochs=1000)
-GD_LINEAR = GDConfig(**LINEAR_DEFAULTS, max_epochs=1000)
+GD_LINEAR = GDConfig(**LINEAR_DEFAULTS, max_epochs=None)   # some 10^4 epochs, to the stop test
 # One scan per epoch instead of the one-pass statistics; a larger step keeps the epochs few.
 GD_LINEAR_EPOCHS = GDConfig(loss="squared", lr=0.1, l2=0.001, tol=1e-3, max_epochs=200, method="direct")
 # 64 features in one array column: Arrow partial vectors.
 GD_WIDE = GDConfig(loss="squared", lr=0.05, l2=0.001, tol=1e-4, max_epochs=40)
 WIDE = 64
+# The same features from one pass: Gram statistics by Arrow batches, then every epoch on the driver.
+GD_WIDE_GRAM = GDConfig(loss="squared", lr=0.05, l2=0.0, tol=1e-6, max_epochs=None)
 GD_LOGISTIC = GDConfig(**LOGISTIC_DEFAULTS, max_epochs=1000)
 GD_LOGISTIC_LR02 = GDConfig(**LOGISTIC_LR02_DEFAULTS, max_epochs=1000)
 
@@ -188,6 +190,8 @@ _ZERO = ["0.0::DOUBLE"] * 4
 
 
 def _gd_sql(rows_sql: str, cfg: GDConfig, init=_ZERO) -> str:
+    if cfg.max_epochs is None:
+        return S.gd_gram_cte(rows_sql, 3, cfg.lr, cfg.l2, cfg.tol, init)
     return S.gd_cte(rows_sql, 3, cfg.loss, cfg.lr, cfg.l2, cfg.tol, cfg.max_epochs, init)
 
 
@@ -222,6 +226,14 @@ def q_gd_wide_array(spark: SparkSession, sf: str) -> DataFrame:
     return round_model(train_gd(rows, "features", "y", GD_WIDE, n_features=WIDE).model_table(spark))
 
 
+@query("gd_wide_gram", S.gd_model_sql(
+    S.gd_gram_cte(_WIDE_ROWS, WIDE, GD_WIDE_GRAM.lr, GD_WIDE_GRAM.l2, GD_WIDE_GRAM.tol, ["0.0::DOUBLE"] * (WIDE + 1)), WIDE))
+def q_gd_wide_gram(spark: SparkSession, sf: str) -> DataFrame:
+    """The same rows by one pass of Gram statistics over the array column, trained to the stop test."""
+    rows = class_rows(spark, sf).select("features", (F.col("label") / F.lit(10.0)).alias("y"))
+    return round_model(train_gd(rows, "features", "y", GD_WIDE_GRAM, n_features=WIDE).model_table(spark))
+
+
 @query("gd_logistic", S.gd_model_sql(_gd_sql(S.LOG_ROWS, GD_LOGISTIC), 3))
 def q_gd_logistic(spark: SparkSession, sf: str) -> DataFrame:
     res = train_gd(log_rows(spark, sf), LIN_FEATURES, "y", GD_LOGISTIC)

@@ -130,6 +130,31 @@ gd(epoch, {state_cols}, prev, n_rows, loss, delta, stopped) AS (
 )"""
 
 
+def gd_gram_cte(rows_sql: str, d: int, lr: float, l2: float, tol: float, init: Sequence[str]) -> str:
+    """Squared-loss GD to its stop test, without an epoch limit: one pass of Gram statistics, then one recursion
+    step an epoch over (d+1)^2 numbers.  Same shape as :func:`gd_cte` at the end: ``gd(epoch, w0..wd, ...)``."""
+    xs = ["1.0::DOUBLE"] + [f"x{i}" for i in range(1, d + 1)]
+    G = ", ".join("[" + ", ".join(f"sum({a} * {b})" for b in xs) + "]" for a in xs)
+    h = ", ".join(f"sum({a} * y)" for a in xs)
+    two_lr, two_l2 = num(2.0 * lr), num(2.0 * l2)
+    decay = f" - CASE WHEN i = 1 THEN 0.0::DOUBLE ELSE {two_l2} * v END" if l2 else ""
+    pen = f" + {num(l2)} * list_dot_product(w[2:], w[2:])" if l2 else ""
+    return f"""WITH RECURSIVE
+rows AS ({rows_sql}),
+stats AS MATERIALIZED (SELECT count(*) AS n, sum(y * y) AS q, [{h}] AS h, [{G}] AS gram FROM rows),
+steps AS (
+  SELECT 0 AS epoch, [{', '.join(init)}] AS w, 'inf'::DOUBLE AS prev, NULL::DOUBLE AS loss, false AS stopped
+  UNION ALL
+  SELECT epoch + 1, CASE WHEN go THEN list_transform(w, lambda v, i: v - {two_lr} * (gw[i] - h[i]) / n{decay}) ELSE w END,
+         CASE WHEN go THEN loss ELSE prev END, loss, NOT go
+  FROM (SELECT *, prev - loss > {num(tol)} AS go FROM (
+    SELECT *, (list_dot_product(w, gw) - 2.0::DOUBLE * list_dot_product(w, h) + q) / n{pen} AS loss FROM (
+      SELECT s.epoch, s.w, s.prev, t.n, t.q, t.h, list_transform(t.gram, lambda g: list_dot_product(g, s.w)) AS gw
+      FROM steps s, stats t WHERE NOT s.stopped) a) b) c
+),
+gd AS (SELECT epoch, {', '.join(f'w[{i + 1}] AS w{i}' for i in range(d + 1))}, loss, stopped FROM steps)"""
+
+
 def gd_model_sql(cte: str, d: int, digits: int = 6) -> str:
     ws = [f"w{i}" for i in range(d + 1)]
     return (f"{cte},\nlast AS (SELECT * FROM gd WHERE epoch = (SELECT max(epoch) FROM gd))\n"

@@ -279,3 +279,123 @@ def test_grouped_rows_with_checkpoint_materialisation(spark):
     a = train_gd(rows, LIN_FEATURES, "y", GDConfig(compress="never", **kw))
     b = train_gd(rows, LIN_FEATURES, "y", GDConfig(compress="always", materialize="checkpoint", **kw))
     np.testing.assert_allclose(a.model.vector(), b.model.vector(), rtol=1e-10, atol=1e-13)
+
+
+@pytest.mark.parametrize("lr, tol", [(1e-5, 1e-5), (1e-3, 1e-7), (0.3, 1e-9), (0.3, 10.0), (0.9, 0.0)])
+def test_bisected_stopping_epoch_equals_the_epoch_loop(spark, lr, tol):
+    from ridgeway.operators.gd import gram_loss, stopping_epoch
+    from ridgeway.operators.gradient import gram_stats
+    stats = gram_stats(lin_rows(spark, SF_SMALL), LIN_FEATURES, "y")
+    cfg = GDConfig(lr=lr, tol=tol, max_epochs=None)
+    start = np.array([0.3, -0.2, 0.1, 0.0])
+    found = stopping_epoch(stats, start, cfg)
+    if 2 * lr * np.linalg.eigvalsh(stats["G"] / stats["n"])[-1] > 2:
+        assert found is None       # the loss may grow: epochs are run one by one
+        return
+    w, prev, epoch, last = start, np.inf, 0, start
+    while tol and epoch < 200_000:
+        epoch, loss = epoch + 1, gram_loss(stats, w)
+        if not prev - loss > tol:
+            break
+        w, prev, last = w - 2 * lr * (stats["G"] @ w - stats["h"]) / stats["n"], loss, w
+    if tol:
+        assert found[0] == epoch
+        np.testing.assert_allclose(found[1], w, rtol=1e-9, atol=1e-12)
+        np.testing.assert_allclose(found[2], last, rtol=1e-9, atol=1e-12)
+
+
+def test_a_run_without_epoch_limit_ends_by_its_stop_test(spark):
+    rows = lin_rows(spark, SF_SMALL)
+    free = train_gd(rows, LIN_FEATURES, "y", GDConfig(lr=1e-2, tol=1e-6, max_epochs=None))
+    looped = train_gd(rows, LIN_FEATURES, "y", GDConfig(lr=1e-2, tol=1e-6, max_epochs=100_000))
+    assert free.converged and looped.converged and [h[0] for h in free.history] == [len(looped.history) - 1, len(looped.history)]
+    for a, b in zip(free.history, looped.history[-2:]):
+        assert a == pytest.approx(b, rel=1e-9, abs=1e-12)
+    np.testing.assert_allclose(free.model.vector(), looped.model.vector(), rtol=1e-9)
+    ridge = dict(lr=1e-2, l2=1e-3, tol=1e-6)   # an L2 term: epoch by epoch, with the whole history
+    a = train_gd(rows, LIN_FEATURES, "y", GDConfig(**ridge, max_epochs=None))
+    b = train_gd(rows, LIN_FEATURES, "y", GDConfig(**ridge, max_epochs=100_000))
+    assert a.converged and len(a.history) == len(b.history)
+    empty = train_gd(rows.limit(0), LIN_FEATURES, "y", GDConfig(lr=0.1, max_epochs=None))
+    assert len(empty.history) == 1 and empty.converged
+    with pytest.raises(ValueError, match="epoch limit"):
+        GDConfig(loss="logistic", max_epochs=None)
+
+
+def test_arrow_gram_equals_generated_sums(spark, monkeypatch):
+    from ridgeway.operators import array_sum, gradient
+    rows = lin_rows(spark, SF_SMALL).repartition(5)
+    want = gradient.gram_stats(rows, LIN_FEATURES, "y")
+    arrays = rows.select(F.array(*LIN_FEATURES).alias("f"), "y")
+    for direct, chunk in ((10 ** 6, 4096), (0, 4096), (0, 4)):   # added on the driver, in two levels, in several chunks
+        monkeypatch.setattr(array_sum, "DIRECT_VALUES", direct)
+        monkeypatch.setattr(array_sum, "CHUNK", chunk)
+        got = gradient.gram_stats(arrays, "f", "y", 3)
+        assert got["n"] == want["n"]
+        for key in ("q", "h", "G"):
+            np.testing.assert_allclose(got[key], want[key], rtol=1e-11)
+    with pytest.raises(Exception, match="length 3"):
+        gradient.gram_stats(rows.select(F.array("x1").alias("f"), "y"), "f", "y", 3)
+
+
+def test_labels_are_checked_on_every_path(spark):
+    from ridgeway.operators.sgd import sgd_pass
+    from ridgeway.estimators import MLR, SVM
+    base = [(i, [float(i % 3), 1.0], i % 3) for i in range(12)]
+    for bad, words in ((-1.0, "0..K-1"), (1.7, "whole"), (3.0, "0..K-1")):
+        rows = spark.createDataFrame([(i, f, bad if i == 7 else float(y)) for i, f, y in base], "id long, features array<double>, label double")
+        for cfg in (SGDConfig(kind="softmax", shards=2), SGDConfig(kind="multiclass_hinge", rows_per_shard=3)):
+            with pytest.raises(Exception, match=words):
+                sgd_pass(rows, "id", "features", "label", cfg, LinearModel.zeros(3, 2))
+        fitted = MLR(alpha=0.1, max_iter=1, shards=2)
+        fitted.model = LinearModel.zeros(3, 2)
+        with pytest.raises(Exception, match=words):
+            fitted.partial_fit(rows)
+    rows = spark.createDataFrame([(1, 0.5, 0.5, 1.0), (2, 0.1, 0.2, 0.0)], "id long, x1 double, x2 double, y double")
+    with pytest.raises(Exception, match="-1 or 1"):
+        sgd_pass(rows, "id", ["x1", "x2"], "y", SGDConfig(shards=2), LinearModel.zeros(1, 2))
+    svm = SVM(n_epochs=1, shards=2)
+    svm.model = LinearModel.zeros(1, 2)
+    with pytest.raises(Exception, match="-1 or 1"):
+        svm.partial_fit(rows)
+
+
+def test_resharded_passes_match_numpy_replay(spark):
+    """Rows dealt anew each pass: shard and order follow the epoch; every materialisation, one block or many."""
+    X, y, ids = _local_rows(spark)
+    S, M, epochs = 5, 2147483647, 3
+    cfg = SGDConfig(kind="hinge", alpha=0.01, l2=0.1, shards=S, max_iter=epochs, tol=0.0, reshard=True)
+    model, seen = LinearModel.zeros(1, 2), []
+    for e in range(1, epochs + 1):
+        shard = ((ids % M) * (1327217885 * pow(69621, e, M) % M) + 3) % M % S
+        key = ids % M * pow(48271, e, M) % M
+        seen.append(shard)
+        w, b = np.zeros((1, 2)), np.zeros(1)
+        for s in range(S):
+            sel = np.flatnonzero(shard == s)
+            sel = sel[np.lexsort((ids[sel], key[sel]))]
+            st = ShardState(model.coef, model.intercept)
+            fold_hinge(st, X[sel], y[sel], 0.01, 0.1, True)
+            w, b = w + st.coef, b + st.intercept
+        model = LinearModel(w / S, b / S)
+    assert (seen[0] != seen[1]).mean() > 0.5    # most rows change their shard
+    for how in ("persist", "checkpoint", "none"):
+        got = train_sgd(hinge_rows(spark, SF_SMALL), "id", HINGE_FEATURES, "y", SGDConfig(**{**cfg.__dict__, "materialize": how}))
+        np.testing.assert_allclose(got.model.flat(), model.flat(), rtol=1e-11, atol=1e-14)
+
+
+@pytest.mark.parametrize("order", ["hash", "id"])
+def test_blocks_and_streamed_rows_give_one_model(spark, monkeypatch, order):
+    from ridgeway.operators import array_sum, sgd as sgd_mod
+    rows = hinge_rows(spark, SF_SMALL)
+    cfg = SGDConfig(kind="hinge", shards=6, max_iter=3, tol=0.0, order=order)
+    want = train_sgd(rows, "id", HINGE_FEATURES, "y", cfg)
+    small = train_sgd(rows, "id", HINGE_FEATURES, "y", SGDConfig(**{**cfg.__dict__, "materialize": "checkpoint"}))
+    np.testing.assert_allclose(small.model.flat(), want.model.flat(), rtol=1e-12, atol=1e-15)
+    monkeypatch.setattr(array_sum, "DIRECT_VALUES", 0)         # sums in a tree
+    tree = train_sgd(rows, "id", HINGE_FEATURES, "y", cfg)
+    monkeypatch.setattr(sgd_mod, "LOCKSTEP_BYTES", 64)         # shards larger than a block: sorted and streamed
+    streamed = train_sgd(rows, "id", HINGE_FEATURES, "y", cfg)
+    for got in (tree, streamed):
+        np.testing.assert_allclose(got.model.flat(), want.model.flat(), rtol=1e-12, atol=1e-15)
+        assert [h[:2] for h in got.history] == [h[:2] for h in want.history]
