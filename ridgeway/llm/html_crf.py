@@ -14,8 +14,8 @@ Left out before the CRF sees a block are only comments and the content of ``scri
 and ``title``.  Text in ``math`` and ``svg`` stays in its block; ``noscript``, ``object``, ``iframe``, ``noembed`` and ``noframes``
 are block elements, whose fallback text the CRF labels like any other.
 
-Defined cases: null or empty html: no text; broken markup is read as far as it goes (unclosed comments and
-scripts reach the end); unknown features are ignored; repeated rows are read one by one; an empty
+Defined cases: null or empty html: no text; broken markup is read by the standard's rules (a quote opens a value only behind
+``=``; unclosed comments, scripts, values and tags reach the end); very long pages are read whole, one page at a time; unknown features are ignored; repeated rows are read one by one; an empty
 table gives no rows; other columns are not read.
 """
 
@@ -49,8 +49,14 @@ PLAIN = frozenset((*HEADINGS, *FALLBACK, *"p div li ul ol dl dt dd table tbody t
 CLOSES = {"li": ("li", ("ul", "ol", "menu", "dir")), "dt": ("dt dd", ("dl",)), "dd": ("dt dd", ("dl",)), "tr": ("tr td th", ("table",)),
           "td": ("td th", ("tr", "table")), "th": ("td th", ("tr", "table")), "option": ("option", ("select",)), "body": ("head", ())}
 _NOT_IN_P = BLOCK - {"button", "label", "select", "option", "optgroup", "legend", *FALLBACK}
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)(?:>|\Z)", re.S)
-_ATTR = re.compile(r"(?:^|[\s\"'/])(class|id|role|hidden|aria-hidden|data-label)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
+#: Attributes by the standard's rules: quotes open a value only behind ``=``; anywhere else they are plain characters.
+_ONE = r"(=?[^\s/>=]+|=)(?:\s*=\s*(?:\"([^\"]*)(?:\"|\Z)|'([^']*)(?:'|\Z)|([^\s>\"'][^\s>]*)|(?=>|\Z)))?"
+_MANY = r"(?:[\s/]++|(?:=?+[^\s/>=]++|=)(?:\s*+=\s*+(?:\"[^\"]*+(?:\"|\Z)|'[^']*+(?:'|\Z)|[^\s>\"'][^\s>]*+|(?=>|\Z)))?+)*+"
+_TOKEN = re.compile(r"<!--(?:-?>|.*?(?:--!?>|\Z))|<[!?][^>]*>?|</(?:>|[^A-Za-z>][^>]*>?)|<(/?)([A-Za-z][^\s/>]*)(" + _MANY + r")(?:>|\Z)", re.S)
+_ATTR = re.compile(_ONE)
+_KNOWN = frozenset("class id role hidden aria-hidden data-label".split())
+_SCRIPT = re.compile(r"<!--|-->|<(/?)script(?=[\s/>])", re.I)
+_END = re.compile(_MANY + r">?")
 _WORD = re.compile(r"[a-z]+")
 
 
@@ -73,12 +79,61 @@ class _Node:
         self.path = above + near
 
 
+def _script_end(html: str, at: int) -> int | None:
+    """Where the end tag of a script starts whose content starts at ``at``: inside ``<!-- <script`` an end tag
+    only leaves the inner script."""
+    state = 0   # 1: behind <!--, 2: in a script there
+    while m := _SCRIPT.search(html, at):
+        at = m.end()
+        if m[0] == "-->":
+            state = 0
+        elif m[1] is None:
+            state, at = max(state, 1), at - 2   # <!--> is closed at once
+        elif not m[1]:
+            state = 2 if state else 0
+        elif state == 2:
+            state = 1
+        else:
+            return m.start()
+    return None
+
+
+def _silent_end(html: str, tag: str, at: int) -> int:
+    """The position behind the end tag of a silent element whose content starts at ``at``."""
+    if tag == "script":
+        start = _script_end(html, at)
+    else:
+        m = re.compile(rf"</{re.escape(tag)}(?=[\s/>])", re.I).search(html, at)
+        start = m.start() if m else None
+    return len(html) if start is None else _END.match(html, start + 2 + len(tag)).end()
+
+
+def tokens(html: str):
+    """(text before, closing, tag or None, attributes) of each tag, comment or declaration in turn; a last one
+    holds the text at the end.  Silent content is left out, whatever it looks like."""
+    at, foreign = 0, 0
+    while m := _TOKEN.search(html, at):
+        before, at, tag = html[at:m.start()], m.end(), m[2]
+        if tag is None:
+            yield before, False, None, ""
+            continue
+        tag = tag.lower()
+        alone = m[3].endswith("/")
+        if tag in ("svg", "math"):
+            foreign = max(0, foreign - 1) if m[1] else foreign + (not alone)
+        yield before, bool(m[1]), tag, m[3]
+        # a slash ends an element only in svg and math
+        if tag in SILENT and not m[1] and not (alone and foreign):
+            at = _silent_end(html, tag, at)
+    yield html[at:], False, None, ""
+
+
 def blocks(html: str) -> list[Block]:
     """The leaf blocks with text, in page order."""
     out: list[Block] = []
     stack = [_Node("", (), (), None)]
     parts: list[str] = []
-    linked, in_link, at, silent = 0, False, 0, None
+    linked, in_link = 0, False
 
     def flush():
         nonlocal linked
@@ -107,17 +162,11 @@ def blocks(html: str) -> list[Block]:
             if stack[k].tag in until:
                 return
 
-    for m in _TOKEN.finditer(html):
-        if m.start() < at:
-            continue
-        if silent is None:
-            text(html[at:m.start()])
-        at = m.end()
-        tag = m[2]
+    for before, closing, tag, attributes in tokens(html):
+        text(before)
         if tag is None:
             continue
-        tag = tag.lower()
-        if m[1]:
+        if closing:
             if tag == "a":
                 in_link = False
             elif tag in BLOCK:
@@ -127,9 +176,6 @@ def blocks(html: str) -> list[Block]:
                 parts.append(" ")
             continue
         if tag in SILENT:
-            if not m[3].rstrip().endswith("/"):
-                end = re.compile(rf"</{re.escape(tag)}(?=[\s/>]|\Z)[^>]*>?", re.I).search(html, at)
-                at = end.end() if end else len(html)
             continue
         if tag == "br":
             parts.append(" ")
@@ -143,13 +189,11 @@ def blocks(html: str) -> list[Block]:
             if tag in CLOSES:
                 names, until = CLOSES[tag]
                 close(names.split(), until)
-            if tag not in VOID and not (tag in FALLBACK and m[3].rstrip().endswith("/")):
+            if tag not in VOID and not (tag in FALLBACK and attributes.rstrip().endswith("/")):
                 up = stack[-1]
-                feats, label = _features(tag, m[3])
+                feats, label = _features(tag, attributes)
                 near = up.near if tag in PLAIN and len(feats) == 1 else tuple(f"near {f}" for f in feats)
                 stack.append(_Node(tag, up.above + tuple(f for f in feats if f not in up.above), near, label or up.label))
-    if silent is None:
-        text(html[at:])
     flush()
     return out
 
@@ -159,6 +203,8 @@ def _features(tag: str, attributes: str) -> tuple[list[str], str | None]:
     if attributes and "=" in attributes or "hidden" in attributes:
         for a in _ATTR.finditer(attributes):
             name, value = a[1].lower(), a[2] or a[3] or a[4] or ""
+            if name not in _KNOWN:
+                continue
             if name == "data-label":
                 label = value
             elif name == "hidden" or name == "aria-hidden" and value == "true":

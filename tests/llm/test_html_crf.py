@@ -93,3 +93,69 @@ def test_formulas_and_fallback_text_are_read(model):
     assert model.extract("<body><nav><a href=/>Home</a></nav><article><h1>Title</h1><p>Let <math><mi>y</mi></math> be one number here.</p>"
                          "<noscript><p>The figure shows all the values.</p></noscript><p>It ends.</p></article></body>") == (
         "Title\nLet y be one number here.\nThe figure shows all the values.\nIt ends.")
+
+
+def test_broken_markup():
+    text = lambda h: [b.text for b in H.blocks(h)]
+    assert text("<p title=it's>Hello</p><p>World it's fine</p><p>End</p>") == ["Hello", "World it's fine", "End"]
+    assert text("<p>x<y it's</p><p>second</p><p>third's</p>") == ["x", "second", "third's"]
+    assert text("<script>var a='<!--';</script><p>Hello</p><p>More</p>") == ["Hello", "More"]
+    assert text("<script><!-- <script> </script> no </script><p>yes</p>") == ["yes"]
+    assert text("<script>a='<!-->';</script><p>yes</p>") == ["yes"]
+    assert text("<p>a<!-->b<!--->c<!-- - -- > --!>d</p>") == ["abcd"]
+    assert text('<p>1 < 2 </3 heart> </> <a href=x/ class=b"c>4</a></p>') == ["1 < 2 4"]
+    assert text('<p a="b>c">d</p><p a = \'e>f\'>g</p><p a=">h') == ["d", "g"]
+    assert text("<style>a</styles>b</style >c<textarea><p>d</textarea>e") == ["ce"]
+    assert text("<p>a<svg><title/>b</svg>c<script/>d</script>e") == ["abce"]
+    assert H.blocks("<div class=it's-menu id = 'x'><p>a")[0].path[:3] == ("t=div", "c=it", "c=s")
+
+
+def test_tokens_against_the_standard_library():
+    """Texts and tags of random fragments as ``html.parser`` reads them (which departs from the standard after ``==``)."""
+    import random
+    from html.parser import HTMLParser
+
+    class Reader(HTMLParser):
+        def __init__(self):
+            super().__init__(convert_charrefs=False)
+            self.got = []
+
+        def handle_starttag(self, tag, attrs):
+            self.got.append(("tag", tag))
+
+        def handle_startendtag(self, tag, attrs):
+            self.handle_starttag(tag, attrs)   # the slash says nothing
+
+        def handle_endtag(self, tag):
+            self.got.append(("end", tag))
+
+        def handle_data(self, data):
+            if self.got and self.got[-1][0] == "text":
+                self.got[-1] = ("text", self.got[-1][1] + data)
+            else:
+                self.got.append(("text", data))
+
+    def ours(page):
+        out = []
+        for before, closing, tag, attributes in H.tokens(page):
+            if before:
+                out.append(("text", before) if not out or out[-1][0] != "text" else ("text", out.pop()[1] + before))
+            if tag is not None:
+                out.append(("end" if closing else "tag", tag))
+        return out
+
+    r = random.Random(8)
+    parts = ["<p", "<b ", "</p", "</b>", ">", ">", ">", "'", '"', " title=", " a='b c'", ' c="d>e"', " it's", "x y", "word ", "<", "1 < 2", " ", "<!-- no -->", "<!-- ' -->", "<!d>", "\n", " e=f/", "</p>", "<i>", "</i >"]
+    compared = 0
+    for _ in range(20_000):
+        page = "".join(r.choice(parts) for _ in range(r.randint(1, 14)))
+        # closed at the end: what an unclosed tag leaves behind is no text to either, but they tell it differently
+        page += "z\">z'>z<u>end</u>"
+        if any(closing and "=" in attributes for _, closing, _, attributes in H.tokens(page)):
+            continue   # the library ends an end tag at its first >, also inside a quoted value
+        reader = Reader()
+        reader.feed(page)
+        reader.close()
+        compared += 1
+        assert ours(page) == reader.got, page
+    assert compared > 10_000
