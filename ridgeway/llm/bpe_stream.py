@@ -18,10 +18,13 @@ holds an unfinished UTF-8 character (byte-level decoders) or whether a separator
 (files without a decoder: tokens joined by one space).
 
 The pre-tokenizer is that of ``word`` files: NFC, lower case, white space dropped, then
-``PATTERN`` makes the words.  A word's tokens do not depend on its neighbours; they are kept in a
-bounded cache of the worker.
+``PATTERN`` makes the words.  Texts are fed to it in pieces of about ``PIECE`` characters, cut in front of an ASCII
+letter or digit behind ASCII white space, where no composition, word or special token can lie across, so besides the ids the memory does
+not grow with the text.  Pieces with characters on which Unicode versions differ go through the library's own normaliser
+and pre-tokenizer (those of the file), so classes and lower case are its own for every code point.
+A word's tokens do not depend on its neighbours; they are kept in a cache of the worker, bounded in bytes.
 
-Defined cases: null text: empty, no tokens; special tokens in a text are their ids, as the
+Defined cases: null text: empty, no tokens; very long texts and words are streamed as above; special tokens in a text are their ids, as the
 library does by default; repeated rows are encoded one by one; empty table: no rows;
 other columns are not read.
 """
@@ -40,8 +43,8 @@ from pyspark.sql import functions as F
 
 from ridgeway.llm.common import Cache, Shared, byte_symbols, slices, worker_state
 
-#: Words of one generation of a worker's cache.
-CACHE_WORDS = 400_000
+#: Bytes of one generation of a worker's cache; characters of a piece.
+CACHE_BYTES, PIECE = 64 << 20, 1 << 16
 #: Fixed value: the split pattern of the word tokenizer.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
@@ -50,6 +53,7 @@ class MergeList:
     """Vocabulary and merges of a tokenizer file, in the form the transducer needs."""
 
     def __init__(self, source: str):
+        self.source = source
         spec = json.loads(source)
         model = spec["model"]
         if model.get("dropout") or model.get("unk_token") or model.get("continuing_subword_prefix"):
@@ -238,32 +242,62 @@ class IncrementalDecoder:
 class WordEncoder:
     """Texts -> ids as little-endian int32; keeps the ids of words."""
 
-    def __init__(self, merges: MergeList, cache: int = CACHE_WORDS):
+    def __init__(self, merges: MergeList, cache: int = CACHE_BYTES, piece: int = PIECE):
         import regex
-        self.merges = merges
-        self.words = Cache(self._word, cache)
+        from tokenizers import Tokenizer
+
+        library = Tokenizer.from_str(merges.source)
+        self.normal, self.pre = library.normalizer, library.pre_tokenizer
+        self.merges, self.piece = merges, piece
+        self.words, self.mapped = Cache(self._word, cache), Cache(self._symbols, cache)
         self.split = regex.compile(PATTERN).findall
-        special = "|".join(regex.escape(t) for t in sorted(merges.special, key=len, reverse=True))
-        self.special = regex.compile(f"({special})").split if special else None
+        specials = sorted(merges.special, key=len, reverse=True)
+        self.special = regex.compile("|".join(map(regex.escape, specials))) if specials else None
+        # the characters whose classes, case and composition no two Unicode versions dispute
+        self.other = regex.compile(r"[^\x00-\u024f\u2010-\u2027\u2030-\u205e\u20ac]").search
+        self.border = regex.compile(r"[\t-\r ](?=[0-9A-Za-z])").search
         self.transducer = Transducer(merges)
         self.symbol = byte_symbols()
 
-    def _word(self, word: str) -> bytes:
-        symbols = word if word.isascii() and word.isprintable() else "".join([self.symbol[b] for b in word.encode()])
+    def _symbols(self, symbols: str) -> bytes:
         return array("i", self.transducer.encode(symbols)).tobytes()
 
-    def _plain(self, text: str) -> bytes:
-        if not text.isascii():  # lower case is by character: no final sigma
-            text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
-        return b"".join(map(self.words.__getitem__, self.split(text.lower())))
+    def _word(self, word: str) -> bytes:
+        return self._symbols(word if word.isascii() and word.isprintable() else "".join([self.symbol[b] for b in word.encode()]))
+
+    def _pieces(self, text: str):
+        at = 0
+        while len(text) - at > self.piece:
+            cut = self.border(text, at + self.piece)
+            if cut is None:
+                break
+            yield text[at:cut.end()]
+            at = cut.end()
+        yield text[at:] if at else text
+
+    def _plain(self, text: str):
+        for piece in self._pieces(text):
+            if piece.isascii() or not self.other(piece):
+                if not piece.isascii():
+                    piece = unicodedata.normalize("NFC", piece)
+                yield from map(self.words.__getitem__, self.split(piece.lower()))
+            else:
+                for symbols, _ in self.pre.pre_tokenize_str(self.normal.normalize_str(piece)):
+                    yield self.mapped[symbols]
+
+    def stream(self, text: str):
+        """Yields the ids of the text in turn, as bytes."""
+        if self.special is not None and any(t in text for t in self.merges.special):
+            at = 0
+            for m in self.special.finditer(text):
+                yield from self._plain(text[at:m.start()])
+                yield np.array([self.merges.special[m[0]]], dtype="<i4").tobytes()
+                at = m.end()
+            text = text[at:]
+        yield from self._plain(text)
 
     def encode(self, text: str) -> np.ndarray:
-        if self.special and "<|" in text:
-            found = self.special(text)
-            joined = b"".join(np.array([self.merges.special[p]], dtype="<i4").tobytes() if k % 2 else self._plain(p) for k, p in enumerate(found))
-        else:
-            joined = self._plain(text)
-        return np.frombuffer(joined, dtype="<i4")
+        return np.frombuffer(b"".join(self.stream(text)), dtype="<i4")
 
 
 def decode(merges: MergeList, ids, step: int = 65536) -> str:
@@ -286,11 +320,11 @@ def encode(docs: DataFrame, tokenizer_path: str, *, id_col: str = "doc_id", text
     key = str(hash(source))
 
     def run(batches):
-        state = worker_state()
+        state = worker_state("bpe_stream")
         if state.get("bpe_key") != key:
             state["bpe_key"], state["bpe"] = key, WordEncoder(MergeList(shared.value))
         coder = state["bpe"]
-        for batch in slices(batches, 4 << 20):
+        for batch in slices(batches, 4 << 20, owner="bpe_stream"):
             values = [coder.encode(t or "") for t in batch.column("text").to_pylist()]
             offsets = np.concatenate(([0], np.cumsum([len(v) for v in values]))).astype(np.int32)
             flat = np.concatenate(values) if values else np.zeros(0, "<i4")

@@ -24,9 +24,11 @@ def texts_of(column) -> Iterator[bytes]:
         yield value.as_py() or b""
 
 
-def slices(batches, max_bytes: int = 16 << 20):
+def slices(batches, max_bytes: int = 16 << 20, owner: str | None = None):
     """Record batches cut so that one piece holds at most ``max_bytes`` (or one row),
-    whatever the lengths of the texts: bounds the working memory of a task."""
+    whatever the lengths of the texts: bounds the working memory of a task.  What other operators
+    left in the worker is freed first."""
+    worker_state(owner)
     for batch in batches:
         pieces = max(1, -(-batch.nbytes // max_bytes))
         step = max(1, -(-batch.num_rows // pieces))
@@ -34,11 +36,16 @@ def slices(batches, max_bytes: int = 16 << 20):
             yield batch.slice(lo, step)
 
 
-def worker_state() -> dict:
-    """A dict that lives as long as the Python worker process: caches kept there are
-    rebuilt from nothing when an executor is lost, and never change a result."""
-    name = "ridgeway_worker_state"
-    return vars(sys.modules.setdefault(name, types.ModuleType(name)))
+def worker_state(owner: str | None) -> dict:
+    """A dict that an operator keeps in the Python worker process from task to task: caches kept there are
+    rebuilt from nothing when an executor is lost, and never change a result.  It holds the state of one operator: another
+    owner (or none) starts with an empty one, so no stage carries the memory of an earlier one."""
+    module = sys.modules.setdefault("ridgeway_worker_state", types.ModuleType("ridgeway_worker_state"))
+    held = vars(module).setdefault("held", {})
+    if held.get("owner") != owner:
+        held.clear()
+        held["owner"] = owner
+    return held
 
 
 def local_path(uri: str) -> str:
@@ -131,18 +138,23 @@ def byte_symbols() -> list[str]:
 
 
 class Cache(dict):
-    """Two generations of at most ``size`` entries: what is in use survives, memory is bounded."""
+    """Two generations of at most ``size`` bytes each (entries counted with their overhead): what is in use
+    survives, memory is bounded."""
+
+    ENTRY = 200   # bytes of an entry beside its characters and its value
 
     def __init__(self, make, size: int, longest: int = 64):
-        self.make, self.size, self.longest, self.old = make, size, longest, {}
+        self.make, self.size, self.longest, self.old, self.held = make, size, longest, {}, 0
 
     def __missing__(self, key: str) -> bytes:
         value = self.old.get(key)
         if value is None:
             value = self.make(key)
-        if len(self) >= self.size:
+        if self.held >= self.size:
             self.old = dict(self)
             self.clear()
+            self.held = 0
         if len(key) <= self.longest:
             self[key] = value
+            self.held += len(key) + len(value) + self.ENTRY
         return value

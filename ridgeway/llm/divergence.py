@@ -41,6 +41,8 @@ _STRIP = b".,;:!?\"'()[]{}#*$%&|<>-_"
 #: Fixed defaults of the verdict.
 COMMON, MIN_WORDS, MIN_REFERENCE = 100, 50, 2000
 MAX_LANGUAGES, BINS = 1000, 1000
+#: Memory of a task's word counts, and of one of them beside its word.
+TALLY_BYTES, ENTRY_BYTES = 40 << 20, 200
 #: With 0.4, 98.4 % (sf0.1) and 99.3 % (check_s) of the good documents of 50 to 99 words are kept; rates by length: README.
 CHAR_LIMIT, CHAR_SLACK, WORD_LIMIT, WORD_SLACK = 0.15, 0.4, 0.30, 2.0
 
@@ -137,7 +139,7 @@ class References:
 
 def _count(batches):
     """Per task: word counts and, under keys that no word can have, documents by class and bin."""
-    tally = defaultdict(Counter)
+    tally, read = defaultdict(Counter), 0
 
     def rows():
         for lang, c in tally.items():
@@ -155,8 +157,11 @@ def _count(batches):
             if total := int(counts.sum()):
                 tally[lang].update([b" %d %d" % (k, n * BINS // total) for k, n in enumerate([*counts.tolist(), int(folded(counts)[0])])])
             tally[lang].update(bare_words(text))
-        if sum(map(len, tally.values())) > 400_000:  # bounded memory: the aggregate adds the parts up
+        read += batch.nbytes
+        # bounded memory, by entries and by the bytes that their words can hold: the aggregate adds the parts up
+        if read > TALLY_BYTES or sum(map(len, tally.values())) * ENTRY_BYTES > TALLY_BYTES:
             yield from rows()
+            read = 0
     yield from rows()
 
 

@@ -40,15 +40,15 @@ SAMPLE_DOCS = 1000
 
 
 def samples(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", n_docs: int = SAMPLE_DOCS) -> DataFrame:
-    """Labelled rows (token, is_random) from a hash sample of about ``n_docs`` rows (all of a smaller table).
+    """Labelled rows (token, is_random) from a hash sample of about ``n_docs`` rows (all of a smaller table), repeated
+    ones once: a function of the rows alone, however they are split over files and tasks.
 
     Random strings are encoded digests of the ids; ordinary identifiers are the texts'
     words of letters, alone and joined as snake, dash, path and camel case names.
     """
     share = min(1.0, n_docs / max(1, docs.count()))
-    few = (docs.select(F.coalesce(F.col(f"`{id_col}`").cast("string"), F.lit("")).alias("id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"),
-                       F.monotonically_increasing_id().alias("row"))
-           .where(F.pmod(F.xxhash64("id", "row"), F.lit(1 << 30)) < int(share * (1 << 30))))
+    few = (docs.select(F.coalesce(F.col(f"`{id_col}`").cast("string"), F.lit("")).alias("id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
+           .where(F.pmod(F.xxhash64("id", "text"), F.lit(1 << 30)) < int(share * (1 << 30))).distinct())
     digest = F.sha2(F.concat(F.col("id"), F.lit("/sample")), 256)
     forms = F.array(digest, F.base64(F.unhex(digest)), F.translate(F.base64(F.unhex(digest)), "+/=", "-_"),
                     F.upper(F.concat(F.conv(F.substring(digest, 1, 15), 16, 36), F.conv(F.substring(digest, 16, 15), 16, 36))))

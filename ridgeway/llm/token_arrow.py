@@ -35,14 +35,14 @@ from pyspark.sql import functions as F
 from ridgeway.llm.common import AttemptFile, Cache, Shared, byte_symbols, open_input, slices, worker_state
 from ridgeway.session import scratch_path
 
-#: Ids in a sequence, sequences in a record batch, runs of one generation of a worker's cache.
-LENGTH, BATCH, CACHE_RUNS = 2048, 256, 400_000
+#: Ids in a sequence, sequences in a record batch, bytes of one generation of a worker's cache.
+LENGTH, BATCH, CACHE_BYTES = 2048, 256, 96 << 20
 
 
 class RunEncoder:
     """Texts -> ids as little-endian uint32 bytes; keeps the ids of the pre-tokenizer's runs."""
 
-    def __init__(self, source: str, cache: int = CACHE_RUNS):
+    def __init__(self, source: str, cache: int = CACHE_BYTES):
         import json
 
         import regex
@@ -153,13 +153,13 @@ def write(docs: DataFrame, tokenizer_path: str, folder: str | None = None, *, en
     ordered = src.withColumn("h", F.xxhash64("text")).repartitionByRange("id", "h").sortWithinPartitions("id", "h", "text")
 
     def run(batches):
-        state = worker_state()
+        state = worker_state("token_arrow")
         if state.get("run_key") != key:
             state["run_key"], state["run"] = key, RunEncoder(shared.value)
         coder = state["run"]
         kind = np.dtype("<u2" if max(coder.library.get_vocab_size(), end_id + 1) <= 1 << 16 else "<u4")
         close, part, out = np.array([end_id], dtype=kind), TaskContext.get().partitionId(), None
-        for rows in slices(batches):
+        for rows in slices(batches, owner="token_arrow"):
             out = out or SequenceFile(folder, kind, length, batch)
             at, n = [], []
             for text in rows.column("text").to_pylist():

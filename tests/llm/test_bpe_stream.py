@@ -38,6 +38,47 @@ def test_fuzz_against_the_library(merges, library):
         assert B.decode(merges, ids, step=3) == library.decode(ids, skip_special_tokens=False)
 
 
+def test_every_code_point_against_the_library(merges, library):
+    """Classes, lower case and composition of each character are the library's, whatever Unicode version Python has."""
+    w = B.WordEncoder(merges)
+    for lo in range(0, 0x110000, 256):
+        if 0x30000 <= lo < 0xE0000 or 0xE0200 <= lo < 0x10FF00 or 0xD800 <= lo < 0xE000:
+            continue
+        for c in map(chr, range(lo, lo + 256)):
+            s = f"ab{c}cd {c}9 E{c}'s{c}{c} \u0301{c}"
+            assert w.encode(s).tolist() == library.encode(s, add_special_tokens=False).ids, hex(ord(c))
+
+
+def test_texts_in_pieces(merges, library):
+    """Pieces of a few characters give the ids of the whole text, special tokens and combining marks included."""
+    random.seed(5)
+    parts = list("aabcdeéß’sS09 ,.<|>\n\t\u0301ΣİÀ中😀ﬁ") + [" ", " ", "<|endoftext|>", "'s", "'ll", "the", "ing", "\u3000", "\u0085", "한", "각", "각"]
+    for piece in (1, 2, 7, 40):
+        w = B.WordEncoder(merges, cache=2000, piece=piece)
+        for _ in range(800):
+            s = "".join(random.choice(parts) for _ in range(random.randint(0, 60)))
+            assert w.encode(s).tolist() == library.encode(s, add_special_tokens=False).ids, repr(s)
+    w = B.WordEncoder(merges, piece=1000)
+    text = "The naïve Σ words, " * 20_000
+    assert max(map(len, w._pieces(text))) < 1100
+    assert w.encode(text).tolist() == library.encode(text, add_special_tokens=False).ids
+
+
+def test_query_digests_against_the_library(spark, library):
+    """The registered query on a whole table."""
+    import hashlib
+
+    from ridgeway.llm import queries as Q
+    from tests.llm.helpers import SF
+    sha = lambda t: hashlib.sha256(t.encode()).hexdigest()
+    want = []
+    for r in spark.read.parquet(f"{SF}/documents.parquet").collect():
+        ids = library.encode(r.text or "", add_special_tokens=False).ids
+        want.append((r.doc_id, len(ids), sha(" ".join(map(str, ids))), sha(library.decode(ids, skip_special_tokens=False))))
+    assert rows(Q.QUERIES["op9_streaming_bpe"](spark, SF), "doc_id", "n_tokens", "ids_sha256", "decoded_sha256") == sorted(
+        want, key=lambda t: tuple((x is None, str(x)) for x in t))
+
+
 def test_long_words_are_emitted_while_they_come(merges, library):
     random.seed(4)
     t = B.Transducer(merges)

@@ -77,3 +77,11 @@ def test_redact_and_edges(spark, edge_docs, empty_docs, ratios):
     assert S.scan(empty_docs, ratios).count() == 0 and S.redact(empty_docs, ratios).count() == 0
     nothing = S.train(S.samples(empty_docs))
     assert not np.any(nothing)
+
+
+def test_ratios_do_not_depend_on_the_partitioning(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    docs = docs.unionByName(docs.limit(50))   # repeated rows, too
+    want = S.train(S.samples(docs, n_docs=200))
+    for n in (3, 7):
+        assert (S.train(S.samples(docs.repartition(n), n_docs=200)) == want).all()

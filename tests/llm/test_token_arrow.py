@@ -66,3 +66,22 @@ def test_wide_vocabularies_and_empty_table(spark, empty_docs):
     f.close()
     index, folder = A.write(empty_docs, PATH, end_id=2)
     assert A.read(index, folder).count() == 0
+
+
+def test_query_rows_against_the_library(spark):
+    """start and ids_crc32 of the registered query on a whole table."""
+    from zlib import crc32
+
+    from ridgeway.llm import queries as Q
+    from tests.llm.helpers import SF
+    with open(P.path("byte_bpe_50k.json"), encoding="utf-8") as f:
+        library = Tokenizer.from_str(f.read())
+    library.no_truncation()
+    library.no_padding()
+    want, at = [], 0
+    for r in spark.read.parquet(f"{SF}/documents.parquet").orderBy("doc_id").collect():
+        ids = [*library.encode(r.text or "", add_special_tokens=False).ids, 2]
+        want.append((r.doc_id, at, len(ids), crc32(np.array(ids, dtype="<u4").tobytes())))
+        at += len(ids)
+    got = Q.QUERIES["op10_token_arrow"](spark, SF).select("doc_id", "start", "n_tokens", "ids_crc32").collect()
+    assert sorted(map(tuple, got)) == want
