@@ -20,7 +20,7 @@ from ridgeway.sources.tables import HINGE_FEATURES, LIN_FEATURES, hinge_rows, li
 from ridgeway.sources.text import (RECORD_TAG, read_csv_rows, read_tsv_rows, read_weight_lines,
                                    read_weight_record, write_labelled_text, write_weight_lines,
                                    write_weight_record)
-from ridgeway.streaming.online import run_online_update, write_stream_chunks
+from ridgeway.streaming.online import run_ordered_update, write_manifest, write_stream_chunks
 
 STEP_MODEL_SQL = S.model_rows_sql(f"({_step_sql()})", ["s0", "s1", "s2", "s3"])
 
@@ -91,8 +91,8 @@ def q_sink_weight_record(spark: SparkSession, sf: str) -> DataFrame:
        + "SELECT class_idx, feature_idx, weight, (SELECT CAST(max(epoch) AS INTEGER) FROM gd) AS epoch FROM ("
        + S.model_rows_sql("last", ["w0", "w1", "w2", "w3"]) + ") m")
 def q_model_store_latest(spark: SparkSession, sf: str) -> DataFrame:
-    """Every epoch's model of a GD run appended to an epoch-partitioned store;
-    the newest partition is read back (older ones are kept, never deleted)."""
+    """Every epoch's model of a GD run appended to the model store in one commit;
+    the newest is read back (older ones are kept, never deleted)."""
     res = train_gd(lin_rows(spark, sf), LIN_FEATURES, "y", GD_LINEAR_L2, keep_models=True)
     store = ModelStore(spark, scratch_path(spark, "model-store"))
     store.append_epochs(models_table(spark, res.models, start=1))
@@ -120,11 +120,11 @@ def _stream_sql() -> str:
 
 @query("stream_online_hinge", _stream_sql())
 def q_stream_online_hinge(spark: SparkSession, sf: str) -> DataFrame:
-    """Events arrive in id order from eight sources, one stream each, on one store; each
-    micro-batch folds into the stored hinge model (4 shards, averaged), starting from zero."""
-    sources = write_stream_chunks(stream_rows(spark, sf), scratch_path(spark, "stream-src"), "id", STREAM_CHUNKS)
+    """Events arrive in id order as eight batches of a manifest, followed by one stream; each
+    batch folds into the stored hinge model (4 shards, averaged), starting from zero."""
+    batches = write_stream_chunks(stream_rows(spark, sf), scratch_path(spark, "stream-src"), "id", STREAM_CHUNKS)
     store = ModelStore(spark, scratch_path(spark, "stream-models"))
-    for source in sources:
-        run_online_update(spark, source, STREAM_SCHEMA, store, "id", HINGE_FEATURES, "y", STREAM_CFG,
-                          LinearModel.zeros(1, 2), scratch_path(spark, "stream-ckpt"), max_files_per_trigger=None)
+    manifest = write_manifest(spark, batches, scratch_path(spark, "stream-manifest"))
+    run_ordered_update(spark, manifest, STREAM_SCHEMA, store, "id", HINGE_FEATURES, "y", STREAM_CFG,
+                       LinearModel.zeros(1, 2), scratch_path(spark, "stream-ckpt"))
     return round_model(store.latest())

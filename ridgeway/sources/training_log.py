@@ -1,9 +1,8 @@
 """Per-epoch training log in the shared folder, so a restarted driver resumes.
 
 Executors lost mid-epoch are recovered by Spark itself (lineage); this covers
-the driver loop.  Each epoch appends its model to a
-:class:`~ridgeway.sources.model_store.ModelStore` and its history row to a
-small Parquet table, both keyed by epoch.  A trainer given the same log
+the driver loop.  Each epoch commits its model and its history row in one record of a
+:class:`~ridgeway.sources.model_store.ModelStore`.  A trainer given the same log
 continues after the last epoch found there (history included), so the result
 equals an uninterrupted run.
 """
@@ -11,8 +10,6 @@ equals an uninterrupted run.
 from __future__ import annotations
 
 from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from ridgeway.model import LinearModel
 from ridgeway.sources.model_store import ModelStore
@@ -25,29 +22,16 @@ class TrainingLog:
         self.spark = spark
         self.path = path.rstrip("/")
         self.models = ModelStore(spark, f"{self.path}/models")
-        self.history_path = f"{self.path}/history"
 
     def record(self, row: tuple, model: LinearModel) -> None:
-        """Model first, then its history row: a row is only ever present with its model.
-        A model left by a run that died before writing the row is kept (the rerun
-        recomputes the same epoch deterministically), never duplicated."""
-        epoch = int(row[0])
-        self.models.write(model.to_table(self.spark), epoch, check=True)
-        (self.spark.createDataFrame([row], _HISTORY_DDL).coalesce(1)
-             .write.mode("append").parquet(self.history_path))
+        """The model and its history row, together.  An epoch that is stored without a row (a model
+        written by other means) is committed once more, with it."""
+        self.models.write(model, int(row[0]), history=row)
 
     def resume(self) -> tuple[list[tuple], LinearModel] | None:
         """(history rows in epoch order, model after the last of them), or None."""
-        try:
-            hist = self.spark.read.schema(_HISTORY_DDL).parquet(self.history_path)
-            rows = [tuple(r) for r in hist.orderBy("epoch").collect()]  # one row per epoch
-        except AnalysisException:
-            return None
-        if not rows:
-            return None
-        last = rows[-1][0]
-        model = LinearModel.from_table(self.models.read_epoch(last).drop("epoch"))
-        return rows, model
+        rows = self.models.histories()
+        return (rows, self.models.read_model(rows[-1][0])) if rows else None
 
     def history_table(self):
-        return self.spark.read.schema(_HISTORY_DDL).parquet(self.history_path).orderBy(F.col("epoch"))
+        return self.spark.createDataFrame(self.models.histories(), _HISTORY_DDL).orderBy("epoch")

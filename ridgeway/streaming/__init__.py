@@ -6,6 +6,8 @@ _EXPORTS = {
     "OnlineUpdate": "ridgeway.streaming.online",
     "chunk_column": "ridgeway.streaming.online",
     "run_online_update": "ridgeway.streaming.online",
+    "run_ordered_update": "ridgeway.streaming.online",
+    "write_manifest": "ridgeway.streaming.online",
     "write_stream_chunks": "ridgeway.streaming.online",
 }
 

@@ -5,7 +5,7 @@ model in a :class:`~ridgeway.sources.model_store.ModelStore` and appends its res
 next epoch (epoch 0 is the initial model), together with the stream's name and the
 batch id.  A replayed batch finds its own (stream, batch) in the store and does nothing, so
 restarts after executor or driver loss are idempotent, and any number of streams can feed
-one store, one after another.  The stream's checkpoint is required: it names the stream.
+one store, one after another.  :func:`run_ordered_update` folds batches in an order that a manifest gives.  The stream's checkpoint is required: it names the stream.
 """
 
 from __future__ import annotations
@@ -40,7 +40,7 @@ class OnlineUpdate:
         batch_id = int(batch_id)
         if self._current is None:
             done, epoch = self.store.last_batch(self.stream), self.store.last_epoch()
-            self._current = (-1 if done is None else done, epoch, LinearModel.from_table(self.store.latest()))
+            self._current = (-1 if done is None else done, epoch, self.store.read_model(epoch))
         done, epoch, model = self._current
         if batch_id <= done:
             return  # replay of a batch that is already folded in
@@ -53,7 +53,7 @@ class OnlineUpdate:
                 new, _, _ = sgd_pass(held, self.id_col, self.features, self.label, self.cfg, model, epoch + 1)
             finally:
                 held.unpersist()
-        self.store.write(new.to_table(batch.sparkSession), epoch + 1, check=False, stream=self.stream, batch=batch_id)
+        self.store.write(new, epoch + 1, stream=self.stream, batch=batch_id)
         self._current = (batch_id, epoch + 1, new)
 
 
@@ -67,7 +67,7 @@ def run_online_update(spark: SparkSession, source: str, schema: T.StructType, st
     if not checkpoint:
         raise ValueError("a stream needs its own checkpoint folder")
     if store.last_epoch() is None:
-        store.write(init.to_table(spark), 0)
+        store.write(init, 0)
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
@@ -82,6 +82,53 @@ def run_online_update(spark: SparkSession, source: str, schema: T.StructType, st
     return store
 
 
+def run_ordered_update(spark: SparkSession, manifest: str, schema: T.StructType, store: ModelStore,
+                       id_col: str, features: Sequence[str] | str, label: str, cfg: SGDConfig,
+                       init: LinearModel, checkpoint: str, stream: str | None = None) -> ModelStore:
+    """Fold the batches of a manifest into the stored model, in their numbers' order, then stop.
+
+    ONE streaming query follows the folder of manifest rows ``(batch long, path string)``: they, not the times of
+    files, say which rows a batch holds and when its turn is.  Each trigger reads the
+    rows behind the newest folded batch and folds those that follow it without a gap; a row that came before its
+    predecessor waits in the manifest.  Every batch commits its model together with (stream, batch), so a run that was
+    killed at any point resumes to the same model."""
+    if not checkpoint:
+        raise ValueError("a stream needs its own checkpoint folder")
+    if store.last_epoch() is None:
+        store.write(init, 0)
+    name = stream or checkpoint.rstrip("/")
+    fold = OnlineUpdate(store, id_col, features, label, cfg, name)
+
+    def turn(arrived: DataFrame, _: int) -> None:
+        done = store.last_batch(name)
+        next_batch = 0 if done is None else done + 1
+        listed = spark.read.schema(MANIFEST).json(manifest).where(F.col("batch") >= F.lit(next_batch))
+        due = {}
+        for row in listed.collect():                                  # names of the batches to come
+            if due.setdefault(row["batch"], row["path"]) != row["path"]:
+                raise ValueError(f"manifest names batch {row['batch']} twice")
+        while next_batch in due:
+            fold(spark.read.schema(schema).parquet(due[next_batch]), next_batch)
+            next_batch += 1
+
+    q = (spark.readStream.schema(MANIFEST).json(manifest).writeStream.trigger(availableNow=True)
+         .option("checkpointLocation", checkpoint).foreachBatch(turn).start())
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    return store
+
+
+MANIFEST = "batch long, path string"
+
+
+def write_manifest(spark: SparkSession, paths: Sequence[str], manifest: str, first: int = 0) -> str:
+    """Append manifest rows that number ``paths`` from ``first`` on, as one file."""
+    rows = [(first + k, p) for k, p in enumerate(paths)]
+    spark.createDataFrame(rows, MANIFEST).coalesce(1).write.mode("append").json(manifest)
+    return manifest
+
+
 def chunk_column(id_col: str, lo: int, hi: int, n_chunks: int):
     """Chunk index of a row: ``(id - lo) * n div (hi - lo + 1)`` (contiguous id ranges)."""
     span = hi - lo + 1

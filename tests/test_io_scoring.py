@@ -179,3 +179,79 @@ def test_model_round_trips_in_every_format(spark, fmt):
     path = scratch_path(spark, f"model-{fmt}")
     write_model(m.to_table(spark), path, fmt)
     np.testing.assert_array_equal(LinearModel.from_table(read_model(spark, path, fmt)).vector(), m.vector())
+
+
+def test_store_commits_packs_and_keeps_every_epoch(spark, monkeypatch):
+    from ridgeway.operators.sgd import models_table
+    from ridgeway.sources import model_store
+    path = scratch_path(spark, "store-log")
+    store = ModelStore(spark, path)
+    model = lambda e: LinearModel(np.full((2, 3), float(e)), [e + 0.5, -e])
+    for e in range(6):
+        assert store.write(model(e), e, stream="s", batch=e * 10, history=(e, 7, 0.1 * e, None, e == 5))
+    monkeypatch.setattr(model_store, "INLINE_CELLS", 8)
+    assert store.write(model(6), 6)                                        # still in its record
+    assert store.append_epochs(models_table(spark, [model(e) for e in (6, 7, 8)], start=6)) == 2   # a packed file, without epoch 6
+    fresh = ModelStore(spark, path)                                        # as after a restart
+    for _ in range(2):
+        assert fresh.epochs() == list(range(9)) and fresh.last_epoch() == 8 and fresh.last_batch("s") == 50 and fresh.last_batch("t") is None
+        for e in range(9):
+            np.testing.assert_array_equal(fresh.read_model(e).flat(), model(e).flat())
+            assert fresh.read_epoch(e).count() == 8 and fresh.read_epoch(e).select("epoch").first()[0] == e
+        assert fresh.histories() == [(e, 7, 0.1 * e, None, e == 5) for e in range(6)]
+        fresh.compact()
+    assert len(fresh.records()) == 2 and fresh.compact() == 0
+    with pytest.raises(ValueError, match="not stored"):
+        fresh.read_epoch(9)
+    with pytest.raises(ValueError, match="consecutive"):
+        fresh.append_epochs(models_table(spark, [model(1), model(2)], start=9).where("epoch <> 9 or feature_idx > 0"))
+    fresh.log.commit("000000000099-000000000099-000000000099.txt", "no record")   # other files are no commits
+    assert fresh.last_epoch() == 8
+
+
+def test_ordered_stream_resumes_after_a_kill_and_waits_for_gaps(spark):
+    from ridgeway.plans.text_io import STREAM_SCHEMA
+    from ridgeway.streaming import online
+    rows = stream_rows(spark, SF_SMALL)
+    cfg = SGDConfig(kind="hinge", alpha=0.01, l2=1.0, shards=2, max_iter=1, tol=0.0, order="id")
+    paths = online.write_stream_chunks(rows.repartition(3), scratch_path(spark, "ordered-src"), "id", 4)
+    expect = [LinearModel.zeros(1, 2)]
+    for k, p in enumerate(paths):
+        batch = spark.read.schema(STREAM_SCHEMA).parquet(p)
+        expect.append(run_epoch(prepare_shards(batch, "id", HINGE_FEATURES, "y", 2), expect[-1], k + 1, cfg)[0])
+    manifest, ckpt = scratch_path(spark, "manifest"), scratch_path(spark, "ordered-ckpt")
+    store = ModelStore(spark, scratch_path(spark, "ordered-store"))
+    run = lambda: online.run_ordered_update(spark, manifest, STREAM_SCHEMA, store, "id", HINGE_FEATURES, "y", cfg,
+                                            LinearModel.zeros(1, 2), ckpt)
+
+    online.write_manifest(spark, paths[2:3], manifest, first=2)    # came too early: waits
+    run()
+    assert store.epochs() == [0]
+    online.write_manifest(spark, paths[:2], manifest)
+    real, calls = ModelStore.write, []
+
+    def dies(self, model, epoch, **kw):                            # the driver is lost while batch 1 commits
+        calls.append(epoch)
+        if len(calls) == 2:
+            raise RuntimeError("lost")
+        return real(self, model, epoch, **kw)
+
+    ModelStore.write = dies
+    try:
+        with pytest.raises(Exception, match="lost"):
+            run()
+    finally:
+        ModelStore.write = real
+    assert store.epochs() == [0, 1]
+    run()                                                          # resumes, and takes the batch that waited
+    assert store.epochs() == [0, 1, 2, 3]
+    online.write_manifest(spark, paths[3:], manifest, first=3)
+    run()
+    run()                                                          # nothing new: nothing changes
+    assert store.epochs() == [0, 1, 2, 3, 4]
+    for e, m in enumerate(expect):
+        np.testing.assert_allclose(store.read_model(e).flat(), m.flat(), rtol=1e-12, atol=1e-15)
+    online.write_manifest(spark, [paths[0], paths[1]], manifest, first=4)
+    online.write_manifest(spark, [paths[2]], manifest, first=4)    # batch 4 named twice
+    with pytest.raises(Exception, match="twice"):
+        run()
