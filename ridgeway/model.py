@@ -17,8 +17,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# The bound on a model that the driver may hold: a larger one raises (there is no
-# distributed model).  32 MB of doubles; raise it with the driver's memory.
+# The bound on a model that the driver may hold: a larger one raises (operators.blocked trains
+# and scores with a model that stays a table).  32 MB of doubles; raise it with the driver's memory.
 MAX_MODEL_CELLS = 4_000_000
 
 MODEL_SCHEMA = T.StructType([

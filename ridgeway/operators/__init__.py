@@ -23,6 +23,7 @@ _EXPORTS = {
     "sgd_pass": "ridgeway.operators.sgd",
     "train_gd": "ridgeway.operators.gd",
     "train_sgd": "ridgeway.operators.sgd",
+    "train_gd_blocked": "ridgeway.operators.blocked",
     "with_class_scores": "ridgeway.operators.scoring",
     "with_prediction": "ridgeway.operators.scoring",
     "with_probabilities": "ridgeway.operators.scoring",

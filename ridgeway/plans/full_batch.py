@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from ridgeway.functions.linear import linear_predictor, logistic_nll, sigmoid
 from ridgeway.model import LinearModel
+from ridgeway.operators.blocked import cells_of_arrays, train_gd_blocked
+from ridgeway.operators.blocked import score as score_blocked
 from ridgeway.operators.gd import (LINEAR_DEFAULTS, LINEAR_L2_DEFAULTS, LOGISTIC_DEFAULTS,
                                    LOGISTIC_LR02_DEFAULTS, GDConfig, train_gd)
 from ridgeway.operators.gradient import (gradient_long_form, gradient_stats, gradient_step_join,
@@ -33,6 +35,9 @@ GD_WIDE = GDConfig(loss="squared", lr=0.05, l2=0.001, tol=1e-4, max_epochs=40)
 WIDE = 64
 # The same features from one pass: Gram statistics by Arrow batches, then every epoch on the driver.
 GD_WIDE_GRAM = GDConfig(loss="squared", lr=0.05, l2=0.0, tol=1e-6, max_epochs=None)
+# And with the model in blocks of 16 cells, which no task and no driver holds whole; a larger step keeps the epochs few.
+GD_BLOCKED = GDConfig(loss="squared", lr=0.3, l2=0.001, tol=5e-4, max_epochs=1000)
+BLOCK = 16
 GD_LOGISTIC = GDConfig(**LOGISTIC_DEFAULTS, max_epochs=1000)
 GD_LOGISTIC_LR02 = GDConfig(**LOGISTIC_LR02_DEFAULTS, max_epochs=1000)
 
@@ -234,6 +239,25 @@ def q_gd_wide_gram(spark: SparkSession, sf: str) -> DataFrame:
     return round_model(train_gd(rows, "features", "y", GD_WIDE_GRAM, n_features=WIDE).model_table(spark))
 
 
+@query("gd_blocked", S.gd_model_sql(
+    S.gd_cte(_WIDE_ROWS, WIDE, GD_BLOCKED.loss, GD_BLOCKED.lr, GD_BLOCKED.l2, GD_BLOCKED.tol, GD_BLOCKED.max_epochs, ["0.0::DOUBLE"] * (WIDE + 1)), WIDE))
+def q_gd_blocked(spark: SparkSession, sf: str) -> DataFrame:
+    """The same rows with the model partitioned by feature block: its cells never reach the driver."""
+    rows = class_rows(spark, sf).select("id", "features", (F.col("label") / F.lit(10.0)).alias("y"))
+    cells = cells_of_arrays(rows, "features", "y", "id", WIDE, BLOCK)
+    return round_model(train_gd_blocked(cells, WIDE, GD_BLOCKED, block_size=BLOCK).model)
+
+
+@query("score_blocked", f"SELECT id, {S.rnd(S.linear_sql([S.num(j / 100.0 - 0.3) for j in range(WIDE + 1)], [f'features[{i}]' for i in range(1, WIDE + 1)]))} AS z "
+                        f"FROM ({S.CLASS_ROWS}) wide")
+def q_score_blocked(spark: SparkSession, sf: str) -> DataFrame:
+    """Scores by a model table that is joined by feature block, whatever its size."""
+    model = spark.range(WIDE + 1).select(F.lit(0).alias("class_idx"), F.col("id").cast("int").alias("feature_idx"),
+                                         (F.col("id") / F.lit(100.0) - F.lit(0.3)).alias("weight"))
+    z = score_blocked(class_rows(spark, sf), "features", "id", model, WIDE, block_size=BLOCK)
+    return z.select("id", rnd("z").alias("z"))
+
+
 @query("gd_logistic", S.gd_model_sql(_gd_sql(S.LOG_ROWS, GD_LOGISTIC), 3))
 def q_gd_logistic(spark: SparkSession, sf: str) -> DataFrame:
     res = train_gd(log_rows(spark, sf), LIN_FEATURES, "y", GD_LOGISTIC)
