@@ -1,7 +1,8 @@
 """First-N rows by an integer key (the training-sample operator), exact and bounded.
 
-``orderBy(key).limit(n)`` plans as TakeOrderedAndProject: every partition sends its own
-top n to ONE final task, which grows with the number of partitions.  Here a bound on the
+``orderBy(key).limit(n)`` plans as TakeOrderedAndProject: one scan, every partition sends its own
+top n to ONE final task, which grows with the number of partitions.  That is the plan while n x partitions
+is at most ``DIRECT_ROWS`` (plan only: the same rows).  Beyond it a bound on the
 key is found first: the keys' range is cut into equal buckets, ``groupBy(bucket).count()``
 (at most ``buckets`` rows a task and in the result) shows which bucket holds the n-th row, and
 that bucket is cut again until at most ``slack * n`` rows lie at or below its end, or it is a
@@ -15,11 +16,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+DIRECT_ROWS = 100_000
+
 
 def first_n_by(df: DataFrame, key: str, n: int, buckets: int = 1024, slack: float = 4.0) -> DataFrame:
     known = df.filter(F.col(key).isNotNull())
     if n <= 0:
         return known.limit(0)
+    if n * known.rdd.getNumPartitions() <= DIRECT_ROWS:
+        return known.orderBy(key).limit(n)
     r = known.agg(F.min(key).alias("lo"), F.max(key).alias("hi")).collect()[0]
     if r["lo"] is None:
         return known.limit(0)

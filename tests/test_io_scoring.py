@@ -137,9 +137,12 @@ def test_streams_from_several_sources_on_one_store_equal_the_batch_chain(spark):
     np.testing.assert_allclose(LinearModel.from_table(store.latest()).flat(), expect.flat(), rtol=1e-12)
 
 
+@pytest.mark.parametrize("direct", [0, 100_000])
 @pytest.mark.parametrize("n", [1, 7, 50, 149, 150, 400])
-def test_first_n_by_is_exact(spark, n):
+def test_first_n_by_is_exact(spark, monkeypatch, n, direct):
+    from ridgeway.operators import sample
     from ridgeway.operators.sample import first_n_by
+    monkeypatch.setattr(sample, "DIRECT_ROWS", direct)
     from ridgeway.sources.tables import hinge_rows
     rows = hinge_rows(spark, SF_SMALL).repartition(5)
     got = sorted(r["id"] for r in first_n_by(rows, "id", n, buckets=5, slack=1.5).collect())

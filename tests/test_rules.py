@@ -38,14 +38,18 @@ def test_epoch_orders_are_not_rotations_and_large_ids_do_not_overflow(spark):
     assert blob_table(big, "id").count() == 1 and blob_table(big, "id").first()["x1"] is not None
 
 
+@pytest.mark.parametrize("direct", [0, 100_000])
 @pytest.mark.parametrize("n", [2, 5, 60, 300])
-def test_first_n_leaves_null_keys_out_at_every_size(spark, n):
+def test_first_n_leaves_null_keys_out_at_every_size(spark, monkeypatch, n, direct):
+    monkeypatch.setattr("ridgeway.operators.sample.DIRECT_ROWS", direct)
     rows = spark.range(200).select(F.when(F.col("id") % 67 != 0, F.col("id")).alias("k"))
     got = [r.k for r in first_n_by(rows, "k", n, buckets=4, slack=1.0).collect()]
     assert got == [k for k in range(200) if k % 67][:n]
 
 
-def test_first_n_with_one_hot_key_and_wide_range(spark):
+@pytest.mark.parametrize("direct", [0, 100_000])
+def test_first_n_with_one_hot_key_and_wide_range(spark, monkeypatch, direct):
+    monkeypatch.setattr("ridgeway.operators.sample.DIRECT_ROWS", direct)
     rows = spark.range(300).select(F.when(F.col("id") < 250, F.lit(-2**62)).otherwise(F.col("id") * 2**53).alias("k"))
     assert [r.k for r in first_n_by(rows, "k", 252, slack=1.0).collect()][-2:] == [250 * 2**53, 251 * 2**53]
     assert first_n_by(rows.limit(0), "k", 3).count() == 0
