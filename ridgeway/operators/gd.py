@@ -16,10 +16,10 @@ epoch at which the stop test holds is found by bisection (:func:`stopping_epoch`
 some 40 small matrix products.
 
 Every epoch plans afresh from the same (optionally persisted) narrow input,
-so lineage never grows with the epoch count.  When the distinct (features,
-label) combinations are few (HyperLogLog estimate), identical rows are grouped
-once with a multiplicity and the epochs aggregate over the grouped table --
-exactly the same sums, over ~10^4 rows instead of the whole input.  Wide models
+so lineage never grows with the epoch count.  The first epoch's aggregate also estimates the distinct (features,
+label) combinations (HyperLogLog); when they are few, identical rows are grouped
+once with a multiplicity and kept as numpy blocks, over which the later epochs run one and the same code --
+the same sums, over ~10^4 rows instead of the whole input, nothing compiled per epoch.  Wide models
 (many or array features) use Arrow partial vectors instead of literal sums.
 """
 
@@ -36,8 +36,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from ridgeway.model import LinearModel
-from ridgeway.operators.gradient import (LOSSES, compress_rows, gradient_stats, gradient_stats_arrow,
-                                         gram_stats)
+from ridgeway.operators.gradient import (LOSSES, gradient_blocks, gradient_of_blocks, gradient_stats, gradient_stats_arrow,
+                                         gram_stats, group_rows)
 from ridgeway.operators.materialize import MODES, materialize, release
 
 HISTORY_SCHEMA = T.StructType([
@@ -256,23 +256,41 @@ def train_gd(rows: DataFrame, features: Sequence[str] | str, label: str, cfg: GD
             Gw = G @ wv
             return n, float(wv @ Gw - 2.0 * (wv @ h) + q), Gw - h
     else:
-        weight = None
-        src = narrow
-        if method == "direct" and cfg.compress != "never":
-            comp = compress_rows(narrow, features, label, cfg.compress_ratio, cfg.compress == "always")
-            if comp is not None:
-                src, weight = comp, "_mult"
-        if cfg.materialize != "none":
-            src, cached = materialize(src if weight else spread(src), cfg.materialize)
+        src, blocks = narrow, None
+
+        def keep() -> None:
+            nonlocal src, cached
+            if cfg.materialize != "none":
+                src, cached = materialize(spread(src), cfg.materialize)
+
+        def group(k: int | None) -> None:
+            nonlocal blocks, cached
+            blocks, cached = materialize(gradient_blocks(group_rows(src, features, label, "_mult", k), features, label, "_mult"),
+                                         cfg.materialize)
+
+        estimate = method == "direct" and cfg.compress == "auto"
+        if method == "direct" and cfg.compress == "always":
+            group(None)
+        elif not estimate:
+            keep()
 
         if method == "arrow":
             def evaluate(wv: np.ndarray) -> tuple[int, float, np.ndarray]:
                 return gradient_stats_arrow(src, features, label, wv, cfg.loss)
         else:
             def evaluate(wv: np.ndarray) -> tuple[int, float, np.ndarray]:
-                r = gradient_stats(src, features, label, list(wv), cfg.loss, weight).collect()[0]
+                nonlocal estimate
+                if blocks is not None:
+                    return gradient_of_blocks(blocks, wv, cfg.loss)
+                r = gradient_stats(src, features, label, list(wv), cfg.loss, distinct=estimate).collect()[0]
                 if r["n_valid"] != r["n_groups"]:
                     raise ValueError("NULL or NaN in features or label")
+                if estimate:             # decided once, by the first epoch's own pass
+                    estimate = False
+                    if r["n_rows"] and r["n_distinct"] <= cfg.compress_ratio * r["n_rows"]:
+                        group(int(r["n_distinct"]))
+                    else:
+                        keep()
                 g = np.array([0.0 if r[f"g{i}"] is None else r[f"g{i}"] for i in range(d + 1)])
                 loss_sum = float("nan") if r["loss_sum"] is None else float(r["loss_sum"])
                 return int(r["n_rows"] or 0), loss_sum, g

@@ -10,9 +10,11 @@ in a projection fused into the same codegen stage as the Parquet scan.
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Sequence
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,8 +27,8 @@ LOSSES = ("squared", "logistic")
 
 
 def _terms(rows: DataFrame, features: Sequence[str], label: str, w: Sequence[float],
-           loss: str, weight: str | None = None) -> DataFrame:
-    """Per-row ``diff`` (the gradient factor) and ``loss_term`` next to the features;
+           loss: str, weight: str | None = None, more: Sequence[Column] = ()) -> DataFrame:
+    """Per-row ``diff`` (the gradient factor) and ``loss_term`` next to the features (and ``more``);
     with ``weight`` (a row multiplicity) both are multiplied by it."""
     if loss not in LOSSES:
         raise ValueError(f"loss must be one of {LOSSES}")
@@ -35,10 +37,10 @@ def _terms(rows: DataFrame, features: Sequence[str], label: str, w: Sequence[flo
     keep = [*features] + ([weight] if weight else [])
     if loss == "squared":
         # (z - y)^2 written on the same z so codegen evaluates it once per row
-        t = rows.select(*keep, (z - y).alias("diff")).withColumn("loss_term", F.col("diff") * F.col("diff"))
+        t = rows.select(*keep, *more, (z - y).alias("diff")).withColumn("loss_term", F.col("diff") * F.col("diff"))
     else:
-        t = rows.select(*keep, y.alias("_y"), z.alias("_z")).select(
-            *keep, (sigmoid("_z") - F.col("_y")).alias("diff"),
+        t = rows.select(*keep, *more, y.alias("_y"), z.alias("_z")).select(
+            "*", (sigmoid("_z") - F.col("_y")).alias("diff"),
             logistic_nll("_z", "_y").alias("loss_term"))
     if weight:
         c = F.col(weight).cast("double")
@@ -48,18 +50,22 @@ def _terms(rows: DataFrame, features: Sequence[str], label: str, w: Sequence[flo
 
 
 def gradient_stats(rows: DataFrame, features: Sequence[str], label: str,
-                   w: Sequence[float], loss: str, weight: str | None = None) -> DataFrame:
+                   w: Sequence[float], loss: str, weight: str | None = None, distinct: bool = False) -> DataFrame:
     """One row: ``n_rows, loss_sum, g0..gd`` with g0 = sum(diff), gi = sum(diff*xi).
 
     ``weight`` names a multiplicity column (rows grouped by identical features and
     label): the sums are the same as over the ungrouped rows.  ``n_valid`` counts
     the (grouped) rows whose terms are neither NULL nor NaN; ``n_groups`` counts (grouped) rows.
+    With ``distinct`` the same pass estimates ``n_distinct`` (features, label) rows (HyperLogLog).
     """
-    t = _terms(rows, features, label, w, loss, weight)
+    key = F.struct(*[F.col(c) for c in [*features, label]]).alias("_key")
+    t = _terms(rows, features, label, w, loss, weight, [key] if distinct else [])
     n = F.sum(weight).cast("long") if weight else F.count(F.lit(1))
     aggs = [n.alias("n_rows"), F.count(F.lit(1)).alias("n_groups"), F.count(F.when(F.col("diff").isNotNull() & ~F.isnan("diff"), F.lit(1))).alias("n_valid"),
             F.sum("loss_term").alias("loss_sum"), F.sum("diff").alias("g0")]
     aggs += [F.sum(F.col("diff") * F.col(x)).alias(f"g{i}") for i, x in enumerate(features, 1)]
+    if distinct:
+        aggs.append(F.approx_count_distinct("_key", 0.05).alias("n_distinct"))
     return t.agg(*aggs)
 
 
@@ -86,12 +92,85 @@ def compress_rows(rows: DataFrame, features: Sequence[str], label: str,
         if r["n"] == 0 or r["k"] > max_ratio * r["n"]:
             return None
         k = int(r["k"])
+    return group_rows(rows, features, label, weight, k)
+
+
+def group_rows(rows: DataFrame, features: Sequence[str], label: str, weight: str = "_mult",
+               k: int | None = None) -> DataFrame:
+    """The ``groupBy`` of :func:`compress_rows`, for an estimate ``k`` of its rows."""
     grouped = rows.groupBy(*features, label).agg(F.count(F.lit(1)).alias(weight))
     if k is not None and k <= SINGLE_TASK_ROWS:
         grouped = grouped.repartition(1)
     return grouped
 
 
+# ---- grouped rows as numpy blocks: epochs without generated code ---------
+
+BLOCK_BYTES = 32 << 20
+
+
+def gradient_blocks(grouped: DataFrame, features: Sequence[str], label: str, weight: str):
+    """Grouped rows as an RDD of blocks (X, y, multiplicity) of about ``BLOCK_BYTES``; NULL and NaN raise."""
+    d = len(features)
+
+    def pack(batches):
+        pieces, size = [], 0
+
+        def block() -> pa.RecordBatch:
+            made = pickle.dumps(tuple(np.concatenate(part) for part in zip(*pieces)), protocol=5)
+            return pa.RecordBatch.from_arrays([pa.array([made], pa.binary())], names=["block"])
+
+        for rb in batches:
+            if not rb.num_rows:
+                continue
+            pieces.append((feature_matrix(rb.column("f"), d), labels(rb.column("y")),
+                           rb.column("m").to_numpy(zero_copy_only=False).astype(np.float64)))
+            size += rb.num_rows * (d + 2) * 8
+            if size >= BLOCK_BYTES:
+                yield block()
+                pieces, size = [], 0
+        if pieces:
+            yield block()
+
+    src = grouped.select(_feature_array(features).alias("f"), F.col(label).cast("double").alias("y"), F.col(weight).alias("m"))
+    return src.mapInArrow(pack, "block binary").rdd.map(lambda r: pickle.loads(r[0]))
+
+
+def gradient_of_blocks(blocks, w: Sequence[float], loss: str) -> tuple[int, float, np.ndarray]:
+    """(n_rows, loss_sum, g) at ``w``.  The weights (d+1 numbers) ride in the task closure, so every epoch runs the
+    same code; a task returns d+3 numbers, added on the driver while they are few, else in a tree."""
+    w = np.asarray(w, dtype=np.float64)
+
+    def run(parts):
+        out, seen = np.zeros(len(w) + 2), False
+        for X, y, m in parts:
+            z = X @ w[1:] + w[0]
+            n, ls, diff = _factors(z, y, loss, m)
+            out += np.concatenate([[n, ls, diff.sum()], diff @ X])
+            seen = True
+        if seen:
+            yield out
+
+    sums = blocks.mapPartitions(run)
+    if blocks.getNumPartitions() * (len(w) + 2) <= array_sum.DIRECT_VALUES:
+        got = sum(sums.collect(), np.zeros(len(w) + 2))
+    else:
+        got = sums.treeAggregate(np.zeros(len(w) + 2), lambda a, b: a + b, lambda a, b: a + b, depth=2)
+    n = int(round(got[0]))
+    return n, (float(got[1]) if n else float("nan")), got[2:]
+
+
+def _factors(z: np.ndarray, y: np.ndarray, loss: str, m=1.0) -> tuple[float, float, np.ndarray]:
+    """(rows, loss sum, gradient factors) of a batch whose rows stand ``m`` times each."""
+    if loss == "squared":
+        diff = z - y
+        terms = diff * diff
+    else:
+        diff = 1.0 / (1.0 + np.exp(-z)) - y
+        terms = np.maximum(z, 0.0) + np.log1p(np.exp(-np.abs(z))) - y * z
+    return float(np.sum(np.broadcast_to(m, z.shape))), float(np.sum(terms * m)), diff * m
+
+
 def gradient_table(stats: DataFrame, n_features: int) -> DataFrame:
     """Unpivot a :func:`gradient_stats` row to ``class_idx, feature_idx, grad, n_rows``."""
     cells = [F.struct(F.lit(0).alias("class_idx"), F.lit(i).alias("feature_idx"),
@@ -258,13 +337,8 @@ def _partial_gradient_fn(w: np.ndarray, loss: str, n_buckets: int):
             if m == 0:
                 continue
             X, y = feature_matrix(rb.column("f"), d), labels(rb.column("y"))
-            z = X @ coef + b
-            if loss == "squared":
-                diff = z - y
-                ls += float(diff @ diff)
-            else:
-                diff = 1.0 / (1.0 + np.exp(-z)) - y
-                ls += float(np.sum(np.maximum(z, 0.0) + np.log1p(np.exp(-np.abs(z))) - y * z))
+            _, terms, diff = _factors(X @ coef + b, y, loss)
+            ls += terms
             g[0] += diff.sum()
             g[1:] += diff @ X
             n += m

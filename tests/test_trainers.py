@@ -399,3 +399,24 @@ def test_blocks_and_streamed_rows_give_one_model(spark, monkeypatch, order):
     for got in (tree, streamed):
         np.testing.assert_allclose(got.model.flat(), want.model.flat(), rtol=1e-12, atol=1e-15)
         assert [h[:2] for h in got.history] == [h[:2] for h in want.history]
+
+
+@pytest.mark.parametrize("mode", ["persist", "none"])
+def test_first_epoch_decides_the_grouping(spark, monkeypatch, mode):
+    from ridgeway.operators import gd as GD
+    from ridgeway.operators import gradient as GR
+    calls = []
+    monkeypatch.setattr(GD, "gradient_of_blocks", lambda *a: calls.append(1) or GR.gradient_of_blocks(*a))
+    monkeypatch.setattr(GR, "BLOCK_BYTES", 64)
+    few = spark.range(300).selectExpr("double(id % 5) / 5 AS a", "double(id % 3) AS b", "double(id % 5 > 2) AS y").repartition(3)
+    many = spark.range(300).selectExpr("double(id) / 300 AS a", "double(id % 3) AS b", "double(id % 5 > 2) AS y")
+    kw = dict(loss="logistic", lr=0.3, tol=-1.0, max_epochs=5, materialize=mode)
+    for rows, grouped in ((few, 4), (many, 0)):
+        calls.clear()
+        a = train_gd(rows, ["a", "b"], "y", GDConfig(**kw))
+        assert len(calls) == grouped
+        b = train_gd(rows, ["a", "b"], "y", GDConfig(compress="never", **kw))
+        assert np.allclose(a.model.vector(), b.model.vector(), atol=1e-12)
+        assert np.allclose([h[2] for h in a.history], [h[2] for h in b.history], atol=1e-12)
+    with pytest.raises(Exception, match="NULL or NaN"):
+        train_gd(few.withColumn("a", F.expr("if(b = 1, null, a)")), ["a", "b"], "y", GDConfig(compress="always", **kw))
