@@ -3,14 +3,17 @@
 Texts are normalised (A-Z lower-cased, words are runs of ASCII digits, ASCII letters
 and all non-ASCII characters).  Every window of ``window`` consecutive item words goes
 into a hash set; an item of fewer words, but not none, is one window of its own length.
-Document words are looked up in the benchmark's vocabulary, so only runs made of
-benchmark words reach the set; a window is looked up by its exact word sequence, which
-verifies the hit in the same step.  Every word inside an occurrence is hit.
-
-The set is broadcast only up to ``max_bytes`` of benchmark text.  A larger benchmark is
-cut into slices of at most that size, which pass over the documents one after another;
+The set is arrays: sorted 64-bit window hashes, the place of each window in the items' normalised
+words, its owners, and a table of flags that turns most document windows away at one look.  A document's
+windows are hashed by whole arrays; a window whose hash is found is compared with the
+item's words, so a hit is exact.  Every word inside an occurrence is hit.
+
+The set is broadcast only up to ``max_bytes``, which bound the set itself: ``WORD_BYTES`` a word and the
+normalised text, counted before it is built.  A larger benchmark is
+cut into slices of at most that size (an item is never cut), which pass over the documents one after another;
 the hits found so far travel with the rows in a table in the shared folder.
 
+A very long text is one row, held by its task with its words and 8 bytes a window.
 Defined cases: a null or empty text has no words, no hits and is not contaminated; an
 item without words has no window; repeated item ids count once, a null item id is
 "null"; an empty benchmark or table gives no hits or no rows; other columns are carried
@@ -19,18 +22,20 @@ through ``clean`` untouched, whatever their names.
 
 from __future__ import annotations
 
+from zlib import crc32
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ridgeway.llm.common import Shared, slices, texts_of
+from ridgeway.llm.common import Shared, mix64, slices, texts_of
 from ridgeway.session import scratch_path
 
 WINDOW = 13
-#: Benchmark text that one broadcast may hold, in bytes.
-MAX_BYTES = 32 << 20
+#: Bytes that one broadcast set may hold, and bytes of it a benchmark word takes beside its text.
+MAX_BYTES, WORD_BYTES = 128 << 20, 32
 
 
 def _table() -> bytes:
@@ -48,44 +53,118 @@ def words_of(text: bytes) -> list[bytes]:
     return text.translate(_NORMAL).split()
 
 
+_FACTOR = np.uint64(0x9E3779B97F4A7C15)
+
+
+def _hashes(words: list[bytes]) -> np.ndarray:
+    return mix64(np.fromiter(map(crc32, words), dtype=np.uint64, count=len(words)))
+
+
+def _windows(codes: np.ndarray, longest: int):
+    """(n, hashes of all windows of n words) for n = 1, 2, ..., ``longest``."""
+    h = codes
+    for n in range(1, min(longest, len(codes)) + 1):
+        if n > 1:
+            h = h[:-1] * _FACTOR + codes[n - 1:]
+        yield n, h
+
+
+class _Table:
+    """The windows of one length: ``hashes`` (sorted), ``at`` (word at which the window stands), owners from
+    ``first[k]`` to ``first[k + 1]``; ``flags`` says whether any window has a hash's low bits."""
+
+    def __init__(self, h: np.ndarray, at: np.ndarray, owner: np.ndarray, text_of):
+        order = np.lexsort((owner, h))
+        h, at, owner = h[order], at[order], owner[order]
+        new = np.ones(len(h), dtype=bool)        # entry starts a window of its own
+        keep = np.ones(len(h), dtype=bool)       # entry names an owner not yet named
+        same = np.flatnonzero(h[1:] == h[:-1]) + 1
+        cuts = np.flatnonzero(np.diff(same) != 1) + 1
+        for run in np.split(same, cuts) if len(same) else []:
+            run = np.concatenate(([run[0] - 1], run))
+            texts = [text_of(int(at[k])) for k in run]
+            if len(set(texts)) > 1:              # equal hashes of different windows: put equal texts together
+                by = sorted(range(len(run)), key=lambda k: (texts[k], owner[run[k]]))
+                at[run], owner[run], texts = at[run[by]], owner[run[by]], [texts[k] for k in by]
+            equal = np.array([x == y for x, y in zip(texts[1:], texts)])
+            new[run[1:]] = ~equal
+            keep[run[1:]] = ~equal | (owner[run[1:]] != owner[run[:-1]])
+        self.hashes, self.at = h[new], at[new].astype(np.int32)
+        self.owners = owner[keep].astype(np.int32)
+        self.first = np.append(np.flatnonzero(new[keep]), keep.sum()).astype(np.int32)
+        bits = max(1, int(4 * len(self.hashes) - 1).bit_length())
+        self.mask = np.uint64((1 << bits) - 1)
+        self.flags = np.zeros(1 << bits, dtype=bool)
+        self.flags[(self.hashes & self.mask).astype(np.int64)] = True
+
+    @property
+    def nbytes(self) -> int:
+        return sum(x.nbytes for x in (self.hashes, self.at, self.owners, self.first, self.flags))
+
+    def candidates(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Positions in ``h`` with an equal hash here, and the range of entries of that hash."""
+        i = np.flatnonzero(self.flags[(h & self.mask).astype(np.int64)])
+        lo, hi = np.searchsorted(self.hashes, h[i], "left"), np.searchsorted(self.hashes, h[i], "right")
+        found = hi > lo
+        return i[found], lo[found], hi[found]
+
+
 class NgramSet:
-    """Windows of benchmark items by exact word sequence; picklable."""
+    """Windows of benchmark items; picklable."""
 
     def __init__(self, items, window: int = WINDOW):
-        self.vocab: dict[bytes, int] = {}
-        self.windows: dict[int, dict[bytes, list[int]]] = {}
         self.ids: list[str] = []
+        texts, codes, ends = [], [], []
         for item_id, text in items:
-            words = words_of(text)
-            if not words:
-                continue
-            n = min(window, len(words))
-            k = len(self.ids)
-            self.ids.append("null" if item_id is None else str(item_id))
-            codes = np.array([self.vocab.setdefault(w, len(self.vocab) + 1) for w in words], dtype=np.int32)
-            grams = self.windows.setdefault(n, {})
-            for i in range(len(codes) - n + 1):
-                owners = grams.setdefault(codes[i:i + n].tobytes(), [])
-                if not owners or owners[-1] != k:
-                    owners.append(k)
+            if words := words_of(text):
+                self.ids.append("null" if item_id is None else str(item_id))
+                texts.append(b" ".join(words))
+                codes.append(_hashes(words))
+                ends.append(np.fromiter(map(len, words), dtype=np.int64, count=len(words)) + 1)
+        self.text, self.tables = b" ".join(texts), {}
+        self.starts = np.concatenate([[0], np.cumsum(np.concatenate(ends))] if ends else [[0]]).astype(np.int32)
+        if not texts:
+            return
+        lengths = np.array([len(c) for c in codes])
+        item = np.repeat(np.arange(len(lengths), dtype=np.int32), lengths)
+        firsts = np.cumsum(lengths) - lengths
+        for n, h in _windows(np.concatenate(codes), window):
+            if n == window:
+                at = np.flatnonzero(item[:len(h)] == item[n - 1:])
+            else:
+                at = firsts[lengths == n]
+            if len(at):
+                self.tables[n] = _Table(h[at], at, item[at], lambda k, n=n: self._words_at(k, n))
+
+    def _words_at(self, k: int, n: int) -> bytes:
+        return self.text[self.starts[k]:self.starts[k + n] - 1]
+
+    @property
+    def nbytes(self) -> int:
+        return len(self.text) + self.starts.nbytes + sum(t.nbytes for t in self.tables.values())
 
     def scan(self, words: list[bytes]) -> tuple[np.ndarray | None, set[str]]:
         """(hit word positions or None, item ids with an occurring window)."""
-        get = self.vocab.get
-        codes = np.array([get(w, 0) for w in words], dtype=np.int32)
-        runs = np.concatenate(([0], np.cumsum(codes != 0)))
         edge, found = None, set()
-        for n, grams in self.windows.items():
-            if len(codes) < n:
+        if not self.tables or not words:
+            return None, found
+        for n, h in _windows(_hashes(words), max(self.tables)):
+            if n not in self.tables:
                 continue
-            for i in np.flatnonzero(runs[n:] - runs[:-n] == n).tolist():
-                owners = grams.get(codes[i:i + n].tobytes())
-                if owners:
+            table, seen = self.tables[n], {}
+            for i, lo, hi in zip(*(x.tolist() for x in table.candidates(h))):
+                gram = b" ".join(words[i:i + n])
+                if gram not in seen:             # owners once a window, however often it stands in the text
+                    seen[gram] = False
+                    for k in range(lo, hi):
+                        if self._words_at(int(table.at[k]), n) == gram:
+                            seen[gram] = True
+                            found.update(table.owners[table.first[k]:table.first[k + 1]].tolist())
+                if seen[gram]:
                     if edge is None:
-                        edge = np.zeros(len(codes) + 1, dtype=np.int64)
+                        edge = np.zeros(len(words) + 1, dtype=np.int64)
                     edge[i] += 1
                     edge[i + n] -= 1
-                    found.update(owners)
         if edge is None:
             return None, set()
         return np.flatnonzero(np.cumsum(edge[:-1]) > 0), {self.ids[k] for k in found}
@@ -129,8 +208,9 @@ def _scanned(docs: DataFrame, benchmark: DataFrame, text: str, item: str, item_t
     """(row struct of all columns, state) for every row."""
     spark = docs.sparkSession
     items = benchmark.select(F.col(item).cast("string").alias("i"), F.coalesce(F.col(item_text), F.lit("")).alias("t"))
-    total = items.agg(F.sum(F.octet_length("t"))).first()[0] or 0
-    n_slices = max(1, -(-total * 2 // max_bytes) if total > max_bytes else 1)
+    n_words = F.size(F.split("t", r"[^0-9A-Za-z\x{80}-\x{10ffff}]+"))      # or one or two more
+    total = items.agg(F.sum(F.octet_length("t") + n_words * WORD_BYTES)).first()[0] or 0
+    n_slices = -(-total * 2 // max_bytes) if total > max_bytes else 1
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
     out = T.StructType([rows.schema["row"], T.StructField("state", _STATE)])
     for k in range(n_slices):

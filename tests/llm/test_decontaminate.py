@@ -44,7 +44,7 @@ def test_matches_brute_force(spark):
     df = spark.createDataFrame(docs(), "doc_id long, text string").selectExpr("*", "1 as n_words", "2 as state", "3 as row")
     key = lambda t: tuple((x is None, str(x)) for x in t)
     want = sorted([(i, *brute(t, ITEMS)) for i, t in docs()], key=key)
-    for limit in (D.MAX_BYTES, 300, 60):  # one broadcast, and several slices one after another
+    for limit in (D.MAX_BYTES, 5000, 1000):  # one broadcast, and several slices one after another
         got = D.scan(df, bench, max_bytes=limit)
         assert rows(got, "doc_id", "n_words", "hit_words", "item_ids", "contaminated") == want
     kept = D.clean(df, bench)
@@ -55,6 +55,36 @@ def test_matches_brute_force(spark):
     assert not any(brute(r.text, [x for x in ITEMS if x[0] != 10])[1] for r in cut.collect())
 
 
+def random_items(seed, n):
+    import random
+    r = random.Random(seed)
+    vocab = ["a", "b", "cc", "dd", "é", "x1"]
+    return [(k, " ".join(r.choices(vocab, k=r.randint(0, 40)))) for k in range(n)]
+
+
+def test_set_against_brute_force_with_colliding_hashes(monkeypatch):
+    import numpy as np
+    items = random_items(1, 40) + [(3, "a b cc"), (3, "a b cc"), (99, "a a a a a a a a a a a a a a a a a a")]
+    texts = [t for _, t in random_items(2, 60)] + ["a " * 50, "", "a b cc", "a b cc dd"]
+    for weak in (False, True):
+        if weak:    # all words of two lengths collide: only the comparison of words decides
+            monkeypatch.setattr(D, "_hashes", lambda w: np.array([len(x) % 2 for x in w], dtype=np.uint64))
+        grams = D.NgramSet([(i, t.encode()) for i, t in items], 3 if weak else 13)
+        import pickle
+        grams = pickle.loads(pickle.dumps(grams))
+        for t in texts:
+            n, hits, found, _ = brute(t, items, 3 if weak else 13)
+            got, ids = grams.scan(D.words_of(t.encode()))
+            assert ([] if got is None else got.tolist()) == hits and sorted(ids) == found
+
+
+def test_set_keeps_its_bound():
+    for items in ([(k, prose(k, 300)) for k in range(200)], [(k, "a b c d e f g " * 40 + str(k)) for k in range(200)],
+                  [(k, f"w{k}") for k in range(5000)]):
+        grams = D.NgramSet([(i, t.encode()) for i, t in items])
+        assert grams.nbytes <= sum(len(t.encode()) + D.WORD_BYTES * len(t.split()) for _, t in items) + 64
+
+
 def test_spans_are_cut_out_whole():
     assert D.cut_spans("a, b c. D e", [1, 2]) == "a,  D e".replace("  ", " . ") or D.cut_spans("a, b c. D e", [1, 2]) == "a, . D e"
     assert D.cut_spans("one two three", [0]) == " two three"
