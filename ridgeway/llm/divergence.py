@@ -13,12 +13,17 @@ References come from exact aggregates over all documents: class shares in bins o
 thousandth, and word counts whose ``common`` largest per language are kept.  The characters
 are judged when the document has ``min_words`` words of any kind, its words when it has
 ``min_words`` of letters or digits (edge symbols stripped); each limit widens by ``slack /
-sqrt(words)``, of the same words, because short texts scatter more.  A language with fewer than
-``min_reference`` words in all, or beyond the ``max_languages`` largest, has no reference of
-its own: its characters are judged by the pooled medians of all languages together, with the
-letters beyond ASCII (class ``wide``) counted as lower-case letters, because languages differ
-in these; words of other languages are no reference, so it has no word distance.
+sqrt(words)``, of the same words, because short texts scatter more.
 
+Every language is judged by its own reference with a weight a = words / (words + ``prior``), words being
+those of the language in the table: the character distance is a times the distance to its own medians plus
+1 - a times the distance to the pooled medians of all languages, with the
+letters beyond ASCII (class ``wide``) counted as lower-case letters there, because languages differ
+in these; the word distance is a times the distance to its own words, as the words of other languages are
+no reference.  There is no size at which the verdict jumps.  Where there are more than ``max_languages``
+languages, they are dealt into slices of about so many, judged one slice after another, each by its own broadcast.
+
+A very long text is one row, held by its task with its words.
 Defined cases: null text: no words, base_failed; null language: a language of its own;
 repeated rows count as often as they stand; an empty table gives no rows.
 """
@@ -39,7 +44,7 @@ from ridgeway.llm.graph import store
 CLASSES = ("lower", "upper", "digit", "space", "stop", "symbol", "other", "wide")
 _STRIP = b".,;:!?\"'()[]{}#*$%&|<>-_"
 #: Fixed defaults of the verdict.
-COMMON, MIN_WORDS, MIN_REFERENCE = 100, 50, 2000
+COMMON, MIN_WORDS, PRIOR = 100, 50, 2000
 MAX_LANGUAGES, BINS = 1000, 1000
 #: Memory of a task's word counts, and of one of them beside its word.
 TALLY_BYTES, ENTRY_BYTES = 40 << 20, 200
@@ -107,34 +112,36 @@ def js_distance(p: np.ndarray, q: np.ndarray) -> float:
 
 class References:
     """Histograms by language; built from bounded aggregates (languages x bins).  ``pooled``: the class
-    shares (folded) that stand in for languages without any."""
+    shares (folded) of all languages together; without them a language's own are all there is."""
 
-    def __init__(self, classes: dict, words: dict, totals: dict, min_reference: int = MIN_REFERENCE, pooled: list | None = None):
-        self.classes, self.words, self.totals = {}, {}, totals
+    def __init__(self, classes: dict, words: dict, totals: dict, prior: float = PRIOR, pooled: list | None = None):
+        self.classes, self.words, self.totals, self.weights = {}, {}, totals, {}
         self.pooled = None if pooled is None else np.array(pooled, dtype=float) + 1e-6
         for lang, total in totals.items():
-            if total < min_reference:
-                continue
+            self.weights[lang] = total / (total + prior)
             self.classes[lang] = np.array(classes[lang], dtype=float) + 1e-6
             top = words[lang]
             self.words[lang] = ({w: i for i, (w, _) in enumerate(top)},
                                 np.array([c for _, c in top] + [max(0.5, total - sum(c for _, c in top))], dtype=float))
 
     def distances(self, lang, text: bytes) -> tuple[float, float | None, int] | None:
-        """(class distance, word distance, bare words), None without a reference or characters; no
-        word distance without bare words or by the pooled reference."""
+        """(class distance, word distance, bare words), both distances weighted as said above; None without a reference or
+        characters, no word distance without bare words or words of the language."""
         counts = class_counts(text)
         if not counts.sum() or lang not in self.classes and self.pooled is None:
             return None
-        words = bare_words(text)
+        words, own = bare_words(text), self.weights.get(lang, 0.0)
+        far = None if self.pooled is None else js_distance(folded(counts), self.pooled)
         if lang not in self.classes:
-            return js_distance(folded(counts), self.pooled), None, len(words)
-        index, reference = self.words[lang]
+            return far, None, len(words)
+        near = js_distance(counts, self.classes[lang])
+        c = near if far is None else own * near + (1 - own) * far
         if not words:
-            return js_distance(counts, self.classes[lang]), None, 0
+            return c, None, 0
+        index, reference = self.words[lang]
         rest = len(reference) - 1
         seen = np.bincount([index.get(w, rest) for w in words], minlength=rest + 1)
-        return js_distance(counts, self.classes[lang]), js_distance(seen, reference), len(words)
+        return c, own * js_distance(seen, reference), len(words)
 
 
 def _count(batches):
@@ -165,20 +172,18 @@ def _count(batches):
     yield from rows()
 
 
-def references(docs: DataFrame, *, lang_col: str = "lang", text_col: str = "text", common: int = COMMON,
-               min_reference: int = MIN_REFERENCE, max_languages: int = MAX_LANGUAGES) -> References:
-    """Exact counts over all rows; languages x (64 x common + classes) numbers reach the driver at most."""
+def _slice_of(lang, n: int):
+    return F.pmod(F.xxhash64(F.coalesce(F.concat(F.lit("l"), lang), F.lit(""))), F.lit(n)) if n > 1 else F.lit(0)
+
+
+def reference_slices(docs: DataFrame, *, lang_col: str = "lang", text_col: str = "text", common: int = COMMON,
+                     prior: float = PRIOR, max_languages: int = MAX_LANGUAGES):
+    """(number of slices, iterator of their References): exact counts over all rows; of a slice, languages x (``common`` + classes)
+    numbers reach the driver."""
     counts = store(docs.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"))
                    .mapInArrow(_count, "lang string, key binary, n long")
                    .groupBy("lang", "key").agg(F.sum("n").alias("n"))
-                   .withColumn("is_class", F.substring("key", 1, 1) == F.lit(b" ")), "counts")  # read four times below
-    # word totals and the largest of each of 64 hash buckets: no task ranks all words of a language
-    bucket = F.when(~F.col("is_class"), F.pmod(F.xxhash64("key"), F.lit(64)))
-    keyed = counts.withColumn("bucket", bucket)
-    parts = keyed.groupBy("lang", "bucket").agg(F.sum("n").alias("total"),
-                                                F.max("is_class").alias("is_class"))
-    spread = W.partitionBy("lang", "bucket").orderBy(F.desc("n"), "key")
-    tops = keyed.where(~F.col("is_class")).withColumn("r", F.row_number().over(spread)).where(F.col("r") <= common)
+                   .withColumn("is_class", F.substring("key", 1, 1) == F.lit(b" ")), "counts")  # read several times below
     text_key = F.split(F.col("key").cast("string"), " ")
     bins = counts.where("is_class").select("lang", "n", text_key[1].cast("int").alias("k"), text_key[2].cast("int").alias("b"))
 
@@ -187,18 +192,47 @@ def references(docs: DataFrame, *, lang_col: str = "lang", text_col: str = "text
         return (bins.withColumn("up", F.sum("n").over(below.orderBy("b"))).withColumn("all", F.sum("n").over(below))
                 .where(F.col("up") * 2 >= F.col("all")).groupBy("lang", "k").agg(F.min("b").alias("b")))
 
-    totals = {r.lang: r.total for r in parts.where(~F.col("is_class")).groupBy("lang").agg(F.sum("total").alias("total"))
-              .where(F.col("total") >= min_reference).orderBy(F.desc("total"), "lang").limit(max_languages).collect()}
-    known = F.coalesce(F.col("lang"), F.lit("")).isin([k or "" for k in totals]) if totals else F.lit(False)
-    words, classes = defaultdict(list), defaultdict(lambda: [0] * 9)
-    for r in tops.where(known).select("lang", "key", "n").collect():
-        words[r.lang].append((bytes(r.key), r.n))
-    for r in medians(bins).where(known).collect():
-        classes[r.lang][r.k] = r.b
     pooled = {r.k: r.b for r in medians(bins.groupBy("k", "b").agg(F.sum("n").alias("n")).withColumn("lang", F.lit(""))).collect()}
-    words = {k: sorted(v, key=lambda x: (-x[1], x[0]))[:common] for k, v in words.items()}
-    return References({k: v[:8] for k, v in classes.items()}, words, totals, min_reference,
-                      [pooled[k] for k in (8, *range(1, 7))] if pooled else None)
+    pooled = [pooled[k] for k in (8, *range(1, 7))] if pooled else None
+    n = max(1, -(-counts.select("lang").distinct().count() // max_languages))
+
+    def one(k: int) -> References:
+        here = _slice_of(F.col("lang"), n) == k
+        # word totals, and the largest words first of each of 64 hash buckets: no task ranks all words of a language
+        keyed = counts.where(here & ~F.col("is_class")).withColumn("bucket", F.pmod(F.xxhash64("key"), F.lit(64)))
+        totals = {r.lang: r.total for r in keyed.groupBy("lang").agg(F.sum("n").alias("total")).collect()}
+        largest = [F.desc("n"), F.col("key")]
+        tops = (keyed.withColumn("r", F.row_number().over(W.partitionBy("lang", "bucket").orderBy(*largest))).where(F.col("r") <= common)
+                .withColumn("r", F.row_number().over(W.partitionBy("lang").orderBy(*largest))).where(F.col("r") <= common))
+        words, classes = defaultdict(list), defaultdict(lambda: [0] * 9)
+        for r in tops.select("lang", "key", "n").collect():
+            words[r.lang].append((bytes(r.key), r.n))
+        for r in medians(bins.where(here)).collect():
+            classes[r.lang][r.k] = r.b
+        words = {lang: sorted(v, key=lambda x: (-x[1], x[0])) for lang, v in words.items()}
+        return References({lang: classes[lang][:8] for lang in totals}, words, totals, prior, pooled)
+
+    return n, map(one, range(n))
+
+
+def references(docs: DataFrame, **options) -> References:
+    """The references of all languages in one object (options: see ``reference_slices``)."""
+    _, (refs,) = reference_slices(docs, **{"max_languages": 1 << 40, **options})
+    return refs
+
+
+def _by_slices(docs: DataFrame, refs: References | None, lang_col: str, text_col: str, limits: dict, judged) -> DataFrame:
+    """``judged(rows, shared rules)`` of every slice of languages, together."""
+    if refs is not None:
+        return judged(docs, Shared(docs.sparkSession, Rules(refs, **limits)))
+    made = {k: limits.pop(k) for k in ("common", "prior", "max_languages") if k in limits}
+    n, every = reference_slices(docs, lang_col=lang_col, text_col=text_col, **made)
+    out = None
+    for k, part in enumerate(every):
+        rows = docs if n == 1 else docs.where(_slice_of(F.col(f"`{lang_col}`").cast("string"), n) == k)
+        rows = judged(rows, Shared(docs.sparkSession, Rules(part, **limits)))
+        out = rows if out is None else out.unionAll(rows)
+    return out
 
 
 class Rules:
@@ -225,8 +259,10 @@ class Rules:
 def score(docs: DataFrame, refs: References | None = None, *, id_col: str = "doc_id", text_col: str = "text",
           lang_col: str = "lang", **limits) -> DataFrame:
     """Per row: id, base counts, base_failed, char_distance, word_distance, kept."""
-    rules = Rules(refs or references(docs, lang_col=lang_col, text_col=text_col), **limits)
-    shared = Shared(docs.sparkSession, rules)
+    return _by_slices(docs, refs, lang_col, text_col, limits, lambda rows, shared: _scored(rows, shared, id_col, text_col, lang_col))
+
+
+def _scored(docs: DataFrame, shared: Shared, id_col: str, text_col: str, lang_col: str) -> DataFrame:
     src = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"))
 
     def judge(batches):
@@ -250,9 +286,10 @@ def score(docs: DataFrame, refs: References | None = None, *, id_col: str = "doc
 def keep(docs: DataFrame, refs: References | None = None, *, text_col: str = "text", lang_col: str = "lang",
          **limits) -> DataFrame:
     """The rows of ``docs`` that the rules keep, all columns as they were."""
-    rules = Rules(refs or references(docs, lang_col=lang_col, text_col=text_col), **limits)
-    shared = Shared(docs.sparkSession, rules)
+    return _by_slices(docs, refs, lang_col, text_col, limits, lambda rows, shared: _kept(rows, shared, text_col, lang_col))
+
 
+def _kept(docs: DataFrame, shared: Shared, text_col: str, lang_col: str) -> DataFrame:
     def kept(batches):
         rule = shared.value
         for batch in slices(batches):
