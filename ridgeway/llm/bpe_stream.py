@@ -44,7 +44,7 @@ from pyspark.sql import functions as F
 from ridgeway.llm.common import Cache, Shared, byte_symbols, slices, worker_state
 
 #: Bytes of one generation of a worker's cache; characters of a piece.
-CACHE_BYTES, PIECE = 64 << 20, 1 << 16
+CACHE_BYTES, PIECE = 32 << 20, 1 << 16
 #: Fixed value: the split pattern of the word tokenizer.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 

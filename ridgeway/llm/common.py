@@ -24,16 +24,28 @@ def texts_of(column) -> Iterator[bytes]:
         yield value.as_py() or b""
 
 
-def slices(batches, max_bytes: int = 16 << 20, owner: str | None = None):
+def slices(batches, max_bytes: int = 4 << 20, owner: str | None = None):
     """Record batches cut so that one piece holds at most ``max_bytes`` (or one row),
     whatever the lengths of the texts: bounds the working memory of a task.  What other operators
-    left in the worker is freed first."""
+    left in the worker is freed first, and what the task itself freed goes back to the machine at its end."""
     worker_state(owner)
     for batch in batches:
         pieces = max(1, -(-batch.nbytes // max_bytes))
         step = max(1, -(-batch.num_rows // pieces))
         for lo in range(0, batch.num_rows, step):
             yield batch.slice(lo, step)
+    return_memory()
+
+
+def return_memory() -> None:
+    """Gives freed memory of this Python worker back: a worker outlives its tasks, and the allocators keep what
+    a task freed, beside the executor's own memory, while other stages run."""
+    import ctypes
+
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)     # of the GNU library; others return memory themselves
+    if trim is not None:
+        trim(0)
 
 
 def worker_state(owner: str | None) -> dict:
