@@ -11,9 +11,9 @@ The index (document, file, first id in the file, number of ids) is written by th
 tasks as a Parquet table; only files that a committed row of it names are ever read.
 
 Encoding: the tokenizers library.  With a byte-level file without a normaliser, a Western text
-falls apart into the pre-tokenizer's runs, and the library's model is called once for each
-distinct run a worker keeps; other scripts, special tokens and other files send the whole text
-through the library.
+falls apart into the pre-tokenizer's runs: a batch's texts are cut into runs together, Arrow numbers the
+distinct ones, and the library's model is called once for each of them that a worker does not keep; other
+scripts, special tokens and other files send the whole text through the library.
 
 Defined cases: null text: empty, the end id alone; equal ids: ordered by a hash of the text;
 null ids first; special tokens in a text are their ids, as the library does by default;
@@ -35,44 +35,139 @@ from pyspark.sql import functions as F
 from ridgeway.llm.common import AttemptFile, Cache, Shared, byte_symbols, open_input, slices, worker_state
 from ridgeway.session import scratch_path
 
-#: Ids in a sequence, sequences in a record batch, bytes of one generation of a worker's cache.
-LENGTH, BATCH, CACHE_BYTES = 2048, 256, 96 << 20
+#: Ids in a sequence, sequences in a record batch, bytes of one generation of a worker's cache, characters cut into runs at a time.
+LENGTH, BATCH, CACHE_BYTES, PIECE = 2048, 256, 96 << 20, 1 << 21
 
 
 class RunEncoder:
-    """Texts -> ids as little-endian uint32 bytes; keeps the ids of the pre-tokenizer's runs."""
+    """Texts -> ids as little-endian uint32; keeps the ids of the pre-tokenizer's runs."""
 
-    def __init__(self, source: str, cache: int = CACHE_BYTES):
+    LETTER, NUMBER, SPACE, REST = range(4)
+    #: The characters whose classes no two versions dispute.
+    KNOWN = r"\x00-\u024f\u2010-\u2027\u2030-\u205e\u20ac"
+
+    def __init__(self, source: str, cache: int = CACHE_BYTES, piece: int = PIECE):
         import json
+        import re
 
         import regex
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, models
 
         self.library = Tokenizer.from_str(source)
         self.library.no_truncation()
         self.library.no_padding()
         self.model = self.library.model
         spec = json.loads(source)
+        if spec["model"].get("type") == "BPE":  # the same model without a cache of its own: runs are asked for once
+            merges = [tuple(m.split(" ") if isinstance(m, str) else m) for m in spec["model"]["merges"]]
+            rest = {k: v for k, v in spec["model"].items() if k not in ("type", "vocab", "merges") and v is not None}
+            self.model = models.BPE(vocab=spec["model"]["vocab"], merges=merges, cache_capacity=0, **rest)
         pre = spec.get("pre_tokenizer") or {}
         self.splits = (spec.get("normalizer") is None and pre.get("type") == "ByteLevel" and pre.get("use_regex", True)
                        and not pre.get("add_prefix_space"))
         self.special = [t["content"] for t in spec.get("added_tokens", [])]
-        self.runs, self.symbol = Cache(self._run, cache), byte_symbols()
-        # the runs of the byte-level pre-tokenizer, and the characters whose classes no two versions dispute
-        self.split = regex.compile(r"'(?:s|t|re|ve|m|ll|d)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+").findall
-        self.other = regex.compile(r"[^\x00-\u024f\u2010-\u2027\u2030-\u205e\u20ac]").search
-
-    def whole(self, text: str) -> bytes:
-        return np.array(self.library.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        self.runs, self.symbol, self.piece = Cache(self._run, cache), byte_symbols(), piece
+        self.other = re.compile(f"[^{self.KNOWN}]").search
+        # whatever lies around: a run ends in front of white space behind something else, and behind a letter in front of none
+        self.border = re.compile(r"(?<=\S)(?=[\t-\r ])|(?<=[A-Za-z])(?=[!-@\[-`{-~])").search
+        self.kinds = np.full(0x20ad, self.REST, dtype=np.uint8)
+        for kind, pattern in ((self.LETTER, r"\p{L}"), (self.NUMBER, r"\p{N}"), (self.SPACE, r"\s")):
+            fits = regex.compile(pattern).fullmatch
+            self.kinds[[c for c in range(len(self.kinds)) if fits(chr(c))]] = kind
+
+    def whole(self, text: str) -> np.ndarray:
+        return np.array(self.library.encode(text, add_special_tokens=False).ids, dtype="<u4")
 
     def _run(self, run: str) -> bytes:
-        symbols = "".join([self.symbol[b] for b in run.encode()])
+        if run.isascii() and run.isprintable():  # all but the blank stand for themselves
+            symbols = run.replace(" ", self.symbol[32])
+        else:
+            symbols = "".join([self.symbol[b] for b in run.encode()])
         return array("I", [t.id for t in self.model.tokenize(symbols)]).tobytes()
 
+    def _starts(self, chars: np.ndarray, first: np.ndarray) -> np.ndarray:
+        """Where the runs of the byte-level pre-tokenizer start in texts that lie one behind another, each at a
+        position of ``first``: ``'(?:s|t|re|ve|m|ll|d)| ?\\p{L}+| ?\\p{N}+| ?[^\\s\\p{L}\\p{N}]+|\\s+(?!\\S)|\\s+``."""
+        kind = self.kinds[chars]
+        start = np.empty(len(chars), dtype=bool)
+        start[0], start[1:] = True, kind[1:] != kind[:-1]
+        space = kind == self.SPACE
+        end = np.zeros(len(chars), dtype=bool)          # the last character of a text
+        start[first], end[first[1:] - 1], end[-1] = True, True, True
+        # the last of the white space in front of something else stands alone, a blank with what follows
+        last = np.flatnonzero(space[:-1] & ~space[1:] & ~end[:-1])
+        start[last] = True
+        start[last[chars[last] == ord(" ")] + 1] = False
+        # an apostrophe that starts a run takes the letters of its ending, whatever follows them
+        at = np.flatnonzero((chars == ord("'")) & start & ~end)
+        one = chars[at + 1]
+        short = np.isin(one, [ord(c) for c in "stmd"])
+        pairs = at[~short & ~end[at + 1]]
+        pair = chars[pairs + 1] << 8 | chars[pairs + 2]
+        pairs = pairs[np.isin(pair, [ord(a) << 8 | ord(b) for a, b in ("re", "ve", "ll")])]
+        for found, length in ((at[short], 2), (pairs, 3)):
+            start[found + 1] = False
+            behind = found + length
+            start[behind[behind < len(chars)]] = True
+        return np.flatnonzero(start)
+
+    def _pieces(self, text: str):
+        at = 0
+        while len(text) - at > self.piece:
+            cut = self.border(text, at + self.piece)
+            if cut is None:
+                break
+            yield text[at:cut.start()]
+            at = cut.start()
+        yield text[at:] if at else text
+
+    def _joined(self, texts: list[str]) -> list[np.ndarray]:
+        """The ids of each text (none empty), all of known characters."""
+        joined = "".join(texts)
+        chars = np.frombuffer(joined.encode("utf-32-le"), dtype="<u4")
+        lengths = np.array([len(t) for t in texts])
+        first = np.cumsum(lengths) - lengths
+        starts = self._starts(chars, first)
+        data = joined.encode()
+        borders = np.flatnonzero((np.frombuffer(data, dtype=np.uint8) & 0xC0) != 0x80)[starts]
+        offsets = np.append(borders, len(data)).astype(np.int32)
+        runs = pa.StringArray.from_buffers(len(starts), pa.py_buffer(offsets), pa.py_buffer(data)).dictionary_encode()
+        ids = list(map(self.runs.__getitem__, runs.dictionary.to_numpy(zero_copy_only=False)))
+        sizes = np.fromiter(map(len, ids), dtype=np.int32, count=len(ids)) >> 2
+        lists = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(sizes)).astype(np.int32)),
+                                         pa.array(np.frombuffer(b"".join(ids), dtype="<u4")))
+        flat = lists.take(runs.indices).flatten().to_numpy()
+        total = np.append(0, np.cumsum(sizes[runs.indices.to_numpy()], dtype=np.int64))
+        return np.split(flat, total[np.searchsorted(starts, first[1:])])
+
+    def encode_all(self, texts: list[str]) -> list[np.ndarray]:
+        """The ids of each text; about ``piece`` characters are taken at a time, however long the texts are."""
+        out: list = [[] for _ in texts]
+        held, owners, size = [], [], 0
+
+        def flush():
+            nonlocal held, owners, size
+            if held:
+                for k, ids in zip(owners, self._joined(held)):
+                    out[k].append(ids)
+            held, owners, size = [], [], 0
+
+        for k, text in enumerate(texts):
+            if not self.splits or not text.isascii() and self.other(text) or any(s in text for s in self.special):
+                out[k].append(self.whole(text))
+                continue
+            for part in self._pieces(text):
+                if size and size + len(part) > self.piece:
+                    flush()
+                if part:
+                    held.append(part)
+                    owners.append(k)
+                    size += len(part)
+        flush()
+        return [v[0] if len(v) == 1 else np.concatenate(v) if v else np.zeros(0, dtype="<u4") for v in out]
+
     def encode(self, text: str) -> bytes:
-        if not self.splits or not text.isascii() and self.other(text) or any(s in text for s in self.special):
-            return self.whole(text)
-        return b"".join(map(self.runs.__getitem__, self.split(text)))
+        return self.encode_all([text])[0].tobytes()
 
 
 class SequenceFile:
@@ -162,8 +257,8 @@ def write(docs: DataFrame, tokenizer_path: str, folder: str | None = None, *, en
         for rows in slices(batches, owner="token_arrow"):
             out = out or SequenceFile(folder, kind, length, batch)
             at, n = [], []
-            for text in rows.column("text").to_pylist():
-                ids = np.append(np.frombuffer(coder.encode(text), dtype="<u4").astype(kind), close)
+            for ids in coder.encode_all(rows.column("text").to_pylist()):
+                ids = np.append(ids.astype(kind), close)
                 at.append(out.add(ids))
                 n.append(len(ids))
             yield pa.RecordBatch.from_arrays(

@@ -32,6 +32,45 @@ def test_runs_against_the_library(library):
         assert np.frombuffer(enc.encode(s), "<u4").tolist() == library.encode(s, add_special_tokens=False).ids, repr(s)
 
 
+def test_texts_together_against_the_library(library):
+    """Runs do not cross texts or pieces, however texts are cut: batches of texts, pieces of a few characters."""
+    random.seed(2)
+    with open(PATH, encoding="utf-8") as f:
+        source = f.read()
+    parts = list("aabsT09 ,.'\n\t  \x1c\x85\xa0\x00é½²“€中") + ["<|endoftext|>", "'s", "'re", "'ll", "'v", "don't", " the", "\n\n", " \n", "ing "]
+    known = [p for p in parts if p not in ("中", "<|endoftext|>")]
+    for piece in (1, 7, 1 << 21):
+        enc = A.RunEncoder(source, cache=300, piece=piece)
+        for _ in range(150):
+            texts = ["".join(random.choices(random.choice([parts, known, known]), k=random.randint(0, 30))) for _ in range(random.randint(0, 20))]
+            want = [library.encode(s, add_special_tokens=False).ids for s in texts]
+            assert [x.tolist() for x in enc.encode_all(texts)] == want, (piece, texts)
+
+
+def test_endings_and_white_space_at_the_borders_of_texts(library):
+    with open(PATH, encoding="utf-8") as f:
+        enc = A.RunEncoder(f.read())
+    texts = ["a'", "s", "'", "re", "'r", "e", " ", "a", "a ", " a", "\n", "\n b", "'s's", "'stop", " 's", "  's", "\n's", "''s", "'m9", "x'", "'ll", "", "\u00a0", "\u00e9'"]
+    for some in (texts, texts[::-1], texts + texts):
+        assert [x.tolist() for x in enc.encode_all(some)] == [library.encode(s, add_special_tokens=False).ids for s in some]
+
+
+def test_a_batch_looks_up_each_distinct_run_once():
+    """The work for a run that comes again is no Python call: neither a lookup of the cache nor one of the model."""
+    with open(PATH, encoding="utf-8") as f:
+        enc = A.RunEncoder(f.read())
+    asked, made = [], enc.runs.make
+
+    class Counted(type(enc.runs)):
+        def __getitem__(self, key):
+            asked.append(key)
+            return super().__getitem__(key)
+
+    enc.runs = Counted(made, A.CACHE_BYTES)
+    enc.encode_all(["the cat, the dog", "", " the dog's the cat's"] * 50)
+    assert sorted(asked) == sorted({"the", " cat", ",", " the", " dog", "'s"})
+
+
 def test_files_hold_the_documents_in_order(spark, edge_docs, library):
     index, folder = A.write(edge_docs.repartition(4), PATH, end_id=2, length=64, batch=8)
     order = sorted(edge_docs.collect(), key=lambda r: (r.doc_id is not None, r.doc_id or 0))
