@@ -162,11 +162,28 @@ class Cache(dict):
         value = self.old.get(key)
         if value is None:
             value = self.make(key)
-        if self.held >= self.size:
-            self.old = dict(self)
-            self.clear()
-            self.held = 0
-        if len(key) <= self.longest:
-            self[key] = value
-            self.held += len(key) + len(value) + self.ENTRY
+        self._keep((key,), (value,))
         return value
+
+    def all(self, keys: list[str], make) -> list[bytes]:
+        """The values of distinct keys; ``make`` gives those of a list of keys that are not held."""
+        values = list(map(self.get, keys))
+        new = [k for k, value in enumerate(values) if value is None]
+        moved = [keys[k] for k in new]
+        found = list(map(self.old.get, moved))
+        made = iter(make([key for key, value in zip(moved, found) if value is None]))
+        found = [next(made) if value is None else value for value in found]
+        for k, value in zip(new, found):
+            values[k] = value
+        self._keep(moved, found)
+        return values
+
+    def _keep(self, keys, values) -> None:
+        for key, value in zip(keys, values):
+            if self.held >= self.size:
+                self.old = dict(self)
+                self.clear()
+                self.held = 0
+            if len(key) <= self.longest:
+                self[key] = value
+                self.held += len(key) + len(value) + self.ENTRY

@@ -8,6 +8,7 @@ from functools import lru_cache
 
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -102,14 +103,24 @@ def op8_benchmark_decontamination(spark, sf_dir):
                         hex_sha256(F.array_join("item_ids", ",")).alias("items_sha256"), "contaminated")
 
 
+def ids_sha256(ids: pa.Array, step: int = 1 << 20) -> str:
+    """Digest of the decimal ids with one space between, ``step`` of them at a time."""
+    digest = hashlib.sha256()
+    for lo in range(0, len(ids), step):
+        part = ids.slice(lo, step).cast(pa.string())
+        joined = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(part)], pa.int32()), part), " ")[0]
+        digest.update(b" " if lo else b"")
+        digest.update(joined.as_buffer())
+    return digest.hexdigest()
+
+
 def bpe_digests(batch):
     """Digest columns of a batch of encoded documents (id, ids, decoded)."""
     ids, decoded = batch.column("ids"), batch.column("decoded")
-    sha = lambda b: hashlib.sha256(b).hexdigest()
     return pa.RecordBatch.from_arrays(
         [batch.column("id"), ids.value_lengths().cast(pa.int64()),
-         pa.array([sha(" ".join(map(str, x.values.to_pylist())).encode()) for x in ids], pa.string()),
-         pa.array([sha(x.as_py().encode()) for x in decoded], pa.string())],
+         pa.array([ids_sha256(x.values) for x in ids], pa.string()),
+         pa.array([hashlib.sha256(x.as_buffer()).hexdigest() for x in decoded], pa.string())],
         names=["id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
 

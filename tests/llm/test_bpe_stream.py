@@ -124,3 +124,57 @@ def test_edges(spark, edge_docs, empty_docs, library):
         want.append((r.doc_id, ids, library.decode(ids, skip_special_tokens=False)))
     assert rows(got) == sorted(want, key=lambda t: tuple((x is None, str(x)) for x in t))
     assert B.encode(empty_docs, PATH).count() == 0
+
+
+def test_words_side_by_side_and_each_distinct_word_once(merges, library, monkeypatch):
+    """Many words at a time give the ids of the library; a word that stands in many texts is encoded once."""
+    random.seed(8)
+    units = ["a", "the", "ing", "é", "ß", "q", "er", "st", "0", "x", "'s", "\x00", "ion", "w", "ü", "%"]
+    words = ["".join(random.choice(units) for _ in range(random.randint(1, 40))) for _ in range(3000)] + ["ab" * 300]
+    texts = [" ".join(random.choices(words, k=50)) for _ in range(200)] + ["", " \n ", "x"]
+    monkeypatch.setattr(B, "TOGETHER", 700)
+    w = B.WordEncoder(merges)
+    asked = []
+    once = w.transducer.encode_all
+    monkeypatch.setattr(w.transducer, "encode_all", lambda some: asked.extend(some) or once(some))
+    got = w.encode_all(texts)
+    assert [v.tolist() for v in got] == [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+    assert len(asked) == len(set(asked)) > 32
+    asked.clear()
+    assert all((a == b).all() for a, b in zip(got, w.encode_all(texts)))
+    assert max(map(len, asked), default=65) > 64  # only words too long for the cache come again
+    t = B.Transducer(merges)
+    plain = [x for x in asked + ["hello", "a", "zz"] * 20 if len(x) <= merges.lookahead]
+    assert t.encode_all(plain) == [B.array("i", t.encode(x)).tobytes() for x in plain]
+    with pytest.raises(KeyError):
+        t.encode_all(["a b"] * 40)
+
+
+def test_known_characters_need_no_composition(merges):
+    import re
+    import unicodedata
+    known = [c for c in map(chr, range(0x20ad)) if re.fullmatch(f"[{B.WordEncoder.KNOWN}]", c)]
+    assert all(unicodedata.is_normalized("NFC", c) and not unicodedata.combining(c) for c in known)
+    starts = "".join(map(chr, range(0x20ad)))
+    assert all(len(unicodedata.normalize("NFC", a + c)) == 2 for c in known for a in "aeiouAEIOU" + starts[0x1100:0x1113])
+
+
+def test_a_small_cache_keeps_its_bound_and_loses_no_value():
+    from ridgeway.llm.common import Cache
+    c = Cache(None, 2000)
+    for lo in range(0, 60, 7):
+        keys = [f"k{k % 25}" for k in range(lo, lo + 20)]
+        assert c.all(keys, lambda new: [k.encode() for k in new]) == [k.encode() for k in keys]
+        assert len(c) <= 11 and len(c.old) <= 11
+
+
+def test_digest_of_ids_in_steps():
+    import hashlib
+
+    import pyarrow as pa
+
+    from ridgeway.llm.queries import ids_sha256
+    for n in (0, 1, 2, 3, 7, 50):
+        ids = pa.array([*range(5, 5 + n), 9], pa.int32()).slice(0, n)
+        want = hashlib.sha256(" ".join(map(str, range(5, 5 + n))).encode()).hexdigest()
+        assert {ids_sha256(ids, step) for step in (1, 2, 7, 1 << 20)} == {want}
